@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orchardflow.llm import bpe, packing, simhash, token_counts
+from orchardflow.llm import bpe, packing, simhash, suffix_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(_table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -36,7 +40,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op5_token_counts, op7_simhash, op8_packing)}
+    return {f.__name__: f for f in (op1_byte_bpe, op5_token_counts, op6_suffix_dedup, op7_simhash, op8_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
