@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchardflow.llm import ann, bpe, embed_dedup, packing, quality, simhash, suffix_dedup, token_counts, toxicity
+from orchardflow.llm import ann, bpe, embed_dedup, html_text, packing, quality, simhash, suffix_dedup, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,12 +52,16 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), keep_ids=False)
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_quality, op3_toxicity, op4_nearest, op5_token_counts, op6_suffix_dedup, op7_simhash, op8_packing, op10_embedding_dedup)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_quality, op3_toxicity, op4_nearest, op5_token_counts, op6_suffix_dedup, op7_simhash, op8_packing, op9_html_text, op10_embedding_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
