@@ -153,3 +153,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, bits: int = 2) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stand for their component: one row with the component's least id.
+
+    Rows that repeat an id and text are one; a component without any id keeps one row. The cases of :func:`near_duplicates` hold.
+    """
+    # a row's place among equal ids settles which of several rows stays
+    named = near_duplicates(docs, id_col, text_col, words, bits).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).cast("long").alias("_stays")).distinct()
+    nameless = docs.where(F.col(id_col).isNull())
+    kept = docs.join(named, F.col(id_col).cast("long") == F.col("_stays"), "left_semi").dropDuplicates([id_col])
+    return kept.unionByName(nameless.dropDuplicates([text_col]))

@@ -202,3 +202,29 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     teach nothing. Without labels of both kinds the probabilities are the labels' share. An empty table gives an empty result. Extra columns are ignored.
     """
     return scored(docs, train(docs, labels, id_col, text_col, label_col, most), id_col, text_col, threshold)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = 0.4, most: int = 20_000) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that :func:`toxicity` does not reject; the cases there hold."""
+    chain = train(docs, labels, id_col, text_col, label_col, most)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def texts() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                held.append(batch)
+                yield pa.RecordBatch.from_arrays([batch.column(text_col).cast(pa.string())], ["text"])
+
+        held: list[pa.RecordBatch] = []
+        at = 0
+        for piece, hits, _ in _hits(texts(), chain.terms, False):
+            x = np.zeros((len(hits), len(chain.terms)))
+            for i, k in enumerate(hits):
+                x[i, k] = 1
+            keep = chain.predict(_inputs(x))[:, -1] < threshold
+            yield held[-1].slice(at, piece.num_rows).filter(pa.array(keep))
+            at += piece.num_rows
+            if at >= held[-1].num_rows:
+                held.clear()
+                at = 0
+
+    return map_batches(docs, run, docs.schema)
