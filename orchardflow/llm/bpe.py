@@ -20,12 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orchardflow.llm._common import map_batches, slices
-from orchardflow.llm.token_counts import CACHE, LONGEST, looked_up
+from orchardflow.llm.token_counts import LONGEST, looked_up
 
 #: Splits a text before merges: contractions, letters, digits, other marks, white space.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 OTHER_SPACE = regex.compile(r"[^\S \n]")
 SURE = regex.compile(r"(?<=\S) (?=\S)")
+#: Most pieces, and most pre-tokens, whose ids a worker keeps. Only speed depends on it.
+CACHE = 400_000
 #: Texts encoded together: the rank queue handles the new pre-tokens of so many at once.
 TOGETHER = 2048
 _coders: dict[tuple, ByteBPE] = {}
@@ -232,7 +234,7 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
         for batch in slices(batches, TOGETHER):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             n, ids_all, decoded, a, b = [], [], [], [], []
-            for found in looked_up(texts, cache, coder.encode_keys if cut else coder.encode_chunks, {}, chunks if cut else lambda x: [x]):
+            for found in looked_up(texts, cache, coder.encode_keys if cut else coder.encode_chunks, {}, chunks if cut else lambda x: [x], CACHE):
                 ids = list(chain.from_iterable(found))
                 back = b"".join(map(pieces.__getitem__, ids))
                 n.append(len(ids))

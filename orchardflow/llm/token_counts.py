@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from orchardflow.llm._common import map_batches, slices
 
 #: Most entries of a worker's cache; beyond them it begins anew from the frequent chunks. Only speed depends on it.
-CACHE = 400_000
+CACHE = 1_000_000
 #: Longest chunk that is kept in a cache or table.
 LONGEST = 64
 _loaded: dict[str, object] = {}
@@ -75,12 +75,12 @@ def separable(path: str) -> bool:
     return bool(split[0].get("type") == "Split" and split[0].get("behavior") == "Removed" and split[0].get("invert") and not kind.get("post_processor"))
 
 
-def looked_up(texts: list[str], cache: dict, make, base: dict, split=chunks) -> list[list]:
+def looked_up(texts: list[str], cache: dict, make, base: dict, split=chunks, most: int = CACHE) -> list[list]:
     """For each text the cached values of its chunks; ``make`` gives the values of the chunks that the cache lacks."""
     parts = [split(x) for x in texts]
     missing = set().union(*parts).difference(cache) if parts else set()
     if missing:
-        if len(cache) + len(missing) > CACHE:
+        if len(cache) + len(missing) > most:
             cache.clear()
             cache.update(base)
             missing = set().union(*parts).difference(cache)
