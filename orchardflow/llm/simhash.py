@@ -155,13 +155,114 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(named, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, bits: int = 2) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that stand for their component: one row with the component's least id.
+#: Bits of a sketch, for similarities too low for two bits of one fingerprint to show.
+SKETCH_WORDS = 8
+_TWISTS = [int(x) | 1 for x in np.random.default_rng(29).integers(1 << 62, 1 << 63, SKETCH_WORDS)]
 
-    Rows that repeat an id and text are one; a component without any id keeps one row. The cases of :func:`near_duplicates` hold.
+
+def sketch(text: str | None, words: int = 5) -> tuple[bytes, int]:
+    """(bits, number of different shingles): SimHash over the set of a text's word shingles, with 64 bits for each of eight twists of the hashes."""
+    parts = (text or "").encode().translate(LOWER).split()
+    if not parts:
+        return bytes(8 * SKETCH_WORDS), 0
+    joined, digest = b" ".join(parts), xxhash.xxh64_intdigest
+    if len(parts) <= words:
+        found = np.array([digest(joined, SEED)], np.uint64)
+    else:
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        ends = np.cumsum(sizes + 1) - 1
+        starts, stops = (ends - sizes)[: 1 - words].tolist(), ends[words - 1 :].tolist()
+        found = np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts)))
+    n = len(found)
+    out = []
+    for twist in _TWISTS:
+        with np.errstate(over="ignore"):
+            x = found * np.uint64(twist)
+            x ^= x >> np.uint64(32)
+            x *= np.uint64(twist)
+        counts = np.zeros(64, np.int64)
+        for at in range(0, n, 255):
+            counts += np.unpackbits(x[at : at + 255].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint8)
+        out.append(np.packbits(counts * 2 > n).tobytes())
+    return b"".join(out), n
+
+
+def alike(bits: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the sketches at ``a`` and ``b`` show a Jaccard similarity of ``similarity`` or more.
+
+    Segment bit counts first: their Manhattan distance never exceeds the Hamming distance, so pairs beyond it are out before any XOR.
+    """
+    share = similarity / (1 + similarity) * (n[a] + n[b]) / np.sqrt(np.maximum(1, n[a] * n[b]))  # the cosine that it takes
+    most = np.arccos(np.clip(share, -1, 1)) / np.pi * (64 * SKETCH_WORDS)
+    counts = np.bitwise_count(bits).astype(np.int16)
+    ok = (np.abs(counts[a] - counts[b]).sum(axis=1) <= most) & (share <= 1)
+    ok[ok] = np.bitwise_count(bits[a[ok]] ^ bits[b[ok]]).sum(axis=1) <= most[ok]
+    return ok
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, missed: float = 0.02) -> DataFrame:
+    """(id_col, component_id): components of documents whose shingle sets are alike by ``similarity`` or more, as sketches of 512 bits show it.
+
+    Two bits of one fingerprint show near-equality only. Documents therefore meet in buckets of some of their sketch bits, as many buckets as
+    leave a pair at the threshold apart with probability ``missed`` at most, and are compared there by segment counts and exact XOR. The
+    estimate's standard deviation at 0.8 is about 0.04. Null and empty texts are alike; rows without an id link but have a null component.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            made = [sketch(x, words) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in made], pa.binary()), pa.array([n for _, n in made], pa.int64())], ["id", "bits", "n"])
+
+    rows = map_batches(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), run, "id long, bits binary, n long")
+    rows = stored(rows, "sketches")
+    distinct = rows.groupBy("bits", "n").agg(F.min("id").alias("node")).where("node is not null")
+    total = distinct.count()
+    width = max(10, int(np.ceil(np.log2(max(1, total) / 64))))
+    cosine = 2 * similarity / (1 + similarity)
+    together = (1 - np.arccos(cosine) / np.pi) ** width
+    tables = int(np.ceil(np.log(missed) / np.log(1 - together)))
+    chosen = np.stack([np.random.default_rng(1000 + t).choice(64 * SKETCH_WORDS, width, replace=False) for t in range(tables)])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1024):
+            raw = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            keys = (np.unpackbits(raw, axis=1)[:, chosen].astype(np.int64) << np.arange(width)).sum(axis=2) | (np.arange(tables) << width)
+            who = np.repeat(np.arange(batch.num_rows), tables)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(batch.column(c).take(pa.array(who)) for c in ("node", "bits", "n"))], ["bucket", "node", "bits", "n"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, "bucket"):
+            size = table.num_rows
+            if size < 2:
+                continue
+            node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
+            bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(size, -1)
+            root = np.arange(size)
+            for at in range(0, size, 64):
+                a, b = (x.ravel() for x in np.meshgrid(np.arange(at, min(size, at + 64)), np.arange(at, size), indexing="ij"))
+                fresh = (a < b) & (root[a] != root[b])  # what is tied already needs no comparison
+                a, b = a[fresh], b[fresh]
+                ok = alike(bits, n, a, b, similarity)
+                _join(bits, root, a[ok], b[ok])
+                for _ in range(20):
+                    root = root[root]
+            far = np.flatnonzero(root != np.arange(size))
+            if len(far):
+                yield pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(node[root[far]])], ["a", "b"])
+
+    placed = map_batches(distinct.select("node", "bits", "n"), place, "bucket long, node long, bits binary, n long")
+    edges = map_batches(placed.repartition("bucket").sortWithinPartitions("bucket"), meet, "a long, b long").distinct()
+    rooted = components(edges).select(F.col("node"), "root")
+    named = distinct.join(rooted, "node", "left").select("bits", "n", F.coalesce("root", "node").alias("component_id"))
+    return rows.join(named, ["bits", "n"], "left").select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stand for their component of :func:`near_copies`: the row with its least id.
+
+    Rows that repeat an id are one. Rows without an id stay, one for each text.
     """
-    # a row's place among equal ids settles which of several rows stays
-    named = near_duplicates(docs, id_col, text_col, words, bits).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).cast("long").alias("_stays")).distinct()
+    named = near_copies(docs, id_col, text_col, words, similarity).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).cast("long").alias("_stays")).distinct()
     nameless = docs.where(F.col(id_col).isNull())
     kept = docs.join(named, F.col(id_col).cast("long") == F.col("_stays"), "left_semi").dropDuplicates([id_col])
     return kept.unionByName(nameless.dropDuplicates([text_col]))

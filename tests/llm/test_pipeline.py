@@ -8,7 +8,6 @@ import pytest
 import corpus_pipeline
 from orchardflow.llm import suffix_dedup
 from tests.llm.test_suffix_dedup import brute
-from tests.llm.test_text_ops import brute_components
 
 DATA = "/root/testdata/sf0.001"
 
@@ -44,12 +43,48 @@ def test_filters_keep_clean_documents(spark, stages):
         assert sum(i in has for i in worse) <= 0.3 * len(worse) + 1
 
 
-def test_simhash_keeps_one_of_each(stages):
+def test_simhash_keeps_one_of_each(spark, stages):
+    """Against all pairs of sketches, and against exact similarity: what is alike by 0.9 goes, what is not by 0.65 stays apart."""
+    import numpy as np
+
     from orchardflow.llm import simhash
 
     rows = stages[2].collect()
-    component = brute_components([r.doc_id for r in rows], [simhash.fingerprint(r.text, 5) for r in rows])
-    assert sorted(r.doc_id for r in stages[3].collect()) == sorted(set(component))
+    rng = __import__("random").Random(3)
+    extra = []
+    for r in rows[:40]:
+        w = r.text.split()
+        for _ in range(max(1, len(w) // 120)):
+            w[rng.randrange(len(w))] = "edited"
+        extra.append((10_000 + r.doc_id, " ".join(w), r.lang, r.source, r.n_chars))
+    docs = stages[2].unionByName(spark.createDataFrame(extra, stages[2].schema))
+    rows = docs.collect()
+    made = [simhash.sketch(r.text) for r in rows]
+    bits, n = np.frombuffer(b"".join(x for x, _ in made), np.uint64).reshape(len(rows), -1), np.array([k for _, k in made])
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) for w in (r.text.lower().split() for r in rows)]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    near = []
+    for i in range(len(rows)):
+        ok = simhash.alike(bits, n, np.full(i, i), np.arange(i), 0.8)
+        for j in range(i):
+            exact = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+            assert ok[j] or exact < 0.93
+            assert not ok[j] or exact > 0.65
+            if exact >= 0.9:
+                near.append((i, j))
+            if ok[j]:
+                a, b = sorted((find(i), find(j)), key=lambda k: rows[k].doc_id)
+                root[b] = a
+    want = {rows[find(i)].doc_id for i in range(len(rows))}
+    got = {r.doc_id for r in simhash.one_of_each(docs).collect()}
+    assert len(near) > 10 and len(got ^ want) <= 0.02 * len(near) + 1
+    assert {r.doc_id for r in stages[3].collect()} <= {r.doc_id for r in stages[2].collect()}
 
 
 def test_suffix_stage(stages):
