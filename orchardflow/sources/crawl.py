@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import socket
 import time
 import urllib.error
@@ -16,7 +17,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from orchardflow.operators.extract import PageReader
 from orchardflow.schemas import PAGES
-from orchardflow.sources.config import Config, Http, Source
+from orchardflow.sources.config import Browser, Config, Http, Source
 
 RETRYABLE = ("timeout", "connection_error", "rate_limited", "server_error")
 
@@ -121,6 +122,79 @@ class Fetcher:
                 self.sleep(max(wait, wrong.retry_after or 0.0))
 
 
+class BrowserFetcher:
+    """Pages as a browser renders them, one attempt each, under the HTTP fetcher's spacing, robots rules and name.
+
+    ``launch`` gives a browser with ``new_page(user_agent=...)`` and ``close()``; without it Playwright's Chromium is used where it is
+    installed. It starts with the first page. A browser that is switched off or does not start fails its pages as ``browser_unavailable``.
+    """
+
+    def __init__(self, polite: Fetcher, settings: Browser, launch: Callable | None = None) -> None:
+        self.polite, self.settings, self.launch = polite, settings, launch
+        self.browser = None
+        self.driver = None
+
+    def _started(self):
+        if not self.settings.enabled:
+            raise FetchError("browser_unavailable", "the browser is switched off")
+        if self.browser is None:
+            try:
+                if self.launch is None:
+                    from playwright.sync_api import sync_playwright
+
+                    self.driver = sync_playwright().start()
+                    self.browser = self.driver.chromium.launch(headless=self.settings.headless)
+                else:
+                    self.browser = self.launch()
+            except Exception as wrong:
+                raise FetchError("browser_unavailable", f"the browser did not start: {wrong}") from wrong
+        return self.browser
+
+    def fetch(self, url: str, wait_for: str | None = None) -> Page:
+        browser = self._started()
+        if self.polite.http.respect_robots and not self.polite.allowed(url):
+            raise FetchError("robots_disallowed", f"robots.txt does not allow {url}", 0)
+        self.polite._space(url)
+        limit, tab, waiting = self.settings.timeout_seconds * 1000, None, False
+        try:
+            tab = browser.new_page(user_agent=self.polite.http.user_agent)
+            answer = tab.goto(url, wait_until="domcontentloaded", timeout=limit)
+            status = answer.status if answer else 200
+            if status >= 400:
+                raise FetchError("server_error" if status >= 500 else "client_error", f"HTTP {status} from {url}")
+            if wait_for:
+                waiting = True
+                tab.wait_for_selector(wait_for, state="attached", timeout=limit)
+            return Page(tab.url, tab.content(), status, 1, "browser")
+        except FetchError:
+            raise
+        except Exception as wrong:
+            raise FetchError(*render_failure(type(wrong).__name__, wait_for if waiting else None, url)) from wrong
+        finally:
+            if tab is not None:
+                _quietly(tab.close)
+
+    def close(self) -> None:
+        for what in (self.browser and self.browser.close, self.driver and self.driver.stop):
+            if what:
+                _quietly(what)
+        self.browser = self.driver = None
+
+
+def _quietly(close: Callable) -> None:
+    try:
+        close()
+    except Exception as wrong:
+        logging.getLogger("orchardflow").warning("close failed: %s", wrong)
+
+
+def render_failure(error: str, selector: str | None, url: str) -> tuple[str, str]:
+    """(kind, message) of a renderer's error, by its name."""
+    if "Timeout" in error:
+        return "timeout", f"{selector!r} did not appear on {url}" if selector else f"{url} did not load in time"
+    return "connection_error", f"{url}: {error}"
+
+
 def with_parameter(url: str, name: str, value: int) -> str:
     parts = urllib.parse.urlsplit(url)
     query = [*((k, v) for k, v in urllib.parse.parse_qsl(parts.query) if k != name), (name, str(value))]
@@ -172,12 +246,15 @@ class CatalogueReader(DataSourceReader):
 
     def read(self, partition: _HostPartition) -> Iterator[tuple]:
         fetcher = Fetcher(self.config.http)
-        for source in partition.sources:
-            if source.kind == "browser":
-                message = "no browser in this build; give pages rendered elsewhere as a table"
-                yield source.id, source.pagination.start_page, source.start_url, source.start_url, None, 1, "browser", None, "browser_unavailable", message, "page_failed"
-            else:
-                yield from crawl_source(source, fetcher.fetch)
+        browser = BrowserFetcher(fetcher, self.config.browser)
+        try:
+            for source in partition.sources:
+                if source.kind == "browser":
+                    yield from crawl_source(source, lambda url, s=source: browser.fetch(url, s.wait_for_selector))
+                else:
+                    yield from crawl_source(source, fetcher.fetch)
+        finally:
+            browser.close()
 
 
 class CatalogueSource(DataSource):

@@ -133,6 +133,19 @@ def write_files(result, folder: str | Path, formats: tuple[str, ...] = ("csv", "
     return written
 
 
+def read_report(path: str | Path) -> dict:
+    """A written report, checked: every counter is there, and they reconcile."""
+    from orchardflow.operators.report import COUNTERS, Unreconciled
+
+    found = json.loads(Path(path).read_text(encoding="utf-8"))
+    for s in found["sources"]:
+        if s["records_found"] != s["valid"] + s["rejected"] + s["duplicates_identical"] + s["duplicates_conflicting"]:
+            raise Unreconciled(f"counters of {s['source_id']} do not reconcile")
+    if any(found["totals"][c] != sum(s[c] for s in found["sources"]) for c in COUNTERS):
+        raise Unreconciled("totals are not the sums of the sources' counters")
+    return found
+
+
 def write_tables(result, folder: str, formats: tuple[str, ...] = ("csv", "json")) -> None:
     """Each dataset as a folder of part files, written by the executors."""
     for name, (flat, structured) in datasets(result).items():

@@ -12,9 +12,9 @@ from orchardflow.operators.report import Unreconciled
 from orchardflow.plans import run as plan
 from orchardflow.schemas import PAGES
 from orchardflow.sources.config import Config, ConfigError, Http, load_config
-from orchardflow.sources.crawl import Fetcher, FetchError, crawl, crawl_source
+from orchardflow.sources.crawl import BrowserFetcher, Fetcher, FetchError, crawl, crawl_source, render_failure
 from orchardflow.sources.css import Selector, SelectorError, parse
-from orchardflow.sources.sinks import write_files, write_tables
+from orchardflow.sources.sinks import read_report, write_files, write_tables
 from orchardflow.sources.state import read_state, write_state
 from tests import catalogue
 
@@ -83,6 +83,12 @@ def test_files(result, tmp_path):
     assert (tmp_path / "products.csv").read_bytes().startswith(b"\xef\xbb\xbf") and products[1]["price_amount"] == "1234.50" and products[4]["rating"] == ""
     assert json.loads((tmp_path / "products.json").read_text())[4]["price"] == {"currency": "JPY", "amount": "4980", "minor_units": 4980, "minor_unit_digits": 0}
     assert json.loads((tmp_path / "duplicates.json").read_text())[0]["differing_fields"] in ([], ["price"])
+    assert read_report(tmp_path / "run-report.json")["totals"]["valid"] == 16
+    broken = json.loads((tmp_path / "run-report.json").read_text())
+    broken["sources"][0]["valid"] += 1
+    (tmp_path / "broken.json").write_text(json.dumps(broken))
+    with pytest.raises(Unreconciled):
+        read_report(tmp_path / "broken.json")
     assert "price:missing" in (tmp_path / "rejected.csv").read_text() and json.loads((tmp_path / "run-report.json").read_text())["exported"] == 16
 
 
@@ -236,6 +242,53 @@ def test_crawl_and_command_line(spark, site, tmp_path, monkeypatch, capsys):
     assert main(["scrape", "--config", str(path), "--only-changed"]) == 2
 
 
+class FakeBrowser:
+    def __init__(self, status=200, error=None):
+        self.status, self.error, self.closed, self.open_tabs = status, error, False, 0
+
+    def new_page(self, user_agent):
+        if self.error == "tab":
+            raise OSError("no tab")
+        self.open_tabs += 1
+        return self
+
+    def goto(self, url, wait_until, timeout):
+        self.url = url
+        return self
+
+    def wait_for_selector(self, selector, state, timeout):
+        if self.error:
+            raise type(self.error, (Exception,), {})("late")
+
+    def content(self):
+        return "<p>made</p>"
+
+    def close(self):
+        if self.open_tabs:
+            self.open_tabs -= 1
+        else:
+            self.closed = True
+
+
+def test_browser():
+    polite = Fetcher(Http(respect_robots=False, delay_seconds=0.0))
+    from orchardflow.sources.config import Browser
+
+    fake = FakeBrowser()
+    b = BrowserFetcher(polite, Browser(), lambda: fake)
+    page = b.fetch("http://x/1", ".r")
+    assert (page.html, page.attempts, page.fetched_with, fake.open_tabs) == ("<p>made</p>", 1, "browser", 0)
+    b.close()
+    assert fake.closed
+    for made, kind in ((FakeBrowser(429), "client_error"), (FakeBrowser(502), "server_error"), (FakeBrowser(error="TimeoutError"), "timeout"), (FakeBrowser(error="Crash"), "connection_error"), (FakeBrowser(error="tab"), "connection_error")):
+        with pytest.raises(FetchError) as wrong:
+            BrowserFetcher(polite, Browser(), lambda made=made: made).fetch("http://x/1", ".r")
+        assert (wrong.value.kind, made.open_tabs) == (kind, 0)
+    with pytest.raises(FetchError) as wrong:
+        BrowserFetcher(polite, Browser(enabled=False)).fetch("http://x/1")
+    assert wrong.value.kind == "browser_unavailable" and render_failure("TimeoutError", ".r", "u")[1].startswith("'.r'")
+
+
 def test_loop_is_found():
     page = type("P", (), {})
     config = dataclasses.replace(SOURCE, pagination=dataclasses.replace(SOURCE.pagination, strategy="next_link", next_selector="a.next"))
