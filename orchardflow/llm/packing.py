@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orchardflow.llm._common import map_batches, slices
-from orchardflow.llm.token_counts import encode_all, looked_up, separable
+from orchardflow.llm.token_counts import encode_all, encode_chunks, looked_up, separable
 
 #: Left-over tails (shorter than a window) that a task holds before it packs them; bounds memory, whatever the input.
 HELD = 2048
@@ -38,6 +38,7 @@ class Packer:
         self.rows: list[tuple] = []
         #: tails by tier, sorted by length: (tokens, n, document, start, ids)
         self.tails: list[list[tuple]] = [[] for _ in self.tiers]
+        self.tokens = [0] * len(self.tiers)
         self.count = 0
         self.next_step = first_id
         self.groups: list[list[int]] = []
@@ -63,16 +64,22 @@ class Packer:
     def _hold(self, tail: tuple) -> None:
         tier = next(i for i, x in enumerate(self.tiers) if tail[0] <= x)
         insort(self.tails[tier], tail, key=lambda x: (x[0], x[1]))
+        self.tokens[tier] += tail[0]
+
+    def _take(self, tier: int, at: int = -1) -> tuple:
+        tail = self.tails[tier].pop(at)
+        self.tokens[tier] -= tail[0]
+        return tail
 
     def _fitting(self, gap: int, top: int) -> tuple | None:
         """The longest tail of the tiers up to ``top`` that fits the gap; else the longest one there, cut to fit."""
         for tier in range(top, -1, -1):
             at = bisect_right(self.tails[tier], gap, key=lambda x: x[0])
             if at:
-                return self.tails[tier].pop(at - 1)
-        for held in self.tails[: top + 1]:
-            if held:
-                n, count, document, start, ids = held.pop()
+                return self._take(tier, at - 1)
+        for tier in range(top + 1):
+            if self.tails[tier]:
+                n, count, document, start, ids = self._take(tier)
                 self._hold((n - gap, count, document, start + gap, ids[4 * gap :]))
                 return gap, count, document, start, ids[: 4 * gap]
         return None
@@ -82,9 +89,9 @@ class Packer:
         for top in range(len(self.tiers) - 1, -1, -1):
             length = self.tiers[top]
             while self.tails[top]:
-                if not last and sum(x[0] for t in self.tails[: top + 1] for x in t[:length]) < length:
+                if not last and sum(self.tokens[: top + 1]) < length:
                     break
-                pieces, gap = [self.tails[top].pop()], length
+                pieces, gap = [self._take(top)], length
                 gap -= pieces[0][0]
                 while gap and (more := self._fitting(gap, top)) is not None:
                     pieces.append(more)
@@ -129,7 +136,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     end = array("I", [end_id]).tobytes()
 
     def as_bytes(texts: list[str]) -> list[bytes]:
-        return [array("I", x).tobytes() for x in encode_all(vocabulary, texts)]
+        return [array("I", x).tobytes() for x in (encode_chunks if split else encode_all)(vocabulary, texts)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _caches.setdefault(vocabulary, {})

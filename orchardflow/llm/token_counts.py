@@ -53,6 +53,27 @@ def encode_all(path: str, texts: list[str]) -> list[list[int]]:
     return [x.ids for x in found.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+#: Between chunks that are encoded together; by itself one token.
+BETWEEN = "\x01"
+
+
+def encode_chunks(path: str, parts: list[str]) -> list[list[int]]:
+    """The ids of each chunk of a separable vocabulary, encoded many to a text with a mark between them."""
+    mark = encode_all(path, [BETWEEN])[0]
+    if len(mark) != 1 or any(BETWEEN in x for x in parts):
+        return encode_all(path, parts)
+    groups = [parts[i : i + 256] for i in range(0, len(parts), 256)]
+    out: list[list[int]] = []
+    for group, ids in zip(groups, encode_all(path, [f" {BETWEEN} ".join(x) for x in groups]), strict=True):
+        at = 0
+        for _ in group[1:]:
+            end = ids.index(mark[0], at)
+            out.append(ids[at:end])
+            at = end + 1
+        out.append(ids[at:])
+    return out
+
+
 def chunks(text: str) -> list[str]:
     """The chunks between spaces and line feeds; both are white space to the tokenizer, and no token holds white space.
 
@@ -136,7 +157,7 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
         for batch in slices(batches):
             texts = [x or "" for x in batch.column(1).to_pylist()]
             if split:
-                found = [sum(x) for x in looked_up(texts, cache, lambda new: map(len, encode_all(vocabulary, new)), table.value)]
+                found = [sum(x) for x in looked_up(texts, cache, lambda new: map(len, encode_chunks(vocabulary, new)), table.value)]
             else:
                 found = [len(x) for x in encode_all(vocabulary, texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.int64())], ["id", "n_bytes", "n_tokens"])
