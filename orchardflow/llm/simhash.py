@@ -160,22 +160,30 @@ SKETCH_WORDS = 8
 _TWISTS = [int(x) | 1 for x in np.random.default_rng(29).integers(1 << 62, 1 << 63, SKETCH_WORDS)]
 
 
-def sketch(text: str | None, words: int = 5) -> tuple[bytes, int]:
-    """(bits, number of different shingles): SimHash over the set of a text's word shingles, with 64 bits for each of eight twists of the hashes."""
+def shingles(text: str | None, words: int = 5) -> np.ndarray:
+    """The hashes of a text's different word shingles, in order; of a shorter text the hash of all its words."""
     parts = (text or "").encode().translate(LOWER).split()
     if not parts:
-        return bytes(8 * SKETCH_WORDS), 0
+        return np.zeros(0, np.uint64)
     joined, digest = b" ".join(parts), xxhash.xxh64_intdigest
     if len(parts) <= words:
-        found = np.array([digest(joined, SEED)], np.uint64)
-    else:
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        ends = np.cumsum(sizes + 1) - 1
-        starts, stops = (ends - sizes)[: 1 - words].tolist(), ends[words - 1 :].tolist()
-        found = np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts)))
+        return np.array([digest(joined, SEED)], np.uint64)
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    ends = np.cumsum(sizes + 1) - 1
+    starts, stops = (ends - sizes)[: 1 - words].tolist(), ends[words - 1 :].tolist()
+    return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts)))
+
+
+def sketch(text: str | None, words: int = 5) -> tuple[bytes, int]:
+    """(bits, number of different shingles): SimHash over the set of a text's word shingles, with 64 bits for each of eight twists of the hashes."""
+    found = shingles(text, words)
+    return _sketch(found, SKETCH_WORDS), len(found)
+
+
+def _sketch(found: np.ndarray, size: int) -> bytes:
     n = len(found)
     out = []
-    for twist in _TWISTS:
+    for twist in _TWISTS[:size]:
         with np.errstate(over="ignore"):
             x = found * np.uint64(twist)
             x ^= x >> np.uint64(32)
@@ -184,77 +192,220 @@ def sketch(text: str | None, words: int = 5) -> tuple[bytes, int]:
         for at in range(0, n, 255):
             counts += np.unpackbits(x[at : at + 255].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint8)
         out.append(np.packbits(counts * 2 > n).tobytes())
-    return b"".join(out), n
+    return b"".join(out)
 
 
-def alike(bits: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether the sketches at ``a`` and ``b`` show a Jaccard similarity of ``similarity`` or more.
+def alike(bits: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float, slack: float = 0.0) -> np.ndarray:
+    """Whether the sketches at ``a`` and ``b`` show a Jaccard similarity of ``similarity`` or more, or would if ``slack`` standard deviations nearer.
 
     Segment bit counts first: their Manhattan distance never exceeds the Hamming distance, so pairs beyond it are out before any XOR.
     """
     share = similarity / (1 + similarity) * (n[a] + n[b]) / np.sqrt(np.maximum(1, n[a] * n[b]))  # the cosine that it takes
-    most = np.arccos(np.clip(share, -1, 1)) / np.pi * (64 * SKETCH_WORDS)
+    differ = np.arccos(np.clip(share, -1, 1)) / np.pi
+    size = 64 * bits.shape[1]
+    most = differ * size + slack * np.sqrt(differ * (1 - differ) * size)
     counts = np.bitwise_count(bits).astype(np.int16)
     ok = (np.abs(counts[a] - counts[b]).sum(axis=1) <= most) & (share <= 1)
     ok[ok] = np.bitwise_count(bits[a[ok]] ^ bits[b[ok]]).sum(axis=1) <= most[ok]
     return ok
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, missed: float = 0.02) -> DataFrame:
-    """(id_col, component_id): components of documents whose shingle sets are alike by ``similarity`` or more, as sketches of 512 bits show it.
+#: Words of the sketch that pairs are tried by before the exact comparison, and by how many standard deviations they may miss.
+TRIED, SLACK = 2, 6.0
+#: Shingle sets smaller than this together are too small for a sketch's bits to be near normal; they are not tried.
+FEW = 128
+#: Sampled texts for the order of the shingles, and the commoner shingles that it holds.
+ORDER_TEXTS, ORDER_SHINGLES = 20_000, 65_536
 
-    Two bits of one fingerprint show near-equality only. Documents therefore meet in buckets of some of their sketch bits, as many buckets as
-    leave a pair at the threshold apart with probability ``missed`` at most, and are compared there by segment counts and exact XOR. The
-    estimate's standard deviation at 0.8 is about 0.04. Null and empty texts are alike; rows without an id link but have a null component.
-    """
+
+def _common_shingles(texts: DataFrame, words: int) -> np.ndarray:
+    """Hashes of shingles that many texts hold, the rarer first. Any list gives the same result; a good one gives few pairs to compare."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 2048):
+            found, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *(shingles(x, words) for x in batch.column(0).to_pylist())]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["s", "c"])
+
+    some = texts.sample(min(1.0, ORDER_TEXTS / max(1, texts.count())), 7).select("data")
+    counted = map_batches(some, run, "s long, c long").groupBy("s").agg(F.sum("c").alias("c")).where("c > 2")
+    rows = counted.orderBy(F.desc("c"), "s").limit(ORDER_SHINGLES).collect()  # bounded
+    return np.array([r.s for r in reversed(rows)], np.int64).view(np.uint64)
+
+
+def _prefix(found: np.ndarray, similarity: float, by_hash: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first shingles in a common order, the common ones last: two sets alike by ``similarity`` share one of them at least."""
+    n = len(found)
+    if not n:
+        return found
+    size = min(n, n - int(np.ceil(similarity * n - 1e-9)) + 1)
+    if not len(by_hash):
+        return found[:size]
+    at = np.minimum(np.searchsorted(by_hash, found), len(by_hash) - 1)
+    return found[np.argsort(np.where(by_hash[at] == found, rank[at] + 1, 0), kind="stable")[:size]]
+
+
+def _meet(table: pa.Table, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate links among the texts of buckets (``s``, sorted), as two arrays of nodes: enough to join what could be alike."""
+    bucket, node, n = (table.column(c).to_numpy() for c in ("s", "node", "n"))
+    bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(node), -1)
+
+    def ok(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        near = (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9) & (node[a] != node[b])
+        tried = near & (n[a] + n[b] >= FEW)
+        near[tried] = alike(bits, n, a[tried], b[tried], similarity, SLACK)
+        return near
+
+    opens = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    sizes = np.diff(np.append(opens, len(bucket)))
+    left = np.flatnonzero(np.repeat(sizes <= 32, sizes))
+    a_all, b_all = [], []
+    step = 1
+    while len(left):  # in all small buckets at once: each text with the one ``step`` places on
+        left = left[left + step < len(bucket)]
+        left = left[bucket[left] == bucket[left + step]]
+        good = ok(left, left + step)
+        a_all.append(left[good])
+        b_all.append(left[good] + step)
+        step += 1
+    for start, size in zip(opens[sizes > 32].tolist(), sizes[sizes > 32].tolist(), strict=True):
+        places = start + np.unique(node[start : start + size], return_index=True)[1]
+        root = np.arange(len(places))
+        for at in range(0, len(places), 64):
+            a, b = (x.ravel() for x in np.meshgrid(np.arange(at, min(len(places), at + 64)), np.arange(at, len(places)), indexing="ij"))
+            fresh = (a < b) & (root[a] != root[b])  # what is tied already needs no comparison
+            a, b = a[fresh], b[fresh]
+            good = ok(places[a], places[b])
+            _join(places, root, a[good], b[good])
+            root = _roots(root)
+        far = np.flatnonzero(root != np.arange(len(root)))
+        a_all.append(places[far])
+        b_all.append(places[root[far]])
+    a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a_all, b_all))
+    pairs = np.unique(np.stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b])], axis=1), axis=0)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _roots(root: np.ndarray) -> np.ndarray:
+    while (root[root] != root).any():
+        root = root[root]
+    return root
+
+
+def settled(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """For each shingle set the place of the first of its component of sets whose exact Jaccard similarity is ``similarity`` or more."""
+    sizes = np.array(list(map(len, sets)), np.int64)
+    by_size = np.argsort(sizes, kind="stable")
+    sets, sizes = [sets[i] for i in by_size], sizes[by_size]
+    _, ids = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)
+    ends = np.cumsum(sizes)
+    held = np.zeros(len(ids) + 1, bool)
+    root = np.arange(len(sets))
+    for i in range(len(sets)):
+        root = _roots(root)
+        last = int(np.searchsorted(sizes, sizes[i] / similarity + 1e-6, side="right"))  # larger sets cannot be alike
+        others = np.arange(i + 1, last)
+        others = others[root[others] != root[i]]
+        if not len(others):
+            continue
+        held[ids[ends[i] - sizes[i] : ends[i]]] = True
+        for at in range(0, len(others), 1024):
+            some = others[at : at + 1024]
+            places = np.concatenate([ids[ends[j] - sizes[j] : ends[j]] for j in some.tolist()])
+            shared = np.add.reduceat(held[places].astype(np.int64), np.cumsum(sizes[some]) - sizes[some])
+            near = some[shared / (sizes[i] + sizes[some] - shared) >= similarity]
+            _join(sizes, root, np.full(len(near), i), near)
+        held[ids[ends[i] - sizes[i] : ends[i]]] = False
+    root = _roots(root)
+    least = np.full(len(sets), len(sets))
+    np.minimum.at(least, root, by_size)
+    out = np.zeros(len(sets), np.int64)
+    out[by_size] = least[root]
+    return out
+
+
+def _keys(text: Column) -> list[Column]:
+    """A 128-bit key of a text in two longs; null is as empty."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    return [F.xxhash64(text), F.xxhash64(F.lit(7), text)]
+
+
+def _components(docs: DataFrame, text_col: str, words: int, similarity: float) -> DataFrame:
+    """(k1, k2, component): for the key of each different text of ``docs`` a number of its component of near copies."""
+    k1, k2 = _keys(F.col("data"))
+    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("data")).select(k1.alias("k1"), k2.alias("k2"), "data")
+    texts = stored(texts.groupBy("k1", "k2").agg(F.first("data").alias("data")), "texts")
+    common = _common_shingles(texts, words)
+    by_hash = np.argsort(common)
+    order = docs.sparkSession.sparkContext.broadcast((common[by_hash], by_hash))  # bounded by ORDER_SHINGLES
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            made = [sketch(x, words) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in made], pa.binary()), pa.array([n for _, n in made], pa.int64())], ["id", "bits", "n"])
-
-    rows = map_batches(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), run, "id long, bits binary, n long")
-    rows = stored(rows, "sketches")
-    distinct = rows.groupBy("bits", "n").agg(F.min("id").alias("node")).where("node is not null")
-    total = distinct.count()
-    width = max(10, int(np.ceil(np.log2(max(1, total) / 64))))
-    cosine = 2 * similarity / (1 + similarity)
-    together = (1 - np.arccos(cosine) / np.pi) ** width
-    tables = int(np.ceil(np.log(missed) / np.log(1 - together)))
-    chosen = np.stack([np.random.default_rng(1000 + t).choice(64 * SKETCH_WORDS, width, replace=False) for t in range(tables)])
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1024):
-            raw = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            keys = (np.unpackbits(raw, axis=1)[:, chosen].astype(np.int64) << np.arange(width)).sum(axis=2) | (np.arange(tables) << width)
-            who = np.repeat(np.arange(batch.num_rows), tables)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *(batch.column(c).take(pa.array(who)) for c in ("node", "bits", "n"))], ["bucket", "node", "bits", "n"])
+            sets = [shingles(x, words) for x in batch.column(2).to_pylist()]
+            node = np.fromiter((xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets), np.uint64, len(sets)).view(np.int64)
+            first = [_prefix(x, similarity, *order.value).view(np.int64) for x in sets]
+            bits = [_sketch(x, TRIED) for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(node), pa.array(list(map(len, sets)), pa.int32()), pa.array(bits, pa.binary()), pa.array(first, pa.list_(pa.int64()))], ["k1", "k2", "node", "n", "bits", "first"]
+            )
+
+    made = stored(map_batches(texts, make, "k1 long, k2 long, node long, n int, bits binary, first array<long>"), "prefixes")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups(batches, "bucket"):
-            size = table.num_rows
-            if size < 2:
+        held: list[pa.Table] = []
+        rest, size = None, 0
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
-            bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(size, -1)
-            root = np.arange(size)
-            for at in range(0, size, 64):
-                a, b = (x.ravel() for x in np.meshgrid(np.arange(at, min(size, at + 64)), np.arange(at, size), indexing="ij"))
-                fresh = (a < b) & (root[a] != root[b])  # what is tied already needs no comparison
-                a, b = a[fresh], b[fresh]
-                ok = alike(bits, n, a, b, similarity)
-                _join(bits, root, a[ok], b[ok])
-                for _ in range(20):
-                    root = root[root]
-            far = np.flatnonzero(root != np.arange(size))
-            if len(far):
-                yield pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(node[root[far]])], ["a", "b"])
-
-    placed = map_batches(distinct.select("node", "bits", "n"), place, "bucket long, node long, bits binary, n long")
-    edges = map_batches(placed.repartition("bucket").sortWithinPartitions("bucket"), meet, "a long, b long").distinct()
-    rooted = components(edges).select(F.col("node"), "root")
-    named = distinct.join(rooted, "node", "left").select("bits", "n", F.coalesce("root", "node").alias("component_id"))
-    return rows.join(named, ["bits", "n"], "left").select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
+            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            s = table.column("s").to_numpy()
+            cut = int(np.searchsorted(s, s[-1]))
+            rest = table.slice(cut)
+            same = s[1:cut] == s[: max(0, cut - 1)]
+            several = np.append(same, False) | np.append(False, same) if cut else np.zeros(0, bool)
+            if several.any():  # a bucket with one text only has no pairs
+                held.append(table.slice(0, cut).filter(pa.array(several)))
+                size += held[-1].num_rows
+            if size > 50_000:
+                yield links(held)
+                held, size = [], 0
+        if rest is not None and rest.num_rows > 1:
+            held.append(rest)
+        if held:
+            yield links(held)
+
+    def links(held: list[pa.Table]) -> pa.RecordBatch:
+        a, b = _meet(pa.concat_tables(held), similarity)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    placed = made.select(F.explode("first").alias("s"), "node", "n", "bits")
+    maybe = components(map_batches(placed.repartition("s").sortWithinPartitions("s"), meet, "a long, b long"))
+    keyed = made.select("k1", "k2", "node")
+    members = keyed.join(maybe, "node").groupBy("root", "node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("root", "node", "k.k1", "k.k2")
+    members = members.join(texts, ["k1", "k2"]).select("root", "node", "data")
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, "root"):
+            node = table.column("node").to_numpy()
+            first = settled([shingles(x, words) for x in table.column("data").to_pylist()], similarity)
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[first])], ["node", "component"])
+
+    exact = map_batches(members.repartition("root").sortWithinPartitions("root", "node"), settle, "node long, component long")
+    return keyed.join(exact, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id_col, component_id): components of documents whose shingle sets have a Jaccard similarity of ``similarity`` or more, exactly.
+
+    Two bits of one fingerprint show near-equality only. Texts meet at the shingles of their prefixes, in an order common to all, so that no pair
+    at the threshold stays apart. Where they meet, segment counts and XOR of SimHash sketches, with a cut-off looser by six standard
+    deviations, leave candidates only; one task compares the shingle sets of what candidates join. Equal hashes of 64 bits are taken for equal
+    shingles. Null and empty texts are alike; rows without an id link but have a null component.
+    """
+    k1, k2 = _keys(F.col(text_col))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), k1.alias("k1"), k2.alias("k2"))
+    rows = stored(rows.join(_components(docs, text_col, words, similarity), ["k1", "k2"]).select("id", "component"), "near")
+    named = rows.groupBy("component").agg(F.min("id").alias("component_id"))
+    return rows.join(named, "component").select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
