@@ -30,6 +30,8 @@ GRAM = 64
 HEAD = 32
 #: Bytes of text handled by one array operation; bounds a worker's memory.
 BLOCK = 1 << 21
+#: Rows of one owner from which they go out in parts.
+PART = 2_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 FOLD = np.uint64(0xC2B2AE3D27D4EB4F)
 LOW = np.uint64(0xFFFFFF)
@@ -128,34 +130,52 @@ def regions(texts: DataFrame, length: int) -> DataFrame:
 def repeated(rows: DataFrame) -> DataFrame:
     """The regions whose owner occurs again, each with ``weight`` > 0 on the first of its class: how often the class occurs.
 
-    Reads each partition, sorted by owner and class, once and holds one class's first row and counts only.
+    Reads each partition, sorted by owner and class, once. The rows of an owner with more than ``PART`` go out in parts; what went out
+    before (rows, classes, copies of a class whose first row is held) is carried along, so that no owner is judged on a part.
+    ``classes`` counts an owner's classes only as far as one or more.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last class of the batch before: kept back until the next one shows where it ends
+        held = None  # the last owner of the batch before: kept back until the next one shows where it ends
+        gone, past, more = 0, 0, 0  # of held's owner: rows and classes that went out, copies to add to its first row's class
         for batch in batches:
             table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
             owner, region = (table.column(x).to_numpy() for x in ("owner", "region"))
             cut = int(np.searchsorted(owner, owner[-1])) if len(owner) else 0
-            if cut == 0 and table.num_rows > 2_000_000:  # one owner fills the batches: it repeats, and classes can end
-                cut = int(np.flatnonzero(np.append(True, region[1:] != region[:-1]))[-1]) or table.num_rows
-            yield from out(table.slice(0, cut))
+            if cut == 0 and table.num_rows > PART:  # one owner fills the batches: it repeats, and classes can end
+                cut = int(np.flatnonzero(np.append(True, region[1:] != region[:-1]))[-1])
+                if cut:  # another class follows those that end here
+                    yield from out(table.slice(0, cut), 1, past + 1, more)
+                    gone, past, more, held = gone + cut, past + 1, 0, table.slice(cut)
+                else:  # one class: its first row waits for the owner's end or next class, the others have no weight
+                    more += int(table.column("copies").to_numpy()[1:].sum())
+                    zeros = pa.array(np.zeros(table.num_rows - 1, np.int64))
+                    yield from table.slice(1).append_column("weight", zeros).append_column("classes", zeros).combine_chunks().to_batches()
+                    gone, held = gone + table.num_rows - 1, table.slice(0, 1)
+                continue
+            if cut:
+                yield from out(table.slice(0, cut), gone, past, more)
+                gone, past, more = 0, 0, 0
             held = table.slice(cut)
         if held is not None:
-            yield from out(held)
+            yield from out(held, gone, past, more)
 
-    def out(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    def out(table: pa.Table, gone: int, past: int, more: int) -> Iterator[pa.RecordBatch]:
         if not table.num_rows:
             return
         owner, region, copies = (table.column(x).to_numpy() for x in ("owner", "region", "copies"))
         ends = np.flatnonzero(np.append(owner[1:] != owner[:-1], True))
         counts = np.add.reduceat(copies, np.append(0, ends[:-1] + 1))
+        counts[0] += gone + more
         sizes = np.diff(np.append(-1, ends))
         keep = np.repeat(counts > 1, sizes)
         opens = np.append(True, (owner[1:] != owner[:-1]) | (region[1:] != region[:-1]))
         weight = np.zeros(len(owner), np.int64)
         weight[opens] = np.add.reduceat(copies, np.flatnonzero(opens))
-        classes = np.repeat(np.add.reduceat(opens.astype(np.int64), np.append(0, ends[:-1] + 1)), sizes)
+        weight[0] += more
+        classes = np.add.reduceat(opens.astype(np.int64), np.append(0, ends[:-1] + 1))
+        classes[0] += past
+        classes = np.repeat(classes, sizes)
         table = table.append_column("weight", pa.array(weight)).append_column("classes", pa.array(classes))
         yield from table.filter(pa.array(keep)).combine_chunks().to_batches()
 

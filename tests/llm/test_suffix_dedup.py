@@ -75,3 +75,18 @@ def test_blocks_of_ties():
     want = np.array([counts[w] > 1 for w in windows])
     assert want.any() and not want.all()
     assert (suffix_dedup.repeating(data, starts, 400) == want).all()
+
+
+def test_owner_beyond_one_part(spark):
+    """An owner of more than two million rows is judged as a whole, wherever its classes end."""
+    from pyspark.sql import functions as F
+
+    n = 2_300_000
+    big = F.when(F.col("id") < 2, F.lit(1)).when(F.col("id") < n, 2).otherwise(3)
+    for low, high, sizes in ((0, n, {1: 2, 2: n - 2}), (1, n, {1: 1, 2: n - 2}), (2, n + 1, {2: n - 2, 3: 1}), (2, n, {2: n - 2})):
+        rows = spark.range(low, high).select(F.lit(7).cast("long").alias("owner"), big.cast("long").alias("region"), F.col("id").alias("k1"), F.lit(0).cast("long").alias("k2"), F.lit(0).cast("long").alias("first"), F.lit(1).alias("windows"), F.lit(1).cast("long").alias("times"), F.lit(1).cast("long").alias("copies"))
+        rows = rows.unionByName(rows.limit(1).withColumns({"owner": F.lit(6).cast("long")})).unionByName(rows.limit(2).withColumns({"owner": F.lit(8).cast("long")}))
+        got = suffix_dedup.repeated(rows).groupBy("owner", "region").agg(F.count("*").alias("n"), F.sum("weight").alias("weight"), F.count(F.when(F.col("weight") > 0, 1)).alias("firsts"), F.max(F.when(F.col("weight") > 0, F.col("classes"))).alias("classes")).collect()
+        assert not [r for r in got if r.owner == 6]
+        assert {r.region: (r.n, r.weight, r.firsts, r.classes > 1) for r in got if r.owner == 7} == {k: (v, v, 1, len(sizes) > 1) for k, v in sizes.items()}
+        assert sum(r.n for r in got if r.owner == 8) == 2
