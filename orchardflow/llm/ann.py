@@ -9,7 +9,7 @@ rejects that they are near enough are abandoned. Survivors get their exact inner
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,8 @@ class Index:
     probes: int
     sample_ids: np.ndarray
     sample: np.ndarray
+    sample_lists: np.ndarray
+    firsts: np.ndarray
 
     def lift(self, x: np.ndarray) -> np.ndarray:
         """Candidates: rotated, with the component that makes lengths equal."""
@@ -49,10 +51,25 @@ class Index:
     def nearest_list(self, lifted: np.ndarray) -> np.ndarray:
         return np.argmin((self.centres**2).sum(axis=1)[None, :] - 2 * lifted @ self.centres.T, axis=1)
 
-    def probed(self, lifted: np.ndarray) -> np.ndarray:
+    def probed(self, lifted: np.ndarray, sizes: np.ndarray, least: int) -> np.ndarray:
+        """Whether each query probes each list: the ``probes`` nearest, and on until they hold more than ``least`` vectors."""
         far = (self.centres**2).sum(axis=1)[None, :] - 2 * lifted @ self.centres.T
-        n = min(self.probes, len(self.centres))
-        return np.argpartition(far, n - 1, axis=1)[:, :n]
+        order = np.argsort(far, axis=1)
+        before = np.cumsum(sizes[order], axis=1) - sizes[order]
+        taken = np.zeros(far.shape, bool)
+        np.put_along_axis(taken, order, (np.arange(far.shape[1]) < self.probes)[None, :] | (before <= least), axis=1)
+        return taken
+
+    def threshold(self, ids: np.ndarray, q: np.ndarray, taken: np.ndarray, k: int) -> np.ndarray:
+        """An inner product that 2 ``k`` different sample ids in each query's lists reach, its own apart; -inf where there are fewer.
+
+        Twice ``k``, so that the scan finds ``k`` though its test should reject some of them.
+        """
+        score = q @ self.sample.T
+        score[(ids[:, None] == self.sample_ids[None, :]) | ~self.firsts[None, :] | ~taken[:, self.sample_lists]] = -np.inf
+        if score.shape[1] < 2 * k:
+            return np.full(len(ids), -np.inf)
+        return np.partition(score, score.shape[1] - 2 * k, axis=1)[:, score.shape[1] - 2 * k]
 
     def sample_best(self, ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids and inner products of each query's best in the sample, its own id apart; -inf where there are fewer."""
@@ -78,7 +95,7 @@ def _centres(x: np.ndarray, n: int, rounds: int = 12) -> np.ndarray:
 def fit(vectors: DataFrame, k: int = 20, most: int = 20_000, recall: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding") -> Index | None:
     """An index for usable ``vectors``; None without any.
 
-    Centres, the number of probed lists and the starting thresholds come from at most ``most`` rows, chosen by a hash of the id. The number
+    Centres, the number of probed lists and the starting thresholds (but no results) come from at most ``most`` rows, chosen by a hash of the id. The number
     of probes is what finds the share ``recall`` of the sample's own nearest neighbours. All rows are counted for the number of lists and the longest length.
     """
     size = common_size(vectors, vector_col)
@@ -92,10 +109,12 @@ def fit(vectors: DataFrame, k: int = 20, most: int = 20_000, recall: float = 0.9
     sample = good.orderBy(F.xxhash64("id"), "id").limit(most).collect()  # bounded: at most ``most`` vectors
     ids, rows = np.array([r.id for r in sample], np.int64), np.array([r.v for r in sample], np.float64)
     lists = int(np.clip(round(np.sqrt(total.n) / 2), 1, max(1, len(rows) // 4)))
-    index = Index(size, total.longest * (1 + 1e-12), rotation(size + 1, 11), np.zeros((0, 0)), 1, ids, rows)
+    firsts = np.zeros(len(ids), bool)
+    firsts[np.unique(ids, return_index=True)[1]] = True
+    index = Index(size, total.longest * (1 + 1e-12), rotation(size + 1, 11), np.zeros((0, 0)), 1, ids, rows, np.zeros(0, np.int64), firsts)
     lifted = index.lift(rows)
     centres = _centres(lifted, lists)
-    index = Index(size, index.longest, index.turn, centres, 1, ids, rows)
+    index = replace(index, centres=centres)
     tested = np.random.default_rng(5).permutation(len(rows))[:400]
     own = index.nearest_list(lifted)
     far = (centres**2).sum(axis=1)[None, :] - 2 * index.lift_query(rows[tested]) @ centres.T
@@ -104,7 +123,7 @@ def fit(vectors: DataFrame, k: int = 20, most: int = 20_000, recall: float = 0.9
     place = {int(i): p for p, i in enumerate(ids)}
     needed = np.array([rank[q, own[place[int(i)]]] for q in range(len(tested)) for i in found[q]])
     probes = int(np.quantile(needed, recall)) + 2 if len(needed) else 1
-    return Index(size, index.longest, index.turn, centres, min(lists, probes), ids, rows)
+    return replace(index, probes=min(lists, probes), sample_lists=own)
 
 
 def scan(index: Index, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,41 +176,31 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, most: int = 20_000
 
     placed = map_batches(good, place, "list int, id long, v array<double>")
     sizes = {r["list"]: r["count"] for r in placed.groupBy("list").count().collect()}  # as many rows as lists
-    parts = spark.sparkContext.broadcast({i: -(-n // LIST_PART) for i, n in sizes.items()})
+    held = spark.sparkContext.broadcast(np.array([sizes.get(i, 0) for i in range(len(index.centres))], np.int64))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 piece = batch.slice(start, 256)
                 ids, q = piece.column("id").to_numpy(), matrix(piece.column("v"), shared.value.size)
-                lists = shared.value.probed(shared.value.lift_query(q))
-                found, score = shared.value.sample_best(ids, q, k)
-                least = np.where(score.shape[1] == k, score.min(axis=1, initial=np.inf), -np.inf)
-                rows = [(i, int(c), p) for i, line in enumerate(lists) for c in line for p in range(parts.value.get(int(c), 0))]
+                taken = shared.value.probed(shared.value.lift_query(q), held.value, 2 * k)
+                least = shared.value.threshold(ids, q, taken, k)
+                rows = [(i, int(c), p) for i, c in zip(*taken.nonzero(), strict=True) for p in range(-(-int(held.value[c]) // LIST_PART))]
                 who = np.array([i for i, _, _ in rows], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([c for _, c, _ in rows], pa.int32()), pa.array([p for _, _, p in rows], pa.int32()), pa.array(ids[who]), piece.column("v").take(pa.array(who)), pa.array(least[who]), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.float64())],
-                    ["list", "part", "id", "v", "least", "found", "score"],
-                )
-                some = np.isfinite(score)
-                who = np.repeat(np.arange(len(ids)), some.sum(axis=1))
-                empty = pa.nulls(len(who), pa.int32())
-                yield pa.RecordBatch.from_arrays([empty, empty, pa.array(ids[who]), pa.nulls(len(who), pa.list_(pa.float64())), pa.nulls(len(who), pa.float64()), pa.array(found[some]), pa.array(score[some])], ["list", "part", "id", "v", "least", "found", "score"])
-
-    asked = map_batches(good.where("asks").select("id", "v"), probe, "list int, part int, id long, v array<double>, least double, found long, score double")
+                yield pa.RecordBatch.from_arrays([pa.array([c for _, c, _ in rows], pa.int32()), pa.array([p for _, _, p in rows], pa.int32()), pa.array(ids[who]), piece.column("v").take(pa.array(who)), pa.array(least[who])], ["list", "part", "id", "v", "least"])
+
+    asked = map_batches(good.where("asks").select("id", "v"), probe, "list int, part int, id long, v array<double>, least double")
     count = F.lit(1)
     for i, n in sorted((i, -(-n // LIST_PART)) for i, n in sizes.items()):
         if n > 1:
             count = F.when(F.col("list") == i, F.lit(n)).otherwise(count)
-    candidates = placed.select("list", F.pmod(F.xxhash64("id"), count).cast("int").alias("part"), "id", "v", F.lit(None).cast("double").alias("least"), F.lit(None).cast("long").alias("found"), F.lit(None).cast("double").alias("score"))
-    rows = candidates.withColumn("kind", F.lit(0)).unionByName(asked.withColumn("kind", F.when(F.col("list").isNull(), 2).otherwise(1)))
-    rows = rows.withColumn("at", F.when(F.col("kind") == 2, F.xxhash64("id", "found")).otherwise(F.xxhash64("list", "part", F.lit(0))))
+    candidates = placed.select("list", F.pmod(F.xxhash64("id"), count).cast("int").alias("part"), "id", "v", F.lit(None).cast("double").alias("least"))
+    rows = candidates.withColumn("kind", F.lit(0)).unionByName(asked.withColumn("kind", F.lit(1)))
+    rows = rows.withColumn("at", F.xxhash64("list", "part", F.lit(0)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, "at"):
             kind = table.column("kind").to_numpy()
-            known = table.filter(pa.array(kind == 2))
-            yield out(*(known.column(c).combine_chunks() for c in ("id", "found", "score")))
             mine, asks = table.filter(pa.array(kind == 0)), table.filter(pa.array(kind == 1))
             if not mine.num_rows or not asks.num_rows:
                 continue

@@ -43,6 +43,33 @@ def test_search_against_brute_force(spark):
     assert len(few) == 20
 
 
+def test_search_beyond_the_sample(spark):
+    """With a sample far smaller than the table: full ranks, recall, and rows from the probed lists only."""
+    df, good = table(spark)
+    from pyspark.sql import functions as F
+
+    ids = np.array(sorted(good))
+    x = np.array([good[i][0] for i in ids])
+    for most, recall in ((100, 0.98), (700, 0.5)):
+        index = ann.fit(df, most=most, recall=recall)
+        own = index.nearest_list(index.lift(x))
+        place = {int(i): p for p, i in enumerate(ids)}
+        found = {}
+        for r in ann.search(df, F.col("vec_id") % 20 == 0, most=most, recall=recall).collect():
+            found.setdefault(r.query_id, []).append(r.vec_id)
+        right = 0
+        for q, got in found.items():
+            assert len(got) == 20
+            taken = index.probed(index.lift_query(good[q][0][None, :]), np.bincount(own, minlength=len(index.centres)), 40)[0]
+            assert all(taken[own[place[i]]] for i in got)
+            s = x @ good[q][0]
+            s[ids == q] = -np.inf
+            right += len({int(ids[i]) for i in np.lexsort((ids, -s))[:20]} & set(got))
+        assert len(index.centres) > index.probes and len(found) == 35
+        if most == 100:
+            assert right / (20 * len(found)) >= 0.9
+
+
 @pytest.mark.parametrize("block,bucket", [(1024, 2048), (64, 2048), (128, 40)])
 def test_links_against_brute_force(spark, monkeypatch, block, bucket):
     monkeypatch.setattr(embed_dedup, "BLOCK", block)
