@@ -43,8 +43,11 @@ ENDS = {
 #: end tags do not reach past these
 BARRIERS = frozenset("table td th caption template html".split())
 
-TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*)>""")
-ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
+# As the HTML tokenizer's attribute states read a tag: a quote opens a string only directly after "="; elsewhere it is part of a name or value.
+TAG = re.compile(
+    r"""</?([a-zA-Z][^ \t\n\f\r/>]*+)((?>[ \t\n\f\r/]+|[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:"[^"]*"|'[^']*'|(?!["'])[^ \t\n\f\r>]*+)|(?![ \t\n\f\r]*+=)))*+)>"""
+)
+ATTRIBUTE = re.compile(r"""([^ \t\n\f\r/>][^ \t\n\f\r/>=]*+)(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:"([^"]*)"|'([^']*)'|([^ \t\n\f\r>]*+)))?""")
 INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 SPACE = re.compile(r"[ \t\n\f\r]+")
 #: Tables nested deeper than this are rendered as blocks.

@@ -40,6 +40,26 @@ def test_layout(page, text):
     assert page_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ('<a href="x"">one</a> two three', "one two three"),
+        ("<p title=it's>Hello</p><p>more</p>", "Hello\n\nmore"),
+        ("<p title=it's>Hello</p><p>that's <b class=o'k>all</b>", "Hello\n\nthat's all"),
+        ('<a "b">x</a>y', "xy"),
+        ('<p ="a>b">c', 'b">c'),
+        ("<p title=a\"hidden \">shown", "shown"),
+        ("<p title=a=\"b>c", "c"),
+        ("<p title = \"a>b\" class=>c", "c"),
+        ("<p>x</p \">y", "x\n\ny"),
+        ("kept<a href= 'broken>lost", "kept"),
+    ],
+)
+def test_stray_quotes(page, text):
+    """A quote opens a string only directly after ``=``; elsewhere the tag ends at the next ``>``."""
+    assert page_text(page) == text
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 30_000 + "x" + "</div>" * 30_000
     assert page_text(deep) == "x"
