@@ -2,18 +2,22 @@
 
 The pre-tokens of a batch lie one after another in one doubly linked list of parts. Every pair of neighbours that can merge is
 queued in the bucket of its merge rank; a three-level bitmap marks the ranks whose buckets are in use, so that finding
-the next rank is a find-first-set at each level. A bucket holds list positions and is merged at once, from the left. Entries
-whose pair has changed since they were queued are stale and skipped. The cost grows in proportion to a pre-token's length.
+the next rank is a find-first-set at each level. A bucket holds list positions and is merged at once, from the left. Small buckets
+of the next ranks are taken together; of each pre-token only the entries of its least rank among them merge, the others go back to
+their buckets. Entries whose pair has changed since they were queued are stale and skipped. The cost grows in proportion to a
+pre-token's length.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -23,13 +27,19 @@ from orchardflow.llm._common import map_batches, slices
 from orchardflow.llm.token_counts import LONGEST, looked_up
 
 #: Splits a text before merges: contractions, letters, digits, other marks, white space.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-OTHER_SPACE = regex.compile(r"[^\S \n]")
+PATTERN = public_tokenizers.PATTERN
+#: White space other than spaces and line feeds: in ASCII, and beyond it.
+ASCII_SPACE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+OTHER_SPACE = ASCII_SPACE + "\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 SURE = regex.compile(r"(?<=\S) (?=\S)")
+#: Chunks of letters, with one mark at most after them, need no splitting by the pattern.
+SIMPLE = re.compile("([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@[-`{-~]?)")
 #: Most pieces, and most pre-tokens, whose ids a worker keeps. Only speed depends on it.
-CACHE = 400_000
+CACHE = 700_000
 #: Texts encoded together: the rank queue handles the new pre-tokens of so many at once.
 TOGETHER = 2048
+#: Entries from which a bucket is merged by itself; smaller buckets are taken together until they have so many.
+ALONE = 2048
 _coders: dict[tuple, ByteBPE] = {}
 
 
@@ -75,6 +85,15 @@ class RankQueue:
                 self.top &= self.top - 1
         return rank, self.buckets.pop(rank)
 
+    def pop_some(self, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks and places of the next buckets: the least rank in use, and those after it until ``most`` entries are taken."""
+        ranks, places = [], []
+        while len(places) < most and (found := self.pop()) is not None:
+            ranks.append((found[0], len(found[1])))
+            places += found[1]
+        rank, n = np.array(ranks, np.int64).reshape(-1, 2).T
+        return np.repeat(rank, n), np.array(places, np.int64)
+
 
 class ByteBPE:
     """Encoder and decoder for a rank file: a line for each token, its bytes in base64 and its rank."""
@@ -94,7 +113,7 @@ class ByteBPE:
         self.may_fall = np.zeros(self.size, bool)
         for half in (self.keys // self.size, self.keys % self.size):
             self.may_fall[half[:-1][(self.to < half)[:-1]]] = True
-        self.split = regex.compile(pattern).findall
+        self.split, self.usual = regex.compile(pattern).findall, pattern == PATTERN
         self.known: dict[str, tuple[int, ...]] = {}
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -108,8 +127,9 @@ class ByteBPE:
         k, p = after[j], before[i]
         right, left = k >= 0, p >= 0
         own = token[p]
-        own[1:][k[:-1] == i[1:]] = rank  # the left neighbour has just merged to the same
-        return right, left, self.rank_of(rank, token[k[right]]), self.rank_of(own[left], rank)
+        beside = k[:-1] == i[1:]  # the left neighbour has just merged, to the same
+        own[1:][beside] = rank[1:][beside]
+        return right, left, self.rank_of(rank[right], token[k[right]]), self.rank_of(own[left], rank[left])
 
     def merged(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """The ids of each pre-token, all merged through one rank queue."""
@@ -133,29 +153,44 @@ class ByteBPE:
         for rank, places in zip(ranks[first].tolist(), np.split(here, first[1:]) if len(first) else [], strict=True):
             queue.buckets[rank] = places.tolist()
             queue.mark(rank)
-        while (found := queue.pop()) is not None:
-            rank, held = found
-            i = np.array(held, np.int64)
-            i.sort()
+        least = np.full(len(words), self.size, np.int64)  # of each pre-token, the least rank among the entries taken
+        while queue.top:
+            rank, i = queue.pop_some(ALONE)
             j = after[i]
             live = self.rank_of(token[i], token[j]) == rank  # the others are stale: merged away (-1), last, or paired anew
-            live[1:] &= i[1:] != i[:-1]
             live &= j >= 0
-            i, j = i[live], j[live]
+            rank, i = rank[live], i[live]
+            order = np.argsort(i, kind="stable")
+            rank, i = rank[order], i[order]
+            new = np.ones(len(i), bool)
+            new[1:] = i[1:] != i[:-1]
+            rank, i = rank[new], i[new]
             if not len(i):
                 continue
+            if rank[0] != rank[-1] or (rank != rank[0]).any():
+                of = owner[i]
+                np.minimum.at(least, of, rank)
+                mine = rank == least[of]
+                least[of] = self.size
+                queue.push(rank[~mine], i[~mine])
+                rank, i = rank[mine], i[mine]
+            j = after[i]
             meets = j[:-1] == i[1:]
             if meets.any():  # in a chain of overlapping pairs every other one merges, from the left
                 at = np.arange(len(i))
                 take = (at - np.maximum.accumulate(np.where(np.concatenate([[False], meets]), 0, at))) % 2 == 0
-                i, j = i[take], j[take]
+                rank, i, j = rank[take], i[take], j[take]
             right, left, r, s = self._beside(token, after, before, rank, i, j)
-            if self.may_fall[rank] and (((r >= 0) & (r < rank)).any() or ((s >= 0) & (s < rank)).any()):
-                _, one = np.unique(owner[i], return_index=True)  # a lower rank comes up: the leftmost of each pre-token alone
-                rest = np.delete(i, one)
-                queue.push(np.full(len(rest), rank), rest)
-                i, j = i[one], j[one]
-                right, left, r, s = self._beside(token, after, before, rank, i, j)
+            if self.may_fall[rank].any():
+                fallen = np.zeros(len(i), bool)
+                fallen[right] |= (r >= 0) & (r < rank[right])
+                fallen[left] |= (s >= 0) & (s < rank[left])
+                if fallen.any():  # a lower rank comes up: the leftmost of each pre-token alone
+                    one = np.zeros(len(i), bool)
+                    one[np.unique(owner[i], return_index=True)[1]] = True
+                    queue.push(rank[~one], i[~one])
+                    rank, i, j = rank[one], i[one], j[one]
+                    right, left, r, s = self._beside(token, after, before, rank, i, j)
             token[i] = rank
             token[j] = -1
             k = after[j]
@@ -164,16 +199,25 @@ class ByteBPE:
             queue.push(r, i[right])
             queue.push(s, before[i[left]])
         alive = token >= 0
-        cuts = np.cumsum(np.bincount(owner[alive], minlength=len(words)))[:-1]
-        return [tuple(x.tolist()) for x in np.split(token[alive], cuts)]
+        stops = np.cumsum(np.bincount(owner[alive], minlength=len(words))).tolist()
+        every = token[alive].tolist()
+        return [tuple(every[a:b]) for a, b in zip([0, *stops], stops, strict=False)]
+
+    def pre_tokens(self, piece: str) -> list[str]:
+        """The matches of the pattern in a piece of a text."""
+        simple = self.usual and SIMPLE.fullmatch(piece, piece[:1] == " ")
+        if simple:
+            cut = simple.end(1)
+            return [piece[:cut], piece[cut:]] if cut < len(piece) else [piece]
+        return self.split(piece)
 
     def encode_chunks(self, texts: list[str]) -> list[tuple[int, ...]]:
         """The ids of texts, each split by the pattern; every pre-token that is not known yet goes through the rank queue."""
-        parts = [self.split(x) for x in texts]
+        parts = list(map(self.pre_tokens, texts))
         distinct = list(set(chain.from_iterable(parts)).difference(self.known))
-        if len(self.known) + len(distinct) > CACHE:
-            self.known.clear()
-            distinct = list(set(chain.from_iterable(parts)))
+        if len(self.known) + len(distinct) > CACHE:  # what came first is kept, for common pre-tokens come early
+            self.known = dict(islice(self.known.items(), CACHE // 2)) if len(distinct) <= CACHE // 2 else {}
+            distinct = list(set(chain.from_iterable(parts)).difference(self.known))
         ids = self.known
         ids.update(zip(distinct, self.merged([x.encode() for x in distinct]), strict=True))
         out = [tuple(chain.from_iterable(map(ids.__getitem__, x))) if len(x) != 1 else ids[x[0]] for x in parts]
@@ -201,7 +245,7 @@ def chunks(text: str) -> list[str]:
     its line feed, or after a NUL any other piece. Texts with runs of white space, or with white space of another kind, are cut
     where that is sure, and otherwise kept whole.
     """
-    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or "\0" in text or text[:1].isspace() or text[-1:].isspace() or OTHER_SPACE.search(text):
+    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or "\0" in text or text[:1].isspace() or text[-1:].isspace() or any(map(text.__contains__, ASCII_SPACE if text.isascii() else OTHER_SPACE)):
         cuts = [0, *(m.start() for m in SURE.finditer(text)), len(text)]
         return ["\0" + text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
     parts = text.replace("\n", " \n").split(" ")
@@ -230,20 +274,25 @@ def encode_decode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, cut = _coder(vocabulary, pattern), pattern == PATTERN
         cache = _caches.setdefault((vocabulary, pattern), {})
-        names, pieces = list(map(str, range(coder.size))), coder.bytes_of
+        names, pieces = [f" {i}" for i in range(coder.size)], coder.bytes_of
+        encode = coder.encode_keys if cut else coder.encode_chunks
+
+        def made(parts: list[str]) -> Iterator[tuple[str, bytes]]:
+            """Of each chunk its ids in decimal, a space before each, and the bytes that the ids stand for."""
+            return (("".join(map(names.__getitem__, x)), b"".join(map(pieces.__getitem__, x))) for x in encode(parts))
+
         for batch in slices(batches, TOGETHER):
             texts = [x or "" for x in batch.column(1).to_pylist()]
-            n, ids_all, decoded, a, b = [], [], [], [], []
-            for found in looked_up(texts, cache, coder.encode_keys if cut else coder.encode_chunks, {}, chunks if cut else lambda x: [x], CACHE):
-                ids = list(chain.from_iterable(found))
-                back = b"".join(map(pieces.__getitem__, ids))
-                n.append(len(ids))
-                a.append(hashlib.sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest())
+            n, ids, decoded, a, b = [], [], [], [], []
+            for found in looked_up(texts, cache, made, chunks if cut else lambda x: [x], CACHE):
+                decimal, back = (x.join(y) for x, y in zip(("", b""), zip(*found, strict=True), strict=True)) if found else ("", b"")
+                n.append(decimal.count(" "))
+                a.append(hashlib.sha256(decimal[1:].encode()).hexdigest())
                 b.append(hashlib.sha256(back).hexdigest())
                 if keep_ids:
-                    ids_all.append(ids)
+                    ids.append(list(map(int, decimal.split())))
                     decoded.append(back)
-            more = [pa.array(ids_all, pa.list_(pa.int32())), pa.array(decoded, pa.binary())] if keep_ids else []
+            more = [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.binary())] if keep_ids else []
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *more, pa.array(a, pa.string()), pa.array(b, pa.string())], names=["id", "n_tokens", *["ids", "decoded"][: len(more)], "ids_sha256", "decoded_sha256"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
