@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orchardflow.llm._common import map_batches, slices
-from orchardflow.llm.token_counts import encode_all, encode_chunks, looked_up, separable
+from orchardflow.llm.token_counts import chunk_ids, encode_all, looked_up, separable
 
 #: Left-over tails (shorter than a window) that a task holds before it packs them; bounds memory, whatever the input.
 HELD = 2048
@@ -135,15 +135,15 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     split = separable(vocabulary)
     end = array("I", [end_id]).tobytes()
 
-    def as_bytes(texts: list[str]) -> list[bytes]:
-        return [array("I", x).tobytes() for x in (encode_chunks if split else encode_all)(vocabulary, texts)]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _caches.setdefault(vocabulary, {})
         packer = Packer(window, TaskContext.get().partitionId() << 40)
         for batch in slices(batches):
             texts = [x or "" for x in batch.column(1).to_pylist()]
-            found = (b"".join(x) for x in looked_up(texts, cache, as_bytes, {})) if split else as_bytes(texts)
+            if split:
+                found = map(b"".join, looked_up(texts, cache, lambda parts: chunk_ids(vocabulary, parts)))
+            else:
+                found = (array("I", x).tobytes() for x in encode_all(vocabulary, texts))
             for document, ids in zip(batch.column(0).to_pylist(), found, strict=True):
                 packer.add(document, ids + end)
             yield out(packer)
