@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts handled together inside one Arrow batch; bounds a worker's memory.
@@ -15,9 +16,11 @@ SLICE = 256
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); one of our own only where it is unset, as in tests."""
+    """The folder all executors share (``spark.checkpoint.dir``); where it is unset, one of our own if all runs in this process, else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="orchardflow-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -44,6 +47,13 @@ def discard(df: DataFrame) -> None:
         where.getFileSystem(conf).delete(where, True)
 
 
+def labelled(labels: DataFrame, id_col: str, label_col: str, most: int, allowed: Column | None = None) -> DataFrame:
+    """(id, label): at most ``most`` ids, chosen by a hash, whose labels are all 0 or all 1. Null ids and labels count as absent."""
+    known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1)")
+    known = (known if allowed is None else known.where(allowed)).groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).where("label = other")
+    return known.select("id", "label").orderBy(F.xxhash64("id"), "id").limit(most)
+
+
 def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that no piece has more than ``size`` rows."""
     for batch in batches:

@@ -91,3 +91,52 @@ def test_chain_feeds_out_of_fold_predictions():
     chain = toxicity.fit(x, np.stack([first, first], axis=1), np.arange(500) % toxicity.FOLDS, ("a", "b"), tuple("uvwxyz"))
     assert chain.weights[1][-1] > 1
     assert ((chain.predict(x)[:, 1] > 0.5) == first).all()
+
+
+def test_contradictory_and_repeated_rows_teach_alike_in_any_order(spark):
+    """An id with two labels teaches nothing, and which of its rows teaches does not depend on their order."""
+    docs, labels = corpus(300)
+    again = [(i, "idiot scum " + x) for i, x in docs[:40]]
+    twice = [(i, 1 - q, 1 - t) for i, q, t in labels[:30]]
+    scores = []
+    for rows, known in ((docs + again, labels + twice), (again[::-1] + docs[::-1], twice + labels[::-1])):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        told = spark.createDataFrame(known, "doc_id long, quality int, toxic int").repartition(2)
+        some = df.where("doc_id < 60")
+        scores.append((sorted((r.doc_id, round(r.score, 9)) for r in quality.scored(quality.featured(some), quality.train(quality.featured(df), told, ~quality.held_out(quality.F.col("id")))).collect()), toxicity.train(df, told)))
+    assert scores[0][0] == scores[1][0] and scores[0][1].terms == scores[1][1].terms
+    assert np.allclose(np.concatenate(scores[0][1].weights), np.concatenate(scores[1][1].weights), atol=1e-6)
+
+
+def test_terms_of_a_fold_are_chosen_without_it(spark):
+    """Words that stand in one fold's toxic documents only are no terms of the model that predicts this fold."""
+    rng = random.Random(2)
+    rows = []
+    for i in range(1500):
+        toxic = i % 5 == 0
+        fold = zlib.crc32(str(i).encode()) % toxicity.FOLDS
+        words = [rng.choice("the of and ation eau".split()) for _ in range(30)] + ([f"vile{'abcde'[fold]}", "scum"] if toxic else [])
+        rows.append((i, " ".join(words), int(toxic), fold))
+    df = spark.createDataFrame(rows, "id long, text string, label int, fold int")
+    yes, n = ([sum(f(r) for r in rows if r[3] == k) for k in range(toxicity.FOLDS)] for f in (lambda r: r[2], lambda r: 1))
+    picked = toxicity._chosen_terms(df.select("fold", "label", "text"), yes, n, 400)
+    assert {f"vile{x}" for x in "abcde"} <= set(picked[0])
+    for k, x in enumerate("abcde"):
+        assert f"vile{x}" not in picked[k + 1] and {f"vile{y}" for y in "abcde" if y != x} <= set(picked[k + 1]) and "scum" in picked[k + 1]
+
+
+def test_withheld_labels_of_the_tables(spark):
+    """Held-out recall and false positives on the real labels: a fifth of them is withheld from training."""
+    from pathlib import Path
+
+    import pytest
+
+    data = "/root/testdata/sf0.1"
+    if not Path(data).exists():
+        pytest.skip("no test tables")
+    docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
+    withheld = quality.held_out(quality.F.col("doc_id"))
+    got = toxicity.toxicity(docs, labels.where(~withheld)).join(labels.where(withheld).withColumnRenamed("toxic", "truth"), "doc_id").collect()
+    bad, good = [r.is_toxic for r in got if r.truth], [r.is_toxic for r in got if r.truth == 0]
+    print(f"withheld: {len(bad)} toxic, caught {sum(bad)}; {len(good)} clean, rejected {sum(good)}")
+    assert len(bad) >= 50 and sum(bad) >= 0.9 * len(bad) and sum(good) <= 0.02 * len(good)
