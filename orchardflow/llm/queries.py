@@ -41,7 +41,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.dedup(_table(spark, sf_dir, "documents"), keep_text=False)
+    """The contract's columns for strings of 400 bytes, and the texts without repeated passages of over 50 words."""
+    return suffix_dedup.dedup(_table(spark, sf_dir, "documents"), keep_text=False, passage=suffix_dedup.PASSAGE)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

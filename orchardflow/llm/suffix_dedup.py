@@ -8,6 +8,9 @@
    ranks of a difference-cover sample (every two suffixes have an offset below 31 at which both are in the sample), so
    that a comparison costs one look-up however long the common prefix is, and memory is bounded by the block.
 4. The repeating windows go back to the texts, whose bytes under them are cut.
+
+A string can only repeat where every shorter string in it does. So where both shorter passages and longer strings are asked for, the
+longer ones are searched within the runs of the shorter.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from orchardflow.llm._common import map_batches, scratch, slices, stored
 
@@ -30,8 +34,8 @@ GRAM = 64
 HEAD = 32
 #: Bytes of text handled by one array operation; bounds a worker's memory.
 BLOCK = 1 << 21
-#: Rows of one owner from which they go out in parts.
-PART = 2_000_000
+#: A passage: a repeated run of so many bytes at least, and of more than so many words. 51 words of prose are longer than this in any language.
+PASSAGE, WORDS = 240, 50
 MIX = np.uint64(0x9E3779B97F4A7C15)
 FOLD = np.uint64(0xC2B2AE3D27D4EB4F)
 LOW = np.uint64(0xFFFFFF)
@@ -49,22 +53,28 @@ def _meeting() -> np.ndarray:
 MEETING = _meeting()
 
 
-def owners(data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Regions of the texts that lie end to end in ``data``: (text, first start, last start, owner's hash).
-
-    Each start of a window of ``length`` bytes within a text is in exactly one region.
-    """
+def _hashes(data: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` bytes (a power of two, 8 at least) at each place."""
     x = data.astype(np.uint64)
     with np.errstate(over="ignore"):
         for step in (1, 2, 4):
             x = (x[:-step] << np.uint64(8 * step)) | x[step:]
         step = 8
-        while step < GRAM:
+        while step < size:
             x = x[:-step] * MIX ^ (x[step:] >> np.uint64(29)) ^ (x[step:] * FOLD)
             step *= 2
         x ^= x >> np.uint64(31)
         x *= MIX
         x ^= x >> np.uint64(29)
+    return x
+
+
+def owners(data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Regions of the texts that lie end to end in ``data``: (text, first start, last start, owner's hash).
+
+    Each start of a window of ``length`` bytes within a text is in exactly one region.
+    """
+    x = _hashes(data, GRAM)
     least = (x & ~LOW) | np.arange(len(x), dtype=np.uint64)
     grams, span = length - GRAM + 1, 1
     while span * 2 <= grams:
@@ -83,105 +93,73 @@ def owners(data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray
     return text, first - starts[text], last - starts[text], x[(least[first] & LOW).astype(np.int64)]
 
 
-def _segments(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[list[tuple], list[bytes], list[int]]]:
-    """Texts in groups of about BLOCK bytes; longer texts are cut, overlapping so that every window is in one cut."""
+def _segments(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[list[tuple], list[bytes]]]:
+    """Texts (k1, k2, copies, base, data) in groups of about BLOCK bytes; longer texts are cut, overlapping so that every window is in one cut."""
     keys: list[tuple] = []
     parts: list[bytes] = []
-    at: list[int] = []
     held = 0
     for batch in slices(batches, 64):
-        columns = [batch.column(i).to_pylist() for i in range(3)]
-        for a, b, text in zip(*columns, strict=True):
+        columns = [batch.column(i).to_pylist() for i in range(5)]
+        for a, b, copies, base, text in zip(*columns, strict=True):
             data = text.encode() if isinstance(text, str) else bytes(text)
             for start in range(0, len(data) - length + 1, BLOCK):
-                keys.append((a, b))
+                keys.append((a, b, copies, base + start))
                 parts.append(data[start : start + BLOCK + length - 1])
-                at.append(start)
                 held += len(parts[-1])
                 if held >= BLOCK:
-                    yield keys, parts, at
-                    keys, parts, at, held = [], [], [], 0
+                    yield keys, parts
+                    keys, parts, held = [], [], 0
     if parts:
-        yield keys, parts, at
+        yield keys, parts
 
 
 def regions(texts: DataFrame, length: int) -> DataFrame:
-    """(owner, region, k1, k2, first, windows, times) of each region; ``region`` is the hash of its bytes.
+    """(owner, region, k1, k2, first, windows, times, copies) of each region; ``region`` is the hash of its bytes.
 
-    Equal regions that follow one another, as in periodic text, are one row with their number in ``times``.
+    Equal regions that follow one another, as in periodic text, are one row with their number in ``times``; ``copies`` counts those of all
+    copies of the text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, parts, at in _segments(batches, length):
+        for keys, parts in _segments(batches, length):
             text, first, last, owner = owners(np.frombuffer(b"".join(parts), np.uint8), np.array(list(map(len, parts)), np.int64), length)
             digest = xxhash.xxh64_intdigest
             same = np.fromiter((digest(parts[t][a:b]) for t, a, b in zip(text.tolist(), first.tolist(), (last + length).tolist(), strict=True)), np.uint64, len(text))
-            k = np.array(keys, np.int64).reshape(-1, 2)[text]
             again = (text[1:] == text[:-1]) & (owner[1:] == owner[:-1]) & (same[1:] == same[:-1]) & (first[1:] == last[:-1] + 1)
             heads = np.flatnonzero(np.append(True, ~again)) if len(text) else np.zeros(0, np.int64)
             times = np.diff(np.append(heads, len(text)))
-            text, first, last, owner, same, k = (x[heads] for x in (text, first, last, owner, same, k))
-            columns = [owner.view(np.int64), same.view(np.int64), k[:, 0], k[:, 1], (first + np.array(at, np.int64)[text]).astype(np.int64), (last - first + 1).astype(np.int32), times.astype(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["owner", "region", "k1", "k2", "first", "windows", "times"])
-
-    return map_batches(texts.select("k1", "k2", "data"), run, "owner long, region long, k1 long, k2 long, first long, windows int, times long")
+            text, first, last, owner, same = (x[heads] for x in (text, first, last, owner, same))
+            k = np.array(keys, np.int64).reshape(-1, 4)[text]
+            columns = [owner.view(np.int64), same.view(np.int64), k[:, 0], k[:, 1], (first + k[:, 3]).astype(np.int64), (last - first + 1).astype(np.int32), times.astype(np.int64), k[:, 2] * times]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["owner", "region", "k1", "k2", "first", "windows", "times", "copies"])
 
+    return map_batches(texts.select("k1", "k2", "copies", "base", "data"), run, "owner long, region long, k1 long, k2 long, first long, windows int, times long, copies long")
 
-def repeated(rows: DataFrame) -> DataFrame:
-    """The regions whose owner occurs again, each with ``weight`` > 0 on the first of its class: how often the class occurs.
 
-    Reads each partition, sorted by owner and class, once. The rows of an owner with more than ``PART`` go out in parts; what went out
-    before (rows, classes, copies of a class whose first row is held) is carried along, so that no owner is judged on a part.
-    ``classes`` counts an owner's classes only as far as one or more.
-    """
+def owner_counts(texts: DataFrame, length: int) -> DataFrame:
+    """(owner, n): how many regions of all copies each owner hash has; summed within a block first, so that common owners send few rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last owner of the batch before: kept back until the next one shows where it ends
-        gone, past, more = 0, 0, 0  # of held's owner: rows and classes that went out, copies to add to its first row's class
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            owner, region = (table.column(x).to_numpy() for x in ("owner", "region"))
-            cut = int(np.searchsorted(owner, owner[-1])) if len(owner) else 0
-            if cut == 0 and table.num_rows > PART:  # one owner fills the batches: it repeats, and classes can end
-                cut = int(np.flatnonzero(np.append(True, region[1:] != region[:-1]))[-1])
-                if cut:  # another class follows those that end here
-                    yield from out(table.slice(0, cut), 1, past + 1, more)
-                    gone, past, more, held = gone + cut, past + 1, 0, table.slice(cut)
-                else:  # one class: its first row waits for the owner's end or next class, the others have no weight
-                    more += int(table.column("copies").to_numpy()[1:].sum())
-                    zeros = pa.array(np.zeros(table.num_rows - 1, np.int64))
-                    yield from table.slice(1).append_column("weight", zeros).append_column("classes", zeros).combine_chunks().to_batches()
-                    gone, held = gone + table.num_rows - 1, table.slice(0, 1)
-                continue
-            if cut:
-                yield from out(table.slice(0, cut), gone, past, more)
-                gone, past, more = 0, 0, 0
-            held = table.slice(cut)
-        if held is not None:
-            yield from out(held, gone, past, more)
-
-    def out(table: pa.Table, gone: int, past: int, more: int) -> Iterator[pa.RecordBatch]:
-        if not table.num_rows:
-            return
-        owner, region, copies = (table.column(x).to_numpy() for x in ("owner", "region", "copies"))
-        ends = np.flatnonzero(np.append(owner[1:] != owner[:-1], True))
-        counts = np.add.reduceat(copies, np.append(0, ends[:-1] + 1))
-        counts[0] += gone + more
-        sizes = np.diff(np.append(-1, ends))
-        keep = np.repeat(counts > 1, sizes)
-        opens = np.append(True, (owner[1:] != owner[:-1]) | (region[1:] != region[:-1]))
-        weight = np.zeros(len(owner), np.int64)
-        weight[opens] = np.add.reduceat(copies, np.flatnonzero(opens))
-        weight[0] += more
-        classes = np.add.reduceat(opens.astype(np.int64), np.append(0, ends[:-1] + 1))
-        classes[0] += past
-        classes = np.repeat(classes, sizes)
-        table = table.append_column("weight", pa.array(weight)).append_column("classes", pa.array(classes))
-        yield from table.filter(pa.array(keep)).combine_chunks().to_batches()
-
-    schema = "owner long, region long, k1 long, k2 long, first long, windows int, times long, copies long, weight long, classes long"
-    rows = rows.select("owner", "region", "k1", "k2", "first", "windows", "times", "copies")
-    return map_batches(rows.repartition("owner").sortWithinPartitions("owner", "region", "k1", "k2", "first"), run, schema)
+        for keys, parts in _segments(batches, length):
+            text, _, _, owner = owners(np.frombuffer(b"".join(parts), np.uint8), np.array(list(map(len, parts)), np.int64), length)
+            found, place = np.unique(owner, return_inverse=True)
+            n = np.bincount(place, weights=np.array([k[2] for k in keys], np.float64)[text], minlength=len(found)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["owner", "n"])
+
+    parts = map_batches(texts.select("k1", "k2", "copies", "base", "data"), run, "owner long, n long")
+    return parts.groupBy("owner").agg(F.sum("n").alias("n"))
+
+
+def repeated(rows: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The regions whose owner occurs again, and their classes: (owner, region, weight, classes, k1, k2, first, windows).
+
+    ``weight`` is how often a class of equal regions occurs, ``classes`` how many classes its owner has; k1 to windows tell one of its regions. An
+    owner's rows meet in joins and aggregates only, which Spark combines before the shuffle or splits, so a common owner needs no task of its own.
+    """
+    members = stored(rows.join(counts.where("n > 1").select("owner"), "owner"), "regions")
+    classes = members.groupBy("owner", "region").agg(F.sum("copies").alias("weight"), F.min(F.struct("k1", "k2", "first", "windows")).alias("head"))
+    several = classes.groupBy("owner").agg(F.count("*").alias("classes"))
+    return members, classes.join(several, "owner").select("owner", "region", "weight", "classes", "head.*")
 
 
 def _rank(keys: np.ndarray) -> np.ndarray:
@@ -262,6 +240,28 @@ def repeating(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     return found
 
 
+def ends_shared(parts: list[bytes], length: int) -> np.ndarray:
+    """Of all windows of the parts, whether another has the same first and last HEAD bytes; handles about BLOCK bytes at a time."""
+    keys, at = [], 0
+    while at < len(parts):
+        top, size = at, 0
+        while top < len(parts) and (size < BLOCK or top == at):
+            size += len(parts[top])
+            top += 1
+        sizes = np.array(list(map(len, parts[at:top])), np.int64)
+        windows = sizes - length + 1
+        starts = np.arange(windows.sum()) + np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(windows) - windows), windows)
+        x = _hashes(np.frombuffer(b"".join(parts[at:top]), np.uint8), HEAD)
+        with np.errstate(over="ignore"):
+            keys.append(x[starts] * MIX ^ x[starts + length - HEAD])
+        at = top
+    every = np.concatenate([np.zeros(0, np.uint64), *keys])
+    ordered = np.sort(every)
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    place = np.minimum(np.searchsorted(twice, every), max(0, len(twice) - 1))
+    return twice[place] == every if len(twice) else np.zeros(len(every), bool)
+
+
 def sorted_buckets(classes: DataFrame, length: int) -> DataFrame:
     """(owner, region, low, high): the runs of windows of each class that occur in another class of its owner, or twice by weight.
 
@@ -288,11 +288,17 @@ def sorted_buckets(classes: DataFrame, length: int) -> DataFrame:
         table = pa.Table.from_batches(held)
         parts = table.column("data").to_pylist()
         sizes = np.array(list(map(len, parts)), np.int64)
-        ends = np.cumsum(sizes)
         windows = sizes - length + 1
         which = np.repeat(np.arange(len(parts)), windows)
         within = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
-        found = repeating(np.frombuffer(b"".join(parts), np.uint8), (ends - sizes)[which] + within, length)
+        if sizes.sum() <= 2 * BLOCK:
+            found = repeating(np.frombuffer(b"".join(parts), np.uint8), (np.cumsum(sizes) - sizes)[which] + within, length)
+        else:  # a bucket of many classes: only what shares its first and last bytes with something else is sorted
+            found = np.zeros(len(which), bool)
+            left = np.flatnonzero(ends_shared(parts, length))
+            some, place = np.unique(which[left], return_inverse=True)
+            ends = np.cumsum(sizes[some])
+            found[left] = repeating(np.frombuffer(b"".join(parts[i] for i in some.tolist()), np.uint8), (ends - sizes[some])[place] + within[left], length)
         found |= (table.column("weight").to_numpy() > 1)[which]
         padded = np.concatenate([[False], found, [False]])
         same = np.concatenate([[False], which[1:] == which[:-1], [False]])
@@ -310,18 +316,18 @@ def _text_keys(text):
     return F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(7), text).alias("k2")
 
 
-def cut_texts(docs: DataFrame, text_col: str = "text", length: int = 400) -> DataFrame:
-    """(k1, k2, n_removed, n_spans, kept_sha256, kept) for each distinct text of which bytes are removed; see :func:`dedup`."""
-    if length < 4 * HEAD + GRAM:
-        raise ValueError(f"length must be at least {4 * HEAD + GRAM}")
+def distinct_texts(docs: DataFrame, text_col: str, length: int) -> DataFrame:
+    """(k1, k2, copies, data) of the different texts of ``length`` bytes or more, bucketed by their key.
+
+    A table of random name over files in the shared folder, which its owner clears as a whole; the result reads it, so it is not dropped here.
+    """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    text = F.col("data")
     name = f"texts_{uuid.uuid4().hex}"
     (
         docs.select(F.col(text_col).cast("string").alias("data"))
         .where(F.octet_length("data") >= length)
-        .select(*_text_keys(text), "data")
+        .select(*_text_keys(F.col("data")), "data")
         .groupBy("k1", "k2")
         .agg(F.count("*").alias("copies"), F.first("data").alias("data"))
         .repartition(n, "k1", "k2")
@@ -331,84 +337,148 @@ def cut_texts(docs: DataFrame, text_col: str = "text", length: int = 400) -> Dat
         .sortBy("k1", "k2")
         .saveAsTable(name)
     )
-    texts = spark.table(name)
-    found = regions(texts, length).join(texts.where("copies > 1").select("k1", "k2", "copies"), ["k1", "k2"], "left")
-    members = stored(repeated(found.withColumn("copies", F.coalesce("copies", F.lit(1)) * F.col("times"))), "regions")
-    classes = members.where("weight > 0")
-    data = F.substring(F.col("data").cast("binary"), (F.col("first") + 1).cast("int"), F.col("windows") + (length - 1))
-    shipped = classes.where("classes > 1").join(texts.select("k1", "k2", "data"), ["k1", "k2"]).select("owner", "region", "weight", data.alias("data"))
+    return spark.table(name)
+
+
+def _piece(start, size):
+    """Bytes of a text: from ``start``, ``size`` of them."""
+    return F.substring(F.col("data").cast("binary"), (start + 1).cast("int"), size.cast("int"))
+
+
+def runs(texts: DataFrame, length: int, within: DataFrame | None = None) -> DataFrame:
+    """(k1, k2, a, b): the maximal runs of bytes, from a up to b, that lie in strings of ``length`` bytes which start anywhere else too.
+
+    ``within`` has the runs (k1, k2, a, b) of a smaller length, beyond which nothing is searched.
+    """
+    segments = texts.withColumn("base", F.lit(0).cast("long"))
+    if within is not None:
+        segments = texts.join(within.where(F.col("b") - F.col("a") >= length), ["k1", "k2"]).select("k1", "k2", "copies", F.col("a").alias("base"), _piece(F.col("a"), F.col("b") - F.col("a")).alias("data"))
+    members, classes = repeated(regions(segments, length), owner_counts(segments, length))
+    shipped = classes.where("classes > 1").join(texts.select("k1", "k2", "data"), ["k1", "k2"])
+    shipped = shipped.select("owner", "region", "weight", _piece(F.col("first"), F.col("windows") + (length - 1)).alias("data"))
     whole = classes.where("classes = 1").select("owner", "region", F.lit(0).cast("long").alias("low"), (F.col("windows") - 1).cast("long").alias("high"))
-    runs = sorted_buckets(shipped, length).unionByName(whole)
+    found = sorted_buckets(shipped, length).unionByName(whole)
     start, stop = F.col("first") + F.col("low"), F.col("first") + F.col("high") + length
-    single = members.where("times = 1").join(runs, ["owner", "region"]).select("k1", "k2", start.alias("a"), stop.alias("b"))
+    single = members.where("times = 1").join(found, ["owner", "region"]).select("k1", "k2", start.alias("a"), stop.alias("b"))
     # regions that repeat at once repeat as wholes
     several = members.where("times > 1").select("k1", "k2", F.col("first").alias("a"), (F.col("first") + F.col("times") * F.col("windows") + (length - 1)).alias("b"))
-    spans = single.unionByName(several).groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    return _joined(single.unionByName(several))
+
+
+def _joined(spans: DataFrame) -> DataFrame:
+    """Spans of each text that overlap or touch as one; a text's spans are ordered together, and their number is bounded by its length."""
+    order = Window.partitionBy("k1", "k2").orderBy("a", "b")
+    before = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = spans.withColumn("opens", F.coalesce((F.col("a") > before).cast("int"), F.lit(1)))
+    numbered = opened.withColumn("run", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("k1", "k2", "run").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("run")
+
+
+def cut_texts(texts: DataFrame, found: DataFrame, passages: DataFrame | None = None, over_words: int | None = None) -> DataFrame:
+    """(k1, k2, n_removed, n_spans, kept_sha256, kept) for each of ``texts`` of which the runs ``found`` are removed.
+
+    With ``over_words`` only runs of more words are. With ``passages``, other runs, also n_passage_bytes and ``text``, what is left without
+    those passages that have more than ``over_words`` words; ``found`` is then cut whatever its words.
+    """
+    several = passages is not None
+    marks = found.withColumn("of", F.lit(0))
+    if several:
+        marks = marks.unionByName(passages.withColumn("of", F.lit(1)))
+    marks = marks.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("of", "a", "b"))).alias("marks"))
+
+    def wordy(raw: bytes, a: int, b: int) -> bool:
+        return over_words is None or len(raw[a:b].split()) > over_words
+
+    def without(raw: bytes, cuts: list[tuple[int, int]]) -> bytes:
+        rest, at = [], 0
+        for a, b in cuts:
+            rest.append(raw[at:a])
+            at = b
+        return b"".join([*rest, raw[at:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["k1", "k2", "n_removed", "n_spans", "kept_sha256", "kept"]
         for batch in slices(batches):
-            removed, runs, digests, kept = [], [], [], []
-            for data, copies, spans in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+            rows = []
+            for k1, k2, data, all_marks in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 raw = data.encode()
-                joined: list[list[int]] = [[0, len(raw)]] if copies > 1 else []
-                for a, b in sorted((x["a"], x["b"]) for x in spans or []) if copies == 1 else []:
-                    if joined and a <= joined[-1][1]:
-                        joined[-1][1] = max(b, joined[-1][1])
-                    else:
-                        joined.append([a, b])
-                rest, at = [], 0
-                for a, b in joined:
-                    rest.append(raw[at:a])
-                    at = b
-                rest.append(raw[at:])
-                removed.append(sum(b - a for a, b in joined))
-                runs.append(len(joined))
-                kept.append(b"".join(rest))
-                digests.append(hashlib.sha256(kept[-1]).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.binary())], names)
-
-    cut = texts.select("k1", "k2", "data", "copies").join(spans, ["k1", "k2"], "left").where("copies > 1 or spans is not null")
-    return map_batches(cut, run, "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-
-
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, keep_text: bool = True) -> DataFrame:
-    """(id_col, n_bytes, n_removed, n_spans, kept_sha256) and, if ``keep_text``, ``kept`` (binary) for each row.
+                cuts = [(m["a"], m["b"]) for m in all_marks if m["of"] == 0 and (several or wordy(raw, m["a"], m["b"]))]
+                kept = without(raw, cuts)
+                row = [k1, k2, len(raw) - len(kept), len(cuts), hashlib.sha256(kept).hexdigest(), kept]
+                if several:
+                    gone = [(m["a"], m["b"]) for m in all_marks if m["of"] == 1 and wordy(raw, m["a"], m["b"])]
+                    row += [sum(b - a for a, b in gone), without(raw, gone).decode("utf-8", "ignore")]
+                rows.append(row)
+            columns = list(zip(*rows, strict=True)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=False)], names)
+
+    names = ["k1", "k2", "n_removed", "n_spans", "kept_sha256", "kept", *["n_passage_bytes", "text"] * several]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string()]
+    schema = "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept binary" + ", n_passage_bytes long, text string" * several
+    return map_batches(texts.select("k1", "k2", "data").join(marks, ["k1", "k2"]), run, schema)
+
+
+def _at_least(length: int) -> None:
+    if length < 4 * HEAD + GRAM:
+        raise ValueError(f"length must be at least {4 * HEAD + GRAM}")
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, keep_text: bool = True, passage: int | None = None, over_words: int = WORDS) -> DataFrame:
+    """(id_col, n_bytes, n_removed, n_spans, kept_sha256) for each row; with ``keep_text`` also ``kept`` (binary); with ``passage`` also n_passage_bytes and ``text``.
 
     Texts are UTF-8 bytes (null: empty). A byte is removed if it lies in a string of ``length`` bytes that also starts anywhere
     else, in the same text or another; overlaps count; strings are judged on the input. Texts shorter than ``length`` lose
     nothing. Repeated rows are occurrences of their own: if long enough, all lose everything. Null ids stay. An empty table gives
     an empty result. Extra columns are ignored.
+
+    ``text`` is the whole text without its repeated passages: the runs of strings of ``passage`` bytes (less than ``length``) that start anywhere
+    else too, where a run has more than ``over_words`` words. A character cut in part goes whole.
     """
+    _at_least(passage or length)
+    if passage and passage >= length:
+        raise ValueError("passage must be less than length")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    cut = cut_texts(docs, text_col, length)
+    texts = distinct_texts(docs, text_col, passage or length)
+    short = stored(runs(texts, passage), "runs") if passage else None
+    found = runs(texts, length, short)
+    cut = cut_texts(texts, found, short, over_words if passage else None)
+    whole = keep_text or passage
     rows = docs.select(F.col(id_col).alias("id"), text.alias("data")).select(
-        "id", *_text_keys(F.col("data")), F.octet_length("data").cast("long").alias("n_bytes"), F.sha2(F.col("data").cast("binary"), 256).alias("own"), *([F.col("data")] if keep_text else [])
+        "id",
+        *_text_keys(F.col("data")),
+        F.octet_length("data").cast("long").alias("n_bytes"),
+        F.sha2(F.col("data").cast("binary"), 256).alias("own"),
+        *([F.when(F.octet_length("data") < (passage or length), F.col("data")).alias("short")] if whole else []),
     )
-    out = rows.join(cut if keep_text else cut.drop("kept"), ["k1", "k2"], "left").select(
+    out = rows.join(cut if keep_text else cut.drop("kept"), ["k1", "k2"], "left")
+    if whole:  # long texts come from the bucketed table: the rows' side of the join is narrow
+        out = out.join(texts.select("k1", "k2", "data"), ["k1", "k2"], "left").withColumn("data", F.coalesce("data", "short"))
+    return out.select(
         F.col("id").alias(id_col),
         "n_bytes",
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("kept_sha256", "own").alias("kept_sha256"),
         *([F.coalesce("kept", F.col("data").cast("binary")).alias("kept")] if keep_text else []),
+        *([F.coalesce("n_passage_bytes", F.lit(0)).cast("long").alias("n_passage_bytes"), F.coalesce("text", "data").alias("text")] if passage else []),
     )
-    return out
 
 
-def without_repeats(docs: DataFrame, text_col: str = "text", length: int = 400, count_col: str = "n_chars") -> DataFrame:
-    """``docs`` with the repeated bytes cut from its texts; ``count_col``, if there, becomes the new number of characters.
+def without_repeats(docs: DataFrame, text_col: str = "text", length: int = PASSAGE, over_words: int | None = WORDS, count_col: str = "n_chars") -> DataFrame:
+    """``docs`` with repeated passages cut from its texts; ``count_col``, if there, becomes the new number of characters.
 
-    A character of which some bytes go, goes whole. Null texts stay null, rows and other columns stay as they are. The cases of :func:`dedup` hold.
+    A passage is a run of strings of ``length`` bytes that also start anywhere else, if the run has more than ``over_words`` words (None: any). A
+    character of which some bytes go, goes whole. Null texts stay null, rows and other columns stay as they are. The cases of :func:`dedup` hold.
     """
-    kept = cut_texts(docs, text_col, length)
+    _at_least(length)
+    texts = distinct_texts(docs, text_col, length)
+    kept = cut_texts(texts, runs(texts, length), over_words=over_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             made = [x.decode("utf-8", "ignore") for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.string())], ["_k1", "_k2", "_kept"])
 
-    cut = map_batches(kept.select("k1", "k2", "kept"), run, "_k1 long, _k2 long, _kept string")
+    cut = map_batches(kept.where("n_removed > 0").select("k1", "k2", "kept"), run, "_k1 long, _k2 long, _kept string")
     text = F.col(text_col).cast("string")
     keys = [F.coalesce(k, F.lit(0)) for k in (F.xxhash64(text), F.xxhash64(F.lit(7), text))]
     out = docs.withColumn("_a", keys[0]).withColumn("_b", keys[1]).join(cut, (F.col("_a") == F.col("_k1")) & (F.col("_b") == F.col("_k2")), "left")

@@ -77,16 +77,82 @@ def test_blocks_of_ties():
     assert (suffix_dedup.repeating(data, starts, 400) == want).all()
 
 
-def test_owner_beyond_one_part(spark):
-    """An owner of more than two million rows is judged as a whole, wherever its classes end."""
+def test_common_owner(spark):
+    """An owner of very many rows is judged as a whole, however they are dealt."""
     from pyspark.sql import functions as F
 
     n = 2_300_000
     big = F.when(F.col("id") < 2, F.lit(1)).when(F.col("id") < n, 2).otherwise(3)
-    for low, high, sizes in ((0, n, {1: 2, 2: n - 2}), (1, n, {1: 1, 2: n - 2}), (2, n + 1, {2: n - 2, 3: 1}), (2, n, {2: n - 2})):
+    for low, high, sizes in ((0, n, {1: 2, 2: n - 2}), (1, n + 1, {1: 1, 2: n - 2, 3: 1}), (2, n, {2: n - 2})):
         rows = spark.range(low, high).select(F.lit(7).cast("long").alias("owner"), big.cast("long").alias("region"), F.col("id").alias("k1"), F.lit(0).cast("long").alias("k2"), F.lit(0).cast("long").alias("first"), F.lit(1).alias("windows"), F.lit(1).cast("long").alias("times"), F.lit(1).cast("long").alias("copies"))
         rows = rows.unionByName(rows.limit(1).withColumns({"owner": F.lit(6).cast("long")})).unionByName(rows.limit(2).withColumns({"owner": F.lit(8).cast("long")}))
-        got = suffix_dedup.repeated(rows).groupBy("owner", "region").agg(F.count("*").alias("n"), F.sum("weight").alias("weight"), F.count(F.when(F.col("weight") > 0, 1)).alias("firsts"), F.max(F.when(F.col("weight") > 0, F.col("classes"))).alias("classes")).collect()
+        members, classes = suffix_dedup.repeated(rows, rows.groupBy("owner").agg(F.sum("copies").alias("n")))
+        got = classes.collect()
         assert not [r for r in got if r.owner == 6]
-        assert {r.region: (r.n, r.weight, r.firsts, r.classes > 1) for r in got if r.owner == 7} == {k: (v, v, 1, len(sizes) > 1) for k, v in sizes.items()}
-        assert sum(r.n for r in got if r.owner == 8) == 2
+        assert {r.region: (r.weight, r.classes) for r in got if r.owner == 7} == {k: (v, len(sizes)) for k, v in sizes.items()} and len([r for r in got if r.owner == 7]) == len(sizes)
+        assert {(r.owner, r.n) for r in members.groupBy("owner").agg(F.count("*").alias("n")).collect()} == {(7, high - low), (8, 2)}
+
+
+def brute_passages(texts, length, words):
+    """(bytes in passages, text without them): maximal runs of repeated windows that have more than ``words`` words."""
+    seen = {}
+    for t in texts:
+        for i in range(len(t) - length + 1):
+            seen[t[i : i + length]] = seen.get(t[i : i + length], 0) + 1
+    out = []
+    for t in texts:
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        runs, kept, removed, i = [], [], 0, 0
+        while i < len(t):
+            j = i
+            while j < len(t) and gone[j] == gone[i]:
+                j += 1
+            if gone[i] and len(t[i:j].split()) > words:
+                removed += j - i
+            else:
+                kept.append(t[i:j])
+            i = j
+        out.append((removed, b"".join(kept).decode("utf-8", "ignore")))
+    return out
+
+
+def test_passages_like_brute_force(spark):
+    """Strings of 400 bytes are found within the runs of shorter ones as they are without them, and passages of over 50 words are cut."""
+    texts = corpus()
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    planted = [prose(51) for _ in range(12)]
+    short = [prose(46) for _ in range(6)]
+    for p in planted + short:
+        texts += [f"{prose(40)} {p} {prose(30)}" for _ in range(3)]
+    df = spark.createDataFrame([(i, x, 1, "a", 2) for i, x in enumerate(texts)], "doc_id long, text string, n_bytes int, kept string, k1 int").repartition(4)
+    rows = {r.doc_id: r.text for r in df.collect()}
+    raw = [(x or "").encode() for x in rows.values()]
+    want, passages = brute(raw, 400), brute_passages(raw, suffix_dedup.PASSAGE, 50)
+    got = suffix_dedup.dedup(df, passage=suffix_dedup.PASSAGE).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.n_passage_bytes, r.text) for r in got) == sorted((i, *w, *p) for i, w, p in zip(rows, want, passages, strict=True))
+    assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got)
+    cut = {r.doc_id: r.text for r in suffix_dedup.without_repeats(df).select("doc_id", "text").collect()}
+    assert cut == {i: (p[1] if x is not None else None) for (i, x), p in zip(rows.items(), passages, strict=True)}
+    long = [p for p in planted if len(p) >= suffix_dedup.PASSAGE]
+    assert len(long) >= 5 and not any(p in (x or "") for p in long for x in cut.values()) and all(sum(p in (x or "") for x in cut.values()) == 3 for p in short)
+
+
+def test_ends_shared(spark):
+    """What is left out of a large bucket before it is sorted has no other window with its ends."""
+    texts = corpus()
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string")
+    rows = sorted((r.doc_id, r.kept_sha256) for r in suffix_dedup.dedup(df).collect())
+    rng = np.random.default_rng(3)
+    parts = [bytes(rng.integers(97, 100, n).astype(np.uint8)) + b"same end of all these parts, long enough to count as one" * 3 for n in rng.integers(300, 700, 40)] * 2
+    got = suffix_dedup.ends_shared(parts, 400)
+    keys = [(p[i : i + 32], p[i + 368 : i + 400]) for p in parts for i in range(len(p) - 399)]
+    counts = {}
+    for k in keys:
+        counts[k] = counts.get(k, 0) + 1
+    assert got.tolist() == [counts[k] > 1 for k in keys]
+    assert rows == sorted((r.doc_id, w[3]) for r, w in zip(df.collect(), brute([(x or "").encode() for x in texts], 400), strict=True))
