@@ -98,7 +98,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     for _ in range(max_rounds):
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        # written, so that both sides of the join come from a shuffle and Spark can split a hub's rows
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
@@ -112,6 +113,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         size = F.struct(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
         done = following.agg(size).first() == current.agg(size).first()
         discard(current)
+        discard(least)
         current = following
         if done:
             return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

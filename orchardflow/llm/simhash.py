@@ -21,7 +21,7 @@ from orchardflow.llm._common import components, groups, map_batches, slices, sto
 SEED = 42
 SEGMENTS = 16
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-#: From so many fingerprints at a grid point, meeting at single flipped bits is cheaper than comparing all pairs.
+#: From so many fingerprints at a grid point, a second grid over other segments deals them again before pairs are compared.
 DENSE = 128
 
 
@@ -80,28 +80,69 @@ def _join(found: np.ndarray, root: np.ndarray, a: np.ndarray, b: np.ndarray) ->
             root[max(x, y)] = min(x, y)
 
 
+def _roots(root: np.ndarray) -> np.ndarray:
+    while (root[root] != root).any():
+        root = root[root]
+    return root
+
+
+def _second_grid(found: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Bit counts of 16 other segments (every sixteenth bit), as a point, and what is added to it for the points beside; 0 where there is none."""
+    bits = np.unpackbits(found.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    counts = bits.reshape(-1, 4, SEGMENTS).sum(axis=1).astype(np.uint64)
+    places = np.uint64(4) * np.arange(SEGMENTS, dtype=np.uint64)
+    beside = []
+    with np.errstate(over="ignore"):
+        for i in range(SEGMENTS):
+            one = np.uint64(1) << places[i]
+            beside += [np.where(counts[:, i] < 4, one, np.uint64(0)), np.where(counts[:, i] > 0, np.uint64(0) - one, np.uint64(0))]
+    return (counts << places).sum(axis=1, dtype=np.uint64), beside
+
+
+def _met(found: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Fingerprints that meet at a point of the second grid: their places, sorted by point, and the points; in parts, for memory."""
+    own, beside = _second_grid(found)
+    parts = 1 + 33 * len(found) // 4_000_000
+    mixed = np.uint64(0x9E3779B97F4A7C15)
+    for part in range(parts):
+        places, points = [], []
+        for add in [np.zeros(len(found), np.uint64), *beside]:
+            with np.errstate(over="ignore"):
+                at = own + add
+                mine = ((at * mixed) >> np.uint64(33)) % np.uint64(parts) == part
+            mine &= (add != 0) if len(points) else True
+            places.append(np.flatnonzero(mine))
+            points.append(at[mine])
+        place, point = np.concatenate(places), np.concatenate(points)
+        order = np.argsort(point, kind="stable")
+        yield place[order], point[order]
+
+
 def linked(found: np.ndarray, bits: int = 2) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links (at most ``bits`` differing bits) among distinct fingerprints, as two arrays."""
+    """A spanning forest of the links (at most ``bits`` differing bits) among distinct fingerprints, as two arrays.
+
+    Where very many share a point, their bit counts over other segments part them once more; those that meet there too are compared by XOR.
+    """
     root = np.arange(len(found))
-    if len(found) < DENSE or bits != 2:
+    if len(found) < DENSE:
         for at in range(0, len(found), 256):
             near = np.bitwise_count(found[at : at + 256, None] ^ found[None, at:]) <= bits
             a, b = near.nonzero()
             _join(found, root, (a + at)[b > a], (b + at)[b > a])
-    else:  # fingerprints differ in two bits or fewer just if one bit flipped in each can make them meet
-        flips = np.concatenate([np.zeros(1, np.uint64), np.uint64(1) << np.arange(64, dtype=np.uint64)])
-        for at in range(0, 65, 13):  # in five parts, for memory: each is met by all flips of the others
-            met = (found[:, None] ^ flips[None, at : at + 13]).ravel()
-            every = np.tile(np.arange(len(found))[:, None], (1, len(flips[at : at + 13]))).ravel()
-            for other in range(at, 65, 13):
-                more = (found[:, None] ^ flips[None, other : other + 13]).ravel() if other != at else met[:0]
-                who = np.tile(np.arange(len(found))[:, None], (1, len(flips[other : other + 13]))).ravel() if other != at else every[:0]
-                keys, owners = np.concatenate([met, more]), np.concatenate([every, who])
-                order = np.argsort(keys, kind="stable")
-                same = keys[order][1:] == keys[order][:-1]
-                _join(found, root, owners[order][:-1][same], owners[order][1:][same])
-    for i in range(len(root)):
-        root[i] = root[root[i]]
+    else:
+        for place, point in _met(found):
+            left, step = np.arange(len(place)), 1
+            while len(left):  # each with the one ``step`` places on at its point
+                left = left[left + step < len(place)]
+                left = left[point[left] == point[left + step]]
+                root = _roots(root)
+                a, b = place[left], place[left + step]
+                fresh = root[a] != root[b]  # what is tied already needs no comparison
+                a, b = a[fresh], b[fresh]
+                near = np.bitwise_count(found[a] ^ found[b]) <= bits
+                _join(found, root, a[near], b[near])
+                step += 1
+    root = _roots(root)
     far = np.flatnonzero(root != np.arange(len(found)))
     return found[far], found[root[far]]
 
@@ -155,9 +196,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(named, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Bits of a sketch, for similarities too low for two bits of one fingerprint to show.
-SKETCH_WORDS = 8
-_TWISTS = [int(x) | 1 for x in np.random.default_rng(29).integers(1 << 62, 1 << 63, SKETCH_WORDS)]
+#: Similar shingle sets: bits of the sketch that pairs are tried by before the exact comparison, and by how many standard deviations they may miss.
+TRIED, SLACK = 54, 4.5
+TWIST = np.uint64(0x9C8F2D35A7E1B643)
+#: Shingle sets smaller than this together are too small for a sketch's bits to be near normal; they are not tried.
+FEW = 128
+#: Sampled texts for the order of the shingles (so many, or this share of all, whichever is more), and the commoner shingles that it holds.
+ORDER_TEXTS, ORDER_SHARE, ORDER_SHINGLES = 20_000, 1 / 2000, 262_144
+#: Texts in a bucket whose pairs are tried one by one; in a larger bucket all are candidates.
+BUCKET = 20_000
+#: Candidates whose sets one task compares; a larger group is dealt in blocks.
+GROUP = 1024
 
 
 def shingles(text: str | None, words: int = 5) -> np.ndarray:
@@ -174,50 +223,39 @@ def shingles(text: str | None, words: int = 5) -> np.ndarray:
     return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts)))
 
 
-def sketch(text: str | None, words: int = 5) -> tuple[bytes, int]:
-    """(bits, number of different shingles): SimHash over the set of a text's word shingles, with 64 bits for each of eight twists of the hashes."""
-    found = shingles(text, words)
-    return _sketch(found, SKETCH_WORDS), len(found)
+def mark(found: np.ndarray) -> int:
+    """A shingle set's size class (32 to a doubling) and ``TRIED`` bits of its SimHash, in one word."""
+    n = len(found)
+    if not n:
+        return 0
+    with np.errstate(over="ignore"):
+        x = found * TWIST
+        x ^= x >> np.uint64(32)
+        x *= TWIST
+    counts = np.zeros(64, np.int64)
+    for at in range(0, n, 255):
+        counts += np.unpackbits(x[at : at + 255].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint8)
+    bits = int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big") >> (64 - TRIED)
+    return bits << 10 | min(1023, int(32 * np.log2(n)))
 
 
-def _sketch(found: np.ndarray, size: int) -> bytes:
-    n = len(found)
-    out = []
-    for twist in _TWISTS[:size]:
-        with np.errstate(over="ignore"):
-            x = found * np.uint64(twist)
-            x ^= x >> np.uint64(32)
-            x *= np.uint64(twist)
-        counts = np.zeros(64, np.int64)
-        for at in range(0, n, 255):
-            counts += np.unpackbits(x[at : at + 255].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint8)
-        out.append(np.packbits(counts * 2 > n).tobytes())
-    return b"".join(out)
-
-
-def alike(bits: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float, slack: float = 0.0) -> np.ndarray:
-    """Whether the sketches at ``a`` and ``b`` show a Jaccard similarity of ``similarity`` or more, or would if ``slack`` standard deviations nearer.
-
-    Segment bit counts first: their Manhattan distance never exceeds the Hamming distance, so pairs beyond it are out before any XOR.
+def may_be_alike(marks: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the sets with the marks at ``a`` and ``b`` may have a Jaccard similarity of ``similarity``: by size, then by SimHash bits.
+
+    Bit counts first: their difference never exceeds the Hamming distance, so pairs beyond it are out before any XOR.
     """
-    share = similarity / (1 + similarity) * (n[a] + n[b]) / np.sqrt(np.maximum(1, n[a] * n[b]))  # the cosine that it takes
-    differ = np.arccos(np.clip(share, -1, 1)) / np.pi
-    size = 64 * bits.shape[1]
-    most = differ * size + slack * np.sqrt(differ * (1 - differ) * size)
-    counts = np.bitwise_count(bits).astype(np.int16)
-    ok = (np.abs(counts[a] - counts[b]).sum(axis=1) <= most) & (share <= 1)
-    ok[ok] = np.bitwise_count(bits[a[ok]] ^ bits[b[ok]]).sum(axis=1) <= most[ok]
+    size, bits = (marks & np.uint64(1023)).astype(np.int64), marks >> np.uint64(10)
+    ok = np.abs(size[a] - size[b]) <= 32 * np.log2(1 / similarity) + 1
+    n, m = 2 ** (size[a] / 32), 2 ** (size[b] / 32)
+    share = np.minimum(1, similarity / (1 + similarity) * (n + m) / np.sqrt(n * m))  # the cosine that it takes
+    differ = np.arccos(share) / np.pi
+    most = np.where(n + m < FEW, TRIED, differ * TRIED + SLACK * np.sqrt(np.maximum(1, differ * (1 - differ) * TRIED)))
+    counts = np.bitwise_count(bits).astype(np.int64)
+    ok &= np.abs(counts[a] - counts[b]) <= most
+    ok[ok] = np.bitwise_count(bits[a[ok]] ^ bits[b[ok]]) <= most[ok]
     return ok
 
 
-#: Words of the sketch that pairs are tried by before the exact comparison, and by how many standard deviations they may miss.
-TRIED, SLACK = 2, 6.0
-#: Shingle sets smaller than this together are too small for a sketch's bits to be near normal; they are not tried.
-FEW = 128
-#: Sampled texts for the order of the shingles, and the commoner shingles that it holds.
-ORDER_TEXTS, ORDER_SHINGLES = 20_000, 65_536
-
-
 def _common_shingles(texts: DataFrame, words: int) -> np.ndarray:
     """Hashes of shingles that many texts hold, the rarer first. Any list gives the same result; a good one gives few pairs to compare."""
 
@@ -226,10 +264,10 @@ def _common_shingles(texts: DataFrame, words: int) -> np.ndarray:
             found, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *(shingles(x, words) for x in batch.column(0).to_pylist())]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], ["s", "c"])
 
-    some = texts.sample(min(1.0, ORDER_TEXTS / max(1, texts.count())), 7).select("data")
+    some = texts.sample(min(1.0, max(ORDER_SHARE, ORDER_TEXTS / max(1, texts.count()))), 7).select("data")
     counted = map_batches(some, run, "s long, c long").groupBy("s").agg(F.sum("c").alias("c")).where("c > 2")
-    rows = counted.orderBy(F.desc("c"), "s").limit(ORDER_SHINGLES).collect()  # bounded
-    return np.array([r.s for r in reversed(rows)], np.int64).view(np.uint64)
+    rows = counted.orderBy(F.desc("c"), "s").limit(ORDER_SHINGLES).select("s").toArrow()  # bounded
+    return rows.column("s").to_numpy()[::-1].astype(np.int64).view(np.uint64)
 
 
 def _prefix(found: np.ndarray, similarity: float, by_hash: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -244,16 +282,11 @@ def _prefix(found: np.ndarray, similarity: float, by_hash: np.ndarray, rank: np.
     return found[np.argsort(np.where(by_hash[at] == found, rank[at] + 1, 0), kind="stable")[:size]]
 
 
-def _meet(table: pa.Table, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate links among the texts of buckets (``s``, sorted), as two arrays of nodes: enough to join what could be alike."""
-    bucket, node, n = (table.column(c).to_numpy() for c in ("s", "node", "n"))
-    bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(node), -1)
+def _meet(bucket: np.ndarray, node: np.ndarray, marks: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate links among the texts of sorted buckets, as two arrays of nodes: enough to join what could be alike."""
 
     def ok(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        near = (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9) & (node[a] != node[b])
-        tried = near & (n[a] + n[b] >= FEW)
-        near[tried] = alike(bits, n, a[tried], b[tried], similarity, SLACK)
-        return near
+        return (node[a] != node[b]) & may_be_alike(marks, a, b, similarity)
 
     opens = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
     sizes = np.diff(np.append(opens, len(bucket)))
@@ -269,15 +302,16 @@ def _meet(table: pa.Table, similarity: float) -> tuple[np.ndarray, np.ndarray]:
         step += 1
     for start, size in zip(opens[sizes > 32].tolist(), sizes[sizes > 32].tolist(), strict=True):
         places = start + np.unique(node[start : start + size], return_index=True)[1]
-        root = np.arange(len(places))
-        for at in range(0, len(places), 64):
-            a, b = (x.ravel() for x in np.meshgrid(np.arange(at, min(len(places), at + 64)), np.arange(at, len(places)), indexing="ij"))
+        root, n = np.arange(len(places)), len(places)
+        rows = max(1, 500_000 // n)
+        for at in range(0, n, rows):
+            a, b = (x.ravel() for x in np.meshgrid(np.arange(at, min(n, at + rows)), np.arange(at, n), indexing="ij"))
             fresh = (a < b) & (root[a] != root[b])  # what is tied already needs no comparison
             a, b = a[fresh], b[fresh]
             good = ok(places[a], places[b])
             _join(places, root, a[good], b[good])
             root = _roots(root)
-        far = np.flatnonzero(root != np.arange(len(root)))
+        far = np.flatnonzero(root != np.arange(n))
         a_all.append(places[far])
         b_all.append(places[root[far]])
     a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a_all, b_all))
@@ -285,14 +319,11 @@ def _meet(table: pa.Table, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     return pairs[:, 0], pairs[:, 1]
 
 
-def _roots(root: np.ndarray) -> np.ndarray:
-    while (root[root] != root).any():
-        root = root[root]
-    return root
+def settled(sets: list[np.ndarray], similarity: float, tied: np.ndarray | None = None, asks: np.ndarray | None = None) -> np.ndarray:
+    """For each shingle set the place of the first of its component of sets whose exact Jaccard similarity is ``similarity`` or more.
 
-
-def settled(sets: list[np.ndarray], similarity: float) -> np.ndarray:
-    """For each shingle set the place of the first of its component of sets whose exact Jaccard similarity is ``similarity`` or more."""
+    Sets with equal ``tied`` belong together from the start; with ``asks``, only pairs with one of these are compared.
+    """
     sizes = np.array(list(map(len, sets)), np.int64)
     by_size = np.argsort(sizes, kind="stable")
     sets, sizes = [sets[i] for i in by_size], sizes[by_size]
@@ -300,10 +331,14 @@ def settled(sets: list[np.ndarray], similarity: float) -> np.ndarray:
     ends = np.cumsum(sizes)
     held = np.zeros(len(ids) + 1, bool)
     root = np.arange(len(sets))
-    for i in range(len(sets)):
+    if tied is not None:
+        _, first, which = np.unique(tied[by_size], return_index=True, return_inverse=True)
+        root = first[which]
+    for i in range(len(sets)) if asks is None else np.flatnonzero(asks[by_size]).tolist():
         root = _roots(root)
-        last = int(np.searchsorted(sizes, sizes[i] / similarity + 1e-6, side="right"))  # larger sets cannot be alike
-        others = np.arange(i + 1, last)
+        least = i + 1 if asks is None else int(np.searchsorted(sizes, sizes[i] * similarity - 1e-6))
+        last = int(np.searchsorted(sizes, sizes[i] / similarity + 1e-6, side="right"))  # other sets cannot be alike
+        others = np.arange(least, last)
         others = others[root[others] != root[i]]
         if not len(others):
             continue
@@ -329,36 +364,21 @@ def _keys(text: Column) -> list[Column]:
     return [F.xxhash64(text), F.xxhash64(F.lit(7), text)]
 
 
-def _components(docs: DataFrame, text_col: str, words: int, similarity: float) -> DataFrame:
-    """(k1, k2, component): for the key of each different text of ``docs`` a number of its component of near copies."""
-    k1, k2 = _keys(F.col("data"))
-    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("data")).select(k1.alias("k1"), k2.alias("k2"), "data")
-    texts = stored(texts.groupBy("k1", "k2").agg(F.first("data").alias("data")), "texts")
-    common = _common_shingles(texts, words)
-    by_hash = np.argsort(common)
-    order = docs.sparkSession.sparkContext.broadcast((common[by_hash], by_hash))  # bounded by ORDER_SHINGLES
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = [shingles(x, words) for x in batch.column(2).to_pylist()]
-            node = np.fromiter((xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets), np.uint64, len(sets)).view(np.int64)
-            first = [_prefix(x, similarity, *order.value).view(np.int64) for x in sets]
-            bits = [_sketch(x, TRIED) for x in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(node), pa.array(list(map(len, sets)), pa.int32()), pa.array(bits, pa.binary()), pa.array(first, pa.list_(pa.int64()))], ["k1", "k2", "node", "n", "bits", "first"]
-            )
-
-    made = stored(map_batches(texts, make, "k1 long, k2 long, node long, n int, bits binary, first array<long>"), "prefixes")
+def _candidates(made: DataFrame, similarity: float) -> DataFrame:
+    """(node, root): groups of the shingle sets of ``made`` (node, mark, first) outside of which nothing is alike."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
-        rest, size = None, 0
+        rest, size, anchor = None, 0, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
             table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            if anchor is not None:  # a bucket that is too large to compare goes on
+                lead = int(np.searchsorted(table.column("s").to_numpy(), anchor[0], side="right"))
+                yield tied(table.slice(0, lead), anchor[1])
+                table = table.slice(lead)
+                anchor = anchor if not table.num_rows else None
             s = table.column("s").to_numpy()
-            cut = int(np.searchsorted(s, s[-1]))
+            cut = int(np.searchsorted(s, s[-1])) if len(s) else 0
             rest = table.slice(cut)
             same = s[1:cut] == s[: max(0, cut - 1)]
             several = np.append(same, False) | np.append(False, same) if cut else np.zeros(0, bool)
@@ -368,42 +388,118 @@ def _components(docs: DataFrame, text_col: str, words: int, similarity: float) -
             if size > 50_000:
                 yield links(held)
                 held, size = [], 0
+            if rest.num_rows > BUCKET:
+                anchor = s[-1], rest.column("node").to_numpy()[0]
+                yield tied(rest, anchor[1])
+                rest = rest.slice(0, 0)
         if rest is not None and rest.num_rows > 1:
             held.append(rest)
         if held:
             yield links(held)
 
+    def tied(table: pa.Table, to: int) -> pa.RecordBatch:
+        node = np.unique(table.column("node").to_numpy())
+        return pa.RecordBatch.from_arrays([pa.array(node), pa.array(np.full(len(node), to))], ["a", "b"])
+
     def links(held: list[pa.Table]) -> pa.RecordBatch:
-        a, b = _meet(pa.concat_tables(held), similarity)
+        table = pa.concat_tables(held)
+        a, b = _meet(*(table.column(c).to_numpy() for c in ("s", "node")), table.column("mark").to_numpy().view(np.uint64), similarity)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    placed = made.select(F.explode("first").alias("s"), "node", "n", "bits")
-    maybe = components(map_batches(placed.repartition("s").sortWithinPartitions("s"), meet, "a long, b long"))
-    keyed = made.select("k1", "k2", "node")
-    members = keyed.join(maybe, "node").groupBy("root", "node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("root", "node", "k.k1", "k.k2")
-    members = members.join(texts, ["k1", "k2"]).select("root", "node", "data")
+    placed = made.select(F.explode("first").alias("s"), "node", "mark")
+    return components(map_batches(placed.repartition("s").sortWithinPartitions("s"), meet, "a long, b long"))
 
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups(batches, "root"):
-            node = table.column("node").to_numpy()
-            first = settled([shingles(x, words) for x in table.column("data").to_pylist()], similarity)
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[first])], ["node", "component"])
 
-    exact = map_batches(members.repartition("root").sortWithinPartitions("root", "node"), settle, "node long, component long")
-    return keyed.join(exact, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
+def _exact(members: DataFrame, words: int, similarity: float, group: int | None = None) -> DataFrame:
+    """(node, component): the members (root, node, data) of each candidate group by exact similarity of their sets.
+
+    One task compares ``group`` sets at most. A larger group is dealt in blocks at random, three times; near copies are mostly tied then. What
+    is not in a group's largest part then meets every block of the group.
+    """
+    group = group or GROUP
+    sized = members.join(members.groupBy("root").agg(F.count("*").alias("n")), "root")
+    blocks = F.ceil(F.col("n") / group).cast("int")
+
+    def compare(rows: DataFrame, across: bool = False) -> DataFrame:
+        """(a, b): each node with the first of its component among the sets of one ``at``."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in groups(batches, "at"):
+                node = table.column("node").to_numpy()
+                sets = [shingles(x, words) for x in table.column("data").to_pylist()]
+                first = settled(sets, similarity, table.column("sub").to_numpy(), table.column("asks").to_numpy(zero_copy_only=False)) if across else settled(sets, similarity)
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[first])], ["a", "b"])
+
+        chosen = rows.select("at", "node", "data", *(["sub", "asks"] if across else []))
+        return map_batches(chosen.repartition("at").sortWithinPartitions("at", "node"), run, "a long, b long")
+
+    def dealt(rows: DataFrame, seed: int) -> DataFrame:
+        return rows.withColumn("at", F.xxhash64("root", F.pmod(F.xxhash64("node", F.lit(seed)), blocks)))
+
+    largest = sized.agg(F.max("n")).first()[0] or 0
+    final = compare(dealt(sized.where(F.col("n") <= group), 0))
+    if largest > group:
+        large = stored(sized.where(F.col("n") > group), "large")
+        ties = compare(dealt(large, 1)).unionByName(compare(dealt(large, 2))).unionByName(compare(dealt(large, 3)))
+        ties = stored(ties.where("a <> b"), "ties")
+        parts = components(ties).withColumnRenamed("root", "sub")
+        now = stored(large.join(parts, "node", "left").withColumn("sub", F.coalesce("sub", "node")), "parts")
+        weights = now.groupBy("root", "sub").agg(F.count("*").alias("m"))
+        split = weights.groupBy("root").agg(F.max(F.struct("m", "sub")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("root", F.col("main.sub").alias("main"), F.col("main.m").alias("m"))
+        left = now.join(split, "root").withColumn("others", F.ceil((F.col("n") - F.col("m")) / group).cast("int"))
+        block, other = F.pmod(F.xxhash64("node", F.lit(4)), blocks), F.pmod(F.xxhash64("node", F.lit(5)), F.col("others"))
+        every = left.withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("others") - 1))).withColumn("asks", F.lit(False))
+        asking = left.where("sub <> main").withColumn("j", other).withColumn("i", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("asks", F.lit(True))
+        met = every.unionByName(asking).withColumn("at", F.xxhash64("root", "i", "j"))
+        more = stored(compare(met, True).where("a <> b"), "ties")
+        joined = components(ties.unionByName(more))
+        whole = large.select("node").join(joined, "node", "left").select(F.col("node").alias("a"), F.coalesce("root", "node").alias("b"))
+        final = final.unionByName(whole)
+    return final.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float) -> DataFrame:
+    """(id, k1, k2, component): for each row of ``docs`` its text's key and a number of its component of near copies; written."""
+    k1, k2 = _keys(F.col("data"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("data")).select("id", k1.alias("k1"), k2.alias("k2"), "data")
+    common = _common_shingles(texts, words)
+    by_hash = np.argsort(common)
+    order = docs.sparkSession.sparkContext.broadcast((common[by_hash], by_hash))  # bounded by ORDER_SHINGLES
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()  # copies of a text need no second row from a task
+        for batch in slices(batches):
+            if len(seen) > 500_000:
+                seen.clear()
+            fresh = []
+            for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                if key not in seen:
+                    seen.add(key)
+                    fresh.append(i)
+            batch = batch.take(pa.array(fresh, pa.int64()))
+            sets = [shingles(x, words) for x in batch.column(2).to_pylist()]
+            node = np.fromiter((xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets), np.uint64, len(sets)).view(np.int64)
+            marks = np.fromiter(map(mark, sets), np.uint64, len(sets)).view(np.int64)
+            first = [_prefix(x, similarity, *order.value).view(np.int64) for x in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(marks), pa.array(first, pa.list_(pa.int64()))], ["k1", "k2", "node", "mark", "first"])
+
+    made = stored(map_batches(texts.select("k1", "k2", "data"), make, "k1 long, k2 long, node long, mark long, first array<long>"), "prefixes")
+    keyed = made.select("k1", "k2", "node").distinct()
+    members = keyed.join(_candidates(made, similarity), "node").groupBy("root", "node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("root", "node", "k.k1", "k.k2")
+    members = stored(texts.select("k1", "k2", "data").join(members, ["k1", "k2"]).groupBy("root", "node").agg(F.first("data").alias("data")), "members")
+    found = keyed.join(_exact(members, words, similarity), "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
+    return stored(texts.select("id", "k1", "k2").join(found, ["k1", "k2"]), "near")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id_col, component_id): components of documents whose shingle sets have a Jaccard similarity of ``similarity`` or more, exactly.
 
     Two bits of one fingerprint show near-equality only. Texts meet at the shingles of their prefixes, in an order common to all, so that no pair
-    at the threshold stays apart. Where they meet, segment counts and XOR of SimHash sketches, with a cut-off looser by six standard
-    deviations, leave candidates only; one task compares the shingle sets of what candidates join. Equal hashes of 64 bits are taken for equal
+    at the threshold stays apart. Where they meet, sizes, bit counts and XOR of SimHash sketches, with a cut-off looser by 4.5 standard
+    deviations, leave candidates only; the shingle sets of what candidates join are compared. Equal hashes of 64 bits are taken for equal
     shingles. Null and empty texts are alike; rows without an id link but have a null component.
     """
-    k1, k2 = _keys(F.col(text_col))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), k1.alias("k1"), k2.alias("k2"))
-    rows = stored(rows.join(_components(docs, text_col, words, similarity), ["k1", "k2"]).select("id", "component"), "near")
+    rows = _rows(docs, id_col, text_col, words, similarity)
     named = rows.groupBy("component").agg(F.min("id").alias("component_id"))
     return rows.join(named, "component").select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
@@ -411,9 +507,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stand for their component of :func:`near_copies`: the row with its least id.
 
-    Rows that repeat an id are one. Rows without an id stay, one for each text.
+    Rows that repeat an id and a text are one; different texts of one id are judged each. A row without an id stays only if no row of its
+    component has one. Null and empty texts are one component.
     """
-    named = near_copies(docs, id_col, text_col, words, similarity).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).cast("long").alias("_stays")).distinct()
-    nameless = docs.where(F.col(id_col).isNull())
-    kept = docs.join(named, F.col(id_col).cast("long") == F.col("_stays"), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(nameless.dropDuplicates([text_col]))
+    rows = _rows(docs, id_col, text_col, words, similarity)
+    key = ["_n", "_i", "_a", "_b"]  # of a row: id is null, id, key of the text
+    identity = [F.col("id").isNull().alias("_n"), F.coalesce("id", F.lit(0)).cast("long").alias("_i"), F.col("k1").alias("_a"), F.col("k2").alias("_b")]
+    stays = rows.select("component", F.struct(*identity).alias("row")).groupBy("component").agg(F.min("row").alias("row")).select("row.*")
+    a, b = _keys(F.col(text_col))
+    named = docs.withColumns({"_n": F.col(id_col).isNull(), "_i": F.coalesce(F.col(id_col).cast("long"), F.lit(0)), "_a": a, "_b": b})
+    return named.join(stays, key, "left_semi").dropDuplicates(key).select(*docs.columns)

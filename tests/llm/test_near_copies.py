@@ -53,3 +53,61 @@ def test_settled_against_brute_force():
                 a, b = root[i], root[j]
                 root = [min(a, b) if x in (a, b) else x for x in root]
     assert simhash.settled(sets, 0.8).tolist() == root
+
+
+def brute(texts):
+    """The least place of each text's component of texts alike by 0.8."""
+    sets = [set(simhash.shingles(x).tolist()) for x in texts]
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if x == high else x for x in root]
+    return root
+
+
+def test_large_groups_are_dealt_in_blocks(spark):
+    """Candidate groups far larger than one task compares: near copies, chains, and texts that are alike to nothing."""
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    texts = []
+    for edits, n in ((4, 120), (9, 60), (13, 60)):
+        base = [word() for _ in range(90)]
+        for _ in range(n):
+            w = base[:]
+            for _ in range(rng.randint(0, edits)):
+                w[rng.randrange(len(w))] = word()
+            texts.append(" ".join(w))
+    chain = [word() for _ in range(900)]
+    texts += [" ".join(chain[i : i + 100]) for i in range(0, 800, 8)] + [" ".join(word() for _ in range(80)) for _ in range(40)]
+    rng.shuffle(texts)
+    texts = list(dict.fromkeys(texts))
+    rows = [(7, i, x) for i, x in enumerate(texts)] + [(8, 10_000, "a b c d e f"), (8, 10_001, "a b c d e f g")]
+    want = brute(texts)
+    members = spark.createDataFrame(rows, "root long, node long, data string").repartition(3)
+    for group in (1024, 40):
+        got = {r.node: r.component for r in simhash._exact(members, 5, 0.8, group).collect()}
+        same = {}
+        for i, w in enumerate(want):
+            same.setdefault(w, set()).add(got[i])
+        assert all(len(x) == 1 for x in same.values()) and len({min(x) for x in same.values()}) == len(same)
+        assert got[10_000] != got[10_001]
+
+
+def test_bucket_too_large_to_compare(spark):
+    """Texts of a bucket beyond its size are all candidates; nothing that could be alike stays apart."""
+    n = 3 * simhash.BUCKET
+    rows = spark.range(n).selectExpr("array(5L, 1000000L + id) as first", "id as node", "0L as mark")
+    rows = rows.unionByName(spark.range(4).selectExpr("array(9L) as first", "-1L - id as node", "0L as mark"))
+    got = simhash._candidates(rows.coalesce(1), 0.8).groupBy("root").count().collect()
+    assert sorted(r["count"] for r in got) == [4, n]
+
+
+def test_texts_that_share_an_id_and_rows_without_one(spark):
+    a, b = " ".join(f"x{i}" for i in range(40)), " ".join(f"y{i}" for i in range(40))
+    rows = [(1, a, "p"), (1, b, "q"), (2, a + " end", "r"), (None, b, "s"), (None, "alone " * 3 + "text", "t"), (None, "alone " * 3 + "text", "t"), (3, None, "u"), (4, "", "v"), (1, a, "p")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((str(r.doc_id), str(r.text), r.source) for r in simhash.one_of_each(df).collect())
+    assert [x[::2] for x in got] == [("1", "p"), ("1", "q"), ("3", "u"), ("None", "t")]
+    assert simhash.one_of_each(df.limit(0)).count() == 0
