@@ -35,61 +35,62 @@ def result(spark, config):
 
 def test_totals(result):
     r = result.report
-    assert r["totals"] == {"pages_fetched": 9, "pages_failed": 1, "records_found": 26, "valid": 16, "rejected": 6, "duplicates_identical": 2, "duplicates_conflicting": 2}
-    assert (r["exported"], r["exit_code"], len(r["warnings"])) == (16, 1, 1) and "Backorder" in r["warnings"][0]
+    assert r["totals"] == {"pages_fetched": 8, "pages_failed": 1, "records_found": 22, "valid": 11, "rejected": 7, "duplicates_identical": 2, "duplicates_conflicting": 2}
+    assert (r["exported"], r["exit_code"], len(r["warnings"])) == (11, 1, 1) and "Made to order" in r["warnings"][0]
     counts = {s["source_id"]: (*(s[c] for c in ("pages_fetched", "pages_failed", "records_found", "valid", "rejected", "duplicates_identical", "duplicates_conflicting")), s["stopped_because"]) for s in r["sources"]}
     assert counts == {
-        "catalog-static": (4, 0, 18, 10, 6, 1, 1, "no_next_link"),
-        "catalog-js": (3, 0, 6, 5, 0, 1, 0, "empty_page"),
-        "mirror-flaky": (1, 0, 2, 1, 0, 0, 1, "single_page"),
-        "legacy-feed": (1, 1, 0, 0, 0, 0, 0, "no_records"),
+        "orchard": (3, 0, 16, 7, 7, 1, 1, "no_next_link"),
+        "grove": (3, 0, 4, 3, 0, 1, 0, "empty_page"),
+        "twin": (1, 0, 2, 1, 0, 0, 1, "single_page"),
+        "barn": (1, 1, 0, 0, 0, 0, 0, "no_records"),
     }
-    assert r["rejections_by_reason"] == {"listed_on:unparsable": 1, "price:missing": 1, "price:no_currency": 1, "price:unparsable": 1, "rating:unparsable": 1, "title:missing": 1}
+    assert r["rejections_by_reason"] == {"listed_on:unparsable": 1, "price:missing": 1, "price:no_currency": 1, "price:unparsable": 1, "rating:unparsable": 1, "sku:missing": 1, "title:missing": 1}
 
 
 def test_products(result):
-    got = {r.sku: r for r in result.products.collect()}
-    assert list(got)[:3] == ["NC-1001", "NC-1002", "NC-1003"] and len(got) == 16
-    assert {k: (r.price.currency, r.price.minor, r.availability, r.rating) for k, r in got.items() if k < "NC-2"} == {
-        "NC-1001": ("GBP", 5177, "in_stock", 3.0),
-        "NC-1002": ("USD", 123450, "out_of_stock", 4.0),
-        "NC-1003": ("EUR", 123450, "preorder", 5.0),
-        "NC-1004": ("USD", 1999, "in_stock", 2.0),
-        "NC-1005": ("JPY", 4980, "discontinued", None),
-        "NC-1006": ("CHF", 8900, "unknown", 0.0),
+    rows = result.products.collect()
+    got = {r.sku: r for r in rows}
+    assert [r.sku for r in rows][:4] == ["PL-310", "PL-311", "PL-312", "PL-313"] and len(got) == 11
+    assert {k: (r.price.currency, r.price.minor, r.availability, r.rating, str(r.listed_on)) for k, r in got.items() if k < "PL-32"} == {
+        "PL-310": ("EUR", 1840, "in_stock", 2.0, "2026-05-02"),
+        "PL-311": ("EUR", 108000, "out_of_stock", 5.0, "2026-06-03"),
+        "PL-312": ("GBP", 7450, "preorder", 1.0, "2026-05-09"),
+        "PL-313": ("KRW", 125000, "discontinued", None, "2026-08-10"),
+        "PL-314": ("USD", 900, "unknown", 0.0, "2026-08-24"),
     }
-    assert got["NC-1002"].title == "Oak table & bench" and str(got["NC-1004"].listed_on) == "2026-08-21"
-    assert got["NC-4001"].availability == "unknown" and not got["NC-4001"].availability_present
+    assert got["PL-311"].title == "Pear & quince set" and got["PL-401"].price.currency == "BRL" and got["PL-401"].rating == 4.5
+    assert got["PL-310"].url == "http://127.0.0.1:8090/item/pl-310"
+    assert got["PL-501"].availability == "unknown" and not got["PL-501"].availability_present
     assert all(r.change == "unknown" for r in got.values())
 
 
 def test_conflicts_and_failures(result):
     found = {(d.source_id, d.key): d for d in result.duplicates.collect()}
-    d = found["catalog-static", "nc-1003"]
-    assert (d.kind, d.kept_values, d.dropped_values) == ("conflicting", {"price": "1234.50 EUR"}, {"price": "1199.00 EUR"})
-    assert found["mirror-flaky", "nc-1001"].kept_source_id == "catalog-static"
-    assert [(f.source_id, f.kind) for f in result.failures.collect()] == [("legacy-feed", "no_records")]
+    d = found["orchard", "pl-312"]
+    assert (d.kind, d.kept_values, d.dropped_values) == ("conflicting", {"price": "74.50 GBP"}, {"price": "79.50 GBP"})
+    assert found["twin", "pl-310"].kept_source_id == "orchard" and found["grove", "pl-310"].kind == "identical"
+    assert [(f.source_id, f.kind) for f in result.failures.collect()] == [("barn", "no_records")]
 
 
 def test_missing_and_blank_are_told_apart(result):
-    details = {r.raw_fields["sku"]: r.reasons[0].detail for r in result.rejected.collect()}
-    assert "matched no element" in details["NC-2001"] and "no text" in details["NC-2002"]
+    details = {r.raw_fields["title"].strip() or "blank": r.reasons[0].detail for r in result.rejected.collect()}
+    assert "selector '.cost' matched no element" == details["Hoe"] and "no text" in details["blank"] and "selector 'code' matched no element" == details["Rope"]
 
 
 def test_files(result, tmp_path):
     written = write_files(result, tmp_path)
     assert len(written) == 9
     products = list(csv.DictReader((tmp_path / "products.csv").open(encoding="utf-8-sig")))
-    assert (tmp_path / "products.csv").read_bytes().startswith(b"\xef\xbb\xbf") and products[1]["price_amount"] == "1234.50" and products[4]["rating"] == ""
-    assert json.loads((tmp_path / "products.json").read_text())[4]["price"] == {"currency": "JPY", "amount": "4980", "minor_units": 4980, "minor_unit_digits": 0}
+    assert (tmp_path / "products.csv").read_bytes().startswith(b"\xef\xbb\xbf") and products[1]["price_amount"] == "1080.00" and products[3]["rating"] == ""
+    assert json.loads((tmp_path / "products.json").read_text())[3]["price"] == {"currency": "KRW", "amount": "125000", "minor_units": 125000, "minor_unit_digits": 0}
     assert json.loads((tmp_path / "duplicates.json").read_text())[0]["differing_fields"] in ([], ["price"])
-    assert read_report(tmp_path / "run-report.json")["totals"]["valid"] == 16
+    assert read_report(tmp_path / "run-report.json")["totals"]["valid"] == 11
     broken = json.loads((tmp_path / "run-report.json").read_text())
     broken["sources"][0]["valid"] += 1
     (tmp_path / "broken.json").write_text(json.dumps(broken))
     with pytest.raises(Unreconciled):
         read_report(tmp_path / "broken.json")
-    assert "price:missing" in (tmp_path / "rejected.csv").read_text() and json.loads((tmp_path / "run-report.json").read_text())["exported"] == 16
+    assert "price:missing" in (tmp_path / "rejected.csv").read_text() and json.loads((tmp_path / "run-report.json").read_text())["exported"] == 11
 
 
 def test_empty_run_writes_all_files(spark, config, tmp_path):
@@ -100,15 +101,15 @@ def test_empty_run_writes_all_files(spark, config, tmp_path):
 
 
 def test_failed_page_is_not_an_empty_one(spark, config):
-    rows = [catalogue.rows()[0], ("catalog-static", 2, "u", "u", None, 3, "static", None, "server_error", "HTTP 503", "page_failed")]
+    rows = [catalogue.rows()[0], ("orchard", 2, "u", "u", None, 3, "static", None, "server_error", "HTTP 503", "page_failed")]
     r = plan.run(spark, config, spark.createDataFrame(rows, PAGES), NOW)
     assert [(f.kind, f.attempts) for f in r.failures.collect()] == [("server_error", 3)] and r.report["exit_code"] == 1
-    assert r.report["sources"][0]["stopped_because"] == "page_failed" and r.report["exported"] == 6
+    assert r.report["sources"][0]["stopped_because"] == "page_failed" and r.report["exported"] == 5
 
 
 def test_counters_that_disagree_publish_nothing(spark, config, monkeypatch):
     whole = plan.valid
-    monkeypatch.setattr(plan, "valid", lambda rows: whole(rows).where("sku <> 'NC-1001'"))
+    monkeypatch.setattr(plan, "valid", lambda rows: whole(rows).where("sku <> 'PL-310'"))
     with pytest.raises(Unreconciled):
         plan.run(spark, config, spark.createDataFrame(catalogue.rows(), PAGES), NOW)
 
@@ -118,12 +119,12 @@ def test_state_between_runs(spark, config, tmp_path):
     pages = spark.createDataFrame(catalogue.rows(), PAGES)
     assert read_state(spark, None) is None
     first = plan.run(spark, config, pages, NOW, read_state(spark, path))
-    assert first.report["changes"] == {"new": 16, "filtered_out": 0}
+    assert first.report["changes"] == {"new": 11, "filtered_out": 0}
     write_state(spark, path, first.state, NOW)
     again = plan.run(spark, config, pages, NOW, read_state(spark, path), only_changed=True)
-    assert again.report["changes"] == {"unchanged": 16, "filtered_out": 16} and again.report["exit_code"] == 1 and again.products.count() == 0
+    assert again.report["changes"] == {"unchanged": 11, "filtered_out": 11} and again.report["exit_code"] == 1 and again.products.count() == 0
     write_state(spark, path, again.state, NOW.replace(hour=10))
-    assert read_state(spark, path).count() == 16
+    assert read_state(spark, path).count() == 11
     (tmp_path / "state" / "meta.json").write_text("{broken")
     (tmp_path / "state" / ".meta.json.crc").unlink(missing_ok=True)
     with pytest.raises(ConfigError):
@@ -134,20 +135,20 @@ def test_keep_last_run(spark, config):
     last = dataclasses.replace(config, dedupe=dataclasses.replace(config.dedupe, on_conflict="keep_last"))
     r = plan.run(spark, last, spark.createDataFrame(catalogue.rows(), PAGES), NOW)
     got = r.products.collect()
-    assert got[0].price.minor == 4999 and got[0].sku == "NC-1001" and r.report["totals"]["valid"] == 16
+    assert got[0].price.minor == 1790 and got[0].sku == "PL-310" and r.report["totals"]["valid"] == 11
 
 
 def test_tables_and_stream(spark, config, tmp_path, result):
     from orchardflow.streaming import incremental
 
     write_tables(result, str(tmp_path / "t"))
-    assert spark.read.option("header", True).csv(str(tmp_path / "t/products.csv")).count() == 16
+    assert spark.read.option("header", True).csv(str(tmp_path / "t/products.csv")).count() == 11
     spark.createDataFrame(catalogue.rows(), PAGES).coalesce(1).write.parquet(str(tmp_path / "in"))
     live = dataclasses.replace(config, run=dataclasses.replace(config.run, state_file=str(tmp_path / "s")))
     for _ in range(2):
         incremental.start(spark.readStream.schema(PAGES).parquet(str(tmp_path / "in")), live, str(tmp_path / "out"), str(tmp_path / "cp"), once=True).awaitTermination()
-    assert spark.read.json(str(tmp_path / "out/batch=0/products.json")).count() == 16
-    assert read_state(spark, str(tmp_path / "s")).count() == 16
+    assert spark.read.json(str(tmp_path / "out/batch=0/products.json")).count() == 11
+    assert read_state(spark, str(tmp_path / "s")).count() == 11
 
 
 @pytest.fixture
@@ -161,14 +162,14 @@ def site():
             status, body, headers = 404, "", {}
             if path == "/robots.txt":
                 status, body = 200, "User-agent: *\nDisallow: /private"
-            elif path.startswith("/flaky") and hits[path] < 3:
+            elif path.startswith("/unsteady") and hits[path] < 3:
                 status = 503
             elif path == "/limited" and hits[path] == 1:
                 status, headers = 429, {"Retry-After": "1"}
             elif path in ("/limited", "/private/x"):
                 status, body = 200, "ok"
             else:
-                for s, n in catalogue.PAGES:
+                for s, n in catalogue.ROWS:
                     if path == catalogue.URLS[s].format(n):
                         status, body = 200, catalogue.page(s, n)
             data = body.encode()
@@ -197,7 +198,7 @@ def fetcher(**more):
 def test_retries(site):
     base, hits = site
     f, waits = fetcher()
-    assert f.fetch(f"{base}/flaky/mirror.html").attempts == 3 and waits == [0.1, 0.2]
+    assert f.fetch(f"{base}/unsteady/twin").attempts == 3 and waits == [0.1, 0.2]
     f, waits = fetcher()
     assert f.fetch(f"{base}/limited").attempts == 2 and waits == [1.0]
     with pytest.raises(FetchError) as wrong:
@@ -224,20 +225,24 @@ def test_spacing():
 def test_crawl_and_command_line(spark, site, tmp_path, monkeypatch, capsys):
     base, _ = site
     path = tmp_path / "c.yaml"
-    path.write_text(catalogue.CONFIG.replace("${BASE:-http://127.0.0.1:8800}", base).replace("output_dir: out", f"output_dir: {tmp_path}/out"))
+    path.write_text(catalogue.CONFIG.replace("${BASE:-http://127.0.0.1:8090}", base).replace("output_dir: out", f"output_dir: {tmp_path}/out"))
     config = load_config(path)
     pages = crawl(spark, config).collect()
     got = {}
     for r in pages:
         got.setdefault(r.source_id, []).append((r.page_no, r.attempts, r.error_kind, r.stopped_because))
-    assert got["catalog-static"] == [(1, 1, None, None), (2, 1, None, None), (3, 1, None, None), (4, 1, None, "no_next_link")]
-    assert got["catalog-js"] == [(1, 1, "browser_unavailable", "page_failed")] and got["legacy-feed"] == [(1, 1, None, "no_records")]
-    js = dataclasses.replace(config.source("catalog-js"), kind="static", wait_for_selector=None)
+    assert got["orchard"] == [(1, 1, None, None), (2, 1, None, None), (3, 1, None, "no_next_link")]
+    assert got["grove"] == [(1, 1, "browser_unavailable", "page_failed")] and got["barn"] == [(1, 1, None, "no_records")]
+    js = dataclasses.replace(config.source("grove"), kind="static", wait_for_selector=None)
     f, _ = fetcher()
     assert [(r[1], r[-1]) for r in crawl_source(js, f.fetch)] == [(1, None), (2, None), (3, "empty_page")]
-    assert main(["validate", "--config", str(path)]) == 0 and "catalog-js" in capsys.readouterr().out
-    assert main(["scrape", "--config", str(path), "--source", "mirror-flaky", "--now", "2026-08-24T09:00:00+00:00"]) == 0
+    assert main(["validate", "--config", str(path)]) == 0 and "grove" in capsys.readouterr().out
+    assert main(["scrape", "--config", str(path), "--source", "twin", "--now", "2026-08-24T09:00:00+00:00"]) == 0
     assert len(list(csv.DictReader((tmp_path / "out/products.csv").open(encoding="utf-8-sig")))) == 2
+    assert main(["scrape", "--config", str(path), "--source", "twin", "--tables", "--output-dir", str(tmp_path / "folders"), "--now", "2026-08-24T09:00:00+00:00"]) == 0
+    assert spark.read.json(str(tmp_path / "folders/products.json")).count() == 2 and json.loads((tmp_path / "folders/run-report.json").read_text())["exported"] == 2
+    said = capsys.readouterr().err
+    assert all(x in said for x in ("source started", "pagination stopped", "run finished"))
     assert main(["scrape", "--config", str(path), "--source", "nobody"]) == 2
     assert main(["scrape", "--config", str(path), "--only-changed"]) == 2
 
@@ -337,7 +342,7 @@ def test_bad_configs(tmp_path, body, says):
 def test_environment(tmp_path):
     (tmp_path / "c.yaml").write_text(catalogue.CONFIG)
     found = load_config(tmp_path / "c.yaml", {"BASE": "http://127.0.0.1:9123"})
-    assert found.source("catalog-static").start_url.startswith("http://127.0.0.1:9123/") and found.http.max_attempts == 3 and len(found.sha256) == 64
+    assert found.source("orchard").start_url.startswith("http://127.0.0.1:9123/") and found.http.max_attempts == 3 and len(found.sha256) == 64
     with pytest.raises(KeyError):
         found.source("nobody")
 
