@@ -46,6 +46,7 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument("--pages", help="Parquet of fetched pages; without it they are crawled")
             c.add_argument("--only-changed", action="store_true")
             c.add_argument("--output-dir")
+            c.add_argument("--tables", action="store_true", help="write folders of part files from the executors instead of single files")
             c.add_argument("--now", type=pinned)
     return top
 
@@ -90,7 +91,7 @@ def _scrape(asked: argparse.Namespace, config: Config) -> int:
     from orchardflow.operators.changes import merged_state
     from orchardflow.plans.run import run
     from orchardflow.sources.crawl import crawl, rendered_pages
-    from orchardflow.sources.sinks import write_files
+    from orchardflow.sources.sinks import write_files, write_report, write_tables
     from orchardflow.sources.state import read_state, write_state
 
     log = log_to(sys.stderr, config.run.log_level, config.run.log_format)
@@ -98,13 +99,26 @@ def _scrape(asked: argparse.Namespace, config: Config) -> int:
     state = read_state(spark, config.run.state_file)
     pages = (rendered_pages(spark, asked.pages) if asked.pages else crawl(spark, config)).persist()
     now = asked.now or datetime.now(UTC)
+    for s in config.sources:
+        log.info("source started", extra={"data": {"source_id": s.id, "kind": s.kind, "start_url": s.start_url}})
     result = run(spark, config, pages, now, state, asked.only_changed)
-    write_files(result, asked.output_dir or config.run.output_dir, config.run.formats, config.run.csv_encoding)
+    folder = asked.output_dir or config.run.output_dir
+    if asked.tables:
+        write_tables(result, folder, config.run.formats)
+        write_report(result.report, folder, {})
+    else:
+        write_files(result, folder, config.run.formats, config.run.csv_encoding)
     if config.run.state_file:
         if result.report["totals"]["valid"]:
             write_state(spark, config.run.state_file, merged_state(result.state, state, [s.id for s in config.sources] if asked.source else None), now)
         else:
             log.warning("the run produced no products; the snapshot stays as it was")
+    for s in result.report["sources"]:
+        log.info("pagination stopped", extra={"data": {"source_id": s["source_id"], "reason": s["stopped_because"], "pages": s["pages_fetched"], "failed": s["pages_failed"]}})
+        if s["stopped_because"] == "max_pages":
+            log.warning("page cap reached", extra={"data": {"source_id": s["source_id"]}})
+    for reason, n in result.report["rejections_by_reason"].items():
+        log.info("records rejected", extra={"data": {"reason": reason, "n": n}})
     log.info("run finished", extra={"data": result.report["totals"]})
     print(summary(result.report))
     result.release()

@@ -32,6 +32,7 @@ def _within(name: str, value: float, low: float, high: float, above: bool = Fals
     _require((value > low if above else value >= low) and value <= high, f"{name} must be {'above' if above else 'at least'} {low} and at most {high}, not {value}")
 
 
+# The names, defaults and bounds of all settings below, which existing config files rely on.
 @dataclass(frozen=True)
 class Http:
     timeout_seconds: float = 10.0

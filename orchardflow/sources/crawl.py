@@ -19,6 +19,7 @@ from orchardflow.operators.extract import PageReader
 from orchardflow.schemas import PAGES
 from orchardflow.sources.config import Browser, Config, Http, Source
 
+log = logging.getLogger("orchardflow")
 RETRYABLE = ("timeout", "connection_error", "rate_limited", "server_error")
 
 
@@ -118,6 +119,7 @@ class Fetcher:
                 wrong.attempts = attempt
                 if wrong.kind not in RETRYABLE or attempt >= self.http.max_attempts:
                     raise
+                log.info("page fetch tried again", extra={"data": {"url": url, "attempt": attempt, "kind": wrong.kind}})
                 wait = min(self.http.backoff_base_seconds * 2 ** (attempt - 1), self.http.backoff_max_seconds)
                 self.sleep(max(wait, wrong.retry_after or 0.0))
 
@@ -146,6 +148,7 @@ class BrowserFetcher:
                     self.browser = self.driver.chromium.launch(headless=self.settings.headless)
                 else:
                     self.browser = self.launch()
+                log.info("browser launched")
             except Exception as wrong:
                 raise FetchError("browser_unavailable", f"the browser did not start: {wrong}") from wrong
         return self.browser
@@ -185,7 +188,7 @@ def _quietly(close: Callable) -> None:
     try:
         close()
     except Exception as wrong:
-        logging.getLogger("orchardflow").warning("close failed: %s", wrong)
+        log.warning("close failed: %s", wrong)
 
 
 def render_failure(error: str, selector: str | None, url: str) -> tuple[str, str]:
@@ -212,6 +215,7 @@ def crawl_source(source: Source, fetch: Callable[[str], Page]) -> Iterator[tuple
         try:
             page = fetch(url)
         except FetchError as wrong:
+            log.warning("page failed", extra={"data": {"source_id": source.id, "url": url, "kind": wrong.kind, "attempts": wrong.attempts}})
             yield source.id, number, url, url, None, wrong.attempts, source.kind, None, wrong.kind, str(wrong), "page_failed"
             return
         found, link = reader.read(page.html, page.url)
@@ -224,6 +228,7 @@ def crawl_source(source: Source, fetch: Callable[[str], Page]) -> Iterator[tuple
             full += 1
             following = with_parameter(source.start_url, paging.page_param, number + 1) if by_param else link
             why = "no_next_link" if following is None else "max_pages" if full >= paging.max_pages else "loop_detected" if following in seen else None
+        log.info("page fetched", extra={"data": {"source_id": source.id, "url": page.url, "records": len(found), "attempts": page.attempts}})
         yield source.id, number, url, page.url, page.status, page.attempts, page.fetched_with, page.html, None, None, why
         url = following if why is None else None
         number += 1

@@ -129,10 +129,16 @@ def write_files(result, folder: str | Path, formats: tuple[str, ...] = ("csv", "
             _write_json(folder / f"{name}.json", structured)
             written[f"{name}.json"] = str(folder / f"{name}.json")
     written["run-report.json"] = str(folder / "run-report.json")
-    (folder / "run-report.json").write_text(json.dumps(result.report | {"outputs": written}, indent=2, ensure_ascii=False), encoding="utf-8")
+    write_report(result.report, folder, written)
     return written
 
 
+def write_report(report: dict, folder: str | Path, outputs: dict[str, str]) -> None:
+    """``run-report.json`` in a local folder."""
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    (Path(folder) / "run-report.json").write_text(json.dumps(report | {"outputs": outputs}, indent=2, ensure_ascii=False), encoding="utf-8")
+
+
 def read_report(path: str | Path) -> dict:
     """A written report, checked: every counter is there, and they reconcile."""
     from orchardflow.operators.report import COUNTERS, Unreconciled
