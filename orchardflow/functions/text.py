@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 # Characters of no width that are deleted.
 NO_WIDTH = "​‌‍﻿­"
-_GONE = str.maketrans("", "", NO_WIDTH)
 
 
 def cleaned(raw: str | None) -> str | None:
@@ -25,8 +24,13 @@ def cleaned(raw: str | None) -> str | None:
     if "&" in raw:
         raw = html.unescape(raw)
     if not raw.isascii():
-        raw = unicodedata.normalize("NFKC", raw.translate(_GONE))
-    return re.sub(r"\s+", " ", raw).strip() or None
+        for x in NO_WIDTH:
+            if x in raw:
+                raw = raw.replace(x, "")
+        raw = raw.replace("\xa0", " ")  # as NFKC has it
+        if not unicodedata.is_normalized("NFKC", raw):
+            raw = unicodedata.normalize("NFKC", raw)
+    return " ".join(raw.split()) or None
 
 
 def resolved(link: str | None, page: str | None) -> tuple[str | None, str | None]:

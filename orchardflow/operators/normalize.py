@@ -3,86 +3,92 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchardflow.functions import values
 from orchardflow.functions.text import clean_text, resolve_url
-from orchardflow.schemas import FIELDS, MONEY, REASON
+from orchardflow.schemas import FIELDS, REASON
 from orchardflow.sources.config import Config
 
 LIMITS = {"sku": 64, "title": 300, "category": 120}
-TYPES = {"text": "string", "money": MONEY, "url": "string", "availability": "string", "rating": "double", "date": "date"}
-
-
-def per_source(config: Config, value) -> Column:
-    """A column that depends on the row's source alone."""
-    cases = [(F.col("source_id") == s.id, F.lit(value(s))) for s in config.sources]
-    return reduce(lambda chain, c: chain.when(*c), cases[1:], F.when(*cases[0]))
-
-
-def _outcomes(config: Config, now: datetime) -> dict[str, tuple[Column, Column]]:
-    """For each field its value and rejection code, from the cleaned columns ``c_<field>``."""
-    text = lambda x: F.col(f"c_{x}")
-    price = values.money(text("price"), per_source(config, lambda s: s.decimal_separator), per_source(config, lambda s: s.default_currency))
-    listed = values.listing_date(text("listed_on"), F.lit(now.date()), per_source(config, lambda s: s.date_order))
-    rated = values.rating(text("rating"))
-    none = F.lit(None).cast("string")
-    return {
-        "sku": (text("sku"), none),
-        "title": (text("title"), none),
-        "price": (price["value"], price["code"]),
-        "url": (F.col("r_url.value"), F.col("r_url.code")),
-        "availability": (values.availability(text("availability")), none),
-        "rating": (rated["value"], rated["code"]),
-        "category": (text("category"), none),
-        "listed_on": (listed["value"], listed["code"]),
-    }
+
+
+def settings(spark: SparkSession, config: Config) -> DataFrame:
+    """A row for each source of the config: (source_id, at, settings struct). ``places`` has the mapping order of its fields, ``selectors`` their selectors."""
+    rows = [(s.id, i, (s.decimal_separator, s.default_currency, s.date_order, {k: n for n, k in enumerate(s.fields)}, {k: m.selector for k, m in s.fields.items()})) for i, s in enumerate(config.sources)]
+    return spark.createDataFrame(rows, "source_id string, at int, settings struct<separator:string,currency:string,order:string,places:map<string,int>,selectors:map<string,string>>")
+
+
+def _steps(now: datetime) -> list[values.Step]:
+    """From a struct of the raw and cleaned fields and the source's settings to the typed fields, reasons and warning."""
+    parsed = ("price", "url", "rating", "listed_on")
+
+    def outcomes(get):
+        row = get("text")
+        conf = row["settings"]
+        return {
+            "price": values.money(row["c_price"], conf["separator"], conf["currency"]),
+            "listed_on": values.listing_date(row["c_listed_on"], F.lit(now.date()), conf["order"]),
+            "rating": values.rating(row["c_rating"]),
+            "availability": values.availability(row["c_availability"]),
+        }
+
+    def value(get, name):
+        row = get("text")
+        return row["r_url"]["value"] if name == "url" else get(name)["value"] if name in parsed else get(name) if name == "availability" else row[f"c_{name}"]
+
+    def codes(get):
+        found = {}
+        for name, (_, required) in FIELDS.items():
+            code = get("text")["r_url"]["code"] if name == "url" else get(name)["code"] if name in parsed else F.lit(None).cast("string")
+            missing = F.when(value(get, name).isNull(), F.lit("missing")) if required else F.lit(None).cast("string")
+            found[f"k_{name}"] = F.when(get("text")["settings"]["places"].getItem(name).isNotNull(), F.coalesce(code, missing))
+        return found
+
+    def reason(get, name):
+        row = get("text")
+        raw, conf = row["fields"].getItem(name), row["settings"]
+        absent = F.when(raw.isNull(), F.concat(F.lit("selector '"), conf["selectors"].getItem(name), F.lit("' matched no element"))).otherwise("element matched but contained no text")
+        detail = F.when(get(f"k_{name}") == "missing", absent).otherwise(F.concat(F.lit("cannot use '"), raw, F.lit("'")))
+        why = F.struct(F.lit(name).alias("field_name"), get(f"k_{name}").alias("code"), detail.alias("detail"))
+        return F.when(get(f"k_{name}").isNotNull(), F.struct(conf["places"].getItem(name).alias("at"), why.alias("why")))
+
+    def reasons(get):
+        long = F.concat_ws("; ", *(F.when(F.length(value(get, x)) > n, F.lit(f"{x} has more than {n} characters")) for x, n in LIMITS.items()))
+        return {"found": F.array_sort(F.array_compact(F.array(*(reason(get, x) for x in FIELDS)))), "long": long}
+
+    def result(get):
+        row = get("text")
+        invalid = F.array(F.struct(F.lit("<record>").alias("field_name"), F.lit("invalid").alias("code"), get("long").alias("detail")))
+        why = F.when((F.size(get("found")) == 0) & (get("long") != ""), invalid).otherwise(F.transform(get("found"), lambda x: x["why"]))
+        unmapped = F.concat(row["source_id"], F.lit(": unmapped availability wording '"), row["fields"].getItem("availability"), F.lit("' on "), row["page_url"])
+        named = [value(get, x).alias(x) for x in FIELDS]
+        return {"result": F.struct(*named, why.cast(f"array<{REASON.simpleString()}>").alias("reasons"), F.when(get("availability") == "unknown", unmapped).alias("warning"))}
+
+    return [outcomes, codes, reasons, result]
 
 
 def normalize(records: DataFrame, config: Config, now: datetime) -> DataFrame:
-    """Records with typed columns, ``reasons`` (empty for a valid record) and ``warnings``.
+    """Records with typed columns, ``reasons`` (empty for a valid record) and ``warning``.
 
     Every mapped field is tried, in the source's mapping order, and all reasons are kept. ``now`` (with a time zone) stands for the
-    run's time throughout; its UTC date is what relative dates count from.
+    run's time throughout; its UTC date is what relative dates count from. Records of sources that the config lacks are left out.
     """
     raw = lambda x: F.col("fields").getItem(x)
-    rows = records.select("*", *(clean_text(raw(x)).alias(f"c_{x}") for x in FIELDS if x != "url"), resolve_url(raw("url"), F.col("page_url")).alias("r_url"))
-    outcomes = _outcomes(config, now)
-    rows = rows.select(*records.columns, "c_availability", *(v.alias(f"v_{x}") for x, (v, _) in outcomes.items()), *(c.alias(f"e_{x}") for x, (_, c) in outcomes.items()))
-
-    def reason(name: str) -> Column:
-        selector = per_source(config, lambda s: s.fields[name].selector if name in s.fields else None)
-        absent = F.when(raw(name).isNull(), F.concat(F.lit("selector '"), selector, F.lit("' matched no element"))).otherwise("element matched but contained no text")
-        rejected = F.struct(F.lit(name).alias("field_name"), F.col(f"e_{name}").alias("code"), F.concat(F.lit("cannot use '"), raw(name), F.lit("'")).alias("detail"))
-        missing = F.struct(F.lit(name).alias("field_name"), F.lit("missing").alias("code"), absent.alias("detail"))
-        mapped = per_source(config, lambda s: name in s.fields)
-        found = F.when(mapped & F.col(f"e_{name}").isNotNull(), rejected)
-        return found.when(mapped & F.col(f"v_{name}").isNull() & F.col(f"e_{name}").isNull(), missing) if FIELDS[name][1] else found
-
-    def place(name: str) -> Column:
-        return per_source(config, lambda s: list(s.fields).index(name) if name in s.fields else 99)
-
-    ordered = F.array_sort(F.array_compact(F.array(*(F.when(reason(x).isNotNull(), F.struct(place(x).alias("at"), reason(x).alias("why"))) for x in FIELDS))))
-    rows = rows.withColumn("_reasons", F.transform(ordered, lambda x: x["why"]).cast(f"array<{REASON.simpleString()}>"))
-    limits = reduce(lambda a, b: a | b, (F.length(f"v_{x}") > n for x, n in LIMITS.items()))
-    too_long = F.concat_ws("; ", *(F.when(F.length(f"v_{x}") > n, F.lit(f"{x} has more than {n} characters")) for x, n in LIMITS.items()))
-    invalid = F.array(F.struct(F.lit("<record>").alias("field_name"), F.lit("invalid").alias("code"), too_long.alias("detail")))
-    reasons = F.when((F.size("_reasons") == 0) & F.coalesce(limits, F.lit(False)), invalid).otherwise(F.col("_reasons"))
-    unmapped = F.when(
-        F.col("v_availability") == "unknown",
-        F.concat(F.col("source_id"), F.lit(": unmapped availability wording '"), raw("availability"), F.lit("' on "), F.col("page_url")),
-    )
-    return rows.select(
+    known = records.join(F.broadcast(settings(records.sparkSession, config).drop("at")), "source_id")  # as many rows as sources
+    rows = known.select(*records.columns, "settings", *(clean_text(raw(x)).alias(f"c_{x}") for x in FIELDS if x != "url"), resolve_url(raw("url"), F.col("page_url")).alias("r_url"))
+    given = F.struct("source_id", "page_url", "fields", "settings", *(f"c_{x}" for x in FIELDS if x != "url"), "r_url")
+    made = rows.select(*records.columns, values.as_column(given, _steps(now)).alias("n"))
+    return made.select(
         *records.columns,
-        *(F.col(f"v_{x}").alias(x) for x in FIELDS if x != "availability"),
-        F.coalesce("v_availability", F.lit("unknown")).alias("availability"),
-        F.col("v_availability").isNotNull().alias("availability_present"),
+        *(F.col(f"n.{x}").alias(x) for x in FIELDS if x != "availability"),
+        F.coalesce("n.availability", F.lit("unknown")).alias("availability"),
+        F.col("n.availability").isNotNull().alias("availability_present"),
         F.lit(now).cast("timestamp").alias("scraped_at"),
-        reasons.alias("reasons"),
-        unmapped.alias("warning"),
+        F.col("n.reasons").alias("reasons"),
+        F.col("n.warning").alias("warning"),
     )
 
 

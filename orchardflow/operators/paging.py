@@ -8,10 +8,13 @@ from pyspark.sql.window import Window
 
 
 def cut(pages: DataFrame, stops: Column, by: str = "source_id", order: str = "page_no") -> DataFrame:
-    """The pages of each source up to and with its first that ``stops``, with ``is_stop``."""
-    before = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    """The pages of each source up to and with its first that ``stops``, with ``is_stop``.
+
+    The first stop of each source is an aggregate, combined before the shuffle, and pages meet it in a join that Spark can split.
+    """
     marked = pages.withColumn("is_stop", F.coalesce(stops, F.lit(False)))
-    return marked.withColumn("_stopped", F.coalesce(F.sum(F.col("is_stop").cast("int")).over(before), F.lit(0))).where("_stopped = 0").drop("_stopped")
+    first = marked.where("is_stop").groupBy(F.col(by).alias("_by")).agg(F.min(order).alias("_stop"))
+    return marked.join(first, F.col(by).eqNullSafe(F.col("_by")), "left").where(F.col("_stop").isNull() | (F.col(order) <= F.col("_stop"))).drop("_by", "_stop")
 
 
 def capped(pages: DataFrame, max_pages: Column | int, by: str = "source_id", order: str = "page_no") -> DataFrame:

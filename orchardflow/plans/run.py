@@ -10,13 +10,12 @@ from datetime import datetime
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from orchardflow.functions.records import content_hash, dedupe_key
 from orchardflow.operators import changes, dedupe, report
 from orchardflow.operators.extract import read_pages
 from orchardflow.operators.extract import records as records_of
-from orchardflow.operators.normalize import normalize, per_source, reason_counts, rejected, valid
+from orchardflow.operators.normalize import normalize, reason_counts, rejected, settings, valid
 from orchardflow.sources.config import Config
 
 
@@ -44,10 +43,11 @@ def run(spark: SparkSession, config: Config, pages: DataFrame, now: datetime, st
     """
     began, run_id = time.monotonic(), uuid.uuid4().hex[:12]
     pages = pages.where(F.col("source_id").isin(*(s.id for s in config.sources)))
-    order = per_source(config, lambda s: [x.id for x in config.sources].index(s.id))
+    order = F.broadcast(settings(spark, config).select("source_id", "at"))  # as many rows as sources
     # the parsed pages feed four tables and the report; they spill to disk, and are computed again if an executor goes
     read = read_pages(pages, config).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = normalize(records_of(read), config, now).withColumn("seq", F.struct(order.alias("source"), F.col("page_no").alias("page"), F.col("record_no").alias("record"))).persist(StorageLevel.MEMORY_AND_DISK)
+    ordered = normalize(records_of(read), config, now).join(order, "source_id")
+    rows = ordered.withColumn("seq", F.struct(F.col("at").alias("source"), F.col("page_no").alias("page"), F.col("record_no").alias("record"))).drop("at").persist(StorageLevel.MEMORY_AND_DISK)
     good = valid(rows).withColumn("key", dedupe_key(config.dedupe.key_fields)).withColumn("content_hash", content_hash())
     paired = dedupe.pair_up(good, config.dedupe.on_conflict)
     same = dedupe.duplicates(paired, config.dedupe.on_conflict)
@@ -55,8 +55,8 @@ def run(spark: SparkSession, config: Config, pages: DataFrame, now: datetime, st
     products = changes.only_changed(survived) if only_changed else survived
 
     counted = read.select("source_id", "page_no", "page_url", F.size("records").alias("n"))
-    first = F.row_number().over(Window.partitionBy("source_id").orderBy("page_no")) == 1
-    empty = counted.withColumn("first", first).where("first and n = 0")
+    firsts = counted.groupBy("source_id").agg(F.min(F.struct("page_no", "page_url", "n")).alias("first"))
+    empty = firsts.where("first.n = 0").select("source_id", "first.page_no", "first.page_url")
     broken = pages.where(F.col("error_kind").isNotNull()).select("source_id", F.coalesce("requested_url", "url").alias("url"), "page_no", F.col("error_kind").alias("kind"), "attempts", F.col("error_message").alias("message"))
     nothing = empty.select("source_id", F.col("page_url").alias("url"), "page_no", F.lit("no_records").alias("kind"), F.lit(1).alias("attempts"), F.lit("the page loaded but record_selector matched nothing; it is probably out of date").alias("message"))
     failures = broken.unionByName(nothing)
@@ -75,17 +75,19 @@ def run(spark: SparkSession, config: Config, pages: DataFrame, now: datetime, st
         all_events = all_events.unionByName(e)
     declared = spark.createDataFrame([(s.id, s.kind, i) for i, s in enumerate(config.sources)], "source_id string, kind string, at int")
     by_source = report.source_counters(declared, all_events).orderBy("at").collect()  # a row for each configured source
-    wrong = [r.source_id for r in by_source if r.records_found != r.valid + r.rejected + r.duplicates_identical + r.duplicates_conflicting]
+    counters = spark.createDataFrame(by_source)
+    wrong = [r.source_id for r in report.unbalanced(counters).collect()]
+    total = report.with_total(counters).where("source_id is null").first()
     histogram = {r.change: r.n for r in changes.change_counts(survived).collect()}
     exported, survivors = (sum(n for c, n in histogram.items() if not only_changed or c in ("new", "changed"))), sum(histogram.values())
-    if wrong or survivors != sum(r.valid for r in by_source):
+    if wrong or survivors != total.valid:
         raise report.Unreconciled(f"counters do not reconcile for {', '.join(wrong) or 'the survivors'}")
     reasons = _stop_reasons(config, pages, counted)
     n_failures = failures.count()
     warnings = report.capped_warnings(rows.where("warning is not null").select("seq", "warning"))
     if not exported:
         warnings.append("no products were exported; check failures and rejections above")
-    totals = {c: sum(r[c] for r in by_source) for c in report.COUNTERS}
+    totals = {c: total[c] for c in report.COUNTERS}
     found = {
         "run_id": run_id,
         "started_at": now.isoformat(),
@@ -106,8 +108,7 @@ def run(spark: SparkSession, config: Config, pages: DataFrame, now: datetime, st
 
 def _stop_reasons(config: Config, pages: DataFrame, counted: DataFrame) -> dict[str, str]:
     """Why each source's pagination ended: as the crawl says, else from its last page."""
-    w = Window.partitionBy("source_id").orderBy(F.desc("page_no"))
-    last = pages.withColumn("_n", F.row_number().over(w)).where("_n = 1").select("source_id", "page_no", "error_kind", "stopped_because")
+    last = pages.groupBy("source_id").agg(F.max(F.struct("page_no", "error_kind", "stopped_because")).alias("p")).select("source_id", "p.*")
     joined = last.join(counted.select("source_id", F.col("page_no").alias("p"), "n"), ["source_id"], "left").where("p is null or p = page_no or error_kind is not null")
     totals = counted.groupBy("source_id").agg(F.count_if(F.col("n") > 0).alias("full"))
     out = {}
