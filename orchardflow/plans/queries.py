@@ -6,15 +6,18 @@ Dirty texts are made from known values by rules both engines run; the SQL then r
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from datetime import date
+from datetime import UTC, date, datetime
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchardflow.functions import records, text, values
-from orchardflow.operators import changes, dedupe, paging, report
-from orchardflow.operators.normalize import reason_counts
+from orchardflow.operators import changes, dedupe, extract, paging, report
+from orchardflow.operators.normalize import normalize, reason_counts, rejected, valid
+from orchardflow.plans.run import run
+from orchardflow.schemas import PAGES
+from orchardflow.sources.config import Config, Dedupe, Mapping, Source
 from orchardflow.sources.css import Selector, parse
 
 TODAY = date(2026, 8, 24)
@@ -47,8 +50,7 @@ def _prices(spark: SparkSession, sf_dir: str, dirty: str) -> DataFrame:
 
 
 def _money(df: DataFrame, separator: str = "auto", default: str | None = None) -> DataFrame:
-    m = values.money(F.col("t"), separator, default)
-    return df.select("p_partkey", m.alias("m")).select("p_partkey", F.col("m.value.currency").alias("currency"), F.col("m.value.minor").alias("minor"), F.col("m.code").alias("code"))
+    return df.select("p_partkey", values.money(F.col("t"), separator, default).alias("m")).select("p_partkey", F.col("m.value.currency").alias("currency"), F.col("m.value.minor").alias("minor"), F.col("m.code").alias("code"))
 
 
 def _money_sql(currency: str, minor: str = "cast(round(p_retailprice * 100) as bigint)") -> str:
@@ -75,6 +77,12 @@ def money_yen(spark, sf_dir):
     return _money(_prices(spark, sf_dir, f"concat('¥ ', {GROUPED % ','})"))
 
 
+@query("select p_partkey, case p_partkey % 4 when 0 then 'BRL' when 1 then 'CHF' when 2 then 'USD' else 'EUR' end as currency, cast(floor(cast(round(p_retailprice * 100) as bigint) / 100.0) as bigint) * 100 as minor, cast(null as varchar) as code from part")
+def money_symbols(spark, sf_dir):
+    """Longer symbols go before shorter ones within them."""
+    return _money(_prices(spark, sf_dir, f"concat(case p_partkey % 4 when 0 then 'R$' when 1 then 'CHF' when 2 then '$' else '€' end, {WHOLE})"))
+
+
 THREE = f"concat('£', {WHOLE} % 900 + 1, '%s', lpad(cast({MINOR} %% 1000 as string), 3, '0'))".replace("% 900", "%% 900")
 THREE_SQL = "(cast(floor(cast(round(p_retailprice * 100) as bigint) / 100.0) as bigint) % 900 + 1)"
 
@@ -111,8 +119,8 @@ def money_reject(spark, sf_dir):
 
 
 def _dates(spark: SparkSession, sf_dir: str, dirty: str, order: str = "dmy", today: Column | date = TODAY) -> DataFrame:
-    found = values.listing_date(F.col("t"), today, order)
-    return _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.expr(dirty).alias("t")).select("o_orderkey", found.alias("d")).select("o_orderkey", F.col("d.value").alias("listed_on"), F.col("d.code").alias("code"))
+    rows = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.expr(dirty).alias("t"))
+    return rows.select("o_orderkey", values.listing_date(F.col("t"), today, order).alias("d")).select("o_orderkey", F.col("d.value").alias("listed_on"), F.col("d.code").alias("code"))
 
 
 DATE_SQL = "select o_orderkey, cast(o_orderdate as date) as listed_on, cast(null as varchar) as code from orders"
@@ -229,44 +237,120 @@ def page_title(spark, sf_dir):
     return found.select("page_id", (F.length("found") > 0).alias("has_title")).crossJoin(F.broadcast(total))  # one row
 
 
-@query("select page_id, count(*) as records from (select page_id, unnest(regexp_extract_all(html, '<li><a href=')) from pages) group by page_id")
-def record_unnest(spark, sf_dir):
-    return _from_pages(spark, sf_dir, "li", None).groupBy("page_id").agg(F.count("*").alias("records"))
+# --- a catalogue made of parts, through the library: pages, records, normalised rows, a run --------------
 
+NOW = datetime(2026, 8, 24, 9, tzinfo=UTC)
+FIELD_MAP = {"sku": ("b.sku", None), "title": ("h2 a", None), "price": ("p.price", None), "url": ("h2 a", "href"), "availability": ("i.stock", None), "rating": ("i.stars", None), "listed_on": ("time", "datetime")}
 
-# --- routing ----------------------------------------------------------------------------------------------
 
+def _config(**more) -> Config:
+    fields = {k: Mapping(css, attr) for k, (css, attr) in FIELD_MAP.items()}
+    return Config(sources=tuple(Source(f"s{i}", f"http://s{i}.test/list", "article.item", fields) for i in range(3)), **more)
 
-def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as raw records, some of them unusable, with their reasons."""
-    raw = _table(spark, sf_dir, "part").select(
-        "p_partkey",
-        F.when(F.col("p_partkey") % 7 != 0, F.concat(F.lit("SKU-"), F.col("p_partkey"))).alias("sku"),
-        F.when(F.col("p_partkey") % 11 != 0, F.col("p_name")).otherwise("  ").alias("title"),
-        F.expr(f"case when p_partkey % 5 = 0 then 'N/A' when p_partkey % 13 = 0 then '£1.2.3,4,5' else concat('$', {WHOLE}, '.', {CENTS}) end").alias("price"),
-    )
-    price = values.money(F.col("price"))
-    missing = lambda name: F.when(text.squeeze(F.col(name)).isNull(), F.struct(F.lit(name).alias("field_name"), F.lit("missing").alias("code")))
-    wrong = F.when(F.col("m.code").isNotNull(), F.struct(F.lit("price").alias("field_name"), F.col("m.code").alias("code")))
-    return raw.withColumn("m", price).withColumn("reasons", F.array_compact(F.array(missing("sku"), missing("title"), wrong)))
+
+def _catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten parts to a page, a page in three to a source; some records lack what they need or state it wrongly."""
+    cells = [
+        "case when p_partkey % 7 <> 0 then concat('<b class=sku>SKU-', p_partkey, '</b>') else '' end",
+        "concat('<h2><a href=\"/p/', p_partkey, '\">', case when p_partkey % 11 = 0 then ' &nbsp; ' when p_partkey % 17 = 0 then repeat('long ', 70) else p_name end, '</a></h2>')",
+        f"concat('<p class=price>', case when p_partkey % 5 = 0 then 'N/A' when p_partkey % 13 = 0 then '£1.2.3,4,5' when p_partkey % 19 = 0 then concat('R$ ', {WHOLE}, ',', {CENTS}) else concat('$', {WHOLE}, '.', {CENTS}) end, '</p>')",
+        f"""case when p_partkey % 10 = 9 then '' else concat('<i class=stock>', element_at(array({', '.join(f"'{x}'" for x in PHRASES)}), cast(p_partkey % 10 + 1 as int)), '</i>') end""",
+        "concat('<i class=stars>', p_partkey % 6, '/5</i>')",
+        "concat('<time datetime=\"', case when p_partkey % 23 = 0 then '31/02/2026' else cast(date_add(date '2026-01-01', cast(p_partkey % 200 as int)) as string) end, '\">x</time>')",
+    ]
+    item = F.expr("concat('<article class=item>', " + ", ".join(cells) + ", '</article>')")
+    rows = _table(spark, sf_dir, "part").select(F.floor(F.col("p_partkey") / 10).alias("g"), "p_partkey", item.alias("item"))
+    pages = rows.groupBy("g").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "item"))), lambda x: x["item"]), "").alias("html"))  # ten to a group
+    source = F.concat(F.lit("s"), F.col("g") % 3)
+    url = F.concat(F.lit("http://"), source, F.lit(".test/list?page="), F.floor(F.col("g") / 3) + 1)
+    given = {"source_id": source, "page_no": F.floor(F.col("g") / 3) + 1, "requested_url": url, "url": url, "status": F.lit(200), "attempts": F.lit(1), "fetched_with": F.lit("static"), "html": F.concat(F.lit("<!doctype html><main>"), "html")}
+    return pages.select(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in PAGES))
 
 
-WHY = "case when p_partkey % 7 = 0 then ['sku:missing'] else [] end || case when p_partkey % 11 = 0 then ['title:missing'] else [] end || case when p_partkey % 5 = 0 then ['price:no_currency'] when p_partkey % 13 = 0 then ['price:unparsable'] else [] end"
+def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = _config()
+    part = F.regexp_extract(F.col("fields").getItem("url"), "([0-9]+)$", 1).cast("long")
+    return normalize(extract.records(extract.read_pages(_catalogue(spark, sf_dir), config)), config, NOW).withColumn("p_partkey", part)
+
+
+BASE_WHY = "case when p_partkey % 7 = 0 then ['sku:missing'] else [] end || case when p_partkey % 11 = 0 then ['title:missing'] else [] end || case when p_partkey % 5 = 0 then ['price:no_currency'] when p_partkey % 13 = 0 then ['price:unparsable'] else [] end || case when p_partkey % 23 = 0 then ['listed_on:unparsable'] else [] end"
+WHY = f"(case when len({BASE_WHY}) = 0 and p_partkey % 17 = 0 then ['<record>:invalid'] else {BASE_WHY} end)"
+PLACED = "select *, 's' || (p_partkey // 10 % 3) as source_id, p_partkey // 30 + 1 as page_no, p_partkey % 10 as record_no, cast(round(p_retailprice * 100) as bigint) as minor from part"
+
+
+@query("select 's' || (p_partkey // 10 % 3) as source_id, cast(p_partkey // 30 + 1 as integer) as page_no, count(*) as records from part group by 1, 2")
+def record_unnest(spark, sf_dir):
+    found = extract.records(extract.read_pages(_catalogue(spark, sf_dir), _config()))
+    return found.groupBy("source_id", "page_no").agg(F.count("*").alias("records"))
 
 
 @query(f"select p_partkey, array_to_string({WHY}, '; ') as reasons from part where len({WHY}) > 0")
 def required_reject(spark, sf_dir):
-    return _feed(spark, sf_dir).where(F.size("reasons") > 0).select("p_partkey", F.array_join(F.transform("reasons", lambda r: F.concat_ws(":", r["field_name"], r["code"])), "; ").alias("reasons"))
+    from orchardflow.sources.sinks import rejected_rows
+
+    rows = rejected_rows(rejected(_normalized(spark, sf_dir)))
+    return rows.select(F.regexp_extract("raw", '"url":"/p/([0-9]+)"', 1).cast("long").alias("p_partkey"), "reasons")
 
 
 @query(f"select reason, count(*) as n from (select unnest({WHY}) as reason from part) group by reason")
 def reasons_by_code(spark, sf_dir):
-    return reason_counts(_feed(spark, sf_dir))
+    return reason_counts(rejected(_normalized(spark, sf_dir)))
 
 
 @query(f"select len({WHY}) = 0 as accepted, count(*) as n from part group by 1")
 def valid_reject_split(spark, sf_dir):
-    return _feed(spark, sf_dir).groupBy((F.size("reasons") == 0).alias("accepted")).agg(F.count("*").alias("n"))
+    rows = _normalized(spark, sf_dir)
+    one = lambda df, accepted: df.agg(F.count("*").alias("n")).select(F.lit(accepted).alias("accepted"), "n")
+    return one(valid(rows), True).unionByName(one(rejected(rows), False))
+
+
+@query(f"select p_partkey, case when p_partkey % 7 = 0 then 'matched no element' else 'no text' end as told from part where p_partkey % 7 = 0 or p_partkey % 11 = 0")
+def missing_or_blank(spark, sf_dir):
+    """What a rejected record says first: its selector matched nothing, or what it matched was blank."""
+    rows = rejected(_normalized(spark, sf_dir)).select(F.regexp_extract(F.col("raw_fields").getItem("url"), "([0-9]+)$", 1).cast("long").alias("p_partkey"), F.get(F.filter("reasons", lambda r: r["code"] == "missing"), 0)["detail"].alias("why"))
+    return rows.where("why is not null").select("p_partkey", F.when(F.contains("why", F.lit("matched no element")), "matched no element").otherwise("no text").alias("told"))
+
+
+VALID = f"({PLACED.replace(' from part', f' from part where len({WHY}) = 0')})"
+CURRENCY, AMOUNT = "case when p_partkey % 19 = 0 then 'BRL' else 'USD' end", "cast(minor // 100 as varchar) || '.' || lpad(cast(minor % 100 as varchar), 2, '0')"
+STOCK = "case p_partkey % 10 when 0 then 'in_stock' when 1 then 'out_of_stock' when 2 then 'out_of_stock' when 3 then 'discontinued' when 4 then 'preorder' when 5 then 'in_stock' when 7 then 'preorder' when 8 then 'in_stock' else 'unknown' end"
+
+
+@query(f"select 'SKU-' || p_partkey as sku, p_name as title, {AMOUNT} as price_amount, {CURRENCY} as price_currency, {STOCK} as availability, cast(p_partkey % 6 * 100 as integer) as rating, cast(date '2026-01-01' + cast(p_partkey % 200 as integer) as varchar)[:10] as listed_on, 'http://' || source_id || '.test/p/' || p_partkey as url, source_id, cast(page_no as integer) as page_no, '2026-08-24T09:00:00Z' as scraped_at from {VALID}")
+def products_projection(spark, sf_dir):
+    from orchardflow.sources.sinks import product_rows
+
+    rows = valid(_normalized(spark, sf_dir)).withColumn("content_hash", records.content_hash()).withColumn("change", F.lit("unknown"))
+    return product_rows(rows).drop("category", "change", "content_hash").withColumn("rating", F.round(F.col("rating") * 100).cast("int"))
+
+
+@query(f"select p_partkey, {CURRENCY} as currency, {AMOUNT} as amount, minor as minor_units, 2 as digits from {VALID}")
+def price_objects(spark, sf_dir):
+    from orchardflow.sources.sinks import price_object
+
+    made = valid(_normalized(spark, sf_dir)).select("p_partkey", price_object().alias("o"))
+    return made.select("p_partkey", "o.currency", "o.amount", "o.minor_units", F.col("o.minor_unit_digits").alias("digits"))
+
+
+@query(f"with warned as (select row_number() over (order by source_id, page_no, record_no) as place, source_id || ': unmapped availability wording ''Backorder'' on http://' || source_id || '.test/list?page=' || page_no as warning from ({PLACED}) where p_partkey % 10 = 6) select place, warning from warned where place <= 50 union all select 51, '... further warnings suppressed' from warned having count(*) > 50")
+def warning_cap(spark, sf_dir):
+    rows = _normalized(spark, sf_dir).where("warning is not null").select(F.struct("source_id", "page_no", "record_no").alias("seq"), "warning")
+    return spark.createDataFrame(list(enumerate(report.capped_warnings(rows), 1)), "place long, warning string")
+
+
+RUN_KEY = f"row_number() over (partition by lower(p_name), minor, {CURRENCY} order by source_id, page_no, record_no)"
+RUN_SQL = f"select p.source_id, count(distinct p.page_no) as pages_fetched, count(*) as records_found, count(*) filter (k.r = 1) as valid, count(*) filter (len({WHY.replace('p_partkey', 'p.p_partkey')}) > 0) as rejected, count(*) filter (k.r > 1) as duplicates_conflicting from ({PLACED}) p left join (select p_partkey, {RUN_KEY} as r from {VALID}) k on k.p_partkey = p.p_partkey group by p.source_id"
+
+
+@query(RUN_SQL)
+def run_counters(spark, sf_dir):
+    """A whole run, keyed by title and price: its counters by source, as reported after they reconciled."""
+    config = _config(dedupe=Dedupe(key_fields=("title", "price")))
+    found = run(spark, config, _catalogue(spark, sf_dir), NOW)
+    columns = ("source_id", "pages_fetched", "records_found", "valid", "rejected", "duplicates_conflicting")
+    rows = [tuple(s[c] for c in columns) for s in found.report["sources"]]
+    found.release()
+    return spark.createDataFrame(rows, "source_id string, " + ", ".join(f"{c} long" for c in columns[1:]))
 
 
 # --- duplicates -------------------------------------------------------------------------------------------
@@ -357,6 +441,16 @@ def dedupe_keys(spark, sf_dir):
     return _products(spark, sf_dir).select("p_partkey", records.dedupe_key(["sku", "price"]).alias("key"))
 
 
+@query(f"select p_partkey, {HASHED} as content_hash from (select * replace (title || ' caf\\u00e9 \\u6f22' as title) from ({FULL}))")
+def content_hash_unicode(spark, sf_dir):
+    return _products(spark, sf_dir).withColumn("title", F.concat("title", F.lit(" café 漢"))).select("p_partkey", records.content_hash().alias("content_hash"))
+
+
+@query("select p_partkey, 'strasse fi ' || lower(p_brand) as key from part")
+def dedupe_keys_unicode(spark, sf_dir):
+    return _products(spark, sf_dir).withColumn("sku", F.concat(F.lit(" STRAßE \u00a0ﬁ "), "title")).select("p_partkey", records.dedupe_key(["sku"]).alias("key"))
+
+
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = _table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("k"), F.col("p_partkey")).alias("key"), F.sha2("p_name", 256).alias("content_hash"))
     before = now.where("p_partkey % 3 <> 0").select("key", F.when(F.col("p_partkey") % 3 == 1, F.lit("old")).otherwise(F.col("content_hash")).alias("content_hash"))
@@ -468,6 +562,18 @@ def next_link_pages(spark, sf_dir):
     return paging.follow(nations, start).select(F.col("source_id").alias("r"), "page_no", "stopped_because")
 
 
+@query("select r, cast(p as integer) as page_no, case when p = 5 then 'loop_detected' end as stopped_because from (select distinct n_regionkey as r from nation), range(1, 6) t(p)")
+def loop_guard(spark, sf_dir):
+    """Nations of a region, each linking to the next in key order and the last to the first."""
+    from pyspark.sql.window import Window
+
+    w = Window.partitionBy("n_regionkey").orderBy("n_nationkey")
+    key = F.col("n_nationkey").cast("string")
+    nations = _table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("source_id"), key.alias("url"), F.coalesce(F.lead(key).over(w), F.first(key).over(w)).alias("next_url"))
+    start = _table(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").alias("source_id")).agg(F.min("n_nationkey").cast("string").alias("url"))
+    return paging.follow(nations, start).select(F.col("source_id").alias("r"), "page_no", "stopped_because")
+
+
 @query("select event_id, cast(least(500 * pow(2, event_id % 8), 30000) as bigint) as base_ms, cast(greatest(least(500 * pow(2, event_id % 8), 30000), event_id % 50 * 1000) as bigint) as wait_ms from events")
 def retry_backoff(spark, sf_dir):
     attempt, asked = F.col("event_id") % 8 + 1, (F.col("event_id") % 50).cast("string")
@@ -504,12 +610,6 @@ def unknown_field_anti(spark, sf_dir):
 # --- projections of the sinks -----------------------------------------------------------------------------
 
 
-@query("select p_partkey, cast(minor // 100 as varchar) || '.' || lpad(cast(minor % 100 as varchar), 2, '0') as price_amount, 'USD' as price_currency, 2 as digits from (select p_partkey, cast(round(p_retailprice * 100) as bigint) as minor from part)")
-def products_projection(spark, sf_dir):
-    minor = F.expr(MINOR)
-    return _table(spark, sf_dir, "part").select("p_partkey", values.amount_text(F.lit("USD"), minor).alias("price_amount"), F.lit("USD").alias("price_currency"), values.minor_digits(F.lit("USD")).alias("digits"))
-
-
 @query("select p_partkey, '{\"price\":\"' || p_size || '\",\"sku\":' || case when p_partkey % 2 = 0 then '\"' || p_brand || '\"' else 'null' end || '}' as raw, 'sku:missing; price:unparsable' as reasons, 'x | y' as detail from part")
 def rejected_projection(spark, sf_dir):
     from orchardflow.sources.sinks import rejected_rows
@@ -529,11 +629,11 @@ def duplicates_projection(spark, sf_dir):
     return rows.select(F.col("key").cast("long").alias("p_partkey"), "kind", F.col("differing_fields").alias("differing"), F.regexp_extract("kept_values", r"(price=[^;]*(; )?)", 1).alias("kept_price"))
 
 
-@query("select event_id, 'u' || user_id as url, case event_id % 2 when 0 then 'timeout' else 'server_error' end as kind, cast(3 as integer) as attempts from events where event_id % 9 = 0")
+@query("select event_id, 'u' || user_id as url, case event_id % 2 when 0 then 'timeout' else 'server_error' end as kind, cast(3 as integer) as attempts from events")
 def failures_projection(spark, sf_dir):
     from orchardflow.sources.sinks import failure_rows
 
-    rows = _table(spark, sf_dir, "events").where("event_id % 9 = 0").select(F.lit("s").alias("source_id"), F.col("event_id").alias("page_no"), F.concat(F.lit("u"), F.col("user_id")).alias("url"), F.when(F.col("event_id") % 2 == 0, "timeout").otherwise("server_error").alias("kind"), F.lit(3).alias("attempts"), F.lit("m").alias("message"))
+    rows = _table(spark, sf_dir, "events").select(F.lit("s").alias("source_id"), F.col("event_id").alias("page_no"), F.concat(F.lit("u"), F.col("user_id")).alias("url"), F.when(F.col("event_id") % 2 == 0, "timeout").otherwise("server_error").alias("kind"), F.lit(3).alias("attempts"), F.lit("m").alias("message"))
     return failure_rows(rows).select(F.col("page_no").alias("event_id"), "url", "kind", "attempts")
 
 
