@@ -21,6 +21,12 @@ def common_size(vectors: DataFrame, vector_col: str) -> int:
     return found.d if found else 0
 
 
+def components_of(vectors: DataFrame, vector_col: str) -> Column:
+    """The vector as floats if the column has them, which is half the bytes to ship and loses nothing; as doubles otherwise."""
+    kind = vectors.schema[vector_col].dataType.simpleString()
+    return F.col(vector_col) if kind == "array<float>" else F.transform(F.col(vector_col), lambda v: v.cast("double"))
+
+
 def matrix(column: pa.Array | pa.ChunkedArray, size: int) -> np.ndarray:
     """A list column without nulls as rows of doubles."""
     if isinstance(column, pa.ChunkedArray):

@@ -17,13 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orchardflow.llm._common import groups, map_batches
-from orchardflow.llm._vectors import common_size, matrix, rotation, usable
+from orchardflow.llm._common import groups, map_batches, stored
+from orchardflow.llm._vectors import common_size, components_of, matrix, rotation, usable
 
 #: Dimensions in a block, and the factor of the test: a larger one abandons fewer true neighbours.
 COLUMNS, FACTOR = 16, 2.1
 #: Vectors of a list that one task scans; longer lists are dealt over several.
-LIST_PART = 4096
+LIST_PART = 1024
+#: Bytes of the sample, which every task gets.
+SAMPLE_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -95,7 +97,7 @@ def _centres(x: np.ndarray, n: int, rounds: int = 12) -> np.ndarray:
 def fit(vectors: DataFrame, k: int = 20, most: int = 20_000, recall: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding") -> Index | None:
     """An index for usable ``vectors``; None without any.
 
-    Centres, the number of probed lists and the starting thresholds (but no results) come from at most ``most`` rows, chosen by a hash of the id. The number
+    Centres, the number of probed lists and the starting thresholds (but no results) come from at most ``most`` rows, and SAMPLE_BYTES of them, chosen by a hash of the id. The number
     of probes is what finds the share ``recall`` of the sample's own nearest neighbours. All rows are counted for the number of lists and the longest length.
     """
     size = common_size(vectors, vector_col)
@@ -106,8 +108,8 @@ def fit(vectors: DataFrame, k: int = 20, most: int = 20_000, recall: float = 0.9
     total = good.agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda a, v: a + v * v)).alias("longest")).first()
     if not total.n:
         return None
-    sample = good.orderBy(F.xxhash64("id"), "id").limit(most).collect()  # bounded: at most ``most`` vectors
-    ids, rows = np.array([r.id for r in sample], np.int64), np.array([r.v for r in sample], np.float64)
+    sample = good.orderBy(F.xxhash64("id"), "id", "v").limit(max(1, min(most, SAMPLE_BYTES // (8 * size)))).toArrow()  # bounded in rows and bytes
+    ids, rows = sample.column("id").to_numpy(), matrix(sample.column("v"), size)
     lists = int(np.clip(round(np.sqrt(total.n) / 2), 1, max(1, len(rows) // 4)))
     firsts = np.zeros(len(ids), bool)
     firsts[np.unique(ids, return_index=True)[1]] = True
@@ -147,6 +149,10 @@ def scan(index: Index, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q:
         ok = so_far * (dims / at) <= bound
         i, j, so_far = i[ok], j[ok], so_far[ok]
     score = np.einsum("ij,ij->i", q[i], x[j])
+    order = np.lexsort((-score, ids[j], i))  # rows that repeat an id are one candidate, the nearer
+    i, j, score = i[order], j[order], score[order]
+    first = np.append(True, (i[1:] != i[:-1]) | (ids[j][1:] != ids[j][:-1]))[: len(i)]
+    i, j, score = i[first], j[first], score[first]
     order = np.lexsort((ids[j], -score, i))
     i, j, score = i[order], j[order], score[order]
     first = np.searchsorted(i, i)
@@ -154,6 +160,13 @@ def scan(index: Index, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q:
     return i[best], ids[j[best]], score[best]
 
 
+def dealt(placed: DataFrame, sizes: dict[int, int]) -> DataFrame:
+    """``placed`` with ``part``: rows of a list longer than LIST_PART are dealt over several tasks. ``sizes`` are as many as lists."""
+    spark = placed.sparkSession
+    parts = spark.createDataFrame([(int(i), -(-int(n) // LIST_PART)) for i, n in sizes.items()], "list int, parts int")
+    return placed.join(F.broadcast(parts), "list").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 20, most: int = 20_000, recall: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that ``is_query`` admits, its ``k`` nearest found among all other rows.
 
@@ -166,15 +179,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, most: int = 20_000
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shared = spark.sparkContext.broadcast(index)  # bounded: the sample and its centres
-    x = F.transform(F.col(vector_col), lambda v: v.cast("double"))
+    x = components_of(vectors, vector_col)
     good = vectors.where(usable(F.col(vector_col), index.size) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), x.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+    kind = good.schema["v"].dataType.simpleString()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = shared.value.nearest_list(shared.value.lift(matrix(batch.column("v"), shared.value.size)))
             yield pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), batch.column("id"), batch.column("v")], ["list", "id", "v"])
 
-    placed = map_batches(good, place, "list int, id long, v array<double>")
+    placed = stored(map_batches(good, place, f"list int, id long, v {kind}"), "placed")  # read twice: for the sizes of the lists, and to be scanned
     sizes = {r["list"]: r["count"] for r in placed.groupBy("list").count().collect()}  # as many rows as lists
     held = spark.sparkContext.broadcast(np.array([sizes.get(i, 0) for i in range(len(index.centres))], np.int64))
 
@@ -189,12 +203,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, most: int = 20_000
                 who = np.array([i for i, _, _ in rows], np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([c for _, c, _ in rows], pa.int32()), pa.array([p for _, _, p in rows], pa.int32()), pa.array(ids[who]), piece.column("v").take(pa.array(who)), pa.array(least[who])], ["list", "part", "id", "v", "least"])
 
-    asked = map_batches(good.where("asks").select("id", "v"), probe, "list int, part int, id long, v array<double>, least double")
-    count = F.lit(1)
-    for i, n in sorted((i, -(-n // LIST_PART)) for i, n in sizes.items()):
-        if n > 1:
-            count = F.when(F.col("list") == i, F.lit(n)).otherwise(count)
-    candidates = placed.select("list", F.pmod(F.xxhash64("id"), count).cast("int").alias("part"), "id", "v", F.lit(None).cast("double").alias("least"))
+    asked = map_batches(good.where("asks").select("id", "v"), probe, f"list int, part int, id long, v {kind}, least double")
+    candidates = dealt(placed, sizes).select("list", "part", "id", "v", F.lit(None).cast("double").alias("least"))
     rows = candidates.withColumn("kind", F.lit(0)).unionByName(asked.withColumn("kind", F.lit(1)))
     rows = rows.withColumn("at", F.xxhash64("list", "part", F.lit(0)))
 

@@ -112,3 +112,74 @@ def test_estimates_are_unbiased():
         turned, signs, factor = embed_dedup.codes(np.stack([a, b]), embed_dedup.rotation(48, seed))
         estimates.append(turned[0] @ signs[1] / factor[1])
     assert abs(np.mean(estimates) - a @ b) < 0.02
+
+
+def test_repeated_ids_and_a_common_vector(spark):
+    """Rows that repeat an id and vector are one; a vector that most rows have costs one class; both against brute force."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((60, 16)).astype(np.float32)
+    x[10:20] = x[9] + 0.05 * rng.standard_normal((10, 16)).astype(np.float32)
+    rows = [(i, x[i].tolist(), 1) for i in range(60)] + [(100 + i, x[9].tolist(), 1) for i in range(400)] + [(0, x[0].tolist(), 1), (9, x[9].tolist(), 1), (9, x[9].tolist(), 2)] + [(200, (2 * x[9]).tolist(), 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    vertices = sorted({(i, tuple(v), n) for i, v, n in rows})
+    unit = np.array([v for _, v, _ in vertices], float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    label = np.array([n for *_, n in vertices])
+    near = (unit @ unit.T >= 0.93) & (label[:, None] == label[None, :])
+    np.fill_diagonal(near, False)
+    root = np.arange(len(vertices))
+    while True:
+        low = np.array([min(root[i], *root[near[i]]) if near[i].any() else root[i] for i in range(len(root))])
+        if (low == root).all():
+            break
+        root = low
+    ids = np.array([i for i, *_ in vertices])
+    least = [ids[root == r].min() for r in root]
+    want = {v: (int(near[k].sum()), int(least[k])) for k, v in enumerate(vertices)}
+    got = embed_dedup.near_duplicates(df).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == sorted((i, *want[i, tuple(v), n], want[i, tuple(v), n][1] == i) for i, v, n in rows)
+    assert embed_dedup.classes(df, "vec_id", "embedding", "label")[1].count() == 62
+
+
+def test_the_cheapest_plan_misses_no_more():
+    for largest in (10, 16_384, 16_385, 10**6, 10**8):
+        bits, tables = embed_dedup.plan(largest, 0.93, 1e-4)
+        together = (1 - math.acos(0.93) / math.pi) ** bits
+        assert bits == 0 or (1 - together) ** tables <= 1e-4
+        assert largest / 2**bits < 20_000
+
+
+def test_search_with_ties_and_repeats(spark):
+    """Equal vectors tie to the smaller id, and rows that repeat an id are one candidate, with a sample well below the table."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    x = rng.integers(-3, 4, (400, 8)).astype(float)
+    x[(x == 0).all(axis=1)] = 1
+    x[50:130] = x[50]
+    rows = [(i, x[i].tolist()) for i in range(400)] + [(i, x[i].tolist()) for i in range(0, 400, 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in ann.search(df, F.col("vec_id") % 20 == 0, most=100).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    right = 0
+    for q in range(0, 400, 20):
+        score = x @ x[q]
+        best = [i for i in np.lexsort((np.arange(400), -score)) if i != q][:20]
+        mine = sorted(got[q])
+        assert [r for r, *_ in mine] == list(range(1, 21)) and all(s == score[i] for _, i, s in mine)
+        assert [(-s, i) for _, i, s in mine] == sorted((-s, i) for _, i, s in mine)
+        right += len({int(i) for i in best} & {i for _, i, _ in mine})
+        if q in (60, 80, 100, 120):  # 79 others are equal to the query
+            assert [i for _, i, s in mine if s == score[q]] == [int(i) for i in best if score[i] == score[q]]
+    assert right / (20 * 20) >= 0.9
+
+
+def test_rows_are_dealt_over_thousands_of_lists(spark):
+    from pyspark.sql import functions as F
+
+    n = 5000
+    placed = spark.range(40_000).select((F.col("id") % n).cast("int").alias("list"), "id")
+    sizes = {i: 8 for i in range(n)} | {7: 9 * ann.LIST_PART}
+    got = ann.dealt(placed, sizes).groupBy("list").agg(F.max("part").alias("most"), F.count("*").alias("n")).collect()
+    assert len(got) == n and all(r.n == 8 and (r.most == 0 or r.list == 7) for r in got) and max(r.most for r in got) > 1
