@@ -21,7 +21,7 @@ from orchardflow.llm._common import map_batches, slices
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript".split())
 RCDATA = frozenset("title textarea".split())
-HIDDEN = frozenset("head script style template noscript iframe noembed noframes title datalist object audio video canvas select svg math".split())
+HIDDEN = frozenset("head script style template noscript iframe noembed noframes title datalist object audio video canvas desc metadata defs annotation annotation-xml".split())
 BLOCKS = frozenset("address article aside blockquote body center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul tr caption".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre hr figure menu".split())
 CLOSES_P = BLOCKS - frozenset("body html tr caption legend".split())
@@ -187,11 +187,27 @@ class Builder:
 
 
 def invisible(node: Node) -> bool:
-    """Elements never shown, and those that say so: ``hidden``, hidden inputs, and styles without display or visibility."""
+    """Elements never shown (of drawings and formulas only what describes them), and those that say so: ``hidden``, hidden inputs, and styles without display or visibility."""
     a = node.attributes
     return node.name in HIDDEN or (bool(a) and ("hidden" in a or bool(INVISIBLE.search(a.get("style", ""))) or (node.name == "dialog" and "open" not in a)))
 
 
+def shown_options(select: Node) -> list[Node]:
+    """The options that a select shows: all of a list, else the last one selected, else the first."""
+    options, todo = [], [select]
+    while todo:
+        node = todo.pop()
+        if node.name == "option":
+            options.append(node)
+        elif node is select or not invisible(node):
+            todo.extend(x for x in reversed(node.children) if isinstance(x, Node))
+    options = [x for x in options if not invisible(x)]
+    a = select.attributes
+    if "multiple" in a or re.fullmatch(r"0*([2-9]|[1-9][0-9]+)", a.get("size", "")):
+        return options
+    return [x for x in options if "selected" in x.attributes][-1:] or options[:1]
+
+
 def _width(text: str) -> int:
     return len(text) if text.isascii() else sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
@@ -285,8 +301,13 @@ class Renderer:
                     self.flush(always=True)
                 self.block(True)
                 continue
-            if name in ("td", "th"):
+            if name in ("td", "th", "text", "option"):
+                self.space = True
+            if name == "select":
                 self.space = True
+                stack.append(("node", " ", False))
+                stack.extend(("node", x, False) for x in reversed(shown_options(item)))
+                continue
             if name == "input" or name in VOID:
                 if name == "hr":
                     self.block(True)
@@ -319,10 +340,16 @@ class Renderer:
         return self
 
 
+def _span(cell: Node, name: str, most: int) -> int:
+    stated = cell.attributes.get(name, "1")
+    return min(most, int(stated)) if re.fullmatch(r"[1-9][0-9]{0,3}", stated) else 1
+
+
 def table(node: Node, depth: int) -> list[str]:
-    """A table's caption and rows, its cells padded to the width of their columns and two spaces apart."""
+    """A table's caption and rows, its cells padded to the width of their columns and two spaces apart; a cell of several rows stands in the first."""
     above: list[str] = []
-    rows: list[list[tuple[list[str], int]]] = []
+    rows: list[list[tuple[int, int, list[str]]]] = []  # of each cell the first column, how many, and its lines
+    taken: dict[int, int] = {}  # columns that cells of earlier rows still cover, and for how many rows
     todo = list(reversed(node.children))
     while todo:
         item = todo.pop()
@@ -335,7 +362,7 @@ def table(node: Node, depth: int) -> list[str]:
         if item.name in ("tbody", "thead", "tfoot"):
             todo.extend(reversed(item.children))
         elif item.name == "tr":
-            cells = []
+            cells, at, covered = [], 0, {}
             for cell in item.children:
                 if isinstance(cell, str):
                     if cell.strip(" \t\n\f\r"):
@@ -343,30 +370,38 @@ def table(node: Node, depth: int) -> list[str]:
                 elif not invisible(cell):
                     inside = Node("div", {})
                     inside.children = cell.children if cell.name in ("td", "th") else [cell]
-                    span = cell.attributes.get("colspan", "1")
-                    cells.append(([x for x in Renderer(depth).render(inside).text().split("\n") if x] or [""], min(50, int(span)) if re.fullmatch(r"[1-9][0-9]{0,3}", span) else 1))
+                    while taken.get(at):
+                        at += 1
+                    wide, high = _span(cell, "colspan", 50), _span(cell, "rowspan", 1000)
+                    cells.append((at, wide, [x for x in Renderer(depth).render(inside).text().split("\n") if x] or [""]))
+                    covered.update(dict.fromkeys(range(at, at + wide), high))
+                    at += wide
             rows.append(cells)
+            taken = {k: n - 1 for k, n in (taken | covered).items() if n > 1}
         elif item.name not in ("col", "colgroup"):
             inside = Node("div", {})
             inside.children = item.children if item.name == "caption" else [item]
             above += Renderer(depth).render(inside).text().split("\n")
     widths: dict[int, int] = {}
     for cells in rows:
-        at = 0
-        for lines, span in cells:
-            if span == 1:
+        for at, wide, lines in cells:
+            if wide == 1:
                 widths[at] = max(widths.get(at, 0), *map(_width, lines))
-            at += span
+    starts, x = {}, 0
+    for at in range(max((at + wide for cells in rows for at, wide, _ in cells), default=0)):
+        starts[at] = x
+        x += widths.get(at, 0) + 2
     out = above
     for cells in rows:
-        for i in range(max((len(lines) for lines, _ in cells), default=0)):
-            at, made = 0, []
-            for lines, span in cells:
-                width = sum(widths.get(x, 0) for x in range(at, at + span)) + 2 * (span - 1)
+        for i in range(max((len(lines) for _, _, lines in cells), default=0)):
+            made, end = "", 0
+            for at, _, lines in cells:
+                if at:
+                    gap = max(starts[at], end + 2) - end
+                    made, end = made + " " * gap, end + gap
                 line = lines[i] if i < len(lines) else ""
-                made.append(line + " " * (width - _width(line)))
-                at += span
-            out.append("  ".join(made).rstrip())
+                made, end = made + line, end + _width(line)
+            out.append(made.rstrip())
     return out
 
 

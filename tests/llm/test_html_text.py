@@ -32,6 +32,13 @@ CASES = [
     ("<a href=x>l1<a href=y>l2</a>", "l1l2"),
     ("<td>loose</td>", "loose"),
     ("<textarea>a <b>\n c</textarea>", "a <b>\n c"),
+    ("x <svg><title>t</title><desc>d</desc><text>one</text><text>two <tspan>three</tspan></text></svg> y", "x one two three y"),
+    ("<p>E = <math><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup><annotation>tex</annotation></math>.", "E = mc2."),
+    ("<select><option>a<option selected>b<option>c</select>d", "b d"),
+    ("<select><optgroup label=g><option>a<option>b</optgroup></select>", "a"),
+    ("<select multiple><option>a<option>b</select>", "a b"),
+    ("<table><tr><td rowspan=2>Long head<td>1<td>2<tr><td>3<td>4<tr><td>x<td>5<td>6</table>", "Long head  1  2\n           3  4\nx          5  6"),
+    ("<table><tr><td>a<td rowspan=3 colspan=2>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>", "a  b   c\nd      e\nf      g"),
 ]
 
 
@@ -98,11 +105,11 @@ def test_same_words_as_flat_reading(spark):
     got = {r.page_id: r.text for r in extract(pages).collect()}
     for r in pages.collect():
         flat = Words()
-        flat.feed(r.html)
+        flat.feed(re.sub(r"<[^>]*\Z", "", r.html))  # what ends inside a tag shows nothing of it
         flat.close()
         want = "".join(flat.found).split()
         words = [w for line in got[r.page_id].split("\n") for w in re.sub(r"^\s*- ", "", line).split()]
-        assert words == want or words[:-1] == want[: len(words) - 1], r.page_id
+        assert words == want, r.page_id
 
 
 def test_rows(spark):
