@@ -65,5 +65,38 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_byte_bpe, op2_quality, op3_toxicity, op4_nearest, op5_token_counts, op6_suffix_dedup, op7_simhash, op8_packing, op9_html_text, op10_embedding_dedup)}
 
 
+#: Links and components of op10 by comparing all vectors of a label. The other operators rest on hashes, models, vocabularies or approximate search.
+OP10_SQL = """
+with recursive
+rows_in as materialized (select vec_id, label, embedding::double[] as v from embeddings),
+fine as materialized (
+    select * from rows_in
+    where vec_id is not null and label is not null and v is not null
+      and len(list_filter(v, lambda x: x is not null and isfinite(x))) = len(v) and len(list_filter(v, lambda x: x <> 0)) > 0
+),
+common as materialized (select len(v) as size from fine group by 1 order by count(*) desc, 1 limit 1),
+vectors as materialized (
+    select row_number() over () as k, vec_id, label, v, sqrt(list_dot_product(v, v)) as norm
+    from (select distinct vec_id, label, v from fine where len(v) = (select size from common))
+),
+links as materialized (
+    select a.k as a, b.k as b
+    from vectors a join vectors b on a.label = b.label and a.k <> b.k
+    where list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.93 or a.v = b.v
+),
+reached as (
+    select k, vec_id as found from vectors
+    union
+    select links.b, reached.found from reached join links on links.a = reached.k
+),
+told as (
+    select k, vec_id, label, v, (select count(*) from links where links.a = k) as n_links, (select min(found) from reached where reached.k = vectors.k) as component_id
+    from vectors
+)
+select r.vec_id, coalesce(t.n_links, 0) as n_links, coalesce(t.component_id, r.vec_id) as component_id, coalesce(r.vec_id = coalesce(t.component_id, r.vec_id), true) as kept
+from rows_in r left join told t on r.vec_id = t.vec_id and r.label = t.label and r.v = t.v
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_embedding_dedup": OP10_SQL}

@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from orchardflow.llm import ann, embed_dedup
+from orchardflow.llm import ann, embed_dedup, queries
 
 
 def table(spark, n=700, seed=0, d=24):
@@ -183,3 +183,20 @@ def test_rows_are_dealt_over_thousands_of_lists(spark):
     sizes = {i: 8 for i in range(n)} | {7: 9 * ann.LIST_PART}
     got = ann.dealt(placed, sizes).groupBy("list").agg(F.max("part").alias("most"), F.count("*").alias("n")).collect()
     assert len(got) == n and all(r.n == 8 and (r.most == 0 or r.list == 7) for r in got) and max(r.most for r in got) > 1
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_links_like_sql(spark, tmp_path, empty):
+    """The registered query against its SQL: near copies, repeated rows and ids, and vectors that take no part."""
+    import duckdb
+
+    df, _ = table(spark)
+    df = df.unionByName(df.where("vec_id % 7 = 0")).unionByName(df.where("vec_id between 100 and 110").withColumn("vec_id", df["vec_id"] + 2000))
+    df = df.unionByName(df.where("vec_id between 5 and 9").selectExpr("vec_id", "transform(embedding, x -> cast(x + 2 as float)) as embedding", "label", "list"))
+    (df.limit(0) if empty else df).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = sorted(tuple(r[c] for c in ("vec_id", "n_links", "component_id", "kept")) if r.vec_id is not None else (-1, r.n_links, -1, r.kept) for r in queries.op10_embedding_dedup(spark, str(tmp_path)).collect())
+    with duckdb.connect() as c:
+        c.execute(f"create view embeddings as select * from read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+        want = sorted(c.execute(f"select coalesce(vec_id, -1), n_links, coalesce(component_id, -1), kept from ({queries.oracle_sql()['op10_embedding_dedup']})").fetchall())
+    assert got == want
+    assert empty or (max(r[1] for r in got) > 50 and sum(not r[3] for r in got) > 50)
