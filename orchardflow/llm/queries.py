@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchardflow.llm import ann, bpe, embed_dedup, html_text, packing, quality, simhash, suffix_dedup, token_counts, toxicity
+from orchardflow.llm import ann, bpe, divergence, embed_dedup, html_text, packing, quality, simhash, suffix_dedup, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,8 +61,12 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_quality, op3_toxicity, op4_nearest, op5_token_counts, op6_suffix_dedup, op7_simhash, op8_packing, op9_html_text, op10_embedding_dedup)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_quality, op3_toxicity, op4_nearest, op5_token_counts, op6_suffix_dedup, op7_simhash, op8_packing, op9_html_text, op10_embedding_dedup, op11_divergence)}
 
 
 #: Links and components of op10 by comparing all vectors of a label. The other operators rest on hashes, models, vocabularies or approximate search.
@@ -98,5 +102,41 @@ from rows_in r left join told t on r.vec_id = t.vec_id and r.label = t.label and
 """
 
 
+#: Counts of all terms, smoothed shares of kept ones, all pairs of a language's groups and the first 50 terms of each.
+OP11_SQL = r"""
+with docs as materialized (
+    select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+    from documents
+),
+terms as materialized (select d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs),
+kept as materialized (select lang, term, count(*)::hugeint as c from terms group by all having count(distinct d) >= 30),
+langs as materialized (select lang, count(*)::hugeint as v, sum(c)::hugeint as total from kept group by lang),
+groups as materialized (select distinct lang, source from docs),
+counted as materialized (select lang, source, term, count(*)::hugeint as n from terms semi join kept using (lang, term) group by all),
+totals as materialized (select lang, source, sum(n)::hugeint as total from counted group by all),
+shares as materialized (
+    select g.lang, g.source, k.term, coalesce(n, 0) as n, 1 + (1000000000 * (coalesce(n, 0) + 5)) // (coalesce(t.total, 0) + 5 * l.v) as p,
+        1 + (1000000000 * (k.c + 5)) // (l.total + 5 * l.v) as q
+    from groups g join kept k using (lang) join langs l using (lang)
+    left join totals t on t.lang = g.lang and t.source = g.source
+    left join counted c on c.lang = g.lang and c.source = g.source and c.term = k.term
+),
+pairs as (
+    select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+    from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+),
+every as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+    from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source
+    union all
+    select lang, source, 'term', term, p - q from shares where n > 0 and p > q
+),
+ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from every)
+select lang, source, part, item, value::bigint as value, rank::integer as rank from ranked where part = 'pair' or rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_embedding_dedup": OP10_SQL}
+    return {"op10_embedding_dedup": OP10_SQL, "op11_divergence": OP11_SQL}
