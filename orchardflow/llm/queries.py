@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchardflow.llm import ann, bpe, divergence, embed_dedup, html_text, packing, quality, simhash, suffix_dedup, token_counts, toxicity
+from orchardflow.llm import ann, bpe, divergence, embed_dedup, html_text, packing, quality, simhash, spelling, suffix_dedup, token_counts, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,8 +65,16 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_quality, op3_toxicity, op4_nearest, op5_token_counts, op6_suffix_dedup, op7_simhash, op8_packing, op9_html_text, op10_embedding_dedup, op11_divergence)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_quality, op3_toxicity, op4_nearest, op5_token_counts, op6_suffix_dedup, op7_simhash, op8_packing, op9_html_text, op10_embedding_dedup, op11_divergence, op12_spelling, op13_warc)}
 
 
 #: Links and components of op10 by comparing all vectors of a label. The other operators rest on hashes, models, vocabularies or approximate search.
@@ -138,5 +146,62 @@ select lang, source, part, item, value::bigint as value, rank::integer as rank f
 """
 
 
+#: crc32 by its polynomial, a table of 256 remainders and a step a byte; near words share what is left when one place of each is dropped or blanked.
+OP12_SQL = r"""
+with recursive
+remainders as materialized (
+    select list(list_reduce(list_prepend(i, range(8)), lambda c, k: if(c & 1 = 1, xor(c >> 1, 3988292384), c >> 1)) order by i) as t from range(256) r(i)
+),
+runs as materialized (
+    select coalesce(doc_id::varchar, '') as id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) as run
+    from documents
+),
+counted as materialized (select id, run, count(*) as n from runs where length(run) >= 6 group by all),
+summed as materialized (
+    select run, n, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(rtrim(regexp_replace(hex(encode(id || ':' || run)), '(..)', '\1 ', 'g')), ' '), lambda x: ('0x' || x)::bigint)),
+        lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295::bigint) as h
+    from counted, remainders
+),
+slipped as (
+    select if(h % 199 = 0, left(run, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2), run) as word, n from summed
+),
+words as materialized (select word, sum(n)::bigint as n from slipped where length(word) >= 6 group by word having sum(n) >= 5),
+places as materialized (select word, n, unnest(range(1, length(word) + 1)) as i from words),
+dropped as materialized (select word, n, i, left(word, i - 1) || substr(word, i + 1) as rest from places),
+pairs as materialized (
+    select a.word, b.word as near, b.n as near_n from dropped a join dropped b on a.i = b.i and a.rest = b.rest and length(a.word) = length(b.word) and a.word <> b.word
+    union
+    select a.word, b.word, b.n from dropped a join words b on a.rest = b.word
+    union
+    select b.word, a.word, a.n from dropped a join words b on a.rest = b.word
+),
+best as materialized (select word, count(*) as n_near, max(near_n) as most from pairs group by word),
+named as materialized (select p.word, min(near) as near from pairs p join best b on p.word = b.word and p.near_n = b.most group by p.word),
+forms as materialized (
+    select w.word, w.n, coalesce(n_near, 0) as n_near, if(most >= 5 * w.n, near, null) as form, if(most >= 5 * w.n, most, null) as form_n
+    from words w left join best b using (word) left join named m using (word)
+),
+walk as (
+    select word, form as at from forms where form is not null
+    union all
+    select walk.word, f.form from walk join forms f on f.word = walk.at where f.form is not null
+),
+ends as (select walk.word, walk.at as root from walk join forms f on f.word = walk.at where f.form is null)
+select f.word, n, n_near, form, form_n, coalesce(root, f.word) as root from forms f left join ends using (word)
+"""
+
+#: Types and references of the records by a window over equal payloads; digests by DuckDB's own SHA-256.
+OP13_SQL = """
+with pages_in as (select page_id, coalesce(html, '') as html from pages),
+placed as (
+    select page_id, strlen(html)::bigint as payload_bytes, sha256(html) as payload_digest,
+        row_number() over (partition by html order by page_id nulls last) as place, first_value(page_id) over (partition by html order by page_id nulls last) as first
+    from pages_in
+)
+select page_id, payload_bytes, payload_digest, if(payload_bytes >= 100 and place > 1, 'revisit', 'response') as record_type, if(payload_bytes >= 100 and place > 1, first, null) as refers_to
+from placed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_embedding_dedup": OP10_SQL, "op11_divergence": OP11_SQL}
+    return {"op10_embedding_dedup": OP10_SQL, "op11_divergence": OP11_SQL, "op12_spelling": OP12_SQL, "op13_warc": OP13_SQL}
