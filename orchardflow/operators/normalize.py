@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchardflow.functions import values
@@ -21,7 +21,12 @@ def settings(spark: SparkSession, config: Config) -> DataFrame:
     return spark.createDataFrame(rows, "source_id string, at int, settings struct<separator:string,currency:string,order:string,places:map<string,int>,selectors:map<string,string>>")
 
 
-def _steps(now: datetime) -> list[values.Step]:
+def utc_today() -> Column:
+    """The UTC date of the query or micro-batch, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(F.current_timestamp()) / 86400).cast("int"))
+
+
+def _steps(today: Column) -> list[values.Step]:
     """From a struct of the raw and cleaned fields and the source's settings to the typed fields, reasons and warning."""
     parsed = ("price", "url", "rating", "listed_on")
 
@@ -30,7 +35,7 @@ def _steps(now: datetime) -> list[values.Step]:
         conf = row["settings"]
         return {
             "price": values.money(row["c_price"], conf["separator"], conf["currency"]),
-            "listed_on": values.listing_date(row["c_listed_on"], F.lit(now.date()), conf["order"]),
+            "listed_on": values.listing_date(row["c_listed_on"], today, conf["order"]),
             "rating": values.rating(row["c_rating"]),
             "availability": values.availability(row["c_availability"]),
         }
@@ -50,7 +55,7 @@ def _steps(now: datetime) -> list[values.Step]:
     def reason(get, name):
         row = get("text")
         raw, conf = row["fields"].getItem(name), row["settings"]
-        absent = F.when(raw.isNull(), F.concat(F.lit("selector '"), conf["selectors"].getItem(name), F.lit("' matched no element"))).otherwise("element matched but contained no text")
+        absent = F.when(raw.isNull(), F.concat(F.lit("nothing on the page for "), conf["selectors"].getItem(name))).otherwise("the element is blank")
         detail = F.when(get(f"k_{name}") == "missing", absent).otherwise(F.concat(F.lit("cannot use '"), raw, F.lit("'")))
         why = F.struct(F.lit(name).alias("field_name"), get(f"k_{name}").alias("code"), detail.alias("detail"))
         return F.when(get(f"k_{name}").isNotNull(), F.struct(conf["places"].getItem(name).alias("at"), why.alias("why")))
@@ -63,30 +68,31 @@ def _steps(now: datetime) -> list[values.Step]:
         row = get("text")
         invalid = F.array(F.struct(F.lit("<record>").alias("field_name"), F.lit("invalid").alias("code"), get("long").alias("detail")))
         why = F.when((F.size(get("found")) == 0) & (get("long") != ""), invalid).otherwise(F.transform(get("found"), lambda x: x["why"]))
-        unmapped = F.concat(row["source_id"], F.lit(": unmapped availability wording '"), row["fields"].getItem("availability"), F.lit("' on "), row["page_url"])
+        unmapped = F.concat(row["source_id"], F.lit(": no availability is known for '"), row["fields"].getItem("availability"), F.lit("', on "), row["page_url"])
         named = [value(get, x).alias(x) for x in FIELDS]
         return {"result": F.struct(*named, why.cast(f"array<{REASON.simpleString()}>").alias("reasons"), F.when(get("availability") == "unknown", unmapped).alias("warning"))}
 
     return [outcomes, codes, reasons, result]
 
 
-def normalize(records: DataFrame, config: Config, now: datetime) -> DataFrame:
+def normalize(records: DataFrame, config: Config, now: datetime | None) -> DataFrame:
     """Records with typed columns, ``reasons`` (empty for a valid record) and ``warning``.
 
     Every mapped field is tried, in the source's mapping order, and all reasons are kept. ``now`` (with a time zone) stands for the
-    run's time throughout; its UTC date is what relative dates count from. Records of sources that the config lacks are left out.
+    run's time throughout; its UTC date is what relative dates count from. None stands for the time of the query or, in a stream, of the micro-batch.
+    Records of sources that the config lacks are left out.
     """
     raw = lambda x: F.col("fields").getItem(x)
     known = records.join(F.broadcast(settings(records.sparkSession, config).drop("at")), "source_id")  # as many rows as sources
     rows = known.select(*records.columns, "settings", *(clean_text(raw(x)).alias(f"c_{x}") for x in FIELDS if x != "url"), resolve_url(raw("url"), F.col("page_url")).alias("r_url"))
     given = F.struct("source_id", "page_url", "fields", "settings", *(f"c_{x}" for x in FIELDS if x != "url"), "r_url")
-    made = rows.select(*records.columns, values.as_column(given, _steps(now)).alias("n"))
+    made = rows.select(*records.columns, values.as_column(given, _steps(utc_today() if now is None else F.lit(now.date()))).alias("n"))
     return made.select(
         *records.columns,
         *(F.col(f"n.{x}").alias(x) for x in FIELDS if x != "availability"),
         F.coalesce("n.availability", F.lit("unknown")).alias("availability"),
         F.col("n.availability").isNotNull().alias("availability_present"),
-        F.lit(now).cast("timestamp").alias("scraped_at"),
+        (F.current_timestamp() if now is None else F.lit(now).cast("timestamp")).alias("scraped_at"),
         F.col("n.reasons").alias("reasons"),
         F.col("n.warning").alias("warning"),
     )

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from orchardflow.sources.shared import discard, stored
+
 
 def cut(pages: DataFrame, stops: Column, by: str = "source_id", order: str = "page_no") -> DataFrame:
     """The pages of each source up to and with its first that ``stops``, with ``is_stop``.
@@ -17,10 +19,14 @@ def cut(pages: DataFrame, stops: Column, by: str = "source_id", order: str = "pa
     return marked.join(first, F.col(by).eqNullSafe(F.col("_by")), "left").where(F.col("_stop").isNull() | (F.col(order) <= F.col("_stop"))).drop("_by", "_stop")
 
 
-def capped(pages: DataFrame, max_pages: Column | int, by: str = "source_id", order: str = "page_no") -> DataFrame:
-    """At most ``max_pages`` pages of each source, in order."""
+def capped(pages: DataFrame, max_pages: Column | int, by: str = "source_id", order: str = "page_no", at_most: int = 1000) -> DataFrame:
+    """At most ``max_pages`` pages of each source, in order; never more than ``at_most``, the bound of a config's page cap.
+
+    The constant bound lets Spark cut each source's rows within every task before they are shuffled, however many a source has.
+    """
     place = F.row_number().over(Window.partitionBy(by).orderBy(order))
-    return pages.withColumn("_place", place).where(F.col("_place") <= max_pages).drop("_place")
+    most = max_pages if isinstance(max_pages, int) else at_most
+    return pages.withColumn("_place", place).where(F.col("_place") <= most).where(F.col("_place") <= max_pages).drop("_place")
 
 
 def empty_page(n_records: Column, is_first: Column) -> Column:
@@ -31,24 +37,41 @@ def empty_page(n_records: Column, is_first: Column) -> Column:
 def follow(links: DataFrame, start: DataFrame, max_pages: int = 1000) -> DataFrame:
     """(source_id, page_no, url, stopped_because) along next links from each source's start.
 
-    ``links`` has (source_id, url, next_url), ``start`` (source_id, url). One step for all sources in each round: an equi-join of the
-    current pages with the links. A URL met before ends with ``loop_detected``, a missing link with ``no_next_link``, a page without a row
-    in ``links`` with ``page_failed``, the cap with ``max_pages``.
+    ``links`` has (source_id, url, next_url), ``start`` (source_id, url). A URL met before ends with ``loop_detected``, a missing link with
+    ``no_next_link``, a page without a row in ``links`` with ``page_failed``, the cap with ``max_pages``. Of rows that repeat a page the least link counts.
+
+    The step doubles: round k knows each page's 2^k-th successor, so that it reaches 2^k pages further from every page reached so far, and the rounds are as
+    many as the logarithm of the longest walk. A page keeps its least number, so a walk in a loop stops growing when it is round. Each round
+    is written to the shared folder.
     """
-    links = links.select("source_id", F.col("url").alias("_url"), "next_url").dropDuplicates(["source_id", "_url"])
-    at = start.select("source_id", F.lit(1).alias("page_no"), "url", F.array().cast("array<string>").alias("seen"))
-    done = None
-    for n in range(1, max_pages + 1):
-        step = at.join(links, (at.source_id == links.source_id) & (at.url == links["_url"]), "left").select(at.source_id, "page_no", "url", "seen", F.col("_url").isNotNull().alias("there"), "next_url")
-        visited = F.array_append("seen", F.col("url"))
-        why = F.when(~F.col("there"), "page_failed").when(F.col("next_url").isNull(), "no_next_link").when(F.array_contains(visited, F.col("next_url")), "loop_detected").when(F.lit(n == max_pages), "max_pages")
-        step = step.withColumn("stopped_because", why).withColumn("seen", visited).persist()
-        rows = step.select("source_id", "page_no", "url", "stopped_because")
-        done = rows if done is None else done.unionByName(rows)
-        at = step.where("stopped_because is null").select("source_id", (F.col("page_no") + 1).alias("page_no"), F.col("next_url").alias("url"), "seen")
-        if at.isEmpty():
+    links = links.where("source_id is not null and url is not null").groupBy("source_id", "url").agg(F.min("next_url").alias("next_url"))
+    known = stored(links.join(start.select("source_id").distinct(), "source_id", "left_semi"), "links")
+    jumps = known.where("next_url is not null").select("source_id", "url", F.col("next_url").alias("to"))
+    reached = stored(start.where("source_id is not null and url is not null").select("source_id", "url", F.lit(1).alias("page_no")).distinct(), "reached")
+    n, step = reached.count(), 1
+    while step < max_pages:
+        further = reached.join(jumps, ["source_id", "url"]).select("source_id", F.col("to").alias("url"), (F.col("page_no") + step).alias("page_no")).where(F.col("page_no") <= max_pages)
+        now = stored(reached.unionByName(further).groupBy("source_id", "url").agg(F.min("page_no").alias("page_no")), "reached")
+        before, n = n, now.count()
+        discard(reached)
+        reached = now
+        step *= 2
+        if n == before or step >= max_pages:
             break
-    return done
+        second = jumps.select("source_id", F.col("url").alias("to"), F.col("to").alias("beyond"))
+        doubled = stored(jumps.join(second, ["source_id", "to"]).select("source_id", "url", F.col("beyond").alias("to")), "jumps")
+        if step > 2:
+            discard(jumps)
+        jumps = doubled
+    pages = reached.join(known.withColumn("there", F.lit(True)), ["source_id", "url"], "left")
+    back = reached.select("source_id", F.col("url").alias("next_url"), F.col("page_no").alias("next_no"))
+    why = (
+        F.when(F.col("there").isNull(), "page_failed")
+        .when(F.col("next_url").isNull(), "no_next_link")
+        .when(F.col("next_no") <= F.col("page_no"), "loop_detected")
+        .when(F.col("page_no") == max_pages, "max_pages")
+    )
+    return pages.join(back, ["source_id", "next_url"], "left").select("source_id", "page_no", "url", why.alias("stopped_because"))
 
 
 def page_urls(sources: DataFrame) -> DataFrame:

@@ -29,7 +29,11 @@ def unbalanced(counters: DataFrame) -> DataFrame:
     return counters.where(F.col("records_found") != F.col("valid") + F.col("rejected") + F.col("duplicates_identical") + F.col("duplicates_conflicting"))
 
 
+def at_most(warnings: list[str]) -> list[str]:
+    """The first warnings, and a last line if there are more."""
+    return warnings if len(warnings) <= MOST_WARNINGS else [*warnings[:MOST_WARNINGS], f"and more than these {MOST_WARNINGS}"]
+
+
 def capped_warnings(warnings: DataFrame, order: str = "seq") -> list[str]:
     """The first warnings in order, and a last line if there are more."""
-    found = [r[0] for r in warnings.orderBy(order).select("warning").limit(MOST_WARNINGS + 1).collect()]
-    return found if len(found) <= MOST_WARNINGS else [*found[:MOST_WARNINGS], "... further warnings suppressed"]
+    return at_most([r[0] for r in warnings.orderBy(order).select("warning").limit(MOST_WARNINGS + 1).collect()])

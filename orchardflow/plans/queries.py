@@ -230,11 +230,9 @@ def page_links(spark, sf_dir):
     return _from_pages(spark, sf_dir, "nav li > a", "href").select("page_id", F.col("pos").cast("long").alias("pos"), F.col("found").alias("link"))
 
 
-@query("select page_id, length(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&(amp|quot|lt|gt);?', '&', 'g')) > 0 as has_title, count(*) over () as pages from pages")
+@query("select page_id, length(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&(amp|quot|lt|gt);?', '&', 'g')) > 0 as has_title from pages")
 def page_title(spark, sf_dir):
-    found = _from_pages(spark, sf_dir, "head > title", None)
-    total = found.agg(F.count("*").alias("pages"))
-    return found.select("page_id", (F.length("found") > 0).alias("has_title")).crossJoin(F.broadcast(total))  # one row
+    return _from_pages(spark, sf_dir, "head > title", None).select("page_id", (F.length("found") > 0).alias("has_title"))
 
 
 # --- a catalogue made of parts, through the library: pages, records, normalised rows, a run --------------
@@ -308,7 +306,7 @@ def valid_reject_split(spark, sf_dir):
 def missing_or_blank(spark, sf_dir):
     """What a rejected record says first: its selector matched nothing, or what it matched was blank."""
     rows = rejected(_normalized(spark, sf_dir)).select(F.regexp_extract(F.col("raw_fields").getItem("url"), "([0-9]+)$", 1).cast("long").alias("p_partkey"), F.get(F.filter("reasons", lambda r: r["code"] == "missing"), 0)["detail"].alias("why"))
-    return rows.where("why is not null").select("p_partkey", F.when(F.contains("why", F.lit("matched no element")), "matched no element").otherwise("no text").alias("told"))
+    return rows.where("why is not null").select("p_partkey", F.when(F.contains("why", F.lit("nothing on the page")), "matched no element").otherwise("no text").alias("told"))
 
 
 VALID = f"({PLACED.replace(' from part', f' from part where len({WHY}) = 0')})"
@@ -332,7 +330,7 @@ def price_objects(spark, sf_dir):
     return made.select("p_partkey", "o.currency", "o.amount", "o.minor_units", F.col("o.minor_unit_digits").alias("digits"))
 
 
-@query(f"with warned as (select row_number() over (order by source_id, page_no, record_no) as place, source_id || ': unmapped availability wording ''Backorder'' on http://' || source_id || '.test/list?page=' || page_no as warning from ({PLACED}) where p_partkey % 10 = 6) select place, warning from warned where place <= 50 union all select 51, '... further warnings suppressed' from warned having count(*) > 50")
+@query(f"with warned as (select row_number() over (order by source_id, page_no, record_no) as place, source_id || ': no availability is known for ''Backorder'', on http://' || source_id || '.test/list?page=' || page_no as warning from ({PLACED}) where p_partkey % 10 = 6) select place, warning from warned where place <= 50 union all select 51, 'and more than these 50' from warned having count(*) > 50")
 def warning_cap(spark, sf_dir):
     rows = _normalized(spark, sf_dir).where("warning is not null").select(F.struct("source_id", "page_no", "record_no").alias("seq"), "warning")
     return spark.createDataFrame(list(enumerate(report.capped_warnings(rows), 1)), "place long, warning string")
@@ -413,6 +411,13 @@ def duplicate_report_last(spark, sf_dir):
     return _duplicates(spark, sf_dir, "keep_last")
 
 
+@query(_told("keep_last", "lag(@)"))
+def duplicate_report_ranges(spark, sf_dir):
+    """``keep_last`` with every key dealt in ranges of its order, as only keys with very many records are."""
+    found = dedupe.duplicates(dedupe.pair_up(_products(spark, sf_dir), "keep_last", many=0), "keep_last")
+    return found.select(F.col("seq.n").alias("p_partkey"), "source_id", "kind", F.array_join("differing_fields", ", ").alias("differing"), "kept_source_id", "kept_url")
+
+
 @query(f"select field, count(*) as n from (select unnest(string_split(differing, ', ')) as field from ({_told('keep_first', 'first_value(@)')}) where differing <> '') group by field")
 def differing_fields(spark, sf_dir):
     found = dedupe.duplicates(dedupe.pair_up(_products(spark, sf_dir)))
@@ -574,6 +579,35 @@ def loop_guard(spark, sf_dir):
     return paging.follow(nations, start).select(F.col("source_id").alias("r"), "page_no", "stopped_because")
 
 
+@query("select source_id, page_no from (select *, row_number() over (partition by source_id order by page_no) as r from (select user_id as source_id, event_id as page_no from events)) where r <= source_id % 5 + 1")
+def page_cap_by_source(spark, sf_dir):
+    """A cap of its own for each source."""
+    return paging.capped(_page_events(spark, sf_dir), F.col("source_id") % 5 + 1).select("source_id", "page_no")
+
+
+WALK = """
+with placed as (select o_custkey, o_orderkey, row_number() over w as page_no, count(*) over (partition by o_custkey) as n from orders window w as (partition by o_custkey order by o_orderkey))
+select o_custkey as source_id, cast(page_no as integer) as page_no, cast(o_orderkey as varchar) as url,
+    case when page_no = n and o_custkey % 3 = 0 then 'loop_detected' when page_no = n and o_custkey % 3 = 2 then 'no_next_link' when page_no = 12 then 'max_pages' end as stopped_because
+from placed where page_no <= 12
+union all
+select o_custkey, cast(max(n) + 1 as integer), 'gone', 'page_failed' from placed where o_custkey % 3 = 1 group by 1 having max(n) < 12
+"""
+
+
+@query(WALK)
+def page_walk(spark, sf_dir):
+    """A customer's orders as pages, each linking to the next; a last one links back to the first, to a page that is missing, or nowhere. Twelve pages at most."""
+    from pyspark.sql.window import Window
+
+    w, url = Window.partitionBy("o_custkey").orderBy("o_orderkey"), F.col("o_orderkey").cast("string")
+    orders = _table(spark, sf_dir, "orders")
+    last = F.when(F.col("o_custkey") % 3 == 0, F.first(url).over(w)).when(F.col("o_custkey") % 3 == 1, "gone")
+    links = orders.select(F.col("o_custkey").alias("source_id"), url.alias("url"), F.coalesce(F.lead(url).over(w), last).alias("next_url"))
+    start = orders.groupBy(F.col("o_custkey").alias("source_id")).agg(F.min("o_orderkey").cast("string").alias("url"))
+    return paging.follow(links, start, 12).select("source_id", F.col("page_no").cast("int").alias("page_no"), "url", "stopped_because")
+
+
 @query("select event_id, cast(least(500 * pow(2, event_id % 8), 30000) as bigint) as base_ms, cast(greatest(least(500 * pow(2, event_id % 8), 30000), event_id % 50 * 1000) as bigint) as wait_ms from events")
 def retry_backoff(spark, sf_dir):
     attempt, asked = F.col("event_id") % 8 + 1, (F.col("event_id") % 50).cast("string")
@@ -651,9 +685,16 @@ def host_links(spark, sf_dir):
     return flagship(spark, sf_dir)
 
 
+def _all() -> None:
+    """The modules whose queries register when they are imported."""
+    from orchardflow.plans import artifacts, streams  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _all()
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return dict(_sql)

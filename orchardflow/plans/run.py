@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +18,7 @@ from orchardflow.operators import changes, dedupe, report
 from orchardflow.operators.extract import read_pages
 from orchardflow.operators.extract import records as records_of
 from orchardflow.operators.normalize import normalize, reason_counts, rejected, settings, valid
-from orchardflow.sources.config import Config
+from orchardflow.sources.config import Config, Source
 
 
 @dataclass
@@ -58,36 +60,19 @@ def run(spark: SparkSession, config: Config, pages: DataFrame, now: datetime, st
     firsts = counted.groupBy("source_id").agg(F.min(F.struct("page_no", "page_url", "n")).alias("first"))
     empty = firsts.where("first.n = 0").select("source_id", "first.page_no", "first.page_url")
     broken = pages.where(F.col("error_kind").isNotNull()).select("source_id", F.coalesce("requested_url", "url").alias("url"), "page_no", F.col("error_kind").alias("kind"), "attempts", F.col("error_message").alias("message"))
-    nothing = empty.select("source_id", F.col("page_url").alias("url"), "page_no", F.lit("no_records").alias("kind"), F.lit(1).alias("attempts"), F.lit("the page loaded but record_selector matched nothing; it is probably out of date").alias("message"))
+    nothing = empty.select("source_id", F.col("page_url").alias("url"), "page_no", F.lit("no_records").alias("kind"), F.lit(1).alias("attempts"), F.lit("no record on the first page: record_selector may no longer fit").alias("message"))
     failures = broken.unionByName(nothing)
 
-    one = F.lit(1).cast("long")
-    events = [
-        read.select("source_id", F.lit("pages_fetched").alias("counter"), one.alias("n")),
-        failures.select("source_id", F.lit("pages_failed").alias("counter"), one.alias("n")),
-        rows.select("source_id", F.lit("records_found").alias("counter"), one.alias("n")),
-        paired.where("other is null").select("source_id", F.lit("valid").alias("counter"), one.alias("n")),
-        rejected(rows).select("source_id", F.lit("rejected").alias("counter"), one.alias("n")),
-        same.select("source_id", F.concat(F.lit("duplicates_"), F.col("kind")).alias("counter"), one.alias("n")),
-    ]
-    all_events = events[0]
-    for e in events[1:]:
-        all_events = all_events.unionByName(e)
-    declared = spark.createDataFrame([(s.id, s.kind, i) for i, s in enumerate(config.sources)], "source_id string, kind string, at int")
-    by_source = report.source_counters(declared, all_events).orderBy("at").collect()  # a row for each configured source
-    counters = spark.createDataFrame(by_source)
-    wrong = [r.source_id for r in report.unbalanced(counters).collect()]
-    total = report.with_total(counters).where("source_id is null").first()
-    histogram = {r.change: r.n for r in changes.change_counts(survived).collect()}
+    told = _told(spark, config, pages, read, rows, paired, same, survived, failures)
+    by_source, total = told["counters"], {c: sum(r[c] for r in told["counters"]) for c in report.COUNTERS}
+    histogram, rejections = told["change"], told["reason"]
     exported, survivors = (sum(n for c, n in histogram.items() if not only_changed or c in ("new", "changed"))), sum(histogram.values())
-    if wrong or survivors != total.valid:
-        raise report.Unreconciled(f"counters do not reconcile for {', '.join(wrong) or 'the survivors'}")
-    reasons = _stop_reasons(config, pages, counted)
-    n_failures = failures.count()
-    warnings = report.capped_warnings(rows.where("warning is not null").select("seq", "warning"))
+    wrong = [r["source_id"] for r in by_source if r["records_found"] != r["valid"] + r["rejected"] + r["duplicates_identical"] + r["duplicates_conflicting"]]
+    if wrong or survivors != total["valid"]:
+        raise report.Unreconciled(f"counters contradict each other: {', '.join(wrong) or 'more or fewer survivors than valid records'}")
+    warnings = report.at_most(told["warning"])
     if not exported:
-        warnings.append("no products were exported; check failures and rejections above")
-    totals = {c: total[c] for c in report.COUNTERS}
+        warnings.append("nothing was exported: see the failures and the rejected records")
     found = {
         "run_id": run_id,
         "started_at": now.isoformat(),
@@ -95,36 +80,71 @@ def run(spark: SparkSession, config: Config, pages: DataFrame, now: datetime, st
         "config_path": config.path,
         "config_sha256": config.sha256,
         "state_file": config.run.state_file,
-        "sources": [{"source_id": r.source_id, "kind": r.kind, **{c: r[c] for c in report.COUNTERS}, "stopped_because": reasons.get(r.source_id, "not_started")} for r in by_source],
-        "totals": totals,
-        "rejections_by_reason": {r.reason: r.n for r in reason_counts(rejected(rows)).collect()},
+        "sources": [{"source_id": r["source_id"], "kind": r["kind"], **{c: r[c] for c in report.COUNTERS}, "stopped_because": told["stopped"].get(r["source_id"], "not_started")} for r in by_source],
+        "totals": total,
+        "rejections_by_reason": dict(sorted(rejections.items())),
         "changes": histogram | {"filtered_out": survivors - exported},
         "warnings": warnings,
         "exported": exported,
-        "exit_code": int(bool(n_failures) or not exported),
+        "exit_code": int(bool(total["pages_failed"]) or not exported),
     }
     return RunResult(products.orderBy("first_seq"), rejected(rows), same, failures, survived.select("key", "content_hash", "source_id"), found, [read, rows, survived])
 
 
-def _stop_reasons(config: Config, pages: DataFrame, counted: DataFrame) -> dict[str, str]:
-    """Why each source's pagination ended: as the crawl says, else from its last page."""
-    last = pages.groupBy("source_id").agg(F.max(F.struct("page_no", "error_kind", "stopped_because")).alias("p")).select("source_id", "p.*")
-    joined = last.join(counted.select("source_id", F.col("page_no").alias("p"), "n"), ["source_id"], "left").where("p is null or p = page_no or error_kind is not null")
-    totals = counted.groupBy("source_id").agg(F.count_if(F.col("n") > 0).alias("full"))
-    out = {}
-    for r in joined.join(totals, "source_id", "left").dropDuplicates(["source_id"]).collect():  # a row for each configured source
-        s = config.source(r.source_id)
-        if r.error_kind:
-            why = "page_failed"
-        elif r.n == 0:
-            why = "empty_page" if r.full else "no_records"
-        elif r.stopped_because:
-            why = r.stopped_because
-        elif s.pagination.strategy == "none":
-            why = "single_page"
-        elif r.full and r.full >= s.pagination.max_pages:
-            why = "max_pages"
-        else:
-            why = "no_next_link"
-        out[r.source_id] = why
-    return out
+def _told(spark: SparkSession, config: Config, pages: DataFrame, read: DataFrame, rows: DataFrame, paired: DataFrame, same: DataFrame, survived: DataFrame, failures: DataFrame) -> dict:
+    """All that the report needs, by one action over the tables of the run: counters and the end of each source's pages, changes, reasons, first warnings.
+
+    Every part is an aggregate, or a limit, bounded by the sources of the config or a closed vocabulary; they come as rows of (what, name, told as JSON).
+    """
+    one = F.lit(1).cast("long")
+    named = lambda df, name: df.select("source_id", (F.lit(name) if isinstance(name, str) else name).alias("counter"), one.alias("n"))
+    events = [
+        named(read, "pages_fetched"),
+        named(failures, "pages_failed"),
+        named(rows, "records_found"),
+        named(paired.where("other is null"), "valid"),
+        named(rejected(rows), "rejected"),
+        named(same, F.concat(F.lit("duplicates_"), F.col("kind"))),
+    ]
+    declared = spark.createDataFrame([(s.id, s.kind, i) for i, s in enumerate(config.sources)], "source_id string, kind string, at int")
+    counters = report.source_counters(declared, reduce(DataFrame.unionByName, events))
+
+    seen = pages.select("source_id", F.struct("page_no", "error_kind", "stopped_because").alias("page"), F.lit(None).cast("struct<page_no:int,n:int>").alias("read"))
+    fetched = read.select("source_id", F.lit(None).cast("struct<page_no:int,error_kind:string,stopped_because:string>").alias("page"), F.struct("page_no", F.size("records").alias("n")).alias("read"))
+    ends = seen.unionByName(fetched).groupBy("source_id").agg(F.max("page").alias("page"), F.max("read").alias("read"), F.count_if(F.col("read.n") > 0).alias("full"))
+
+    as_rows = lambda df, what, name: df.select(F.lit(what).alias("what"), F.col(name).cast("string").alias("name"), F.to_json(F.struct(*(c for c in df.columns if c != name)), {"ignoreNullFields": "false"}).alias("told"))
+    first = rows.where("warning is not null").select("seq", "warning").orderBy("seq").limit(report.MOST_WARNINGS + 1)
+    parts = [
+        as_rows(counters, "counters", "source_id"),
+        as_rows(ends, "ends", "source_id"),
+        as_rows(changes.change_counts(survived), "change", "change"),
+        as_rows(reason_counts(rejected(rows)), "reason", "reason"),
+        as_rows(first, "warning", "warning"),
+    ]
+    found: dict[str, list[tuple[str, dict]]] = {x: [] for x in ("counters", "ends", "change", "reason", "warning")}
+    for r in reduce(DataFrame.unionByName, parts).collect():
+        found[r.what].append((r.name, json.loads(r.told)))
+    by_source = sorted((dict(t, source_id=name) for name, t in found["counters"]), key=lambda r: r["at"])
+    warnings = sorted(found["warning"], key=lambda w: tuple(w[1]["seq"].values()))
+    return {
+        "counters": by_source,
+        "change": {name: t["n"] for name, t in found["change"]},
+        "reason": {name: t["n"] for name, t in found["reason"]},
+        "warning": [name for name, _ in warnings],
+        "stopped": {name: _stopped(config.source(name), t) for name, t in found["ends"]},
+    }
+
+
+def _stopped(source: Source, ends: dict) -> str:
+    """Why a source's pagination ended: as the crawl says, else from its last page."""
+    last, read, full = ends["page"], ends["read"], ends["full"]
+    if last["error_kind"]:
+        return "page_failed"
+    if read and read["page_no"] == last["page_no"] and read["n"] == 0:
+        return "empty_page" if full else "no_records"
+    if last["stopped_because"]:
+        return last["stopped_because"]
+    if source.pagination.strategy == "none":
+        return "single_page"
+    return "max_pages" if full and full >= source.pagination.max_pages else "no_next_link"

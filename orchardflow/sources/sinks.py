@@ -1,12 +1,11 @@
 """Outputs: the four datasets as CSV and JSON, and the report.
 
-``write_files`` makes the single files of a small run, rows streamed through the driver one partition at a time. ``write_tables`` writes the same
-columns as distributed CSV and JSON-lines folders for runs of any size.
+``write_files`` makes single files, each joined by one task of what all tasks rendered. ``write_tables`` writes the same columns as CSV and JSON-lines
+folders, a file a task. The names and order of the columns are fixed values: consumers read the files by them.
 """
 
 from __future__ import annotations
 
-import csv
 import json
 from pathlib import Path
 
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orchardflow.functions.records import KEY_MARK
 from orchardflow.functions.values import amount_text, minor_digits
+from orchardflow.sources.artifact import publish, render
 
 
 def product_rows(products: DataFrame) -> DataFrame:
@@ -74,27 +74,6 @@ def failure_rows(failures: DataFrame) -> DataFrame:
     return failures.select("source_id", "page_no", "url", "kind", "attempts", "message")
 
 
-def _cell(value) -> str:
-    return "" if value is None else ("true" if value else "false") if isinstance(value, bool) else str(value)
-
-
-def _write_csv(path: Path, df: DataFrame, encoding: str) -> None:
-    with path.open("w", encoding=encoding, newline="") as out:
-        rows = csv.writer(out, lineterminator="\n")
-        rows.writerow(df.columns)
-        rows.writerows([_cell(x) for x in r] for r in df.toLocalIterator())
-
-
-def _write_json(path: Path, df: DataFrame) -> None:
-    with path.open("w", encoding="utf-8") as out:
-        out.write("[")
-        i = -1
-        for i, r in enumerate(df.toLocalIterator()):
-            body = json.dumps(r.asDict(recursive=True), indent=2, ensure_ascii=False, default=str)
-            out.write(("," if i else "") + "\n  " + body.replace("\n", "\n  "))
-        out.write("]" if i < 0 else "\n]")
-
-
 def datasets(result) -> dict[str, tuple[DataFrame, DataFrame]]:
     """name: (flat rows for CSV, structured rows for JSON)."""
     products, duplicates = product_rows(result.products), duplicate_rows(result.duplicates)
@@ -117,26 +96,30 @@ def product_rows_with_price(products: DataFrame) -> DataFrame:
 
 
 def write_files(result, folder: str | Path, formats: tuple[str, ...] = ("csv", "json"), encoding: str = "utf-8-sig") -> dict[str, str]:
-    """Each dataset in each format as one file, empty ones too, and ``run-report.json``. Gives the paths by name."""
-    folder = Path(folder)
-    folder.mkdir(parents=True, exist_ok=True)
-    written = {}
+    """Each dataset in each format as one file, empty ones too, and ``run-report.json``. Gives the paths by name.
+
+    The executors render the rows and join the files; see :mod:`orchardflow.sources.artifact`.
+    """
+    folder = str(folder) if "://" in str(folder) else str(Path(folder).absolute())
+    made, spark = {}, result.products.sparkSession
     for name, (flat, structured) in datasets(result).items():
-        if "csv" in formats:
-            _write_csv(folder / f"{name}.csv", flat, encoding)
-            written[f"{name}.csv"] = str(folder / f"{name}.csv")
-        if "json" in formats:
-            _write_json(folder / f"{name}.json", structured)
-            written[f"{name}.json"] = str(folder / f"{name}.json")
-    written["run-report.json"] = str(folder / "run-report.json")
+        for form, rows, code in (("csv", flat, encoding), ("json", structured, "utf-8")):
+            if form in formats:
+                made[f"{name}.{form}"] = render(rows, f"{folder}/{name}.{form}", form, code)
+    publish(spark, list(made.values()))
+    written = {name: a.path for name, a in made.items()} | {"run-report.json": f"{folder}/run-report.json"}
     write_report(result.report, folder, written)
     return written
 
 
 def write_report(report: dict, folder: str | Path, outputs: dict[str, str]) -> None:
-    """``run-report.json`` in a local folder."""
-    Path(folder).mkdir(parents=True, exist_ok=True)
-    (Path(folder) / "run-report.json").write_text(json.dumps(report | {"outputs": outputs}, indent=2, ensure_ascii=False), encoding="utf-8")
+    """``run-report.json`` in a folder, of the driver's or of a store."""
+    from pyarrow import fs
+
+    store, base = fs.FileSystem.from_uri(str(folder) if "://" in str(folder) else str(Path(folder).absolute()))
+    store.create_dir(base, recursive=True)
+    with store.open_output_stream(f"{base}/run-report.json") as out:
+        out.write(json.dumps(report | {"outputs": outputs}, indent=2, ensure_ascii=False).encode())
 
 
 def read_report(path: str | Path) -> dict:

@@ -1,8 +1,15 @@
-"""Snapshots of keys and content hashes between runs: read with checks, replaced whole."""
+"""Snapshots of keys and content hashes between runs: read with checks, replaced whole.
+
+A snapshot is a folder of records and a numbered small file that names it, which appears by one rename to a name that was never used. The highest number
+counts, so at every moment a whole snapshot is there: the old one or the new. The one before is kept for runs that still read it; older ones are removed.
+"""
 
 from __future__ import annotations
 
 import json
+import re
+import time
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +19,7 @@ from orchardflow.sources.config import ConfigError
 
 VERSION = 1
 COLUMNS = "key string, content_hash string, source_id string"
+META = re.compile(r"meta(?:-(\d+))?\.json")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -27,7 +35,8 @@ def read_state(spark: SparkSession, path: str | None) -> DataFrame | None:
     if not fs.exists(where):
         return spark.createDataFrame([], COLUMNS)
     try:
-        meta = json.loads("\n".join(r.value for r in spark.read.text(f"{path}/meta.json").collect()))  # one small file
+        metas = _metas(spark, path)
+        meta = json.loads("\n".join(r.value for r in spark.read.text(f"{path}/{metas[-1][1]}").collect()))  # one small file
         if meta["version"] != VERSION:
             raise ConfigError(f"{path}: snapshot version {meta['version']} is not supported")
         found = spark.read.parquet(f"{path}/{meta['records']}")
@@ -40,15 +49,42 @@ def read_state(spark: SparkSession, path: str | None) -> DataFrame | None:
         raise ConfigError(f"{path} is not a readable snapshot: {wrong}") from wrong
 
 
+def _metas(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, name) of the files that name snapshots, in order; one without a number comes first."""
+    fs, where = _fs(spark, path)
+    names = [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
+    return sorted((int(m[1] or 0), name) for name in names if (m := META.fullmatch(name)))
+
+
 def write_state(spark: SparkSession, path: str, state: DataFrame, now: datetime) -> None:
-    """Write a new snapshot beside the old one, then point to it: a reader of the old one, this run included, is never cut off."""
-    name = f"records-{now:%Y%m%dT%H%M%S%f}"
-    state.write.mode("overwrite").parquet(f"{path}/{name}")
-    meta = json.dumps({"version": VERSION, "updated_at": now.isoformat(), "records": name})
-    fs, where = _fs(spark, f"{path}/meta.json.new")
-    out = fs.create(where, True)
-    out.write(bytearray(meta.encode()))
+    """Write a new snapshot beside the old one, then name it: a reader of the old one, this run included, is never cut off."""
+    before = _metas(spark, path)
+    name = f"records-{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
+    state.write.parquet(f"{path}/{name}")
+    number = before[-1][0] + 1 if before else 1
+    _publish(spark, path, f"meta-{number:08d}.json", {"version": VERSION, "updated_at": now.isoformat(), "records": name})
+    _prune(spark, path)
+
+
+def _publish(spark: SparkSession, path: str, name: str, meta: dict) -> None:
+    fs, new = _fs(spark, f"{path}/.{name}-{uuid.uuid4().hex}")
+    out = fs.create(new, False)
+    out.write(bytearray(json.dumps(meta).encode()))
     out.close()
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/meta.json")
-    fs.delete(target, False)
-    fs.rename(where, target)
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+    if fs.exists(target) or not fs.rename(new, target):
+        fs.delete(new, False)
+        raise ConfigError(f"{path}: another run has written {name} meanwhile; the snapshot stays as it was")
+
+
+def _prune(spark: SparkSession, path: str) -> None:
+    """Remove all but the last two snapshots, and records of the day before or earlier that no snapshot names, left by a run that broke off."""
+    fs, where = _fs(spark, path)
+    metas = [m for _, m in _metas(spark, path)]
+    named = {m: json.loads("\n".join(r.value for r in spark.read.text(f"{path}/{m}").collect()))["records"] for m in metas}
+    kept = {*metas[-2:], *(named[m] for m in metas[-2:])}
+    for f in fs.listStatus(where):
+        name = f.getPath().getName()
+        left_over = name.startswith("records-") and f.getModificationTime() < (time.time() - 86_400) * 1000
+        if name not in kept and (name in named or name in named.values() or left_over):
+            fs.delete(f.getPath(), True)
