@@ -457,7 +457,8 @@ def deduplicated(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     rows = stored(rows.select("*", F.length("payload").cast("long").alias("payload_length"), F.sha2("payload", 256).alias("payload_digest")), "pages")
     row = F.struct(F.col("id").isNull().alias("none"), "id", "no")
     groups = rows.where(F.col("payload_length") >= least).groupBy("payload_digest", "payload_length").agg(F.count("*").alias("n"), F.min(row).alias("first"))
-    groups = groups.where("n > 1").select("payload_digest", "payload_length", "first")  # broadcast by Spark where its size allows, else a join whose skew it can split
+    # written, so that Spark knows its size: it broadcasts it only if small, and then the payloads are not shuffled; else it is a join whose skew Spark can split
+    groups = stored(groups.where("n > 1").select("payload_digest", "payload_length", "first"), "copies")
     named = lambda i, n: F.concat(F.lit("urn:page:"), F.coalesce(i.cast("string"), F.lit("")), F.lit(":"), n.cast("string"))
     again = F.col("first.no") != F.col("no")
     joined = rows.join(groups, ["payload_digest", "payload_length"], "left")
