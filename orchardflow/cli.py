@@ -43,6 +43,7 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--config", required=True)
         c.add_argument("--source", action="append", default=[], help="run this source only; may be repeated")
         if name == "scrape":
+            c.add_argument("--events", help="folder for a JSON line for each page and each record that was not exported, written by the executors")
             c.add_argument("--pages", help="Parquet of fetched pages; without it they are crawled")
             c.add_argument("--only-changed", action="store_true")
             c.add_argument("--output-dir")
@@ -91,13 +92,15 @@ def _scrape(asked: argparse.Namespace, config: Config) -> int:
     from orchardflow.operators.changes import merged_state
     from orchardflow.plans.run import run
     from orchardflow.sources.crawl import crawl, rendered_pages
-    from orchardflow.sources.sinks import write_files, write_report, write_tables
+    from orchardflow.sources.shared import discard, stored
+    from orchardflow.sources.sinks import write_events, write_files, write_report, write_tables
     from orchardflow.sources.state import read_state, write_state
 
     log = log_to(sys.stderr, config.run.log_level, config.run.log_format)
     spark = SparkSession.builder.appName("orchardflow").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     state = read_state(spark, config.run.state_file)
-    pages = (rendered_pages(spark, asked.pages) if asked.pages else crawl(spark, config)).persist()
+    # fetched pages are written before anything reads them: no page is fetched twice, whatever executors are lost
+    pages = rendered_pages(spark, asked.pages) if asked.pages else stored(crawl(spark, config), "pages")
     now = asked.now or datetime.now(UTC)
     for s in config.sources:
         log.info("source started", extra={"data": {"source_id": s.id, "kind": s.kind, "start_url": s.start_url}})
@@ -108,6 +111,8 @@ def _scrape(asked: argparse.Namespace, config: Config) -> int:
         write_report(result.report, folder, {})
     else:
         write_files(result, folder, config.run.formats, config.run.csv_encoding)
+    if asked.events:
+        write_events(pages, result, asked.events, now)
     if config.run.state_file:
         if result.report["totals"]["valid"]:
             write_state(spark, config.run.state_file, merged_state(result.state, state, [s.id for s in config.sources] if asked.source else None), now)
@@ -122,4 +127,6 @@ def _scrape(asked: argparse.Namespace, config: Config) -> int:
     log.info("run finished", extra={"data": result.report["totals"]})
     print(summary(result.report))
     result.release()
+    if not asked.pages:
+        discard(pages)
     return result.report["exit_code"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from orchardflow.functions.text import escape_json, fold
+from orchardflow.functions.text import escape_json, fold, squeeze
 from orchardflow.functions.values import amount_text
 from orchardflow.schemas import COMPARED
 
@@ -18,21 +18,19 @@ def _key_part(name: str, ascii_only: bool) -> Column:
         return F.coalesce(F.concat(F.col("price.minor").cast("string"), F.col("price.currency")), F.lit(""))
     if name in ("rating", "listed_on"):
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
-    if ascii_only:
-        return F.coalesce(F.trim(F.regexp_replace(F.lower(name), r"\s+", " ")), F.lit(""))
-    return fold(F.col(name))
+    return F.coalesce(F.lower(squeeze(F.col(name))), F.lit("")) if ascii_only else fold(F.col(name))
 
 
 def dedupe_key(fields: tuple[str, ...] | list[str] = ("sku",), ascii_only: bool = False) -> Column:
-    """The key of a product: its fields rendered, texts case-folded, joined by the unit separator. ``ascii_only`` stays native."""
+    """The key of a product: its fields rendered, texts case-folded, joined by the unit separator. ``ascii_only`` has no Python in its plan at all."""
     return F.concat_ws(KEY_MARK, *(_key_part(x, ascii_only) for x in fields))
 
 
 def content_hash(ascii_only: bool = False) -> Column:
-    """SHA-256 of the business fields as compact JSON with sorted names, nulls stated, and escapes outside ASCII."""
+    """SHA-256 of the business fields as compact JSON with sorted names, nulls stated, and escapes outside ASCII; native throughout. ``ascii_only`` has no escapes to put right."""
     text = F.to_json(
         F.struct("availability", "category", F.col("price.currency").alias("currency"), F.col("listed_on").cast("string").alias("listed_on"), F.col("price.minor").alias("minor"), "rating", "sku", "title", "url"),
-        {"ignoreNullFields": "false"},
+        {"ignoreNullFields": "false", "writeNonAsciiCharacterAsCodePoint": "true"},
     )
     return F.sha2(text if ascii_only else escape_json(text), 256)
 

@@ -1,10 +1,8 @@
-"""Text functions that need Python's Unicode tables, as Arrow UDFs, and their native forms for plain ASCII."""
+"""Text functions. What needs Python's Unicode tables is an Arrow UDF; plain ASCII rows are worked natively and reach Python as nulls only."""
 
 from __future__ import annotations
 
 import html
-import json
-import re
 import unicodedata
 from urllib.parse import urljoin, urlsplit
 
@@ -49,8 +47,18 @@ def resolved(link: str | None, page: str | None) -> tuple[str | None, str | None
 
 
 @F.arrow_udf(T.StringType())
-def clean_text(raw: pa.Array) -> pa.Array:
-    return pa.array([cleaned(x) for x in raw.to_pylist()], pa.string())
+def _clean(raw: pa.Array) -> pa.Array:
+    return pa.array([cleaned(x) for x in raw.to_pylist()] if raw.null_count < len(raw) else [None] * len(raw), pa.string())
+
+
+def is_ascii(text: Column) -> Column:
+    return F.length(text) == F.octet_length(text)
+
+
+def clean_text(raw: Column) -> Column:
+    """:func:`cleaned`, natively where the text is ASCII and has no entities."""
+    plain = is_ascii(raw) & (F.instr(raw, "&") == 0)
+    return F.when(plain, squeeze(raw)).otherwise(_clean(F.when(~plain, raw)))
 
 
 @F.arrow_udf(T.StructType([T.StructField("value", T.StringType()), T.StructField("code", T.StringType())]))
@@ -65,21 +73,26 @@ def resolve_url(link: Column, page: Column) -> Column:
 
 
 @F.arrow_udf(T.StringType())
-def fold(text: pa.Array) -> pa.Array:
-    """Full case folding with white space collapsed; null gives the empty string."""
-    return pa.array([" ".join((x or "").casefold().split()) for x in text.to_pylist()], pa.string())
+def _fold(text: pa.Array) -> pa.Array:
+    return pa.array([None if x is None else " ".join(x.casefold().split()) for x in text.to_pylist()], pa.string())
 
 
-@F.arrow_udf(T.StringType())
-def escape_json(text: pa.Array) -> pa.Array:
-    """JSON text with everything outside ASCII as lower-case escapes."""
+def fold(text: Column) -> Column:
+    """Full case folding with white space collapsed; null gives the empty string. ASCII is folded natively."""
+    plain = is_ascii(text)
+    return F.coalesce(F.when(plain, F.lower(squeeze(text))).otherwise(_fold(F.when(~plain, text))), F.lit(""))
+
 
-    def one(x: str | None) -> str | None:
-        if x is None or (x.isascii() and "\\u" not in x):
-            return x
-        return re.sub(r"[^\x00-\x7f]", lambda m: json.dumps(m[0])[1:-1], re.sub(r"\\u[0-9A-Fa-f]{4}", lambda m: m[0].lower(), x))
+def escape_json(text: Column) -> Column:
+    """JSON text, in which everything outside ASCII is escaped already, with its escapes in lower case, as ``to_json`` has them in upper case.
 
-    return pa.array([one(x) for x in text.to_pylist()], pa.string())
+    An escaped backslash is no part of an escape. DEL is escaped too.
+    """
+    pairs = F.replace(F.replace(text, F.lit("\\\\"), F.lit("\x01")), F.lit("\x7f"), F.lit("\\u007F"))  # no control character stands in JSON text
+    parts = F.split(pairs, r"\\u")
+    low = F.transform(parts, lambda x, i: F.when(i == 0, x).otherwise(F.concat(F.lower(F.left(x, F.lit(4))), F.substring(x, F.lit(5), F.length(x)))))
+    escaped = F.replace(F.array_join(low, "\\u"), F.lit("\x01"), F.lit("\\\\"))
+    return F.when(F.contains(text, F.lit("\\u")) | F.contains(text, F.lit("\x7f")), escaped).otherwise(text)
 
 
 def squeeze(text: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import urllib.parse
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -116,3 +119,62 @@ def robots_allows(status: Column, disallowed: Column) -> Column:
     A server error or no answer (null) denies.
     """
     return F.when(status.between(200, 299), ~F.coalesce(disallowed, F.lit(False))).otherwise(F.coalesce(status.between(400, 499), F.lit(False)))
+
+
+RULES = "array<struct<group:int,agents:array<string>,path:string,allow:boolean>>"
+
+
+def robots_lines(body: str) -> list[dict]:
+    """The rules of a robots.txt in order, as mappings with the fields of ``RULES``; paths are percent-decoded, agents in lower case.
+
+    A group begins with its agents and ends at an empty line or at an agent line after a rule; its last rule here allows whatever none before decided.
+    """
+    found: list[dict] = []
+    agents: list[str] = []
+    group, ruled = 0, False
+    for line in [*body.splitlines(), ""]:
+        name, _, value = line.partition("#")[0].partition(":")
+        name, value = name.strip().lower(), urllib.parse.unquote(value.strip())
+        if not line or (name == "user-agent" and ruled):
+            if ruled:
+                found.append({"group": group, "agents": agents, "path": "", "allow": True})
+            agents, group, ruled = [], group + 1, False
+        if name == "user-agent":
+            agents = [*agents, value.lower()]
+        elif agents and name in ("allow", "disallow"):
+            found.append({"group": group, "agents": agents, "path": value, "allow": name == "allow" or not value})
+            ruled = True
+        elif agents and name in ("crawl-delay", "request-rate"):
+            ruled = True
+    return found
+
+
+def robots_verdicts(urls: DataFrame, files: DataFrame, agent: str, longest: bool = False) -> DataFrame:
+    """``urls`` (url and more) with ``allowed``, by the robots files (origin, status, body) of their origins.
+
+    The first group that names the agent holds, or else the first one for ``*``. In it the first rule whose path begins what follows the origin counts or, with ``longest``, the
+    longest such rule, of equal ones one that allows; without any the URL is allowed. An absent file (4xx) allows all; a server error, or no row for the origin, nothing.
+
+    The rules of an origin are one row, which meets the origin's URLs in an equi-join that Spark broadcasts or splits as sizes ask; they are tried within the row.
+    """
+
+    @F.arrow_udf(RULES)
+    def parsed(body: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.struct([("group", pa.int32()), ("agents", pa.list_(pa.string())), ("path", pa.string()), ("allow", pa.bool_())]))
+        return pa.array([[] if x is None else robots_lines(x) for x in body.to_pylist()], kind)
+
+    own = F.lit(agent.split("/")[0].lower())
+    for_all = lambda r: F.array_contains(r["agents"], "*")
+    first = lambda fits: F.get(F.filter("_all", fits), F.lit(0))["group"]
+    group = F.coalesce(first(lambda r: ~for_all(r) & F.exists(r["agents"], lambda a: F.contains(own, a))), first(for_all))
+    held = files.select(F.lower("origin").alias("_origin"), F.col("status").alias("_status"), parsed(F.when(F.col("status").between(200, 299), F.col("body"))).alias("_all"))
+    held = held.select("_origin", "_status", F.filter("_all", lambda r: r["group"] == group).alias("_rules"))
+    start = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*"
+    rest = F.regexp_replace("url", start, "")
+    path = F.coalesce(F.try_url_decode(F.replace(rest, F.lit("+"), F.lit("%2B"))), rest)
+    joined = urls.withColumns({"_at": F.lower(F.regexp_extract("url", start, 0)), "_path": F.when(path == "", "/").otherwise(path)}).join(held, F.col("_at") == F.col("_origin"), "left")
+    fits = F.filter("_rules", lambda r: F.startswith(F.col("_path"), r["path"]))
+    if longest:
+        fits = F.array_sort(F.transform(fits, lambda r: F.struct((-F.length(r["path"])).alias("n"), (~r["allow"]).alias("denies"), r["allow"].alias("allow"))))
+    verdict = F.coalesce(F.get(fits, F.lit(0))["allow"], F.lit(True))
+    return joined.select(*urls.columns, robots_allows(F.col("_status"), ~verdict).alias("allowed"))

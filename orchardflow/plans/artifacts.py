@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from orchardflow.operators.changes import merged_state
 from orchardflow.operators.dedupe import duplicates, pair_up
-from orchardflow.plans.queries import NOW, RUN_SQL, _catalogue, _config, _table, query
+from orchardflow.plans.queries import NOW, PLACED, RUN_SQL, WHY, _catalogue, _config, _table, query
 from orchardflow.plans.run import run
 from orchardflow.sources import sinks
 from orchardflow.sources.artifact import publish, render
@@ -100,3 +100,20 @@ def state_between_runs(spark, sf_dir):
     met = part.where("p_partkey % 2 = 1 and p_partkey % 5 > 0").withColumn("content_hash", F.sha2("p_brand", 256))
     write_state(spark, path, merged_state(met, read_state(spark, path), ["s1"]), NOW)
     return read_state(spark, path).select("key", "content_hash", "source_id")
+
+
+EVENT_SQL = f"""
+with placed as ({PLACED})
+select 'page fetched' as event, source_id, count(distinct page_no) as n from placed group by source_id
+union all select 'record rejected', source_id, count(*) from placed where len({WHY}) > 0 group by source_id
+"""
+
+
+@query(EVENT_SQL)
+def event_log(spark, sf_dir):
+    """A run's events as the executors write them, counted by kind and source."""
+    result = run(spark, _config(), _catalogue(spark, sf_dir), NOW)
+    folder = fresh(spark, "events")
+    sinks.write_events(_catalogue(spark, sf_dir), result, folder, NOW)
+    result.release()
+    return spark.read.json(folder).groupBy("event", "source_id").agg(F.count("*").alias("n"))

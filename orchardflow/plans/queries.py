@@ -629,6 +629,25 @@ def robots_predicate(spark, sf_dir):
     return nation.join(rules, nation.n_regionkey == rules.n_regionkey, "left").select("n_nationkey", paging.robots_allows(F.col("status"), F.col("disallowed")).alias("allowed"))
 
 
+ROBOTS = """
+with placed as (select page_id, regexp_extract(url, '^https?://[^/?#]*') as origin, url from pages),
+paths as (select page_id, length(origin) % 4 as n, substr(url, length(origin) + 1) as path from placed)
+select page_id, case n when 0 then false when 1 then true when 2 then starts_with(path, '/fr/1') or not starts_with(path, '/fr') else not starts_with(path, '/en/') end as allowed from paths
+"""
+
+
+@query(ROBOTS)
+def robots_rules(spark, sf_dir):
+    """Pages against their hosts' robots files, of which some fail, some are absent, and some have a group for this agent before the one for all."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    origins = pages.select(F.regexp_extract("url", "^https?://[^/?#]*", 0).alias("origin")).distinct()
+    named = "User-agent: *\nDisallow: /\n\nUser-agent: other\nUser-agent: Orchard # us\nCrawl-delay: 1\nAllow: /fr/%31\nDisallow: /fr\n"
+    every = "User-agent: *\nDisallow: /en/\nAllow: /\nDisallow: /fr\n\nUser-agent: other\nDisallow: /"
+    kind = F.length("origin") % 4
+    files = origins.select("origin", F.when(kind == 0, 503).when(kind == 1, 404).otherwise(200).alias("status"), F.when(kind == 2, named).otherwise(every).alias("body"))
+    return paging.robots_verdicts(pages, files, "OrchardBot/1.0").select("page_id", "allowed")
+
+
 @query("select n_nationkey, n_name from nation where n_regionkey in (select r_regionkey from region where r_name in ('ASIA', 'EUROPE'))")
 def source_filter_semi(spark, sf_dir):
     chosen = _table(spark, sf_dir, "region").where(F.col("r_name").isin("ASIA", "EUROPE"))

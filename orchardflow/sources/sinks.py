@@ -143,3 +143,33 @@ def write_tables(result, folder: str, formats: tuple[str, ...] = ("csv", "json")
             flat.write.mode("overwrite").options(**keep).csv(f"{folder}/{name}.csv")
         if "json" in formats:
             structured.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/{name}.json")
+
+
+def event_rows(pages: DataFrame, result, now) -> DataFrame:
+    """(at, level, event, source_id, data): what happened to each page and each record that was not exported; ``data`` is JSON.
+
+    The executors' own logs end with them; these rows come from the tables of the run, so they are as many and the same however often a task ran.
+    """
+
+    def rows(df: DataFrame, level: str, event: str, *data: Column) -> DataFrame:
+        return df.select(F.date_format(F.lit(now).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("at"), F.lit(level).alias("level"), F.lit(event).alias("event"), "source_id", F.to_json(F.struct(*data)).alias("data"))
+
+    fetched, failed = pages.where("error_kind is null"), pages.where("error_kind is not null")
+    reasons = F.transform("reasons", lambda r: F.concat_ws(":", r["field_name"], r["code"])).alias("reasons")
+    parts = [
+        rows(fetched, "INFO", "page fetched", F.col("url"), F.col("page_no"), F.col("status"), F.col("attempts"), F.col("fetched_with")),
+        rows(failed, "WARNING", "page failed", F.coalesce("requested_url", "url").alias("url"), F.col("page_no"), F.col("error_kind").alias("kind"), F.col("attempts"), F.col("error_message").alias("message")),
+        rows(pages.where(F.col("attempts") > 1), "INFO", "page fetch tried again", F.col("url"), F.col("attempts")),
+        rows(pages.where("stopped_because is not null"), "INFO", "pagination stopped", F.col("page_no"), F.col("stopped_because").alias("reason")),
+        rows(result.rejected, "INFO", "record rejected", F.col("page_url").alias("url"), F.col("record_no"), reasons),
+        rows(result.duplicates, "INFO", "duplicate dropped", F.col("key"), F.col("kind"), F.col("dropped_url").alias("url")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def write_events(pages: DataFrame, result, folder: str, now) -> None:
+    """The event rows as JSON lines, a file a task."""
+    event_rows(pages, result, now).write.mode("append").json(folder)

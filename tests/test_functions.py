@@ -119,6 +119,26 @@ def test_clean_text_column(spark):
     assert outcome(spark, [("a \n b\t", ""), ("  ", "")], text.squeeze(F.col("t"))) == ["a b", None]
 
 
+def test_native_and_python_forms_agree(spark):
+    """Texts of all ASCII characters and of others: each goes its own way, with one result."""
+    import random
+
+    rng = random.Random(1)
+    chars = [chr(i) for i in range(1, 128)] + list("\u00a0\u200b\u00adßéİﬁ漢😀\u2028") + [" ", "&amp;", "&#169", "\\u00E9", "\\\\"]
+    rows = [("".join(rng.choice(chars[:127] if i % 2 else chars) for _ in range(rng.randint(0, 12))), "") for i in range(600)]
+    assert outcome(spark, rows, text.clean_text(F.col("t"))) == [text.cleaned(t) for t, _ in rows]
+    assert outcome(spark, rows, text.fold(F.col("t"))) == [" ".join(t.casefold().split()) for t, _ in rows]
+    import json
+
+    made = F.to_json(F.struct(F.col("t")), {"writeNonAsciiCharacterAsCodePoint": "true"})
+    assert outcome(spark, rows, text.escape_json(made)) == [json.dumps({"t": t}, separators=(",", ":")) for t, _ in rows]
+
+
+def test_content_hash_runs_no_python(spark):
+    df = spark.createDataFrame([product()], PRODUCT).withColumn("h", records.content_hash())
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def product(sku="NC-1", title="Té", minor=5177, rating=3.0):
     return ("s", sku, title, ("GBP", minor), "in_stock", rating, None, date(2026, 7, 14), "http://x.test/1")
 

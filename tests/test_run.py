@@ -222,7 +222,7 @@ def test_spacing():
 
 
 def test_crawl_and_command_line(spark, site, tmp_path, monkeypatch, capsys):
-    base, _ = site
+    base, hits = site
     path = tmp_path / "c.yaml"
     path.write_text(catalogue.CONFIG.replace("${BASE:-http://127.0.0.1:8090}", base).replace("output_dir: out", f"output_dir: {tmp_path}/out"))
     config = load_config(path)
@@ -240,6 +240,12 @@ def test_crawl_and_command_line(spark, site, tmp_path, monkeypatch, capsys):
     assert len(list(csv.DictReader((tmp_path / "out/products.csv").open(encoding="utf-8-sig")))) == 2
     assert main(["scrape", "--config", str(path), "--source", "twin", "--tables", "--output-dir", str(tmp_path / "folders"), "--now", "2026-08-24T09:00:00+00:00"]) == 0
     assert spark.read.json(str(tmp_path / "folders/products.json")).count() == 2 and json.loads((tmp_path / "folders/run-report.json").read_text())["exported"] == 2
+    before = dict(hits)
+    assert main(["scrape", "--config", str(path), "--events", str(tmp_path / "events"), "--output-dir", str(tmp_path / "again"), "--now", "2026-08-24T09:00:00+00:00"]) == 1
+    assert {n - before.get(path, 0) for path, n in hits.items()} <= {0, 1, 2}  # robots.txt once for each of two kinds of fetchers, a page once
+    assert all(n - before.get(path, 0) <= 1 for path, n in hits.items() if path != "/robots.txt")
+    events = spark.read.json(str(tmp_path / "events")).groupBy("event").count().collect()
+    assert {r.event: r["count"] for r in events} == {"page fetched": 5, "page failed": 1, "pagination stopped": 4, "record rejected": 7, "duplicate dropped": 3}
     said = capsys.readouterr().err
     assert all(x in said for x in ("source started", "pagination stopped", "run finished"))
     assert main(["scrape", "--config", str(path), "--source", "nobody"]) == 2

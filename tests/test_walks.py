@@ -91,3 +91,31 @@ def test_a_hot_key_is_dealt_over_tasks(spark):
         assert parts > 1
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_robots_rules_as_the_crawler_has_them(spark):
+    """Random files against the parser that the crawler uses, which takes the first rule that fits."""
+    import urllib.robotparser
+
+    rng = random.Random(2)
+    lines = ["User-agent: *", "User-agent: orchard", "user-agent: other # x", "User-agent: bot", "Disallow: /a", "Allow: /a/b", "Disallow:", "Allow: /", "Disallow: /a?x=%31", "Disallow: /caf%C3%A9", "Crawl-delay: 2", "", "", "# note", "   ", "Sitemap: /s", "nonsense", "Allow: /a b"]
+    bodies = ["\n".join(rng.choice(lines) for _ in range(rng.randint(0, 14))) for _ in range(120)]
+    paths = ["", "/", "/a", "/a/b", "/a/bc?q", "/a?x=1", "/b", "/caf%c3%a9/x", "/a%20b", "/a+b", "?x", "/a#f", "/%zz"]
+    files = spark.createDataFrame([(f"http://h{i}.test", 200, x) for i, x in enumerate(bodies)], "origin string, status int, body string")
+    urls = spark.createDataFrame([(i, f"http://H{i}.test{p}", p) for i in range(len(bodies)) for p in paths], "i int, url string, p string")
+    got = paging.robots_verdicts(urls, files, "OrchardBot/2.1").collect()
+    for r in got:
+        parser = urllib.robotparser.RobotFileParser()
+        parser.parse(bodies[r.i].splitlines())
+        assert r.allowed == parser.can_fetch("OrchardBot/2.1", r.url), (bodies[r.i], r.p)
+    assert len(got) == len(bodies) * len(paths) and len({r.allowed for r in got}) == 2
+
+
+def test_longest_rule_and_missing_files(spark):
+    body = "User-agent: *\nDisallow: /a\nAllow: /a/b\nDisallow: /a/b/c\nAllow: /a/b/c"
+    files = spark.createDataFrame([("http://x", 200, body), ("http://gone", 404, None), ("http://down", 500, body), ("http://empty", 200, None)], "origin string, status int, body string")
+    urls = spark.createDataFrame([(u,) for u in ("http://x/a/b", "http://x/a/b/c", "http://x/a", "http://gone/a", "http://down/z", "http://unknown/", "http://empty/a", None)], "url string")
+    told = lambda longest: {r.url: r.allowed for r in paging.robots_verdicts(urls, files, "bot", longest).collect()}
+    always = {"http://gone/a": True, "http://down/z": False, "http://unknown/": False, "http://empty/a": True, None: False}
+    assert told(False) == always | {"http://x/a/b": False, "http://x/a/b/c": False, "http://x/a": False}
+    assert told(True) == always | {"http://x/a/b": True, "http://x/a/b/c": True, "http://x/a": False}
