@@ -140,6 +140,26 @@ def test_two_runs_at_once_do_not_overwrite(spark, tmp_path, monkeypatch):
     assert read_state(spark, path).count() == 1
 
 
+def test_snapshot_is_read_without_an_exchange(spark, tmp_path):
+    """Bucketed by key: the products are shuffled once, the snapshot not at all; no table stays behind."""
+    from orchardflow.operators.changes import classify
+
+    path, tables = str(tmp_path / "it's here"), len(spark.catalog.listTables())
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("content_hash"), F.lit("s").alias("source_id"))
+    write_state(spark, path, rows, NOW)
+    found = read_state(spark, path)
+    assert found.count() == 5000 and len(spark.catalog.listTables()) == tables
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        told = classify(rows.where("id % 2 = 0 or id % 3 = 0").withColumn("content_hash", F.when(F.col("key").cast("int") % 3 == 0, "x").otherwise(F.col("content_hash"))), found)
+        plan = told._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Bucketed: true" in plan or "SelectedBucketsCount" in plan
+        assert {r.change: r["count"] for r in told.groupBy("change").count().collect()} == {"changed": 1667, "unchanged": 1666}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert read_state(spark, path).where("key = '17'").count() == 1
+
+
 def test_old_snapshots_are_read(spark, tmp_path):
     spark.createDataFrame([("a", "h", "s")], state.COLUMNS).write.parquet(str(tmp_path / "s" / "records-old"))
     (tmp_path / "s" / "meta.json").write_text(json.dumps({"version": 1, "updated_at": "x", "records": "records-old"}))
