@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import tempfile
+from pathlib import Path
+
+import yaml
 from pyspark.sql import functions as F
 
 from orchardflow.operators.changes import merged_state
 from orchardflow.operators.dedupe import duplicates, pair_up
 from orchardflow.plans.queries import NOW, PLACED, RUN_SQL, WHY, _catalogue, _config, _table, query
-from orchardflow.plans.run import run
+from orchardflow.plans.run import pages_of, run
 from orchardflow.sources import sinks
 from orchardflow.sources.artifact import publish, render
-from orchardflow.sources.config import Dedupe
+from orchardflow.sources.config import ConfigError, Dedupe, load_config
 from orchardflow.sources.shared import fresh
 from orchardflow.sources.state import read_state, write_state
 
@@ -117,3 +121,67 @@ def event_log(spark, sf_dir):
     sinks.write_events(_catalogue(spark, sf_dir), result, folder, NOW)
     result.release()
     return spark.read.json(folder).groupBy("event", "source_id").agg(F.count("*").alias("n"))
+
+
+def _loaded(tree: dict, env: dict[str, str]):
+    """A config file written from a tree and loaded; the driver reads it, nothing else does."""
+    with tempfile.TemporaryDirectory() as folder:
+        path = Path(folder) / "config.yaml"
+        path.write_text(yaml.safe_dump(tree), encoding="utf-8")
+        return load_config(path, env)
+
+
+def _source(key: int, name: str, **more) -> dict:
+    fields = {x: {"selector": f".{x}"} for x in ("sku", "title", "price", "url")}
+    return {"id": f"n{key}", "start_url": "${BASE:-http://x.test}/" + name.lower().replace(" ", "-"), "record_selector": "li", "fields": fields, **more}
+
+
+def _nations(spark, sf_dir: str) -> list:
+    return _table(spark, sf_dir, "nation").orderBy("n_nationkey").collect()  # a source each; a config is the driver's
+
+
+@query("select 'n' || n_nationkey as source_id, 'http://live.test/' || replace(lower(n_name), ' ', '-') as start_url, if(n_nationkey % 2 = 0, 'next_link', 'none') as strategy, cast(if(n_nationkey % 2 = 0, n_nationkey + 1, 20) as integer) as max_pages, if(n_nationkey % 3 = 0, 'mdy', 'dmy') as date_order, cast(n_nationkey as integer) as place from nation")
+def config_scan(spark, sf_dir):
+    """A config with a source for each nation, its variables expanded and its defaults filled in, as rows in its order."""
+    made = [_source(n.n_nationkey, n.n_name, **({"pagination": {"strategy": "next_link", "next_selector": "a.next", "max_pages": n.n_nationkey + 1}} if n.n_nationkey % 2 == 0 else {}), **({"date_order": "mdy"} if n.n_nationkey % 3 == 0 else {})) for n in _nations(spark, sf_dir)]
+    config = _loaded({"version": 1, "sources": made}, {"BASE": "http://live.test"})
+    rows = [(s.id, s.start_url, s.pagination.strategy, s.pagination.max_pages, s.date_order, i) for i, s in enumerate(config.sources)]
+    return spark.createDataFrame(rows, "source_id string, start_url string, strategy string, max_pages int, date_order string, place int")
+
+
+REJECTED = "case n_nationkey % 6 when 0 then 'maps unknown fields' when 1 then 'does not map the required fields' when 2 then 'is not set' when 3 then 'has unknown keys' when 4 then 'must be an absolute' end"
+
+
+@query(f"select n_nationkey, {REJECTED} as why from nation")
+def config_rejects(spark, sf_dir):
+    """Each nation's source in a config of its own, most with a fault: why the config is refused, or null."""
+
+    def told(n) -> str | None:
+        source = _source(n.n_nationkey, n.n_name)
+        fault = n.n_nationkey % 6
+        if fault == 0:
+            source["fields"]["colour"] = {"selector": "b"}
+        elif fault == 1:
+            del source["fields"]["price"]
+        elif fault == 2:
+            source["record_selector"] = "${NOWHERE}"
+        elif fault == 3:
+            source["colour"] = "red"
+        elif fault == 4:
+            source["start_url"] = "/list"
+        try:
+            _loaded({"version": 1, "sources": [source]}, {})
+        except ConfigError as wrong:
+            return next(x for x in ("maps unknown fields", "does not map the required fields", "is not set", "has unknown keys", "must be an absolute") if x in str(wrong))
+        return None
+
+    return spark.createDataFrame([(n.n_nationkey, told(n)) for n in _nations(spark, sf_dir)], "n_nationkey int, why string")
+
+
+@query("select 'n' || (c_custkey % 25) as source_id, count(*) as n from customer where c_custkey % 25 in (select n_nationkey from nation where n_regionkey in (2, 3)) group by 1")
+def source_selection(spark, sf_dir):
+    """A run of some of the config's sources, those of two regions, takes the pages of these alone."""
+    nations = _nations(spark, sf_dir)
+    config = _loaded({"version": 1, "sources": [_source(n.n_nationkey, n.n_name) for n in nations]}, {}).only([f"n{n.n_nationkey}" for n in nations if n.n_regionkey in (2, 3)])
+    pages = _table(spark, sf_dir, "customer").select(F.concat(F.lit("n"), F.col("c_custkey") % 25).alias("source_id"))
+    return pages_of(pages, config).groupBy("source_id").agg(F.count("*").alias("n"))

@@ -38,13 +38,18 @@ class RunResult:
             df.unpersist()
 
 
+def pages_of(pages: DataFrame, config: Config) -> DataFrame:
+    """The pages of the config's sources, by a list that reaches the scan's filters."""
+    return pages.where(F.col("source_id").isin(*(s.id for s in config.sources)))
+
+
 def run(spark: SparkSession, config: Config, pages: DataFrame, now: datetime, state: DataFrame | None = None, only_changed: bool = False) -> RunResult:
     """``pages`` has the columns of ``schemas.PAGES``, a row for each page fetched or failed; ``now`` has a time zone.
 
     ``state`` is the last run's (key, content_hash), or None if changes are not tracked. The counters are reconciled before anything is returned.
     """
     began, run_id = time.monotonic(), uuid.uuid4().hex[:12]
-    pages = pages.where(F.col("source_id").isin(*(s.id for s in config.sources)))
+    pages = pages_of(pages, config)
     order = F.broadcast(settings(spark, config).select("source_id", "at"))  # as many rows as sources
     # the parsed pages feed four tables and the report; they spill to disk, and are computed again if an executor goes
     read = read_pages(pages, config).persist(StorageLevel.MEMORY_AND_DISK)
