@@ -48,7 +48,9 @@ TAG = re.compile(
     r"""</?([a-zA-Z][^ \t\n\f\r/>]*+)((?>[ \t\n\f\r/]+|[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:"[^"]*"|'[^']*'|(?!["'])[^ \t\n\f\r>]*+)|(?![ \t\n\f\r]*+=)))*+)>"""
 )
 ATTRIBUTE = re.compile(r"""([^ \t\n\f\r/>][^ \t\n\f\r/>=]*+)(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:"([^"]*)"|'([^']*)'|([^ \t\n\f\r>]*+)))?""")
-INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+INVISIBLE = re.compile(r"display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)", re.I)
+STATED = re.compile("visibility", re.I)
 SPACE = re.compile(r"[ \t\n\f\r]+")
 #: Tables nested deeper than this are rendered as blocks.
 DEEPEST = 12
@@ -186,8 +188,27 @@ class Builder:
                 return
 
 
+def veil(root: Node) -> None:
+    """Take the text out of what its own style or that of an element around it makes invisible, and hide elements that have nothing else; inner ones may be visible again."""
+    order, todo = [], [(root, False, None)]
+    while todo:
+        node, hidden, parent = todo.pop()
+        own = VISIBILITY.findall(node.attributes.get("style", "")) if node.attributes else None
+        hidden = own[-1].lower() != "visible" if own else hidden
+        order.append((node, hidden, parent))
+        todo += [(x, hidden, node) for x in node.children if isinstance(x, Node)]
+    shown = set()
+    for node, hidden, parent in reversed(order):
+        if not hidden or id(node) in shown:
+            shown.add(id(parent))
+        if hidden:
+            node.children = [x for x in node.children if isinstance(x, Node)]
+            if id(node) not in shown:
+                node.attributes = node.attributes | {"hidden": ""}
+
+
 def invisible(node: Node) -> bool:
-    """Elements never shown (of drawings and formulas only what describes them), and those that say so: ``hidden``, hidden inputs, and styles without display or visibility."""
+    """Elements never shown (of drawings and formulas only what describes them), and those that say so: ``hidden``, hidden inputs, and styles without display."""
     a = node.attributes
     return node.name in HIDDEN or (bool(a) and ("hidden" in a or bool(INVISIBLE.search(a.get("style", ""))) or (node.name == "dialog" and "open" not in a)))
 
@@ -406,12 +427,17 @@ def table(node: Node, depth: int) -> list[str]:
 
 
 def page_text(page: str | None) -> str:
-    """All visible text of a page, laid out; a null or empty page has none.
+    """All visible text of a page, laid out; a null or empty page has none. Styles count where elements state them; style sheets are not read.
 
     >>> page_text("<p>a<br>b<ul><li>c<li>d</ul>")
     'a\\nb\\n\\n- c\\n- d'
     """
-    return Renderer().render(Builder().build(page)).text() if page else ""
+    if not page:
+        return ""
+    root = Builder().build(page)
+    if STATED.search(page):
+        veil(root)
+    return Renderer().render(root).text()
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:

@@ -140,3 +140,24 @@ def test_withheld_labels_of_the_tables(spark):
     bad, good = [r.is_toxic for r in got if r.truth], [r.is_toxic for r in got if r.truth == 0]
     print(f"withheld: {len(bad)} toxic, caught {sum(bad)}; {len(good)} clean, rejected {sum(good)}")
     assert len(bad) >= 50 and sum(bad) >= 0.9 * len(bad) and sum(good) <= 0.02 * len(good)
+
+
+def test_weights_against_the_exact_optimum_of_all_pairs():
+    """Every pair of a better and a worse row, to the end of Newton's method, against the fit on drawn pairs."""
+    rng = np.random.default_rng(11)
+    n = 160
+    label = rng.integers(0, 2, n)
+    x = rng.standard_normal((n, len(quality.FEATURES))) + label[:, None] * np.linspace(-0.6, 0.8, len(quality.FEATURES))
+    model = quality.fit(x, label)
+    z = quality._expanded(x, np.array(model.mean), np.array(model.scale))
+    good, bad = z[label == 1], z[label == 0]
+    d = (good[:, None, :] - bad[None, :, :]).reshape(-1, z.shape[1])
+    w = np.zeros(z.shape[1])
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-(d @ w)))
+        gradient = d.T @ (p - 1) / len(d) + 1e-2 * w
+        w -= np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d / len(d) + 1e-2 * np.eye(len(w)), gradient)
+    assert np.abs(gradient).max() < 1e-9
+    assert np.corrcoef(z @ w, model.strength(x))[0, 1] > 0.995
+    wins = lambda s: float((s[label == 1][:, None] > s[label == 0][None, :]).mean())
+    assert abs(wins(z @ w) - wins(model.strength(x))) < 0.01

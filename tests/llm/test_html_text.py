@@ -116,3 +116,19 @@ def test_rows(spark):
     df = spark.createDataFrame([(1, "<p>a", "x"), (1, "<p>a", "x"), (None, None, "y"), (2, "", "z")], "page_id long, html string, text string")
     assert sorted((str(r.page_id), r.text, r.n_lines) for r in extract(df).collect()) == [("1", "a", 1), ("1", "a", 1), ("2", "", 0), ("None", "", 0)]
     assert extract(df.limit(0)).count() == 0
+
+
+def test_visibility_is_inherited_and_taken_back():
+    for page, text in (
+        ("<div style='visibility:hidden'>a<span style='visibility:visible'>b</span>x</div>c", "b\nc"),
+        ("<p style='visibility:hidden'>a<p>b", "b"),
+        ("<p>a</p><p style='color:red; VISIBILITY : collapse'>b<b>c</b></p><p>d</p>", "a\n\nd"),
+        ("<ul style='visibility:hidden'><li>a<li style='visibility:visible'>b</ul>", "- b"),
+        ("<div style='visibility:visible;visibility:hidden'>a</div>b", "b"),
+        ("<div style='visibility:hidden'><div style='display:none;visibility:visible'>a</div></div>b", "b"),
+        ("<table style='visibility:hidden'><tr><td>a<td style='visibility:visible'>b</table>", "b"),
+        ("visibility: hidden <i>words</i>", "visibility: hidden words"),
+    ):
+        assert page_text(page).strip() == text, page
+    deep = "<div style='visibility:hidden'>" * 3000 + "x<b style='visibility:visible'>y</b>"
+    assert page_text(deep) == "y"

@@ -185,3 +185,23 @@ def test_packing_places_every_id_once(spark):
             rows = sorted(documents[k], key=lambda r: r.start)
             assert [i for r in rows for i in r.ids] == ids[0] and {r.doc_tokens for r in rows} == {len(ids[0])}
     assert packing.pack(df.limit(0), WORD).count() == 0
+
+
+def test_step_groups_are_balanced_and_padding_is_small():
+    """Sequences go to the lightest open group; full groups differ by less than a sequence, and tails are cut at powers of two."""
+    rng = random.Random(3)
+    packer = packing.Packer(2048, 0)
+    sizes = [rng.choice([3, 40, 300, 900, 2047, 2048, 5000, 17_000]) for _ in range(1500)]
+    for i, n in enumerate(sizes):
+        packer.add(i, bytes(4 * n))
+    packer.pack(last=True)
+    sequences, groups = {}, {}
+    for _, _, n, _, _, sequence, offset, length, group, _ in packer.rows:
+        assert sequences.setdefault(sequence, [0, length, group])[0] == offset
+        sequences[sequence][0] += n
+    assert sum(n for n, *_ in sequences.values()) == sum(sizes)
+    assert all(n == length and (n == 2048 or n & (n - 1) == 0) for n, length, _ in sequences.values())
+    for n, _, group in sequences.values():
+        groups[group] = groups.get(group, 0) + n
+    full = [n for n in groups.values() if n >= packer.step_tokens]
+    assert len(full) > 3 and max(full) - min(full) < 2048 and sum(n < packer.step_tokens for n in groups.values()) <= len(packer.groups)
