@@ -44,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--source", action="append", default=[], help="run this source only; may be repeated")
         if name == "scrape":
             c.add_argument("--events", help="folder for a JSON line for each page and each record that was not exported, written by the executors")
+            c.add_argument("--crawl-store", help="shared folder of fetched pages; a run that broke off goes on from it, failures are tried again")
             c.add_argument("--pages", help="Parquet of fetched pages; without it they are crawled")
             c.add_argument("--only-changed", action="store_true")
             c.add_argument("--output-dir")
@@ -92,15 +93,16 @@ def _scrape(asked: argparse.Namespace, config: Config) -> int:
     from orchardflow.operators.changes import merged_state
     from orchardflow.plans.run import run
     from orchardflow.sources.crawl import crawl, rendered_pages
-    from orchardflow.sources.shared import discard, stored
+    from orchardflow.sources.shared import discard, fresh, remove, stored
     from orchardflow.sources.sinks import write_events, write_files, write_report, write_tables
     from orchardflow.sources.state import read_state, write_state
 
     log = log_to(sys.stderr, config.run.log_level, config.run.log_format)
     spark = SparkSession.builder.appName("orchardflow").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     state = read_state(spark, config.run.state_file)
-    # fetched pages are written before anything reads them: no page is fetched twice, whatever executors are lost
-    pages = rendered_pages(spark, asked.pages) if asked.pages else stored(crawl(spark, config), "pages")
+    # fetched pages are kept one by one as they come, and written as a table before anything reads them: whatever is lost, none is fetched twice
+    kept = asked.crawl_store or fresh(spark, "crawl")
+    pages = rendered_pages(spark, asked.pages) if asked.pages else stored(crawl(spark, config, kept, again=bool(asked.crawl_store)), "pages")
     now = asked.now or datetime.now(UTC)
     for s in config.sources:
         log.info("source started", extra={"data": {"source_id": s.id, "kind": s.kind, "start_url": s.start_url}})
@@ -129,4 +131,6 @@ def _scrape(asked: argparse.Namespace, config: Config) -> int:
     result.release()
     if not asked.pages:
         discard(pages)
+        if not asked.crawl_store:
+            remove(spark, kept)
     return result.report["exit_code"]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
+import hashlib
+import json
 import logging
 import socket
 import time
@@ -9,6 +12,7 @@ import urllib.error
 import urllib.parse
 import urllib.request
 import urllib.robotparser
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -198,6 +202,57 @@ def render_failure(error: str, selector: str | None, url: str) -> tuple[str, str
     return "connection_error", f"{url}: {error}"
 
 
+class PageStore:
+    """Fetched pages and failures of one crawl in a shared folder, a small file each, written as they come.
+
+    A task that starts again, or a run that goes on with the folder, takes from here what was fetched before. A file appears by one rename, so it is whole or not there.
+    """
+
+    def __init__(self, path: str) -> None:
+        from pyarrow import fs
+
+        self.store, self.base = fs.FileSystem.from_uri(path)
+        self.store.create_dir(self.base, recursive=True)
+
+    def _at(self, source_id: str, url: str) -> str:
+        return f"{self.base}/{hashlib.sha256(json.dumps([source_id, url]).encode()).hexdigest()}.json"
+
+    def get(self, source_id: str, url: str) -> Page | FetchError | None:
+        try:
+            with self.store.open_input_stream(self._at(source_id, url)) as file:
+                found = json.loads(file.read())
+        except FileNotFoundError:
+            return None
+        return Page(**found["page"]) if "page" in found else FetchError(*found["failure"])
+
+    def put(self, source_id: str, url: str, what: Page | FetchError) -> None:
+        told = {"page": dataclasses.asdict(what)} if isinstance(what, Page) else {"failure": [what.kind, str(what), what.attempts]}
+        path = self._at(source_id, url)
+        new = f"{path}.{uuid.uuid4().hex}"
+        with self.store.open_output_stream(new) as file:
+            file.write(json.dumps(told).encode())
+        self.store.move(new, path)
+
+    def kept(self, source_id: str, fetch: Callable[[str], Page], again: bool = False) -> Callable[[str], Page]:
+        """``fetch``, but a stored page is not fetched anew; nor a stored failure, unless ``again``."""
+
+        def one(url: str) -> Page:
+            found = self.get(source_id, url)
+            if isinstance(found, FetchError) and not again:
+                raise found
+            if isinstance(found, Page):
+                return found
+            try:
+                page = fetch(url)
+            except FetchError as wrong:
+                self.put(source_id, url, wrong)
+                raise
+            self.put(source_id, url, page)
+            return page
+
+        return one
+
+
 def with_parameter(url: str, name: str, value: int) -> str:
     parts = urllib.parse.urlsplit(url)
     query = [*((k, v) for k, v in urllib.parse.parse_qsl(parts.query) if k != name), (name, str(value))]
@@ -240,8 +295,10 @@ class _HostPartition(InputPartition):
 
 
 class CatalogueReader(DataSourceReader):
-    def __init__(self, config: Config) -> None:
-        self.config = config
+    """A partition a host. With ``store`` a task that is tried again goes on where the last attempt was; ``again`` tries stored failures anew."""
+
+    def __init__(self, config: Config, store: str | None = None, again: bool = False) -> None:
+        self.config, self.store, self.again = config, store, again
 
     def partitions(self) -> list[InputPartition]:
         hosts: dict[str, list[Source]] = {}
@@ -252,12 +309,11 @@ class CatalogueReader(DataSourceReader):
     def read(self, partition: _HostPartition) -> Iterator[tuple]:
         fetcher = Fetcher(self.config.http)
         browser = BrowserFetcher(fetcher, self.config.browser)
+        store = PageStore(self.store) if self.store else None
         try:
             for source in partition.sources:
-                if source.kind == "browser":
-                    yield from crawl_source(source, lambda url, s=source: browser.fetch(url, s.wait_for_selector))
-                else:
-                    yield from crawl_source(source, fetcher.fetch)
+                fetch = (lambda url, s=source: browser.fetch(url, s.wait_for_selector)) if source.kind == "browser" else fetcher.fetch
+                yield from crawl_source(source, store.kept(source.id, fetch, self.again) if store else fetch)
         finally:
             browser.close()
 
@@ -273,21 +329,21 @@ class CatalogueSource(DataSource):
         return PAGES
 
     def reader(self, schema) -> DataSourceReader:
-        import json
-
         from orchardflow.sources.config import load_config
 
         config = load_config(self.options["config"])
         only = self.options.get("sources")
-        return CatalogueReader(config.only(json.loads(only)) if only else config)
+        return CatalogueReader(config.only(json.loads(only)) if only else config, self.options.get("store"), self.options.get("again") == "true")
 
 
-def crawl(spark: SparkSession, config: Config) -> DataFrame:
-    """The pages of all sources, fetched by the executors: one task for each host."""
-    import json
+def crawl(spark: SparkSession, config: Config, store: str | None = None, again: bool = False) -> DataFrame:
+    """The pages of all sources, fetched by the executors: one task for each host.
 
+    ``store``, a folder that all executors share, keeps what is fetched: lost tasks and later calls fetch none of it again, but for failures if ``again``.
+    """
     spark.dataSource.register(CatalogueSource)
-    return spark.read.format("catalogue").option("config", config.path).option("sources", json.dumps([s.id for s in config.sources])).load()
+    reader = spark.read.format("catalogue").option("config", config.path).option("sources", json.dumps([s.id for s in config.sources]))
+    return (reader.options(store=store, again=str(again).lower()) if store else reader).load()
 
 
 def rendered_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -12,7 +12,7 @@ from orchardflow.operators.report import Unreconciled
 from orchardflow.plans import run as plan
 from orchardflow.schemas import PAGES
 from orchardflow.sources.config import Config, ConfigError, Http, load_config
-from orchardflow.sources.crawl import BrowserFetcher, Fetcher, FetchError, crawl, crawl_source, render_failure
+from orchardflow.sources.crawl import BrowserFetcher, CatalogueReader, Fetcher, FetchError, Page, PageStore, crawl, crawl_source, render_failure
 from orchardflow.sources.css import Selector, SelectorError, parse
 from orchardflow.sources.sinks import read_report, write_files, write_tables
 from orchardflow.sources.state import read_state, write_state
@@ -252,6 +252,39 @@ def test_crawl_and_command_line(spark, site, tmp_path, monkeypatch, capsys):
     assert main(["scrape", "--config", str(path), "--only-changed"]) == 2
 
 
+def test_a_killed_crawl_goes_on(spark, site, tmp_path):
+    """A read that ends after two pages, then another, then a Spark job: each page is fetched once; stored failures only if asked."""
+    base, hits = site
+    path = tmp_path / "c.yaml"
+    path.write_text(catalogue.CONFIG.replace("${BASE:-http://127.0.0.1:8090}", base))
+    config, store = load_config(path).only(["orchard", "twin", "barn"]), f"file://{tmp_path}/store"
+    reader = CatalogueReader(config, store)
+    killed = reader.read(reader.partitions()[0])
+    first = [next(killed) for _ in range(2)]
+    killed.close()
+    before = dict(hits)
+    rows = list(CatalogueReader(config, store).read(reader.partitions()[0]))
+    assert [r[:6] for r in rows[:2]] == [r[:6] for r in first] and rows[0][7] == first[0][7]
+    fetched = {p for p in hits if not p.endswith("robots.txt")}
+    assert len(rows) == 5 and all(before.get(p, 0) in (0, hits[p]) for p in fetched) and any(before.get(p) for p in fetched)
+    after = dict(hits)
+    assert sorted(map(str, crawl(spark, config, store).drop("html").collect())) == sorted(map(str, crawl(spark, config, store).drop("html").collect()))
+    assert {p: n for p, n in hits.items() if not p.endswith("robots.txt")} == {p: n for p, n in after.items() if not p.endswith("robots.txt")}
+    pages = PageStore(store)
+
+    def fail(url):
+        raise FetchError("server_error", "HTTP 503", 3)
+
+    for again in (False, True):
+        with pytest.raises(FetchError) as wrong:
+            pages.kept("s", fail, again)("http://x/1")
+        assert (wrong.value.kind, wrong.value.attempts) == ("server_error", 3)
+    with pytest.raises(FetchError, match="503"):
+        pages.kept("s", lambda url: Page(url, "late", 200, 1))("http://x/1")
+    assert pages.kept("s", lambda url: Page(url, "late", 200, 1), True)("http://x/1").html == "late" == pages.get("s", "http://x/1").html
+    assert pages.get("other", "http://x/1") is None and not [x for x in (tmp_path / "store").iterdir() if x.suffix != ".json"]
+
+
 class FakeBrowser:
     def __init__(self, status=200, error=None):
         self.status, self.error, self.closed, self.open_tabs = status, error, False, 0
