@@ -207,6 +207,8 @@ ORDER_TEXTS, ORDER_SHARE, ORDER_SHINGLES = 20_000, 1 / 2000, 262_144
 BUCKET = 20_000
 #: Candidates whose sets one task compares; a larger group is dealt in blocks.
 GROUP = 1024
+#: Shingles in several sets up to which sets are compared by a product of matrices; beyond, one set after another. The result is the same.
+COLUMNS = 4096
 
 
 def shingles(text: str | None, words: int = 5) -> np.ndarray:
@@ -282,11 +284,19 @@ def _prefix(found: np.ndarray, similarity: float, by_hash: np.ndarray, rank: np.
     return found[np.argsort(np.where(by_hash[at] == found, rank[at] + 1, 0), kind="stable")[:size]]
 
 
-def _meet(bucket: np.ndarray, node: np.ndarray, marks: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate links among the texts of sorted buckets, as two arrays of nodes: enough to join what could be alike."""
+def _meet(bucket: np.ndarray, node: np.ndarray, marks: np.ndarray, size: np.ndarray, place: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate links among the texts of sorted buckets, as two arrays of nodes: enough to join what could be alike.
+
+    ``size`` is that of a text's set, ``place`` that of the bucket's shingle in it. Where two sets have their first common shingle, they share no more
+    than what is left of either from there on; a pair for which that is too little here is no candidate here.
+    """
 
     def ok(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return (node[a] != node[b]) & may_be_alike(marks, a, b, similarity)
+        n, m = size[a], size[b]
+        good = (node[a] != node[b]) & (np.minimum(n - place[a], m - place[b]) * (1 + similarity) >= similarity * (n + m) - 1e-6)
+        some = np.flatnonzero(good)
+        good[some] = may_be_alike(marks, a[some], b[some], similarity)
+        return good
 
     opens = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
     sizes = np.diff(np.append(opens, len(bucket)))
@@ -300,8 +310,8 @@ def _meet(bucket: np.ndarray, node: np.ndarray, marks: np.ndarray, similarity: f
         a_all.append(left[good])
         b_all.append(left[good] + step)
         step += 1
-    for start, size in zip(opens[sizes > 32].tolist(), sizes[sizes > 32].tolist(), strict=True):
-        places = start + np.unique(node[start : start + size], return_index=True)[1]
+    for start, stop in zip(opens[sizes > 32].tolist(), (opens + sizes)[sizes > 32].tolist(), strict=True):
+        places = start + np.unique(node[start:stop], return_index=True)[1]
         root, n = np.arange(len(places)), len(places)
         rows = max(1, 500_000 // n)
         for at in range(0, n, rows):
@@ -319,27 +329,67 @@ def _meet(bucket: np.ndarray, node: np.ndarray, marks: np.ndarray, similarity: f
     return pairs[:, 0], pairs[:, 1]
 
 
-def settled(sets: list[np.ndarray], similarity: float, tied: np.ndarray | None = None, asks: np.ndarray | None = None) -> np.ndarray:
+def _alike(ids: np.ndarray, sizes: np.ndarray, shared: np.ndarray, similarity: float, side: np.ndarray | None) -> np.ndarray:
+    """Which two sets are alike, as a matrix: their common shingles counted by a product of matrices over the shingles that are in several sets."""
+    column = np.cumsum(shared) - 1
+    held = np.zeros((len(sizes), int(shared.sum())), np.float32)
+    row, some = np.repeat(np.arange(len(sizes)), sizes), shared[ids]
+    held[row[some], column[ids[some]]] = 1
+    both = (held @ held.T).astype(np.float64)  # whole numbers below 2^24 are exact
+    with np.errstate(invalid="ignore"):
+        near = both / (sizes[:, None] + sizes[None, :] - both) >= similarity
+    return near if side is None else near & (side[:, None] != side[None, :])
+
+
+def _tied(near: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """The least member of each one's component by the matrix ``near`` and by equal ``root`` (a member's place)."""
+    label = root.copy()
+    while True:
+        least = np.minimum(np.where(near, label[None, :], len(label)).min(axis=1, initial=len(label)), label)
+        np.minimum.at(least, root, least.copy())
+        least = least[root]
+        least = np.minimum(least, least[least])
+        if (least == label).all():
+            return label
+        label = least
+
+
+def settled(sets: list[np.ndarray], similarity: float, tied: np.ndarray | None = None, side: np.ndarray | None = None) -> np.ndarray:
     """For each shingle set the place of the first of its component of sets whose exact Jaccard similarity is ``similarity`` or more.
 
-    Sets with equal ``tied`` belong together from the start; with ``asks``, only pairs with one of these are compared.
+    Sets with equal ``tied`` belong together from the start; with ``side`` (0 or 1), only pairs of different sides are compared.
     """
     sizes = np.array(list(map(len, sets)), np.int64)
     by_size = np.argsort(sizes, kind="stable")
     sets, sizes = [sets[i] for i in by_size], sizes[by_size]
+    side = None if side is None else side[by_size]
     _, ids = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)
-    ends = np.cumsum(sizes)
-    held = np.zeros(len(ids) + 1, bool)
     root = np.arange(len(sets))
     if tied is not None:
         _, first, which = np.unique(tied[by_size], return_index=True, return_inverse=True)
         root = first[which]
-    for i in range(len(sets)) if asks is None else np.flatnonzero(asks[by_size]).tolist():
+    several = np.bincount(ids, minlength=1) > 1
+    if several.sum() <= COLUMNS and len(sets) <= 4 * GROUP:
+        root = _tied(_alike(ids, sizes, several, similarity, side), root)
+    else:
+        root = _one_by_one(sets, sizes, ids, similarity, root, side)
+    least = np.full(len(sets), len(sets))
+    np.minimum.at(least, root, by_size)
+    out = np.zeros(len(sets), np.int64)
+    out[by_size] = least[root]
+    return out
+
+
+def _one_by_one(sets: list[np.ndarray], sizes: np.ndarray, ids: np.ndarray, similarity: float, root: np.ndarray, side: np.ndarray | None) -> np.ndarray:
+    """Roots after each set was compared with those of a fitting size that are not tied to it yet; sets are in order of size."""
+    ends = np.cumsum(sizes)
+    held = np.zeros(len(ids) + 1, bool)
+    for i in range(len(sets)) if side is None else np.flatnonzero(side == 0).tolist():
         root = _roots(root)
-        least = i + 1 if asks is None else int(np.searchsorted(sizes, sizes[i] * similarity - 1e-6))
+        least = i + 1 if side is None else int(np.searchsorted(sizes, sizes[i] * similarity - 1e-6))
         last = int(np.searchsorted(sizes, sizes[i] / similarity + 1e-6, side="right"))  # other sets cannot be alike
         others = np.arange(least, last)
-        others = others[root[others] != root[i]]
+        others = others[(root[others] != root[i]) & (True if side is None else side[others] == 1)]
         if not len(others):
             continue
         held[ids[ends[i] - sizes[i] : ends[i]]] = True
@@ -350,12 +400,7 @@ def settled(sets: list[np.ndarray], similarity: float, tied: np.ndarray | None =
             near = some[shared / (sizes[i] + sizes[some] - shared) >= similarity]
             _join(sizes, root, np.full(len(near), i), near)
         held[ids[ends[i] - sizes[i] : ends[i]]] = False
-    root = _roots(root)
-    least = np.full(len(sets), len(sets))
-    np.minimum.at(least, root, by_size)
-    out = np.zeros(len(sets), np.int64)
-    out[by_size] = least[root]
-    return out
+    return _roots(root)
 
 
 def _keys(text: Column) -> list[Column]:
@@ -365,7 +410,7 @@ def _keys(text: Column) -> list[Column]:
 
 
 def _candidates(made: DataFrame, similarity: float) -> DataFrame:
-    """(node, root): groups of the shingle sets of ``made`` (node, mark, first) outside of which nothing is alike."""
+    """(node, root): groups of the shingle sets of ``made`` (node, mark, size, first) outside of which nothing is alike."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -403,55 +448,65 @@ def _candidates(made: DataFrame, similarity: float) -> DataFrame:
 
     def links(held: list[pa.Table]) -> pa.RecordBatch:
         table = pa.concat_tables(held)
-        a, b = _meet(*(table.column(c).to_numpy() for c in ("s", "node")), table.column("mark").to_numpy().view(np.uint64), similarity)
+        a, b = _meet(*(table.column(c).to_numpy() for c in ("s", "node")), table.column("mark").to_numpy().view(np.uint64), *(table.column(c).to_numpy() for c in ("size", "place")), similarity)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    placed = made.select(F.explode("first").alias("s"), "node", "mark")
+    placed = made.select(F.posexplode("first").alias("place", "s"), "node", "mark", "size").select("s", "node", "mark", "size", "place")
     return components(map_batches(placed.repartition("s").sortWithinPartitions("s"), meet, "a long, b long"))
 
 
 def _exact(members: DataFrame, words: int, similarity: float, group: int | None = None) -> DataFrame:
     """(node, component): the members (root, node, data) of each candidate group by exact similarity of their sets.
 
-    One task compares ``group`` sets at most. A larger group is dealt in blocks at random, three times; near copies are mostly tied then. What
-    is not in a group's largest part then meets every block of the group.
+    One task compares ``group`` sets, or twice as many of two blocks. A larger group's sets are made once and dealt in blocks at random, three times; near copies are
+    mostly tied then. What is not in a group's largest part is then compared, each pair once, among itself by pairs of blocks and with every block of that part.
     """
     group = group or GROUP
     sized = members.join(members.groupBy("root").agg(F.count("*").alias("n")), "root")
-    blocks = F.ceil(F.col("n") / group).cast("int")
 
-    def compare(rows: DataFrame, across: bool = False) -> DataFrame:
-        """(a, b): each node with the first of its component among the sets of one ``at``."""
+    def compare(rows: DataFrame) -> DataFrame:
+        """(a, b): each node with the first of its component among the sets of one ``at``, of texts or, with ``sub`` and ``side``, of two blocks."""
+        across, made = "side" in rows.columns, "sets" in rows.columns
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in groups(batches, "at"):
-                node = table.column("node").to_numpy()
-                sets = [shingles(x, words) for x in table.column("data").to_pylist()]
-                first = settled(sets, similarity, table.column("sub").to_numpy(), table.column("asks").to_numpy(zero_copy_only=False)) if across else settled(sets, similarity)
+                node, data = table.column("node").to_numpy(), table.column(2).to_pylist()
+                sets = [np.frombuffer(x, np.uint64) if made else shingles(x, words) for x in data]
+                side = table.column("side").to_numpy() if across else None
+                side = None if side is None or (side < 0).all() else side
+                first = settled(sets, similarity, table.column("sub").to_numpy() if across else None, side)
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[first])], ["a", "b"])
 
-        chosen = rows.select("at", "node", "data", *(["sub", "asks"] if across else []))
+        chosen = rows.select("at", "node", "sets" if made else "data", *(["sub", "side"] if across else []))
         return map_batches(chosen.repartition("at").sortWithinPartitions("at", "node"), run, "a long, b long")
 
-    def dealt(rows: DataFrame, seed: int) -> DataFrame:
-        return rows.withColumn("at", F.xxhash64("root", F.pmod(F.xxhash64("node", F.lit(seed)), blocks)))
+    def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            made = pa.array([shingles(x, words).tobytes() for x in batch.column("data").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("root"), batch.column("node"), batch.column("n"), made], ["root", "node", "n", "sets"])
+
+    def block(seed: int, blocks: Column) -> Column:
+        return F.pmod(F.xxhash64("node", F.lit(seed)), blocks).cast("int")
 
     largest = sized.agg(F.max("n")).first()[0] or 0
-    final = compare(dealt(sized.where(F.col("n") <= group), 0))
+    final = compare(sized.where(F.col("n") <= group).withColumn("at", F.col("root")))
     if largest > group:
-        large = stored(sized.where(F.col("n") > group), "large")
-        ties = compare(dealt(large, 1)).unionByName(compare(dealt(large, 2))).unionByName(compare(dealt(large, 3)))
-        ties = stored(ties.where("a <> b"), "ties")
+        large = stored(map_batches(sized.where(F.col("n") > group).select("root", "node", "n", "data"), as_sets, "root long, node long, n long, sets binary"), "large")
+        dealt = [compare(large.withColumn("at", F.xxhash64("root", block(seed, F.ceil(F.col("n") / group))))) for seed in (1, 2, 3)]
+        ties = stored(dealt[0].unionByName(dealt[1]).unionByName(dealt[2]).where("a <> b"), "ties")
         parts = components(ties).withColumnRenamed("root", "sub")
         now = stored(large.join(parts, "node", "left").withColumn("sub", F.coalesce("sub", "node")), "parts")
         weights = now.groupBy("root", "sub").agg(F.count("*").alias("m"))
         split = weights.groupBy("root").agg(F.max(F.struct("m", "sub")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("root", F.col("main.sub").alias("main"), F.col("main.m").alias("m"))
-        left = now.join(split, "root").withColumn("others", F.ceil((F.col("n") - F.col("m")) / group).cast("int"))
-        block, other = F.pmod(F.xxhash64("node", F.lit(4)), blocks), F.pmod(F.xxhash64("node", F.lit(5)), F.col("others"))
-        every = left.withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("others") - 1))).withColumn("asks", F.lit(False))
-        asking = left.where("sub <> main").withColumn("j", other).withColumn("i", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("asks", F.lit(True))
-        met = every.unionByName(asking).withColumn("at", F.xxhash64("root", "i", "j"))
-        more = stored(compare(met, True).where("a <> b"), "ties")
+        left = now.join(split, "root").withColumns({"others": F.ceil((F.col("n") - F.col("m")) / group).cast("int"), "mains": F.ceil(F.col("m") / group).cast("int")})
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        asking, main = left.where("sub <> main").withColumn("i", block(5, F.col("others"))), left.where("sub = main").withColumn("j", block(4, F.col("mains")))
+        i, j = F.col("i"), F.col("j")
+        among = asking.withColumn("j", every("others")).withColumns({"side": F.when(i == j, -1).otherwise((i > j).cast("int")), "x": F.least(i, j), "y": F.greatest(i, j), "kind": F.lit(0)})
+        asked = asking.withColumn("j", every("mains")).withColumns({"side": F.lit(0), "x": i, "y": j, "kind": F.lit(1)})
+        asked_of = main.withColumn("i", every("others")).withColumns({"side": F.lit(1), "x": i, "y": j, "kind": F.lit(1)})
+        cells = [df.select(F.xxhash64("root", "x", "y", "kind").alias("at"), "node", "sets", "sub", "side") for df in (among, asked, asked_of)]
+        more = stored(compare(cells[0].unionByName(cells[1]).unionByName(cells[2])).where("a <> b"), "ties")
         joined = components(ties.unionByName(more))
         whole = large.select("node").join(joined, "node", "left").select(F.col("node").alias("a"), F.coalesce("root", "node").alias("b"))
         final = final.unionByName(whole)
@@ -481,9 +536,10 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: f
             node = np.fromiter((xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets), np.uint64, len(sets)).view(np.int64)
             marks = np.fromiter(map(mark, sets), np.uint64, len(sets)).view(np.int64)
             first = [_prefix(x, similarity, *order.value).view(np.int64) for x in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(marks), pa.array(first, pa.list_(pa.int64()))], ["k1", "k2", "node", "mark", "first"])
+            sizes = np.fromiter(map(len, sets), np.int32, len(sets))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(marks), pa.array(sizes), pa.array(first, pa.list_(pa.int64()))], ["k1", "k2", "node", "mark", "size", "first"])
 
-    made = stored(map_batches(texts.select("k1", "k2", "data"), make, "k1 long, k2 long, node long, mark long, first array<long>"), "prefixes")
+    made = stored(map_batches(texts.select("k1", "k2", "data"), make, "k1 long, k2 long, node long, mark long, size int, first array<long>"), "prefixes")
     keyed = made.select("k1", "k2", "node").distinct()
     members = keyed.join(_candidates(made, similarity), "node").groupBy("root", "node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("root", "node", "k.k1", "k.k2")
     members = stored(texts.select("k1", "k2", "data").join(members, ["k1", "k2"]).groupBy("root", "node").agg(F.first("data").alias("data")), "members")

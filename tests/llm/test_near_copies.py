@@ -95,11 +95,53 @@ def test_large_groups_are_dealt_in_blocks(spark):
         assert got[10_000] != got[10_001]
 
 
+def template(rng, n, words=300, low=1, high=12):
+    """Texts that share a template, each with some words replaced: few are alike by 0.8, nearly all by half."""
+    base = [f"t{rng.randrange(10**9)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        w = base[:]
+        for at in rng.sample(range(words), rng.randint(low, high)):
+            w[at] = f"e{rng.randrange(10**9)}"
+        out.append(" ".join(w))
+    return out
+
+
+def same_parts(got, want):
+    """Whether two labellings part the same things the same way."""
+    return len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want))
+
+
+def test_one_template(spark, monkeypatch):
+    texts = template(random.Random(12), 500) + template(random.Random(13), 100, 90, 0, 3)
+    want = brute(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for group, columns in ((1024, 4096), (40, 4096), (40, 0)):
+        monkeypatch.setattr(simhash, "GROUP", group)
+        monkeypatch.setattr(simhash, "COLUMNS", columns)
+        got = {r.doc_id: r.component_id for r in simhash.near_copies(df).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+    assert 100 < len(set(want)) < 500
+
+
+def test_both_ways_to_compare(monkeypatch):
+    rng = random.Random(14)
+    sets = [simhash.shingles(x) for x in template(rng, 120, 60, 0, 3) + ["", "a b", "a b c d e f"]]
+    side, tied = np.array([rng.randrange(2) for _ in sets]), np.array([rng.randrange(60) for _ in sets])
+    for args in ((), (tied,), (tied, side), (None, side)):
+        found = []
+        for columns in (4096, 0):
+            monkeypatch.setattr(simhash, "COLUMNS", columns)
+            found.append(simhash.settled(sets, 0.8, *args).tolist())
+        assert found[0] == found[1] and same_parts(found[0], found[1])
+    assert simhash.settled([], 0.8).tolist() == []
+
+
 def test_bucket_too_large_to_compare(spark):
     """Texts of a bucket beyond its size are all candidates; nothing that could be alike stays apart."""
     n = 3 * simhash.BUCKET
-    rows = spark.range(n).selectExpr("array(5L, 1000000L + id) as first", "id as node", "0L as mark")
-    rows = rows.unionByName(spark.range(4).selectExpr("array(9L) as first", "-1L - id as node", "0L as mark"))
+    rows = spark.range(n).selectExpr("array(5L, 1000000L + id) as first", "id as node", "0L as mark", "2 as size")
+    rows = rows.unionByName(spark.range(4).selectExpr("array(9L) as first", "-1L - id as node", "0L as mark", "2 as size"))
     got = simhash._candidates(rows.coalesce(1), 0.8).groupBy("root").count().collect()
     assert sorted(r["count"] for r in got) == [4, n]
 
