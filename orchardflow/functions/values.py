@@ -1,8 +1,9 @@
 """Normalisers of cleaned text as native column expressions. Each gives struct<value, code>: code says why there is no value.
 
-A normaliser is a list of steps, each a few named columns made from those before. The steps become one column in which each part is computed
-once, as a lambda's variable: as nested expressions the parts would be repeated until the generated code is too large to compile, and as
-projections one after another their aliases would multiply in the optimiser's constraints.
+A normaliser is a list of steps, each a few named columns made from those before. On a frame (:func:`staged`) each step is a generator of one row whose struct
+holds the parts: it is compiled with the rest of the stage, and the optimiser neither merges the steps, which would repeat the parts, nor derives
+constraints from them, which would multiply as they do for the aliases of projections. As one column (:func:`as_column`) each part is a lambda's variable, which is
+interpreted; that form is for places where only an expression fits.
 
 Null text has neither value nor code. ``(?U)`` makes the patterns' classes those of Unicode; digits outside ASCII are found but rejected
 as unparsable.
@@ -13,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orchardflow.schemas import ZERO_DECIMAL_CURRENCIES
@@ -58,7 +59,26 @@ def as_column(text: Column, steps: list[Step]) -> Column:
     return F.element_at(F.transform(F.array(text), lambda x: go(lambda _: x, ["text"], steps)), 1)
 
 
-def _column(x: Column | str | None) -> Column:
+def staged(df: DataFrame, **made: tuple[Column, list[Step]]) -> DataFrame:
+    """``df`` with a column more for each of ``made``, the result of its steps on its text; all take their steps side by side."""
+    columns, here = df.columns, "_stage"
+    held = {name: ["text"] for name in made}
+    now = df.select(*columns, F.explode(F.array(F.struct(*(text.alias(f"{name}__text") for name, (text, _) in made.items())))).alias(here))
+    for i in range(max(len(steps) for _, steps in made.values())):
+        parts = []
+        for name, (_, steps) in made.items():
+            get = lambda part, name=name: F.col(here)[f"{name}__{part}"]
+            new = steps[i](get) if i < len(steps) else {"result": get("result")}
+            if i + 1 >= len(steps):
+                parts.append(new["result"].alias(f"{name}__result"))
+            else:
+                parts += [get(x).alias(f"{name}__{x}") for x in held[name]] + [c.alias(f"{name}__{x}") for x, c in new.items()]
+                held[name] += list(new)
+        now = now.select(*columns, F.explode(F.array(F.struct(*parts))).alias(here))
+    return now.select(*columns, *(F.col(here)[f"{name}__result"].alias(name) for name in made))
+
+
+def _column(x: Column | str | date | None) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
@@ -116,7 +136,8 @@ def _number_steps(name: str, separator: Column) -> list[Step]:
     return [count, read]
 
 
-def _money_steps(separator: Column | str, default_currency: Column | str | None, strict_sign: bool) -> list[Step]:
+def money_steps(separator: Column | str = "auto", default_currency: Column | str | None = None, strict_sign: bool = False) -> list[Step]:
+    """The steps of :func:`money`."""
     counted, read = _number_steps("run", _column(separator))
 
     def settle(get):
@@ -148,10 +169,12 @@ def money(text: Column, separator: Column | str = "auto", default_currency: Colu
     for more decimal places than the currency has. Only the first number counts, and a sign before it is ignored unless ``strict_sign``,
     which rejects it as ``out_of_range``.
     """
-    return as_column(text, _money_steps(separator, default_currency, strict_sign))
+    return as_column(text, money_steps(separator, default_currency, strict_sign))
 
 
-def _date_steps(today: Column, order: Column, hours_as_days: bool) -> list[Step]:
+def date_steps(today: Column | date, order: Column | str = "dmy", hours_as_days: bool = True) -> list[Step]:
+    """The steps of :func:`listing_date`."""
+    today, order = _column(today), _column(order)
     names = [x for i, m in enumerate(MONTHS, 1) for x in {m: i, m[:3]: i}.items()] + [("sept", 9)]
     numbers = F.create_map(*(F.lit(v) for pair in names for v in pair))
 
@@ -202,10 +225,12 @@ def listing_date(text: Column, today: Column | date, order: Column | str = "dmy"
 
     "N hours ago" and "N minutes ago" go back N days, unless not ``hours_as_days``: then whole days only. There is no year 0.
     """
-    return as_column(text, _date_steps(today if isinstance(today, Column) else F.lit(today), _column(order), hours_as_days))
+    return as_column(text, date_steps(today, order, hours_as_days))
 
 
-def _rating_steps() -> list[Step]:
+def rating_steps() -> list[Step]:
+    """The steps of :func:`rating`."""
+
     def word(get):
         low = get("low")
         return {"word": _first([(low.rlike(rf"(?U)\b{w}\b"), F.lit(float(i))) for i, w in enumerate(RATING_WORDS)], F.lit(None).cast("double")), "number": F.replace(F.regexp_extract(low, SCALED, 1), F.lit(","), F.lit(".")).try_cast("double"), "stated": F.regexp_extract(low, SCALED, 2)}
@@ -229,7 +254,7 @@ def rating(text: Column) -> Column:
 
     Rounds half up at two decimals.
     """
-    return as_column(text, _rating_steps())
+    return as_column(text, rating_steps())
 
 
 def availability(text: Column) -> Column:

@@ -26,19 +26,13 @@ def utc_today() -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(F.current_timestamp()) / 86400).cast("int"))
 
 
-def _steps(today: Column) -> list[values.Step]:
+def _steps() -> list[values.Step]:
     """From a struct of the raw and cleaned fields and the source's settings to the typed fields, reasons and warning."""
     parsed = ("price", "url", "rating", "listed_on")
 
     def outcomes(get):
         row = get("text")
-        conf = row["settings"]
-        return {
-            "price": values.money(row["c_price"], conf["separator"], conf["currency"]),
-            "listed_on": values.listing_date(row["c_listed_on"], today, conf["order"]),
-            "rating": values.rating(row["c_rating"]),
-            "availability": values.availability(row["c_availability"]),
-        }
+        return {**{x: row[f"n_{x}"] for x in ("price", "listed_on", "rating")}, "availability": values.availability(row["c_availability"])}
 
     def value(get, name):
         row = get("text")
@@ -85,8 +79,15 @@ def normalize(records: DataFrame, config: Config, now: datetime | None) -> DataF
     raw = lambda x: F.col("fields").getItem(x)
     known = records.join(F.broadcast(settings(records.sparkSession, config).drop("at")), "source_id")  # as many rows as sources
     rows = known.select(*records.columns, "settings", *(clean_text(raw(x)).alias(f"c_{x}") for x in FIELDS if x != "url"), resolve_url(raw("url"), F.col("page_url")).alias("r_url"))
-    given = F.struct("source_id", "page_url", "fields", "settings", *(f"c_{x}" for x in FIELDS if x != "url"), "r_url")
-    made = rows.select(*records.columns, values.as_column(given, _steps(utc_today() if now is None else F.lit(now.date()))).alias("n"))
+    conf, today = F.col("settings"), utc_today() if now is None else F.lit(now.date())
+    parsed = values.staged(
+        rows,
+        n_price=(F.col("c_price"), values.money_steps(conf["separator"], conf["currency"])),
+        n_listed_on=(F.col("c_listed_on"), values.date_steps(today, conf["order"])),
+        n_rating=(F.col("c_rating"), values.rating_steps()),
+    )
+    given = F.struct("source_id", "page_url", "fields", "settings", *(f"c_{x}" for x in FIELDS if x != "url"), "r_url", "n_price", "n_listed_on", "n_rating")
+    made = values.staged(parsed.select(*records.columns, given.alias("given")), n=(F.col("given"), _steps()))
     return made.select(
         *records.columns,
         *(F.col(f"n.{x}").alias(x) for x in FIELDS if x != "availability"),

@@ -50,7 +50,7 @@ def _prices(spark: SparkSession, sf_dir: str, dirty: str) -> DataFrame:
 
 
 def _money(df: DataFrame, separator: str = "auto", default: str | None = None) -> DataFrame:
-    return df.select("p_partkey", values.money(F.col("t"), separator, default).alias("m")).select("p_partkey", F.col("m.value.currency").alias("currency"), F.col("m.value.minor").alias("minor"), F.col("m.code").alias("code"))
+    return values.staged(df, m=(F.col("t"), values.money_steps(separator, default))).select("p_partkey", F.col("m.value.currency").alias("currency"), F.col("m.value.minor").alias("minor"), F.col("m.code").alias("code"))
 
 
 def _money_sql(currency: str, minor: str = "cast(round(p_retailprice * 100) as bigint)") -> str:
@@ -120,7 +120,7 @@ def money_reject(spark, sf_dir):
 
 def _dates(spark: SparkSession, sf_dir: str, dirty: str, order: str = "dmy", today: Column | date = TODAY) -> DataFrame:
     rows = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.expr(dirty).alias("t"))
-    return rows.select("o_orderkey", values.listing_date(F.col("t"), today, order).alias("d")).select("o_orderkey", F.col("d.value").alias("listed_on"), F.col("d.code").alias("code"))
+    return values.staged(rows.select("o_orderkey", "t"), d=(F.col("t"), values.date_steps(today, order))).select("o_orderkey", F.col("d.value").alias("listed_on"), F.col("d.code").alias("code"))
 
 
 DATE_SQL = "select o_orderkey, cast(o_orderdate as date) as listed_on, cast(null as varchar) as code from orders"
@@ -160,7 +160,7 @@ def date_reject(spark, sf_dir):
 
 
 def _ratings(spark: SparkSession, sf_dir: str, dirty: str) -> DataFrame:
-    return _table(spark, sf_dir, "part").select("p_partkey", values.rating(F.expr(dirty)).alias("r")).select("p_partkey", F.round(F.col("r.value") * 100).cast("int").alias("rating"), F.col("r.code").alias("code"))
+    return values.staged(_table(spark, sf_dir, "part").select("p_partkey", F.expr(dirty).alias("t")), r=(F.col("t"), values.rating_steps())).select("p_partkey", F.round(F.col("r.value") * 100).cast("int").alias("rating"), F.col("r.code").alias("code"))
 
 
 @query("select p_partkey, cast(p_size % 6 * 100 as integer) as rating, cast(null as varchar) as code from part")
