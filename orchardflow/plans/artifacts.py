@@ -13,7 +13,7 @@ from orchardflow.operators.dedupe import duplicates, pair_up
 from orchardflow.plans.queries import NOW, PLACED, RUN_SQL, WHY, _catalogue, _config, _table, query
 from orchardflow.plans.run import pages_of, run
 from orchardflow.sources import sinks
-from orchardflow.sources.artifact import publish, render
+from orchardflow.sources.artifact import publish, read_csv, read_json, render
 from orchardflow.sources.config import ConfigError, Dedupe, load_config
 from orchardflow.sources.shared import fresh
 from orchardflow.sources.state import read_state, write_state
@@ -56,9 +56,8 @@ RATED = "case when p_partkey % 3 > 0 then p_size / 10.0 end"
 @query(f"select 'SKU-' || p_partkey as sku, {TITLE} as title, {PRICED} as price_amount, 'USD' as price_currency, cast({RATED} * 10 as integer) as rating, cast(date '2026-01-01' + cast(p_partkey % 200 as integer) as varchar) as listed_on, '2026-08-24T09:00:00+00:00' as scraped_at, sha256(p_name) as content_hash, row_number() over (order by p_partkey) - 1 as place from part")
 def csv_artifact(spark, sf_dir):
     """The products' one CSV file, sorted, with a byte order mark; its rows and their places in it as they are read back."""
-    path = _written(sinks.product_rows(_products(spark, sf_dir).orderBy("p_partkey")), "csv")
-    read = spark.read.options(header=True, multiLine=True, escape='"').csv(path)
-    rows = read.withColumn("place", F.monotonically_increasing_id())  # one file is one partition here
+    made = sinks.product_rows(_products(spark, sf_dir).orderBy("p_partkey"))
+    rows = read_csv(spark, _written(made, "csv"), made.columns)
     return rows.select("sku", "title", "price_amount", "price_currency", F.round(F.col("rating").cast("double") * 10).cast("int").alias("rating"), "listed_on", F.regexp_replace("scraped_at", "Z$", "+00:00").alias("scraped_at"), "content_hash", "place")
 
 
@@ -67,7 +66,7 @@ def json_artifact(spark, sf_dir):
     """The products' one JSON array, with prices as objects, parsed again."""
     rows = _products(spark, sf_dir).withColumn("_price", sinks.price_object())
     path = _written(sinks.product_rows_with_price(rows), "json")
-    read = spark.read.option("multiLine", True).schema("sku string, title string, rating double, category string, price struct<currency:string,amount:string,minor_units:bigint,minor_unit_digits:int>").json(path)
+    read = read_json(spark, path, "sku string, title string, rating double, category string, price struct<currency:string,amount:string,minor_units:bigint,minor_unit_digits:int>")
     return read.select("sku", "title", F.col("price.amount").alias("amount"), F.col("price.minor_units").alias("minor_units"), F.round(F.col("rating") * 10).cast("int").alias("rating"), "category")
 
 
@@ -78,7 +77,7 @@ def duplicates_artifact(spark, sf_dir):
     found = duplicates(pair_up(_products(spark, sf_dir).withColumn("seq", F.struct("p_partkey")).join(brand, "p_partkey")))
     rows = found.select("key", "kind", "differing_fields", "kept_values", "dropped_values")
     schema = "key string, kind string, differing_fields array<string>, kept_values map<string,string>, dropped_values map<string,string>"
-    read = spark.read.option("multiLine", True).schema(schema).json([_written(rows, "json"), _written(rows.where("false"), "json")])
+    read = read_json(spark, [_written(rows, "json"), _written(rows.where("false"), "json")], schema)
     fits = F.array_sort(F.map_keys("kept_values")) == F.array_sort("differing_fields")
     return read.groupBy("key", "kind").agg(F.count("*").alias("n"), F.count_if(~fits).alias("torn"))
 

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from orchardflow.sources.shared import fresh, remove
@@ -167,3 +168,64 @@ def publish(spark: SparkSession, artifacts: list[Artifact]) -> None:
         if a not in far:
             a.join()
         remove(spark, a.parts)
+
+
+def read_json(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
+    """The elements of arrays that :func:`render` wrote, each file read in parts by many tasks.
+
+    Strings in JSON have no line breaks, so what stands between two elements stands nowhere else.
+    """
+    raw = spark.read.text(paths, lineSep=",\n  {").where("value <> '[]'")
+    element = F.regexp_replace(F.regexp_replace("value", r"^\[\n  \{", ""), r"\n\]$", "")
+    return raw.select(F.from_json(F.concat(F.lit("{"), element), schema).alias("row")).select("row.*")
+
+
+def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """The rows of a CSV file that :func:`render` wrote in UTF-8, as strings, with ``place`` (from 0) in the file; read in parts by many tasks.
+
+    A first pass counts each part's quotes, which says what part begins within a quoted line break, and its rows; the driver holds three numbers a part.
+    """
+    lines = spark.read.text(path, lineSep="\n").select("value", F.col("_metadata.file_block_start").alias("part"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, list[int]] = {}  # of a part: whether its quotes are odd, rows that end in it if it begins outside of quotes, and if within
+        for batch in batches:
+            for text, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = seen.setdefault(part, [0, 0, 0])
+                found[0] ^= text.count('"') & 1
+                found[1 + found[0]] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.int64()), *(pa.array([x[i] for x in seen.values()], pa.int64()) for i in range(3))], ["part", "odd", "outside", "within"])
+
+    begins, open_, n = {}, 0, 0
+    for part, odd, *ends in sorted(tuple(r) for r in lines.mapInArrow(count, "part long, odd long, outside long, within long").collect()):
+        begins[part] = open_, n
+        n += ends[open_]
+        open_ ^= odd
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, held = None, []
+        for batch in batches:
+            made = []
+            for text, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if part != here:
+                    if held:
+                        made.append((place, here, "\n".join(held), True))
+                    (within, place), here, held = begins[part], part, []
+                    torn = bool(within)
+                held.append(text)
+                within ^= text.count('"') & 1
+                if not within:
+                    made.append((place, part, "\n".join(held), torn))
+                    place, held, torn = place + 1, [], False
+            yield packed(made)
+        yield packed([(place, here, "\n".join(held), True)] if held else [])
+
+    def packed(made: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([dict(zip(kinds.names, x, strict=True)) for x in made], kinds)
+
+    kinds = pa.schema([("place", pa.int64()), ("part", pa.int64()), ("line", pa.string()), ("torn", pa.bool_())])
+    found = lines.mapInArrow(rows, "place long, part long, line string, torn boolean")
+    mended = found.where("torn").groupBy("place").agg(F.array_sort(F.collect_list(F.struct("part", "line"))).alias("x")).select("place", F.array_join("x.line", "\n").alias("line"))
+    whole = found.where("not torn").select("place", "line").unionByName(mended).where("place > 0")  # but the header
+    row = F.from_csv("line", ", ".join(f"`{c}` string" for c in columns), {"escape": '"'})
+    return whole.select(row.alias("row"), (F.col("place") - 1).alias("place")).select("row.*", "place")

@@ -213,3 +213,26 @@ def test_duplicates_of_a_batch_are_counted(spark, tmp_path):
         assert {(r.key, r.v, r.identical, r.conflicting) for r in spark.read.parquet(str(tmp_path / policy)).collect()} == want
     with pytest.raises(ValueError):
         keyed.classify(stream, "keep_best")
+
+
+@pytest.mark.parametrize("size", [500, 3000])
+def test_files_are_read_in_parts(spark, tmp_path, size):
+    """JSON arrays and CSV files are read by many tasks, wherever the parts are cut: within quotes, line breaks, between elements."""
+    quoted = F.concat(F.lit('[\n{"a":\n"'), F.repeat(F.lit('",\n  {\n'), (F.col("id") % 90).cast("int")), F.lit("\n]"))
+    rows = numbers(spark).withColumn("more", F.when(F.col("id") % 7 < 5, quoted)).orderBy("id")
+    flat = rows.drop("m")
+    publish(spark, [render(rows, str(tmp_path / "x.json"), "json"), render(rows.where("false"), str(tmp_path / "none.json"), "json"), render(flat, str(tmp_path / "x.csv"), "csv", "utf-8-sig"), render(flat.where("false"), str(tmp_path / "none.csv"), "csv")])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = artifact.read_json(spark, [str(tmp_path / "x.json"), str(tmp_path / "none.json")], "id long, text string, third boolean, m map<string,string>, more string")
+        lines = artifact.read_csv(spark, str(tmp_path / "x.csv"), flat.columns)
+        assert read.rdd.getNumPartitions() > 20 and lines.rdd.getNumPartitions() > 20
+        want = [tuple(r) for r in rows.select("id", "text", "third", "m", "more").collect()]
+        assert sorted(map(tuple, read.collect()), key=lambda r: r[0]) == want
+        found = sorted(map(tuple, lines.collect()), key=lambda r: r[-1])
+        assert found == [(str(i), text, str(third).lower(), more, i) for i, text, third, _, more in want]
+        assert artifact.read_csv(spark, str(tmp_path / "none.csv"), flat.columns).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
