@@ -6,11 +6,14 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Whether shuffle files go when the query that wrote them ends, and not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Texts handled together inside one Arrow batch; bounds a worker's memory.
 SLICE = 256
 
@@ -31,10 +34,22 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Queries run within leave no shuffle files, so that the disk holds those of one step at a time."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before or "false")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there, so a lost executor costs no recomputation."""
+    """Write ``df`` to the shared folder and read it back: lineage ends there, so a lost executor costs no recomputation; its shuffle files go."""
     path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_go(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orchardflow.llm._common import components, groups, map_batches, slices, stored
+from orchardflow.llm._common import components, discard, groups, map_batches, slices, stored
 
 SEED = 42
 SEGMENTS = 16
@@ -209,6 +209,8 @@ BUCKET = 20_000
 GROUP = 1024
 #: Shingles in several sets up to which sets are compared by a product of matrices; beyond, one set after another. The result is the same.
 COLUMNS = 4096
+#: Rows of such a product that are held as doubles at once.
+ROWS = 128
 
 
 def shingles(text: str | None, words: int = 5) -> np.ndarray:
@@ -225,8 +227,8 @@ def shingles(text: str | None, words: int = 5) -> np.ndarray:
     return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts)))
 
 
-def mark(found: np.ndarray) -> int:
-    """A shingle set's size class (32 to a doubling) and ``TRIED`` bits of its SimHash, in one word."""
+def sketch(found: np.ndarray) -> int:
+    """The 64-bit SimHash of a shingle set; 0 for an empty one."""
     n = len(found)
     if not n:
         return 0
@@ -237,8 +239,12 @@ def mark(found: np.ndarray) -> int:
     counts = np.zeros(64, np.int64)
     for at in range(0, n, 255):
         counts += np.unpackbits(x[at : at + 255].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint8)
-    bits = int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big") >> (64 - TRIED)
-    return bits << 10 | min(1023, int(32 * np.log2(n)))
+    return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
+
+
+def mark(n: int, bits: int) -> int:
+    """A shingle set's size class (32 to a doubling) and ``TRIED`` bits of its SimHash, in one word."""
+    return bits >> (64 - TRIED) << 10 | min(1023, int(32 * np.log2(n))) if n else 0
 
 
 def may_be_alike(marks: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
@@ -335,9 +341,11 @@ def _alike(ids: np.ndarray, sizes: np.ndarray, shared: np.ndarray, similarity: f
     held = np.zeros((len(sizes), int(shared.sum())), np.float32)
     row, some = np.repeat(np.arange(len(sizes)), sizes), shared[ids]
     held[row[some], column[ids[some]]] = 1
-    both = (held @ held.T).astype(np.float64)  # whole numbers below 2^24 are exact
+    near = np.empty((len(sizes), len(sizes)), bool)
     with np.errstate(invalid="ignore"):
-        near = both / (sizes[:, None] + sizes[None, :] - both) >= similarity
+        for at in range(0, len(sizes), ROWS):
+            both = (held[at : at + ROWS] @ held.T).astype(np.float64)  # whole numbers below 2^24 are exact
+            near[at : at + ROWS] = both / (sizes[at : at + ROWS, None] + sizes[None, :] - both) >= similarity
     return near if side is None else near & (side[:, None] != side[None, :])
 
 
@@ -345,7 +353,8 @@ def _tied(near: np.ndarray, root: np.ndarray) -> np.ndarray:
     """The least member of each one's component by the matrix ``near`` and by equal ``root`` (a member's place)."""
     label = root.copy()
     while True:
-        least = np.minimum(np.where(near, label[None, :], len(label)).min(axis=1, initial=len(label)), label)
+        met = [np.where(near[at : at + ROWS], label[None, :], len(label)).min(axis=1, initial=len(label)) for at in range(0, len(label), ROWS)]
+        least = np.minimum(np.concatenate([np.zeros(0, np.int64), *met]), label)
         np.minimum.at(least, root, least.copy())
         least = least[root]
         least = np.minimum(least, least[least])
@@ -409,8 +418,25 @@ def _keys(text: Column) -> list[Column]:
     return [F.xxhash64(text), F.xxhash64(F.lit(7), text)]
 
 
-def _candidates(made: DataFrame, similarity: float) -> DataFrame:
-    """(node, root): groups of the shingle sets of ``made`` (node, mark, size, first) outside of which nothing is alike."""
+def _candidates(made: DataFrame, similarity: float, linked_already: DataFrame | None = None) -> DataFrame:
+    """(node, root): groups of the shingle sets of ``made`` (node, mark, size, first) outside of which nothing is alike.
+
+    Joined by ``linked_already`` (a, b), and where sets meet at a shingle of their prefixes.
+    """
+    met = _by_prefix(made, similarity)
+    return components(met if linked_already is None else linked_already.unionByName(met))
+
+
+def _by_grid(made: DataFrame) -> DataFrame:
+    """(a, b): sets whose fingerprints are equal or linked in the grid of segment bit counts (:func:`links`), by the least node of each fingerprint."""
+    least = stored(made.groupBy("fp").agg(F.min("node").alias("n")), "fingerprints")
+    ends = [least.select(F.col("fp").alias(x), F.col("n").alias(f"of_{x}")) for x in ("a", "b")]
+    linked_ = links(least.select("fp")).join(ends[0], "a").join(ends[1], "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    return linked_.unionByName(made.join(least, "fp").where("node <> n").select(F.col("node").alias("a"), F.col("n").alias("b")))
+
+
+def _by_prefix(made: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): candidate links of sets that share a shingle of their prefixes, as those more than two bits apart need."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -452,7 +478,7 @@ def _candidates(made: DataFrame, similarity: float) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     placed = made.select(F.posexplode("first").alias("place", "s"), "node", "mark", "size").select("s", "node", "mark", "size", "place")
-    return components(map_batches(placed.repartition("s").sortWithinPartitions("s"), meet, "a long, b long"))
+    return map_batches(placed.repartition("s").sortWithinPartitions("s"), meet, "a long, b long")
 
 
 def _exact(members: DataFrame, words: int, similarity: float, group: int | None = None) -> DataFrame:
@@ -534,17 +560,23 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: f
             batch = batch.take(pa.array(fresh, pa.int64()))
             sets = [shingles(x, words) for x in batch.column(2).to_pylist()]
             node = np.fromiter((xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets), np.uint64, len(sets)).view(np.int64)
-            marks = np.fromiter(map(mark, sets), np.uint64, len(sets)).view(np.int64)
+            bits = [sketch(x) for x in sets]
+            prints = np.array(bits, np.uint64).view(np.int64)
+            marks = np.fromiter((mark(len(x), b) for x, b in zip(sets, bits, strict=True)), np.uint64, len(sets)).view(np.int64)
             first = [_prefix(x, similarity, *order.value).view(np.int64) for x in sets]
             sizes = np.fromiter(map(len, sets), np.int32, len(sets))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(marks), pa.array(sizes), pa.array(first, pa.list_(pa.int64()))], ["k1", "k2", "node", "mark", "size", "first"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(prints), pa.array(marks), pa.array(sizes), pa.array(first, pa.list_(pa.int64()))], ["k1", "k2", "node", "fp", "mark", "size", "first"])
 
-    made = stored(map_batches(texts.select("k1", "k2", "data"), make, "k1 long, k2 long, node long, mark long, size int, first array<long>"), "prefixes")
-    keyed = made.select("k1", "k2", "node").distinct()
-    members = keyed.join(_candidates(made, similarity), "node").groupBy("root", "node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("root", "node", "k.k1", "k.k2")
+    made = stored(map_batches(texts.select("k1", "k2", "data"), make, "k1 long, k2 long, node long, fp long, mark long, size int, first array<long>"), "prefixes")
+    keyed = stored(made.select("k1", "k2", "node").distinct(), "keyed")
+    members = keyed.join(_candidates(made, similarity, _by_grid(made)), "node").groupBy("root", "node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("root", "node", "k.k1", "k.k2")
     members = stored(texts.select("k1", "k2", "data").join(members, ["k1", "k2"]).groupBy("root", "node").agg(F.first("data").alias("data")), "members")
+    discard(made)
     found = keyed.join(_exact(members, words, similarity), "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
-    return stored(texts.select("id", "k1", "k2").join(found, ["k1", "k2"]), "near")
+    rows = stored(texts.select("id", "k1", "k2").join(found, ["k1", "k2"]), "near")
+    discard(members)
+    discard(keyed)
+    return rows
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orchardflow.llm._common import map_batches, scratch, slices, stored
+from orchardflow.llm._common import map_batches, scratch, shuffles_go, slices, stored
 
 #: A difference cover modulo 31: every difference of residues is one of two members.
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
@@ -324,19 +324,16 @@ def distinct_texts(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"texts_{uuid.uuid4().hex}"
-    (
+    distinct = (
         docs.select(F.col(text_col).cast("string").alias("data"))
         .where(F.octet_length("data") >= length)
         .select(*_text_keys(F.col("data")), "data")
         .groupBy("k1", "k2")
         .agg(F.count("*").alias("copies"), F.first("data").alias("data"))
         .repartition(n, "k1", "k2")
-        .write.option("path", scratch(spark, "texts"))
-        .option("compression", "zstd")
-        .bucketBy(n, "k1", "k2")
-        .sortBy("k1", "k2")
-        .saveAsTable(name)
     )
+    with shuffles_go(spark):
+        distinct.write.option("path", scratch(spark, "texts")).option("compression", "zstd").bucketBy(n, "k1", "k2").sortBy("k1", "k2").saveAsTable(name)
     return spark.table(name)
 
 
@@ -439,7 +436,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = distinct_texts(docs, text_col, passage or length)
     short = stored(runs(texts, passage), "runs") if passage else None
-    found = runs(texts, length, short)
+    found = stored(runs(texts, length, short), "runs")
     cut = cut_texts(texts, found, short, over_words if passage else None)
     whole = keep_text or passage
     rows = docs.select(F.col(id_col).alias("id"), text.alias("data")).select(
@@ -471,7 +468,7 @@ def without_repeats(docs: DataFrame, text_col: str = "text", length: int = PASSA
     """
     _at_least(length)
     texts = distinct_texts(docs, text_col, length)
-    kept = cut_texts(texts, runs(texts, length), over_words=over_words)
+    kept = cut_texts(texts, stored(runs(texts, length), "runs"), over_words=over_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

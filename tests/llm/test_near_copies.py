@@ -153,3 +153,36 @@ def test_texts_that_share_an_id_and_rows_without_one(spark):
     got = sorted((str(r.doc_id), str(r.text), r.source) for r in simhash.one_of_each(df).collect())
     assert [x[::2] for x in got] == [("1", "p"), ("1", "q"), ("3", "u"), ("None", "t")]
     assert simhash.one_of_each(df.limit(0)).count() == 0
+
+
+def test_fingerprints_link_in_the_grid(spark, monkeypatch):
+    """Without the prefixes, near copies whose fingerprints differ in two bits at most are still one; exact similarity decides."""
+    rng = random.Random(12)
+    rows, near = [], set()
+    for i in range(0, 60, 2):
+        a = [f"w{rng.randrange(10**9)}" for _ in range(600)]
+        b = a[:-1] + ["edited"]
+        rows += [(i, " ".join(a)), (i + 1, " ".join(b))]
+        if (simhash.sketch(simhash.shingles(rows[-2][1])) ^ simhash.sketch(simhash.shingles(rows[-1][1]))).bit_count() <= 2:
+            near.add(i)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(simhash, "_by_prefix", lambda made, similarity: made.select("node", "node").toDF("a", "b").where("false"))
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(df).collect()}
+    assert len(near) > 20 and got == {i: i - i % 2 if i - i % 2 in near else i for i, _ in rows}
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark):
+    import time
+
+    from orchardflow.llm._common import CLEANUP, stored
+
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").split()
+        return {x for x in files if "/shuffle_" in x}
+
+    before = shuffled()
+    rows = stored(spark.range(10_000).repartition(7, "id"), "rows")
+    end = time.monotonic() + 10
+    while shuffled() - before and time.monotonic() < end:  # they go in the background
+        time.sleep(0.1)
+    assert not shuffled() - before and spark.conf.get(CLEANUP) == "false" and rows.count() == 10_000
