@@ -200,3 +200,34 @@ def test_links_like_sql(spark, tmp_path, empty):
         want = sorted(c.execute(f"select coalesce(vec_id, -1), n_links, coalesce(component_id, -1), kept from ({queries.oracle_sql()['op10_embedding_dedup']})").fetchall())
     assert got == want
     assert empty or (max(r[1] for r in got) > 50 and sum(not r[3] for r in got) > 50)
+
+
+def test_a_large_label_misses_no_pair_at_the_threshold(spark, tmp_path):
+    """20,000 pairs just above the threshold in one label of 40,000 vectors, each of which hashes would miss with a small probability."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(11)
+    n, d, cosine = 20_000, 64, 0.930001
+    x = rng.standard_normal((n, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.standard_normal((n, d))
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = cosine * x + math.sqrt(1 - cosine**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    columns = {"vec_id": np.arange(2 * n), "embedding": pa.array(list(np.concatenate([x, y]))), "label": np.ones(2 * n, np.int32)}
+    pq.write_table(pa.table(columns), f"{tmp_path}/v.parquet")
+    got = embed_dedup.near_duplicates(spark.read.parquet(f"{tmp_path}/v.parquet")).where("n_links <> 1 or component_id <> vec_id % 20000 or kept <> (vec_id < 20000)")
+    assert got.count() == 0
+
+
+def test_pairs_beyond_the_bound_are_all_below_the_threshold(monkeypatch):
+    """The bound of codes drops no pair, neither within a block nor between two, for few and many components."""
+    monkeypatch.setattr(embed_dedup, "FLOATS", 500)
+    rng = np.random.default_rng(4)
+    for d in (1, 2, 3, 16, 64):
+        x = rng.standard_normal((200, d)) + rng.choice([0, 3], 200)[:, None]
+        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+        for a, b, same in ((np.arange(200), np.arange(200), True), (np.arange(0, 120), np.arange(120, 200), False)):
+            i, j = embed_dedup.close_pairs(x, embed_dedup.rotation(d, 17), a, b, same, 0.93)
+            want = {(i, j) for i, j in zip(*(unit @ unit.T >= 0.93 - 1e-12).nonzero(), strict=True) if i in a and j in b and (i < j or not same)}
+            assert set(zip(i.tolist(), j.tolist(), strict=True)) == want and len(i) == len(want)
