@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Whether shuffle files go when the query that wrote them ends, and not when the driver happens to collect its garbage.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Files of a stored table for each core, and the least number of them: each costs its executor processes that set permissions, besides a task.
+FILES, LEAST_FILES = 8, 32
 #: Texts handled together inside one Arrow batch; bounds a worker's memory.
 SLICE = 256
 
@@ -46,10 +48,14 @@ def shuffles_go(spark: SparkSession) -> Iterator[None]:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there, so a lost executor costs no recomputation; its shuffle files go."""
+    """Write ``df`` to the shared folder and read it back: lineage ends there, so a lost executor costs no recomputation; its shuffle files go.
+
+    The last step's tasks are joined to a few for each core, so that many small partitions leave no more files than the cores need.
+    """
     path = scratch(df.sparkSession, name)
+    files = max(LEAST_FILES, FILES * df.sparkSession.sparkContext.defaultParallelism)
     with shuffles_go(df.sparkSession):
-        df.write.option("compression", "zstd").parquet(path)
+        df.coalesce(files).write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

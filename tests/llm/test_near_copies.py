@@ -186,3 +186,14 @@ def test_a_stored_step_leaves_no_shuffle_files(spark):
     while shuffled() - before and time.monotonic() < end:  # they go in the background
         time.sleep(0.1)
     assert not shuffled() - before and spark.conf.get(CLEANUP) == "false" and rows.count() == 10_000
+
+
+def test_many_partitions_leave_few_files(spark):
+    """A stored table of many small partitions has its rows in a few files for each core; one of few keeps them."""
+    from orchardflow.llm import _common
+
+    most = max(_common.LEAST_FILES, _common.FILES * spark.sparkContext.defaultParallelism)
+    kept = _common.stored(spark.range(0, 4000, 1, 2 * most + 5), "many")
+    assert kept.count() == 4000 and len(kept.inputFiles()) <= most
+    few = _common.stored(spark.range(0, 10, 1, 3), "few")
+    assert few.count() == 10 and len(few.inputFiles()) == 3
