@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -101,8 +102,24 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def give_back() -> None:
+    """Memory that this process has freed, but that Arrow's pool and the C library hold for later, goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of some systems lacks it
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    return df.mapInArrow(function, schema)
+    """``function`` over the Arrow batches of each partition; the worker, which later tasks use again, keeps no freed memory after it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -1,5 +1,6 @@
 """Each stage of the pipeline against brute force over its own input, and the pipeline as a whole."""
 
+import re
 import zlib
 from pathlib import Path
 
@@ -7,6 +8,7 @@ import pytest
 
 import corpus_pipeline
 from orchardflow.llm import suffix_dedup
+from orchardflow.llm._common import map_batches
 from tests.llm.test_suffix_dedup import brute_passages
 
 DATA = "/root/testdata/sf0.001"
@@ -121,3 +123,23 @@ def test_stages_take_odd_rows(spark, stages):
     cut = {r.doc_id: r.text for r in suffix_dedup.without_repeats(odd, over_words=None).collect()}
     assert cut[4] == "" and cut[5] == "x" and cut[1] is None and cut[2] == "" and cut[3] == ""
     assert {r.doc_id: r.text for r in suffix_dedup.without_repeats(odd).collect()}[4] == "é" * 300
+
+
+def test_a_worker_keeps_no_freed_memory_after_a_task():
+    class Frame:
+        def mapInArrow(self, run, schema):
+            return list(run(iter([])))
+
+    def held_mb():
+        return int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+
+    last = []
+
+    def work(batches):
+        blocks = [bytes(64 << 10) + b"x" for _ in range(3000)]
+        last.append(blocks[-1])  # stands above the freed ones, so that they stay with the C library unless they are given back
+        yield from batches
+
+    before = held_mb()
+    assert map_batches(Frame(), work, "id long") == []
+    assert held_mb() - before < 60
