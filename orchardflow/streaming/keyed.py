@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import StructType
@@ -37,26 +37,31 @@ class LastContent(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", KEPT, self.forget_after_ms)
 
-    def handleInputRows(self, key, rows, timer) -> Iterator[pd.DataFrame]:
-        # places and hashes of all records are held, whole records only of the survivor so far
+    def handleInputRows(self, key, rows, timer) -> Iterator[Row]:
+        # whole records are held only of the survivor so far; besides, keep_first counts hashes, keep_last holds places and hashes of all
+        first_kept = self.policy == "keep_first"
+        counts: Counter[str] = Counter()
         seen: list[tuple[str, str]] = []
-        best = None
-        for frame in rows:
-            seen += zip(frame["place"], frame["content_hash"], strict=True)
-            at = (frame["place"].idxmin if self.policy == "keep_first" else frame["place"].idxmax)()
-            row = frame.loc[at]
-            if best is None or (row["place"] < best["place"]) == (self.policy == "keep_first"):
+        best = lead = None
+        for row in rows:
+            told = row.place, row.content_hash
+            if first_kept:
+                counts[row.content_hash] += 1
+                lead = told if lead is None or told < lead else lead
+            else:
+                seen.append(told)
+            if best is None or (row.place < best.place if first_kept else row.place > best.place):
                 best = row
         seen.sort()
-        hashes = [h for _, h in seen]
-        same = Counter(hashes)[hashes[0]] - 1 if self.policy == "keep_first" else sum(a == b for a, b in zip(hashes, hashes[1:], strict=False))
+        n = counts.total() if first_kept else len(seen)
+        same = counts[lead[1]] - 1 if first_kept else sum(a[1] == b[1] for a, b in pairwise(seen))
         before = self.last.get()[0] if self.last.exists() else None
-        change = "new" if before is None else "unchanged" if before == best["content_hash"] else "changed"
-        self.last.update((best["content_hash"], best["source_id"]))
-        yield pd.DataFrame({"key": [key[0]], "change": [change], "identical": [same], "conflicting": [len(seen) - 1 - same], "record": [best["record"]]})
+        change = "new" if before is None else "unchanged" if before == best.content_hash else "changed"
+        self.last.update((best.content_hash, best.source_id))
+        yield Row(key=key[0], change=change, identical=same, conflicting=n - 1 - same, record=best.record)
 
     def handleInitialState(self, key, initial, timer) -> None:
-        self.last.update((initial["content_hash"].iloc[0], initial["source_id"].iloc[0]))
+        self.last.update((initial.content_hash, initial.source_id))
 
     def close(self) -> None:
         pass
@@ -78,7 +83,7 @@ def classify(products: DataFrame, policy: str = "keep_first", initial: DataFrame
     rows = products.select("key", place.alias("place"), "content_hash", "source_id", packed.alias("record"))
     seed = None if initial is None else initial.select("key", "content_hash", "source_id").groupBy("key")
     timed = "none" if forget_after_ms is None else "processingTime"
-    told = rows.groupBy("key").transformWithStateInPandas(LastContent(policy, forget_after_ms), TOLD, "Append", timed, seed)
+    told = rows.groupBy("key").transformWithState(LastContent(policy, forget_after_ms), TOLD, "Append", timed, seed)
     schema = StructType(products.schema.fields)
     whole = F.from_json("record", schema, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
     return told.select(whole.alias("record"), "change", "identical", "conflicting").select("record.*", "change", "identical", "conflicting")

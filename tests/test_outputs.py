@@ -7,6 +7,7 @@ import os
 from datetime import UTC, datetime
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from orchardflow.plans import run as plan
@@ -215,6 +216,35 @@ def test_duplicates_of_a_batch_are_counted(spark, tmp_path):
         keyed.classify(stream, "keep_best")
 
 
+@pytest.mark.parametrize(("policy", "want"), [("keep_first", ("x", 2, 2, 1)), ("keep_last", ("z", 1, 3, 5))])
+def test_a_stream_takes_records_one_by_one(policy, want):
+    """No frame is made for a key: its records come as rows, in any order, are read once, and one row comes out."""
+
+    class Last:
+        kept = None
+
+        def exists(self):
+            return self.kept is not None
+
+        def get(self):
+            return self.kept
+
+        def update(self, value):
+            self.kept = value
+
+    Record, works = Row("key", "place", "content_hash", "source_id", "record"), keyed.LastContent(policy)
+    works.last = Last()
+    rows = [Record("a", str(n), h, "s", str(n)) for n, h in ((3, "x"), (5, "z"), (1, "x"), (2, "y"), (4, "x"))]
+    hash_, same, other, record = want
+    for change in ("new", "unchanged"):
+        (told,) = works.handleInputRows(("a",), iter(rows), None)
+        assert told.asDict() == {"key": "a", "change": change, "identical": same, "conflicting": other, "record": str(record)}
+    assert works.last.kept == (hash_, "s")
+    works.handleInitialState(("a",), Row(content_hash="old", source_id="t"), None)
+    (told,) = works.handleInputRows(("a",), iter(rows), None)
+    assert told.change == "changed"
+
+
 @pytest.mark.parametrize("size", [500, 3000])
 def test_files_are_read_in_parts(spark, tmp_path, size):
     """JSON arrays and CSV files are read by many tasks, wherever the parts are cut: within quotes, line breaks, between elements."""
