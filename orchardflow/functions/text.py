@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 # Characters of no width that are deleted.
 NO_WIDTH = "​‌‍﻿­"
 
+#: Paths and hosts in which nothing is to be decoded, resolved, dropped or refused, so that joining them is all there is to do.
+PLAIN_PATH, PLAIN_ORIGIN = r"\A(?:/[A-Za-z0-9_-]+)+\z", r"\A(https?://[a-z0-9](?:[a-z0-9.-]*[a-z0-9])?(?::[0-9]+)?)(?:[/?#]|\z)"
+
 
 def cleaned(raw: str | None) -> str | None:
     """Entities decoded, no-width characters deleted, NFKC, white space collapsed; None for what is then empty."""
@@ -68,8 +71,12 @@ def _resolve(link: pa.Array, page: pa.Array) -> pa.Array:
 
 
 def resolve_url(link: Column, page: Column) -> Column:
-    """struct<value, code> of a link on a page."""
-    return _resolve(link, page)
+    """struct<value, code> of a link on a page: :func:`resolved`, natively for a plain path from the root of a plain host, and for null."""
+    origin = F.regexp_extract(page, PLAIN_ORIGIN, 1)
+    plain = F.coalesce(link.rlike(PLAIN_PATH) & (origin != ""), link.isNull())
+    other = _resolve(F.when(~plain, link), F.when(~plain, page))
+    native = F.struct(F.concat(origin, link).alias("value"), F.lit(None).cast("string").alias("code"))
+    return F.when(~plain, other).otherwise(native)
 
 
 @F.arrow_udf(T.StringType())

@@ -54,9 +54,11 @@ def run(spark: SparkSession, config: Config, pages: DataFrame, now: datetime, st
     # the parsed pages feed four tables and the report; they spill to disk, and are computed again if an executor goes
     read = read_pages(pages, config).persist(StorageLevel.MEMORY_AND_DISK)
     ordered = normalize(records_of(read), config, now).join(order, "source_id")
-    rows = ordered.withColumn("seq", F.struct(F.col("at").alias("source"), F.col("page_no").alias("page"), F.col("record_no").alias("record"))).drop("at").persist(StorageLevel.MEMORY_AND_DISK)
-    good = valid(rows).withColumn("key", dedupe_key(config.dedupe.key_fields)).withColumn("content_hash", content_hash())
-    paired = dedupe.pair_up(good, config.dedupe.on_conflict)
+    rows = ordered.withColumn("seq", F.struct(F.col("at").alias("source"), F.col("page_no").alias("page"), F.col("record_no").alias("record"))).drop("at")
+    # keys and hashes are made once, with the rows; so are the pairs, which the counters, duplicates and survivors are taken from
+    kept = F.size("reasons") == 0
+    rows = rows.withColumn("key", F.when(kept, dedupe_key(config.dedupe.key_fields))).withColumn("content_hash", F.when(kept, content_hash())).persist(StorageLevel.MEMORY_AND_DISK)
+    paired = dedupe.pair_up(valid(rows), config.dedupe.on_conflict).persist(StorageLevel.MEMORY_AND_DISK)
     same = dedupe.duplicates(paired, config.dedupe.on_conflict)
     survived = changes.classify(dedupe.survivors(paired), state).persist(StorageLevel.MEMORY_AND_DISK)
     products = changes.only_changed(survived) if only_changed else survived
@@ -93,7 +95,7 @@ def run(spark: SparkSession, config: Config, pages: DataFrame, now: datetime, st
         "exported": exported,
         "exit_code": int(bool(total["pages_failed"]) or not exported),
     }
-    return RunResult(products.orderBy("first_seq"), rejected(rows), same, failures, survived.select("key", "content_hash", "source_id"), found, [read, rows, survived])
+    return RunResult(products.orderBy("first_seq"), rejected(rows), same, failures, survived.select("key", "content_hash", "source_id"), found, [read, rows, paired, survived])
 
 
 def _told(spark: SparkSession, config: Config, pages: DataFrame, read: DataFrame, rows: DataFrame, paired: DataFrame, same: DataFrame, survived: DataFrame, failures: DataFrame) -> dict:

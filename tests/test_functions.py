@@ -1,5 +1,6 @@
 from datetime import date
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,3 +162,20 @@ def test_keys(spark):
     df = spark.createDataFrame([product(" nc-1  A", "Straße"), product(None, "x")], PRODUCT)
     assert [r.k for r in df.select(records.dedupe_key(["sku", "title", "price"]).alias("k")).collect()] == ["nc-1 a\u001fstrasse\u001f5177GBP", "\u001fx\u001f5177GBP"]
     assert df.select(records.dedupe_key(["sku"], True).alias("k")).collect()[0].k == "nc-1 a"
+
+
+def test_plain_links_are_resolved_without_python(spark, monkeypatch):
+    """Native and Python's rules give the same for every pair, and the plain ones reach Python as nulls."""
+    links = ["/p/1", "/a-b/c_D/9", "/", "/a/", "//h.test/x", "/a//b", "/a/../b", "/a.html", "/a?b=1", "/a#b", "/a b", " /a", "/a\n", "/é", "/a&amp;b", "a/b", "", "?q", "#x", "/a;b", "http://h.test/p", "mailto:x", None]
+    pages = ["http://s0.test/list?page=1", "https://s0.test:8090", "http://s0.test#x", "http://a-b.test/x/y", "http://s0.test\n", "http://S0.test/x", "HTTP://s0.test/x", "http://u@s0.test/x", "http://[bad/x", "http://-x.test/", "http://a_b.test/", "ftp://s0.test/x", "http:///x", "s0.test", "", None]
+    pairs = [(a, b) for a in links for b in pages]
+    got = outcome(spark, pairs, text.resolve_url(F.col("t"), F.col("a")))
+    assert [tuple(x) for x in got] == [text.resolved(*p) for p in pairs]
+
+    @F.arrow_udf("struct<value:string,code:string>")
+    def only_null(link: pa.Array, page: pa.Array) -> pa.Array:
+        assert link.null_count == len(link) and page.null_count == len(page)
+        return pa.array([None] * len(link), pa.struct([("value", pa.string()), ("code", pa.string())]))
+
+    monkeypatch.setattr(text, "_resolve", only_null)
+    assert [x.value for x in outcome(spark, [("/p/1", pages[0]), (None, pages[0])], text.resolve_url(F.col("t"), F.col("a")))] == ["http://s0.test/p/1", None]
