@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orchardflow.llm._common import map_batches, scratch, shuffles_go, slices, stored
+from orchardflow.llm._common import discard, map_batches, scratch, shuffles_go, slices, stored
 
 #: A difference cover modulo 31: every difference of residues is one of two members.
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
@@ -34,6 +34,8 @@ GRAM = 64
 HEAD = 32
 #: Bytes of text handled by one array operation; bounds a worker's memory.
 BLOCK = 1 << 21
+#: Places hashed by one array operation, so that its arrays stay in a core's cache.
+CHUNK = 1 << 15
 #: A passage: a repeated run of so many bytes at least, and of more than so many words. 51 words of prose are longer than this in any language.
 PASSAGE, WORDS = 240, 50
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -53,20 +55,30 @@ def _meeting() -> np.ndarray:
 MEETING = _meeting()
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on as a number, the first of them the lowest."""
+    return np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data), strides=(1,)).astype(np.uint64)
+
+
 def _hashes(data: np.ndarray, size: int) -> np.ndarray:
     """A hash of the ``size`` bytes (a power of two, 8 at least) at each place."""
-    x = data.astype(np.uint64)
+    places = len(data) - size + 1
+    out = np.empty(places, np.uint64)
     with np.errstate(over="ignore"):
-        for step in (1, 2, 4):
-            x = (x[:-step] << np.uint64(8 * step)) | x[step:]
-        step = 8
-        while step < size:
-            x = x[:-step] * MIX ^ (x[step:] >> np.uint64(29)) ^ (x[step:] * FOLD)
-            step *= 2
-        x ^= x >> np.uint64(31)
-        x *= MIX
-        x ^= x >> np.uint64(29)
-    return x
+        for at in range(0, places, CHUNK):
+            x = _words(data[at : at + CHUNK + size - 1])
+            step = 8
+            while step < size:
+                y = x[:-step] * MIX
+                y ^= x[step:] >> np.uint64(29)
+                y ^= x[step:] * FOLD
+                x = y
+                step *= 2
+            x ^= x >> np.uint64(31)
+            x *= MIX
+            x ^= x >> np.uint64(29)
+            out[at : at + CHUNK] = x
+    return out
 
 
 def owners(data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -74,23 +86,30 @@ def owners(data: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray
 
     Each start of a window of ``length`` bytes within a text is in exactly one region.
     """
-    x = _hashes(data, GRAM)
-    least = (x & ~LOW) | np.arange(len(x), dtype=np.uint64)
-    grams, span = length - GRAM + 1, 1
-    while span * 2 <= grams:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    if span < grams:
-        least = np.minimum(least[: len(least) - (grams - span)], least[grams - span :])
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    cuts = np.unique(np.concatenate([np.flatnonzero(least[1:] != least[:-1]) + 1, starts]))
-    cuts = cuts[cuts < len(least)]
+    grams, places = length - GRAM + 1, len(data) - length + 1
+    found, hashes, before = [], [], None
+    for at in range(0, places, CHUNK):
+        x = _hashes(data[at : at + CHUNK + length - 1], GRAM)
+        least, span = (x & ~LOW) | np.arange(at, at + len(x), dtype=np.uint64), 1
+        while span * 2 <= grams:
+            least = np.minimum(least[:-span], least[span:])
+            span *= 2
+        if span < grams:
+            least = np.minimum(least[: len(least) - (grams - span)], least[grams - span :])
+        opens = np.append(before is None or least[0] != before, least[1:] != least[:-1])
+        opens[starts[np.searchsorted(starts, at) : np.searchsorted(starts, at + len(least))] - at] = True
+        opens = np.flatnonzero(opens)
+        found.append(opens + at)
+        hashes.append(x[(least[opens] & LOW).astype(np.int64) - at])
+        before = least[-1]
+    cuts, owner = np.concatenate(found), np.concatenate(hashes)
     text = np.searchsorted(ends, cuts, side="right")
-    last = np.minimum(np.append(cuts[1:], len(least)) - 1, ends[text] - length)
+    last = np.minimum(np.append(cuts[1:], places) - 1, ends[text] - length)
     ok = cuts <= last
     text, first, last = text[ok], cuts[ok], last[ok]
-    return text, first - starts[text], last - starts[text], x[(least[first] & LOW).astype(np.int64)]
+    return text, first - starts[text], last - starts[text], owner[ok]
 
 
 def _segments(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[list[tuple], list[bytes]]]:
@@ -133,21 +152,12 @@ def regions(texts: DataFrame, length: int) -> DataFrame:
             columns = [owner.view(np.int64), same.view(np.int64), k[:, 0], k[:, 1], (first + k[:, 3]).astype(np.int64), (last - first + 1).astype(np.int32), times.astype(np.int64), k[:, 2] * times]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["owner", "region", "k1", "k2", "first", "windows", "times", "copies"])
 
-    return map_batches(texts.select("k1", "k2", "copies", "base", "data"), run, "owner long, region long, k1 long, k2 long, first long, windows int, times long, copies long")
+    return map_batches(texts.select("k1", "k2", "copies", "base", F.col("data").cast("binary")), run, "owner long, region long, k1 long, k2 long, first long, windows int, times long, copies long")
 
 
-def owner_counts(texts: DataFrame, length: int) -> DataFrame:
-    """(owner, n): how many regions of all copies each owner hash has; summed within a block first, so that common owners send few rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, parts in _segments(batches, length):
-            text, _, _, owner = owners(np.frombuffer(b"".join(parts), np.uint8), np.array(list(map(len, parts)), np.int64), length)
-            found, place = np.unique(owner, return_inverse=True)
-            n = np.bincount(place, weights=np.array([k[2] for k in keys], np.float64)[text], minlength=len(found)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["owner", "n"])
-
-    parts = map_batches(texts.select("k1", "k2", "copies", "base", "data"), run, "owner long, n long")
-    return parts.groupBy("owner").agg(F.sum("n").alias("n"))
+def owner_counts(rows: DataFrame) -> DataFrame:
+    """(owner, n): how many regions of all copies each owner hash has; summed within a task first, so that common owners send few rows."""
+    return rows.groupBy("owner").agg(F.sum("copies").alias("n"))
 
 
 def repeated(rows: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -162,12 +172,27 @@ def repeated(rows: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, classes.join(several, "owner").select("owner", "region", "weight", "classes", "head.*")
 
 
-def _rank(keys: np.ndarray) -> np.ndarray:
-    return np.unique(keys, return_inverse=True)[1].astype(np.uint64)
+def _grouped(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the pairs (a, b), and the rank of each one's pair in that order."""
+    if not len(a):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    low, place = int(b.max()).bit_length(), len(a).bit_length()
+    key = (a << np.uint64(low)) | b
+    if int(a.max()).bit_length() + low + place <= 64:  # with their places in one number: sorted far faster than by an index
+        key = np.sort((key << np.uint64(place)) | np.arange(len(a), dtype=np.uint64))
+        order = (key & np.uint64((1 << place) - 1)).astype(np.int64)
+        key >>= np.uint64(place)
+    else:
+        order = np.argsort(key)
+        key = key[order]
+    return order, np.append(False, key[1:] != key[:-1]).cumsum()
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return _rank((a << np.uint64(32)) | b)
+    order, group = _grouped(a, b)
+    rank = np.empty(len(a), np.uint64)
+    rank[order] = group
+    return rank
 
 
 def repeating(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -175,17 +200,13 @@ def repeating(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     if len(starts) < 2:
         return np.zeros(len(starts), bool)
     n = len(data)
-    x = np.concatenate([data, np.zeros(length + 2 * HEAD, np.uint8)]).astype(np.uint64)
-    for step in (1, 2, 4):
-        x = (x[:-step] << np.uint64(8 * step)) | x[step:]
-    rank = _rank(x[: n + length])
-    for step in (8, 16):
+    words = _words(np.concatenate([data, np.zeros(length + HEAD, np.uint8)])).byteswap()
+    rank = _pair(words >> np.uint64(24), np.zeros(len(words), np.uint64))
+    for step in (5, 10, 12):
         rank = _pair(rank[:-step], rank[step:])
     head = rank  # of the 32 bytes at each place
     tail = length - HEAD
-    order = np.argsort(key := (head[starts] << np.uint64(32)) | head[starts + tail], kind="stable")
-    key = key[order]
-    group = np.cumsum(np.append(True, key[1:] != key[:-1])) - 1
+    order, group = _grouped(head[starts], head[starts + tail])
     sizes = np.bincount(group)
     live = sizes[group] > 1
     order, group = order[live], group[live]
@@ -256,10 +277,12 @@ def ends_shared(parts: list[bytes], length: int) -> np.ndarray:
             keys.append(x[starts] * MIX ^ x[starts + length - HEAD])
         at = top
     every = np.concatenate([np.zeros(0, np.uint64), *keys])
-    ordered = np.sort(every)
-    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-    place = np.minimum(np.searchsorted(twice, every), max(0, len(twice) - 1))
-    return twice[place] == every if len(twice) else np.zeros(len(every), bool)
+    place = np.uint64(len(every).bit_length())  # gives way to the window's number; windows whose hashes then agree are only sorted too
+    ordered = np.sort((every >> place << place) | np.arange(len(every), dtype=np.uint64))
+    same = ordered[1:] >> place == ordered[:-1] >> place
+    found = np.zeros(len(every), bool)
+    found[(ordered[np.append(same, False) | np.append(False, same)] & ((np.uint64(1) << place) - np.uint64(1))).astype(np.int64)] = True
+    return found
 
 
 def sorted_buckets(classes: DataFrame, length: int) -> DataFrame:
@@ -291,14 +314,12 @@ def sorted_buckets(classes: DataFrame, length: int) -> DataFrame:
         windows = sizes - length + 1
         which = np.repeat(np.arange(len(parts)), windows)
         within = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
-        if sizes.sum() <= 2 * BLOCK:
-            found = repeating(np.frombuffer(b"".join(parts), np.uint8), (np.cumsum(sizes) - sizes)[which] + within, length)
-        else:  # a bucket of many classes: only what shares its first and last bytes with something else is sorted
-            found = np.zeros(len(which), bool)
-            left = np.flatnonzero(ends_shared(parts, length))
-            some, place = np.unique(which[left], return_inverse=True)
-            ends = np.cumsum(sizes[some])
-            found[left] = repeating(np.frombuffer(b"".join(parts[i] for i in some.tolist()), np.uint8), (ends - sizes[some])[place] + within[left], length)
+        # only what shares its first and last bytes with something else is sorted
+        found = np.zeros(len(which), bool)
+        left = np.flatnonzero(ends_shared(parts, length))
+        some, place = np.unique(which[left], return_inverse=True)
+        ends = np.cumsum(sizes[some])
+        found[left] = repeating(np.frombuffer(b"".join(parts[i] for i in some.tolist()), np.uint8), (ends - sizes[some])[place] + within[left], length)
         found |= (table.column("weight").to_numpy() > 1)[which]
         padded = np.concatenate([[False], found, [False]])
         same = np.concatenate([[False], which[1:] == which[:-1], [False]])
@@ -350,7 +371,9 @@ def runs(texts: DataFrame, length: int, within: DataFrame | None = None) -> Data
     segments = texts.withColumn("base", F.lit(0).cast("long"))
     if within is not None:
         segments = texts.join(within.where(F.col("b") - F.col("a") >= length), ["k1", "k2"]).select("k1", "k2", "copies", F.col("a").alias("base"), _piece(F.col("a"), F.col("b") - F.col("a")).alias("data"))
-    members, classes = repeated(regions(segments, length), owner_counts(segments, length))
+    rows = stored(regions(segments, length), "windows")
+    members, classes = repeated(rows, owner_counts(rows))
+    discard(rows)
     shipped = classes.where("classes > 1").join(texts.select("k1", "k2", "data"), ["k1", "k2"])
     shipped = shipped.select("owner", "region", "weight", _piece(F.col("first"), F.col("windows") + (length - 1)).alias("data"))
     whole = classes.where("classes = 1").select("owner", "region", F.lit(0).cast("long").alias("low"), (F.col("windows") - 1).cast("long").alias("high"))

@@ -156,3 +156,53 @@ def test_ends_shared(spark):
         counts[k] = counts.get(k, 0) + 1
     assert got.tolist() == [counts[k] > 1 for k in keys]
     assert rows == sorted((r.doc_id, w[3]) for r, w in zip(df.collect(), brute([(x or "").encode() for x in texts], 400), strict=True))
+
+
+def test_texts_are_read_once(spark, monkeypatch):
+    """Owners are found once for all texts: their bytes go to the workers once, not once more to count the owners."""
+    seen, real = spark.sparkContext.accumulator(0), suffix_dedup.map_batches
+
+    def counting(df, function, schema):
+        def run(batches):
+            def counted():
+                for batch in batches:
+                    seen.add(sum(len(x.encode() if isinstance(x, str) else x) for x in batch.column(4).to_pylist()))
+                    yield batch
+
+            yield from function(counted())
+
+        return real(df, run if "base" in df.columns else function, schema)
+
+    monkeypatch.setattr(suffix_dedup, "map_batches", counting)
+    texts = corpus()
+    found = suffix_dedup.runs(suffix_dedup.distinct_texts(spark.createDataFrame([(x,) for x in texts], "text string"), "text", 400), 400)
+    assert found.count() > 20
+    assert seen.value == sum(len(raw) for raw in {x.encode() for x in texts if x} if len(raw) >= 400)
+
+
+def test_owners_by_chunks(monkeypatch):
+    """Regions do not depend on how many places are hashed at a time, and each holds the windows of one least gram."""
+    parts = [x.encode() for x in corpus() if x and len(x.encode()) >= 240]
+    data, sizes = np.frombuffer(b"".join(parts), np.uint8), np.array(list(map(len, parts)))
+    whole = suffix_dedup.owners(data, sizes, 240)
+    text, first, last, owner = (x.tolist() for x in whole)
+    assert [(t, i) for t, a, b in zip(text, first, last, strict=True) for i in range(a, b + 1)] == [(t, i) for t, p in enumerate(parts) for i in range(len(p) - 239)]
+    seen = {}
+    for t, a, b, o in zip(text, first, last, owner, strict=True):
+        for i in range(a, b + 1):
+            assert seen.setdefault(parts[t][i : i + 240], o) == o
+    for size in (97, 1000):
+        monkeypatch.setattr(suffix_dedup, "CHUNK", size)
+        assert all((a == b).all() for a, b in zip(whole, suffix_dedup.owners(data, sizes, 240), strict=True))
+
+
+def test_grouped():
+    """Pairs are ordered alike whether their places fit beside them in one number or not."""
+    rng = np.random.default_rng(5)
+    for top in (4, 1 << 20, 1 << 31):
+        a, b = rng.integers(0, top, (2, 3000)).astype(np.uint64)
+        a[1500:], b[1500:] = a[:1500], b[:1500]
+        order, group = suffix_dedup._grouped(a, b)
+        pairs = list(zip(a[order].tolist(), b[order].tolist(), strict=True))
+        assert sorted(order.tolist()) == list(range(3000)) and pairs == sorted(pairs)
+        assert group.tolist() == np.unique(np.array(pairs), axis=0, return_inverse=True)[1].reshape(-1).tolist()
