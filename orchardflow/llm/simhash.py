@@ -196,11 +196,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(named, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Similar shingle sets: bits of the sketch that pairs are tried by before the exact comparison, and by how many standard deviations they may miss.
-TRIED, SLACK = 54, 4.5
-TWIST = np.uint64(0x9C8F2D35A7E1B643)
-#: Shingle sets smaller than this together are too small for a sketch's bits to be near normal; they are not tried.
+#: By how many standard deviations the sketches of similar sets may miss, when pairs are tried by them before the exact comparison.
+SLACK = 5
+TWIST, TWIST_2 = np.uint64(0x9C8F2D35A7E1B643), np.uint64(0xD6E8FEB86659FD93)
+#: Shingle sets smaller than this together are too small for a sketch's bits to be near normal; they are not tried by them.
 FEW = 128
+#: A set of at most so many shingles has parities in place of the second sketch.
+SHORT = 80
 #: Sampled texts for the order of the shingles (so many, or this share of all, whichever is more), and the commoner shingles that it holds.
 ORDER_TEXTS, ORDER_SHARE, ORDER_SHINGLES = 20_000, 1 / 2000, 262_144
 #: Texts in a bucket whose pairs are tried one by one; in a larger bucket all are candidates.
@@ -227,40 +229,57 @@ def shingles(text: str | None, words: int = 5) -> np.ndarray:
     return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts)))
 
 
-def sketch(found: np.ndarray) -> int:
+def sketch(found: np.ndarray, twist: np.uint64 = TWIST) -> int:
     """The 64-bit SimHash of a shingle set; 0 for an empty one."""
     n = len(found)
     if not n:
         return 0
     with np.errstate(over="ignore"):
-        x = found * TWIST
+        x = found * twist
         x ^= x >> np.uint64(32)
-        x *= TWIST
+        x *= twist
     counts = np.zeros(64, np.int64)
     for at in range(0, n, 255):
         counts += np.unpackbits(x[at : at + 255].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint8)
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
-def mark(n: int, bits: int) -> int:
-    """A shingle set's size class (32 to a doubling) and ``TRIED`` bits of its SimHash, in one word."""
-    return bits >> (64 - TRIED) << 10 | min(1023, int(32 * np.log2(n))) if n else 0
+def parities(found: np.ndarray) -> int:
+    """Whether an odd number of a set's shingles falls on each of 64 bits. The bits of two sets differ at no more places than the sets have shingles not in common."""
+    with np.errstate(over="ignore"):
+        place = found * TWIST_2 >> np.uint64(58)
+    return int(np.bitwise_xor.reduce(np.uint64(1) << place, initial=np.uint64(0)))
+
+
+def second(found: np.ndarray) -> int:
+    """What tells a set from others besides its sketch: its parities if it is short, else a second sketch."""
+    return parities(found) if len(found) <= SHORT else sketch(found, TWIST_2)
 
 
-def may_be_alike(marks: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether the sets with the marks at ``a`` and ``b`` may have a Jaccard similarity of ``similarity``: by size, then by SimHash bits.
+def may_be_alike(marks: np.ndarray, more: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the sets at ``a`` and ``b`` may have a Jaccard similarity of ``similarity``, by their sketches ``marks`` and by ``more`` (:func:`second`).
 
-    Bit counts first: their difference never exceeds the Hamming distance, so pairs beyond it are out before any XOR.
+    Bit counts first: their difference never exceeds the Hamming distance, so pairs beyond it are out before any XOR. Parities miss no similar pair.
     """
-    size, bits = (marks & np.uint64(1023)).astype(np.int64), marks >> np.uint64(10)
-    ok = np.abs(size[a] - size[b]) <= 32 * np.log2(1 / similarity) + 1
-    n, m = 2 ** (size[a] / 32), 2 ** (size[b] / 32)
+    n, m = size[a].astype(np.float64), size[b].astype(np.float64)
+    short = (n <= SHORT).astype(np.int8) + (m <= SHORT)
     share = np.minimum(1, similarity / (1 + similarity) * (n + m) / np.sqrt(n * m))  # the cosine that it takes
     differ = np.arccos(share) / np.pi
-    most = np.where(n + m < FEW, TRIED, differ * TRIED + SLACK * np.sqrt(np.maximum(1, differ * (1 - differ) * TRIED)))
-    counts = np.bitwise_count(bits).astype(np.int64)
-    ok &= np.abs(counts[a] - counts[b]) <= most
-    ok[ok] = np.bitwise_count(bits[a[ok]] ^ bits[b[ok]]) <= most[ok]
+
+    def most(bits: int) -> np.ndarray:
+        return differ * bits + SLACK * np.sqrt(np.maximum(1, differ * (1 - differ) * bits))
+
+    def within(words: np.ndarray, most: np.ndarray, tried: np.ndarray) -> None:
+        counts = np.bitwise_count(words).astype(np.int64)
+        ok[tried] = np.abs(counts[a[tried]] - counts[b[tried]]) <= most[tried]
+        tried = tried[ok[tried]]
+        ok[tried] = np.bitwise_count(words[a[tried]] ^ words[b[tried]]) <= most[tried]
+
+    ok = np.ones(len(n), bool)
+    within(more, (n + m) * (1 - similarity) / (1 + similarity) + 1e-6, np.flatnonzero(short == 2))
+    within(marks, most(64), np.flatnonzero(ok & (n + m >= FEW)))
+    both = np.flatnonzero(ok & (short == 0))
+    ok[both] = np.bitwise_count(marks[a[both]] ^ marks[b[both]]) + np.bitwise_count(more[a[both]] ^ more[b[both]]).astype(np.int64) <= most(128)[both]
     return ok
 
 
@@ -290,7 +309,7 @@ def _prefix(found: np.ndarray, similarity: float, by_hash: np.ndarray, rank: np.
     return found[np.argsort(np.where(by_hash[at] == found, rank[at] + 1, 0), kind="stable")[:size]]
 
 
-def _meet(bucket: np.ndarray, node: np.ndarray, marks: np.ndarray, size: np.ndarray, place: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def _meet(bucket: np.ndarray, node: np.ndarray, marks: np.ndarray, more: np.ndarray, size: np.ndarray, place: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Candidate links among the texts of sorted buckets, as two arrays of nodes: enough to join what could be alike.
 
     ``size`` is that of a text's set, ``place`` that of the bucket's shingle in it. Where two sets have their first common shingle, they share no more
@@ -301,7 +320,7 @@ def _meet(bucket: np.ndarray, node: np.ndarray, marks: np.ndarray, size: np.ndar
         n, m = size[a], size[b]
         good = (node[a] != node[b]) & (np.minimum(n - place[a], m - place[b]) * (1 + similarity) >= similarity * (n + m) - 1e-6)
         some = np.flatnonzero(good)
-        good[some] = may_be_alike(marks, a[some], b[some], similarity)
+        good[some] = may_be_alike(marks, more, size, a[some], b[some], similarity)
         return good
 
     opens = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
@@ -419,7 +438,7 @@ def _keys(text: Column) -> list[Column]:
 
 
 def _candidates(made: DataFrame, similarity: float, linked_already: DataFrame | None = None) -> DataFrame:
-    """(node, root): groups of the shingle sets of ``made`` (node, mark, size, first) outside of which nothing is alike.
+    """(node, root): groups of the shingle sets of ``made`` (node, mark, more, size, first) outside of which nothing is alike.
 
     Joined by ``linked_already`` (a, b), and where sets meet at a shingle of their prefixes.
     """
@@ -474,10 +493,11 @@ def _by_prefix(made: DataFrame, similarity: float) -> DataFrame:
 
     def links(held: list[pa.Table]) -> pa.RecordBatch:
         table = pa.concat_tables(held)
-        a, b = _meet(*(table.column(c).to_numpy() for c in ("s", "node")), table.column("mark").to_numpy().view(np.uint64), *(table.column(c).to_numpy() for c in ("size", "place")), similarity)
+        a, b = _meet(*(table.column(c).to_numpy() for c in ("s", "node")), *(table.column(c).to_numpy().view(np.uint64) for c in ("mark", "more")), *(table.column(c).to_numpy() for c in ("size", "place")), similarity)
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    placed = made.select(F.posexplode("first").alias("place", "s"), "node", "mark", "size").select("s", "node", "mark", "size", "place")
+    more = F.col("more") if "more" in made.columns else F.lit(0).cast("long")  # without it, it rules nothing out
+    placed = made.select(F.posexplode("first").alias("place", "s"), "node", "mark", more.alias("more"), "size").select("s", "node", "mark", "more", "size", "place")
     return map_batches(placed.repartition("s").sortWithinPartitions("s"), meet, "a long, b long")
 
 
@@ -562,16 +582,18 @@ def _rows(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: f
             node = np.fromiter((xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets), np.uint64, len(sets)).view(np.int64)
             bits = [sketch(x) for x in sets]
             prints = np.array(bits, np.uint64).view(np.int64)
-            marks = np.fromiter((mark(len(x), b) for x, b in zip(sets, bits, strict=True)), np.uint64, len(sets)).view(np.int64)
+            more = np.fromiter(map(second, sets), np.uint64, len(sets)).view(np.int64)
             first = [_prefix(x, similarity, *order.value).view(np.int64) for x in sets]
             sizes = np.fromiter(map(len, sets), np.int32, len(sets))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(prints), pa.array(marks), pa.array(sizes), pa.array(first, pa.list_(pa.int64()))], ["k1", "k2", "node", "fp", "mark", "size", "first"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node), pa.array(prints), pa.array(more), pa.array(sizes), pa.array(first, pa.list_(pa.int64()))], ["k1", "k2", "node", "mark", "more", "size", "first"])
 
-    made = stored(map_batches(texts.select("k1", "k2", "data"), make, "k1 long, k2 long, node long, fp long, mark long, size int, first array<long>"), "prefixes")
+    made = stored(map_batches(texts.select("k1", "k2", "data"), make, "k1 long, k2 long, node long, mark long, more long, size int, first array<long>"), "prefixes")
     keyed = stored(made.select("k1", "k2", "node").distinct(), "keyed")
-    members = keyed.join(_candidates(made, similarity, _by_grid(made)), "node").groupBy("root", "node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("root", "node", "k.k1", "k.k2")
+    grid = stored(_by_grid(made.withColumnRenamed("mark", "fp")), "grid")  # its shuffle files go before those of the prefixes come
+    members = keyed.join(_candidates(made, similarity, grid), "node").groupBy("root", "node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("root", "node", "k.k1", "k.k2")
     members = stored(texts.select("k1", "k2", "data").join(members, ["k1", "k2"]).groupBy("root", "node").agg(F.first("data").alias("data")), "members")
     discard(made)
+    discard(grid)
     found = keyed.join(_exact(members, words, similarity), "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component"))
     rows = stored(texts.select("id", "k1", "k2").join(found, ["k1", "k2"]), "near")
     discard(members)
@@ -583,8 +605,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id_col, component_id): components of documents whose shingle sets have a Jaccard similarity of ``similarity`` or more, exactly.
 
     Two bits of one fingerprint show near-equality only. Texts meet at the shingles of their prefixes, in an order common to all, so that no pair
-    at the threshold stays apart. Where they meet, sizes, bit counts and XOR of SimHash sketches, with a cut-off looser by 4.5 standard
-    deviations, leave candidates only; the shingle sets of what candidates join are compared. Equal hashes of 64 bits are taken for equal
+    at the threshold stays apart. Where they meet, sizes, bit counts and XOR of SimHash sketches, with a cut-off looser by 5 standard
+    deviations, and of short sets parities, leave candidates only; the shingle sets of what candidates join are compared. Equal hashes of 64 bits are taken for equal
     shingles. Null and empty texts are alike; rows without an id link but have a null component.
     """
     rows = _rows(docs, id_col, text_col, words, similarity)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from orchardflow.llm import simhash
 
@@ -197,3 +198,32 @@ def test_many_partitions_leave_few_files(spark):
     assert kept.count() == 4000 and len(kept.inputFiles()) <= most
     few = _common.stored(spark.range(0, 10, 1, 3), "few")
     assert few.count() == 10 and len(few.inputFiles()) == 3
+
+
+def test_a_shared_shingle_makes_no_group(spark, monkeypatch):
+    """Texts that meet at a shingle of their prefixes and are alike in nothing else are no candidates, whatever their length; near copies among them are."""
+    rng = random.Random(15)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    line = next(x for x in iter(lambda: " ".join(word() for _ in range(5)), "") if simhash.shingles(x)[0] < 1 << 56)  # in each prefix, which is in order of hashes here
+    texts = [" ".join([line, *(word() for _ in range(n))]) for n in (8, 20, 60, 300) for _ in range(80)]
+    texts += [x + " more" for x in texts[::40]]
+    rows, groups = list(enumerate(texts)), []
+    monkeypatch.setattr(simhash, "_common_shingles", lambda texts, words: np.zeros(0, np.uint64))
+    monkeypatch.setattr(simhash, "_exact", lambda members, *a, f=simhash._exact: groups.extend(r["n"] for r in members.groupBy("root").agg(F.count("*").alias("n")).collect()) or f(members, *a))
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts) and groups == [2] * 8
+
+
+def test_no_similar_pair_of_short_sets_is_missed():
+    """Parities differ at no more places than the sets have shingles not in common, so a pair at the threshold always passes."""
+    rng = np.random.default_rng(16)
+    for shared, each in ((8, 1), (16, 2), (40, 5), (64, 8), (72, 8)):
+        sets = []
+        for _ in range(200):
+            x = rng.integers(0, 1 << 62, shared + 2 * each).astype(np.uint64)
+            sets += [np.sort(x[: shared + each]), np.sort(np.delete(x, np.s_[shared : shared + each]))]
+        words = [np.array([f(x) for x in sets], np.uint64) for f in (simhash.sketch, simhash.second)]
+        a = np.arange(0, len(sets), 2)
+        tried = simhash.may_be_alike(*words, np.array(list(map(len, sets))), a, a + 1, 0.8)
+        others = simhash.may_be_alike(*words, np.array(list(map(len, sets))), a[:-1], a[1:], 0.8)
+        assert tried.all() and others.sum() <= 2
